@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import substring
+from . import substring, suffixes
 
 QUERIES = {
     "op8_substring_dedup": substring.op8_substring_dedup,
+    "op10_suffix_dedup": suffixes.op10_suffix_dedup,
 }
 ORACLES = {
     "op8_substring_dedup": substring.ORACLE,
+    "op10_suffix_dedup": suffixes.ORACLE,
 }
