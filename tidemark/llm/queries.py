@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import substring, suffixes
+from . import positional, substring, suffixes
 
 QUERIES = {
+    "op5_decontamination": positional.op5_decontamination,
     "op8_substring_dedup": substring.op8_substring_dedup,
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
 }
 ORACLES = {
+    "op5_decontamination": positional.ORACLE,
     "op8_substring_dedup": substring.ORACLE,
     "op10_suffix_dedup": suffixes.ORACLE,
 }
