@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import positional, substring, suffixes
+from . import byte_bpe, positional, substring, suffixes
 
 QUERIES = {
     "op5_decontamination": positional.op5_decontamination,
+    "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_substring_dedup": substring.op8_substring_dedup,
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
 }
