@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, positional, substring, suffixes
+from . import byte_bpe, positional, substring, suffixes, token_counts
 
 QUERIES = {
+    "op1_token_counts": token_counts.op1_token_counts,
     "op5_decontamination": positional.op5_decontamination,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_substring_dedup": substring.op8_substring_dedup,
