@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, positional, substring, suffixes, token_counts
+from . import byte_bpe, positional, substring, suffixes, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
     "op5_decontamination": positional.op5_decontamination,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_substring_dedup": substring.op8_substring_dedup,
+    "op9_warc": warc.op9_warc,
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
 }
 ORACLES = {
     "op5_decontamination": positional.ORACLE,
     "op8_substring_dedup": substring.ORACLE,
+    "op9_warc": warc.ORACLE,
     "op10_suffix_dedup": suffixes.ORACLE,
 }
