@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, positional, substring, suffixes, token_counts, warc
+from . import byte_bpe, near_dup, positional, substring, suffixes, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op3_near_duplicates": near_dup.op3_near_duplicates,
     "op5_decontamination": positional.op5_decontamination,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_substring_dedup": substring.op8_substring_dedup,
@@ -13,6 +14,7 @@ QUERIES = {
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
 }
 ORACLES = {
+    "op3_near_duplicates": near_dup.ORACLE,
     "op5_decontamination": positional.ORACLE,
     "op8_substring_dedup": substring.ORACLE,
     "op9_warc": warc.ORACLE,
