@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, near_dup, positional, substring, suffixes, token_counts, warc
+from . import byte_bpe, language, near_dup, positional, substring, suffixes, token_counts, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
+    "op2_language_id": language.op2_language_id,
     "op3_near_duplicates": near_dup.op3_near_duplicates,
     "op5_decontamination": positional.op5_decontamination,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
