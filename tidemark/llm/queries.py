@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, language, near_dup, positional, substring, suffixes, token_counts, toxicity, warc
+from . import byte_bpe, forest, language, near_dup, positional, substring, suffixes, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_near_duplicates": near_dup.op3_near_duplicates,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": positional.op5_decontamination,
+    "op6_nearest_neighbours": forest.op6_nearest_neighbours,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_substring_dedup": substring.op8_substring_dedup,
     "op9_warc": warc.op9_warc,
