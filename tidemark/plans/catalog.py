@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import q_joins  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+FLAGSHIP = "asof_close_on_or_before"
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
