@@ -5,9 +5,12 @@ the round number as the whole part of its rank: ranks of one element are correla
 signature is done as soon as each slot holds a value below the round number, so long texts need two or three rounds.
 Rounds run over all elements of a segment at once.
 
-Rows with equal sets are one class before banding. Classes that share a band are compared with that band's leader, and
-leaders differ from band to band; then, as long as a band holds classes of several components, those are compared across
-components, so every pair of classes that shares a band ends up in one component or is refuted. With 32 bands of 4, a
+Rows with equal sets are one class before banding. For each class that shares a band with another, `common` counts its
+shingles that any other such class holds. No pair is alike if least(common) * 100 < 75 * (greatest(common) + what either
+has alone), which refutes the heavily edited copies of one text at once, however many there are. Each class is compared
+with one leader, of the leaders of its bands the one with the fewest shingles of its own, the text that the others were
+copied from. Then, within bands that still hold several components, every pair of different components that isn't
+refuted is compared: all pairs of classes that share a band end up in one component or are refuted. With 32 bands of 4, a
 pair at the threshold of 0.75 shares a band in all but 5 of a million cases. Links are confirmed on whole sets.
 
 Defined results: texts without words have no set and no links; fewer than five words are one shingle; a null id isn't
@@ -102,15 +105,59 @@ def _slices(first: np.ndarray, a: int, b: int, most: int = 1 << 18):
         a = c
 
 
+def _deal_bands(n: int):
+    def run(batches):
+        for batch in batches:
+            bands = batch.column(1).flatten().to_numpy().view(np.uint64)
+            ids = np.repeat(batch.column(0).to_numpy(), BANDS)
+            if len(bands):
+                yield S.dealt(0, n, bands, {"band": bands, "id": ids})
+
+    return run
+
+
+def _shared_bands(table: pa.Table) -> pa.Table:
+    """Of one hash bucket: the members of bands that have two at least."""
+    bands, ids = S.gather(table, "band", np.uint64), S.gather(table, "id", np.int64)
+    order = np.lexsort([ids, bands])
+    bands, ids = bands[order], ids[order]
+    same = np.zeros(len(bands) + 1, bool)
+    same[1:-1] = bands[1:] == bands[:-1]
+    many = same[:-1] | same[1:]
+    return pa.table({"band": bands[many].view(np.int64), "id": ids[many]})
+
+
 def _send_sets(seg: S.Segment, replies: pa.Table) -> pa.Table:
     rows, ids = replies.column("row").to_numpy(), replies.column("id").to_numpy()
     if not len(rows):
         return SETS.empty_table()
     h, first = shingle_sets(seg)
-    return pa.table({"id": ids, "shingles": [h[first[r] : first[r + 1]].tobytes() for r in rows]}, schema=SETS)
+    return pa.table({"id": ids, "n": np.diff(first)[rows], "shingles": [h[first[r] : first[r + 1]].tobytes() for r in rows]}, schema=SETS)
+
+
+SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 
 
-SETS = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
+def _deal_shingles(n: int):
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column(1).to_numpy()
+            h = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64)
+            if len(h):
+                yield S.dealt(0, n, h, {"h": h, "id": np.repeat(batch.column(0).to_numpy(), sizes)})
+
+    return run
+
+
+def _count_common(table: pa.Table) -> pa.Table:
+    """Of one hash bucket: for each class the number of shingles that another has."""
+    h, ids = S.gather(table, "h", np.uint64), S.gather(table, "id", np.int64)
+    order = np.argsort(h, kind="stable")
+    h, ids = h[order], ids[order]
+    same = np.zeros(len(h) + 1, bool)
+    same[1:-1] = h[1:] == h[:-1]
+    id_, counts = np.unique(ids[same[:-1] | same[1:]], return_counts=True)
+    return pa.table({"id": id_, "common": counts.astype(np.int64)})
 
 
 def _links(batches):
@@ -125,17 +172,17 @@ def _links(batches):
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("u", pa.int64()), ("v", pa.int64())]))
 
 
-def _verify(packed: S.Packed, places: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of pairs u, v of classes those whose whole sets are alike. Sizes decide first: alike sets differ by a third at most."""
-    size = places.select("id", "n_shingles")
-    pairs = pairs.join(size.toDF("u", "nu"), "u").join(size.toDF("v", "nv"), "v").where("4 * least(nu, nv) >= 3 * greatest(nu, nv)").select("u", "v")
-    pairs = stored(pairs, "pairs")
-    asked = pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct().join(places, "id").select("seg", "row", "id")
-    sets = stored(packed.answer(asked, _send_sets, "id long, shingles binary"), "sets")
-    both = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v").select("u", "v", "a", "b")
+def _verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of pairs u, v of classes those whose whole sets are alike."""
+    a, b = (sets.select(F.col("id").alias(c), F.col("shingles").alias(d)) for c, d in (("u", "a"), ("v", "b")))
+    both = pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b")
     return stored(both.mapInArrow(_links, "u long, v long"), "links")
 
 
+#: Whether a pair may be alike, by the sizes of two sets and the shingles of each that occur elsewhere.
+MAYBE = "100 * least({a}common, {b}common) >= 75 * (greatest({a}common, {b}common) + {a}n - {a}common + {b}n - {b}common)"
+
+
 def find_groups(packed: S.Packed) -> DataFrame:
     """seg, row, id, n_shingles and component of every document of packed segments."""
     rows = stored(packed.ask(_describe, "seg long, row int, id long, n_shingles long, print_a long, print_b long, bands array<bigint>"), "described")
@@ -143,30 +190,32 @@ def find_groups(packed: S.Packed) -> DataFrame:
     classes = linked.groupBy("print_a", "print_b", "n_shingles").agg(F.min(F.struct("id", "seg", "row")).alias("least"))
     classes = stored(classes.selectExpr("print_a", "print_b", "n_shingles", "least.id as id", "least.seg as seg", "least.row as row"), "classes")
     # An id that stands for several classes (rows with one id and several texts) is one node, of the place of one of them.
-    places = classes.groupBy("id").agg(F.min(F.struct("seg", "row", "n_shingles")).alias("p")).selectExpr("id", "p.seg as seg", "p.row as row", "p.n_shingles as n_shingles")
-    places = stored(places, "places")
-    banded = rows.select("seg", "row", "bands").join(places.select("seg", "row", "id"), ["seg", "row"]).select("id", F.explode("bands").alias("band"))
-    banded = stored(banded, "banded")
-    leader = F.min_by("id", F.xxhash64("id", "band"))
-    shared = banded.groupBy("band").agg(leader.alias("leader"), F.count("*").alias("n")).where("n > 1").select("band", "leader")
-    members = stored(banded.join(shared, "band"), "members")
-    tried = stored(members.where("id <> leader").selectExpr("least(id, leader) as u", "greatest(id, leader) as v").distinct(), "tried")
-    links = _verify(packed, places, tried)
-    while True:
-        labels = components(links)
-        of = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("component"))
-        mixed = of.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-        of = of.join(mixed, "band")
-        pairs = of.alias("a").join(of.alias("b"), F.expr("a.band = b.band and a.id < b.id and a.component <> b.component")).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
-        pairs = stored(pairs.join(tried, ["u", "v"], "left_anti"), "tried")
-        if pairs.isEmpty():
-            break
-        more = _verify(packed, places, pairs)
-        tried = tried.union(pairs)
-        links = links.union(more)
-        if more.isEmpty():
-            break
-    labels = stored(labels, "labels")
+    places = stored(classes.groupBy("id").agg(F.min(F.struct("seg", "row")).alias("p")).selectExpr("id", "p.seg as seg", "p.row as row"), "places")
+    n = packed.hash_buckets()
+    banded = rows.select("seg", "row", "bands").join(places, ["seg", "row"]).select("id", "bands").mapInArrow(_deal_bands(n), "bucket long, seg long, band binary, id binary")
+    members = stored(S.settle(banded, _shared_bands, "band long, id long"), "members")
+    asked = members.select("id").distinct().join(places, "id").select("seg", "row", "id")
+    sets = stored(packed.answer(asked, _send_sets, "id long, n long, shingles binary"), "sets")
+    common = S.settle(sets.mapInArrow(_deal_shingles(n), "bucket long, seg long, h binary, id binary"), _count_common, "id long, common long").groupBy("id").agg(F.sum("common").alias("common"))
+    info = sets.select("id", "n").join(common, "id").where("100 * common >= 75 * n")  # else nothing is alike
+    members = stored(members.join(info, "id"), "members")
+    own = "struct((n - common) / n as own, id)"
+    leaders = members.groupBy("band").agg(F.expr(f"min_by(struct(id, n, common), {own})").alias("l")).selectExpr("band", "l.id as leader", "l.n as n", "l.common as common")
+    led = members.alias("a").join(leaders.alias("b"), F.expr("a.band = b.band and a.id <> b.leader and " + MAYBE.format(a="a.", b="b.")))
+    led = led.groupBy("a.id").agg(F.expr("min_by(leader, struct((b.n - b.common) / b.n as own, leader))").alias("leader"))
+    tried = stored(led.selectExpr("least(id, leader) as u", "greatest(id, leader) as v").distinct(), "tried")
+    links = _verify(sets, tried)
+    labels = stored(components(links), "labels")
+    of = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", "common", F.coalesce("component", "id").alias("component"))
+    of = stored(of, "of")
+    mixed = of.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
+    of = of.join(mixed, "band")
+    across = "a.band = b.band and a.id < b.id and a.component <> b.component and " + MAYBE.format(a="a.", b="b.")
+    pairs = of.alias("a").join(of.alias("b"), F.expr(across)).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
+    pairs = stored(pairs.join(tried, ["u", "v"], "left_anti"), "tried")
+    more = _verify(sets, pairs)
+    if not more.isEmpty():
+        labels = stored(components(links.union(more)), "labels")
     named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("print_a", "print_b", "n_shingles", F.coalesce("component", "id").alias("component"))
     found = linked.select("seg", "row", "id", "n_shingles", "print_a", "print_b").join(named, ["print_a", "print_b", "n_shingles"]).select("seg", "row", "id", "n_shingles", "component")
     alone = rows.where("n_shingles = 0 or id is null").select("seg", "row", "id", "n_shingles", F.col("id").alias("component"))

@@ -1,4 +1,4 @@
-"""Documents packed into segments: rows of about 2 MB of text that several passes share.
+"""Documents packed into segments: rows of about 1 MB of text that several passes share.
 
 `pack` writes the segments once, without a shuffle, to a table bucketed by segment number. Passes then talk to each
 other through small rows keyed by segment or by hash bucket: `ask` maps over segments, `settle` groups by hash bucket,
@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from .common import scratch
 
-SEGMENT_BYTES = 2 << 20
+SEGMENT_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max  # the order key of a null id
 SCHEMA = "seg long, n_docs int, n_bytes long, keys binary, lens binary, text binary, rest binary"
 

@@ -3,7 +3,9 @@
 A string of 50 bytes belongs to the smallest hash of its 27 grams of 24 bytes, its key: equal strings have equal keys.
 Consecutive strings of one key form a run, about 14 strings. Only keys found in two documents or more matter. A run
 whose whole text is in a document with a smaller id goes; what is left, the runs of one key whose texts differ (around
-edits, and at the edges of shared passages), is sorted by suffix array, and equal strings lie side by side in it.
+edits, and at the edges of shared passages), are first trimmed: sorted by what stands right of the key's gram, and by
+what stands left of it, neighbours show how far a text agrees with any other, and strings that reach beyond are unique.
+The trimmed texts of a key that still differ are sorted by suffix array, and equal strings lie side by side in it.
 
 Between segments travel the keys; then a hash of each candidate run's text, once a segment; then the texts of runs whose
 key has several texts, once a segment. Defined results: null is empty; a null id comes after all others; rows with the
@@ -49,7 +51,8 @@ class Runs:
         lens = np.diff(seg.bounds)
         doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
         roll = Rolling(BYTE[seg.buf])
-        low = _sliding_min(roll.windows(GRAM), width - GRAM + 1)
+        self.grams = roll.windows(GRAM)
+        low = _sliding_min(self.grams, width - GRAM + 1)
         n = len(low)
         ok = seg.bounds[doc[:n] + 1] - np.arange(n) >= width
         begin, end = ok.copy(), ok.copy()
@@ -62,6 +65,20 @@ class Runs:
         self.id = seg.keys[self.doc]
         self.text = roll.spans(self.start, self.start + self.count + width - 1)
 
+    def gram_place(self, runs: np.ndarray) -> np.ndarray:
+        """Where a run's text holds the gram that is its key; -1 if more than once."""
+        last = self.start[runs] + self.count[runs] + self.width - 1 - GRAM
+        times, place = np.zeros(len(runs), np.int32), np.zeros(len(runs), np.int32)
+        at, which = self.start[runs], np.arange(len(runs))
+        for step in range(int((last - at).max(initial=-1)) + 1):
+            which = which[(at[which] + step <= last[which]) & (times[which] < 2)]
+            if not len(which):
+                break
+            hit = which[self.grams[at[which] + step] == self.key[runs[which]]]
+            place[hit] = step
+            times[hit] += 1
+        return np.where(times == 1, place, -1).astype(np.int32)
+
     def firsts(self) -> tuple[np.ndarray, np.ndarray]:
         """One run of each text, of its smallest id; and for each run that id."""
         one = _firsts([self.id], self.text)
@@ -122,7 +139,7 @@ def _compare_runs(table: pa.Table) -> pa.Table:
     ])
 
 
-TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id", "count")), ("bytes", pa.binary())])
+TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id", "count", "gram")), ("bytes", pa.binary())])
 
 
 def _send_texts(n: int, width: int):
@@ -135,7 +152,9 @@ def _send_texts(n: int, width: int):
         one = one[np.isin(runs.text[one], wanted)]
         bucket = ((runs.key[one] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
         one = one[np.argsort(bucket, kind="stable")]
-        table = S.dealt(seg.seg, n, runs.key[one], {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one], "count": runs.count[one].astype(np.int32)})
+        if not len(one):
+            return TEXTS.empty_table()
+        table = S.dealt(seg.seg, n, runs.key[one], {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one], "count": runs.count[one].astype(np.int32), "gram": runs.gram_place(one)})
         body, at = [], 0
         for size in S.sizes(pa.Table.from_batches([table]), "key", 8):
             body.append(b"".join(seg.buf[runs.start[i] : runs.start[i] + runs.count[i] + width - 1].tobytes() for i in one[at : at + size]))
@@ -167,56 +186,108 @@ def _equal_strings(body: bytes, starts: np.ndarray, width: int) -> tuple[np.ndar
     return order, new
 
 
+def _reach(groups: np.ndarray, sides: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """How many leading bytes of each row of sides agree with some other row of its group; at most its own length."""
+    padded = np.zeros((len(sides), -(-sides.shape[1] // 8) * 8), np.uint8)
+    padded[:, : sides.shape[1]] = sides
+    words = padded.view(">u8")
+    order = np.lexsort([*(words[:, i] for i in range(words.shape[1] - 1, -1, -1)), groups])
+    same = (sides[order][1:] == sides[order][:-1]) & (groups[order][1:] == groups[order][:-1])[:, None]
+    shared = np.minimum.accumulate(same, axis=1).sum(axis=1)
+    out = np.zeros(len(sides), np.int64)
+    out[order[1:]] = shared
+    out[order[:-1]] = np.maximum(out[order[:-1]], shared)
+    return np.minimum(out, lens)
+
+
+def _trim(body: np.ndarray, key: np.ndarray, at: np.ndarray, lens: np.ndarray, gram: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """New starts and lengths of the texts, without what no other text of their key can share."""
+    side = width - GRAM
+    one = np.flatnonzero(gram >= 0)
+    _, group, several = np.unique(key, return_inverse=True, return_counts=True)
+    whole = np.bincount(group, gram < 0, len(several)) > 0  # a key with a periodic text: leave it as it is
+    one = one[~whole[group[one]]]
+    if not len(one):
+        return at, lens
+    left, right = gram[one], lens[one] - gram[one] - GRAM
+    far = np.arange(side)
+    limit = len(body) - 1
+    before = body[np.clip((at[one] + gram[one] - 1)[:, None] - far, 0, limit)] * (far < left[:, None])
+    behind = body[np.clip((at[one] + gram[one] + GRAM)[:, None] + far, 0, limit)] * (far < right[:, None])
+    new_left, new_right = _reach(group[one], before, left), _reach(group[one], behind, right)
+    at, lens = at.copy(), lens.copy()
+    at[one] += left - new_left
+    lens[one] = new_left + GRAM + new_right
+    return at, lens
+
+
 def _sort_texts(width: int):
     def run(table: pa.Table) -> pa.Table:
-        key, text, ids, count = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64), ("count", np.int32)))
+        key, text, ids, count, gram = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64), ("count", np.int32), ("gram", np.int32)))
         segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "key", 8))
         body = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
-        lens = count.astype(np.int64) + width - 1
-        at = np.cumsum(lens) - lens
-        order = np.lexsort([text, key])
-        out: dict[str, list] = {"seg": [], "text": [], "lo": [], "hi": []}
-        groups = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1], [True]])) if len(order) else np.zeros(1, np.int64)
-        i = 0
-        while i < len(groups) - 1:  # whole keys together, up to BATCH bytes
-            j = i + 1
-            size = lens[order[groups[i] : groups[j]]].sum()
-            while j < len(groups) - 1 and size + (more := lens[order[groups[j] : groups[j + 1]]].sum()) <= BATCH:
-                size, j = size + more, j + 1
-            rows = order[groups[i] : groups[j]]
-            i = j
-            distinct = np.ones(len(rows), bool)
-            distinct[1:] = text[rows][1:] != text[rows][:-1]
-            reps = rows[distinct]  # of equal texts one; all of them have one id, the smallest
-            joined = b"".join(body[at[r] : at[r] + lens[r]].tobytes() for r in reps)
-            edge = np.cumsum(lens[reps]) - lens[reps]
-            starts = np.concatenate([np.arange(e, e + c) for e, c in zip(edge, count[reps])])
-            sorted_, new = _equal_strings(joined, starts, width)
-            of = np.searchsorted(edge, sorted_, "right") - 1
-            cuts = np.flatnonzero(new)
-            least = np.minimum.reduceat(ids[reps][of], cuts)[np.cumsum(new) - 1]
-            hit = ids[reps][of] > least
-            hits = np.sort(sorted_[hit])
-            if not len(hits):
-                continue
-            who = np.searchsorted(edge, hits, "right") - 1
-            begin = np.ones(len(hits), bool)
-            begin[1:] = (hits[1:] != hits[:-1] + 1) | (who[1:] != who[:-1])
-            b = np.flatnonzero(begin)
-            e = np.concatenate([b[1:], [len(hits)]]) - 1
-            copy_of = np.cumsum(distinct) - 1  # each row's rep
-            for r, rep in zip(rows.tolist(), copy_of.tolist()):
-                lo, hi = np.searchsorted(who[b], rep, "left"), np.searchsorted(who[b], rep, "right")
-                if hi > lo:
-                    out["seg"].append(int(segs[r]))
-                    out["text"].append(np.full(hi - lo, text[r], np.uint64).tobytes())
-                    out["lo"].append((hits[b[lo:hi]] - edge[rep]).astype(np.int32).tobytes())
-                    out["hi"].append((hits[e[lo:hi]] - edge[rep] + 1).astype(np.int32).tobytes())
-        return pa.table(out | {"later": [None] * len(out["seg"])}, schema=HITS) if out["seg"] else HITS.empty_table()
+        full = count.astype(np.int64) + width - 1
+        start = np.cumsum(full) - full
+        at, lens = _trim(body, key, start, full, gram, width)
+        trimmed = Rolling(BYTE[body]).spans(at, at + lens)
+        rows = np.flatnonzero(lens >= width)
+        rows = rows[np.lexsort([ids[rows], trimmed[rows], key[rows]])]
+        k, t = key[rows], trimmed[rows]
+        new_key, new_text = np.ones(len(rows), bool), np.ones(len(rows), bool)
+        new_key[1:] = k[1:] != k[:-1]
+        new_text[1:] = new_key[1:] | (t[1:] != t[:-1])
+        rep = np.cumsum(new_text) - 1  # each row's distinct trimmed text
+        reps = rows[new_text]  # of the smallest id
+        hit_rep, hit_lo, hit_hi = _sorted_hits(body, at[reps], lens[reps], ids[reps], new_key[new_text], width)
+        # A row whose trimmed text a smaller id has goes wholly; the others by the strings that smaller ids have.
+        later = ids[rows] > ids[reps][rep]
+        left, right = np.searchsorted(hit_rep, rep, "left"), np.searchsorted(hit_rep, rep, "right")
+        times = np.where(later, 1, right - left)
+        who = np.repeat(np.arange(len(rows)), times)
+        nth = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
+        part = np.minimum(left[who] + nth, max(0, len(hit_rep) - 1))
+        lo, hi = (h[part] if len(h) else np.zeros(len(who), np.int64) for h in (hit_lo, hit_hi))
+        lo, hi = np.where(later[who], 0, lo), np.where(later[who], lens[rows][who] - width + 1, hi)
+        shift = (at - start)[rows][who]
+        got = S.spread(segs[rows][who], {"text": text[rows][who], "lo": (lo + shift).astype(np.int32), "hi": (hi + shift).astype(np.int32)}, np.ones(len(who), bool))
+        return pa.table(got | {"later": [None] * len(got["seg"])}, schema=HITS)
 
     return run
 
 
+def _sorted_hits(body: np.ndarray, at: np.ndarray, lens: np.ndarray, ids: np.ndarray, new_key: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of distinct texts, in order of their keys: text, first and end of each run of strings that a smaller id has."""
+    groups = np.append(np.flatnonzero(new_key), len(at))
+    out: list[list[np.ndarray]] = [[], [], []]
+    alone = np.diff(groups) < 2  # one text only: nothing to compare
+    todo = np.flatnonzero(~alone)
+    i = 0
+    while i < len(todo):  # whole keys together, up to BATCH bytes
+        size, j = 0, i
+        while j < len(todo) and (j == i or size + lens[groups[todo[j]] : groups[todo[j] + 1]].sum() <= BATCH):
+            size += lens[groups[todo[j]] : groups[todo[j] + 1]].sum()
+            j += 1
+        reps = np.concatenate([np.arange(groups[g], groups[g + 1]) for g in todo[i:j]])
+        i = j
+        joined = b"".join(body[at[r] : at[r] + lens[r]].tobytes() for r in reps)
+        edge = np.cumsum(lens[reps]) - lens[reps]
+        count = lens[reps] - width + 1
+        starts = np.repeat(edge, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        order, new = _equal_strings(joined, starts, width)
+        of = ids[reps][np.searchsorted(edge, order, "right") - 1]
+        least = np.minimum.reduceat(of, np.flatnonzero(new))[np.cumsum(new) - 1]
+        hits = np.sort(order[of > least])
+        if not len(hits):
+            continue
+        who = np.searchsorted(edge, hits, "right") - 1
+        begin, end = np.ones(len(hits), bool), np.ones(len(hits), bool)
+        begin[1:] = (hits[1:] != hits[:-1] + 1) | (who[1:] != who[:-1])
+        end[:-1] = begin[1:]
+        for column, values in zip(out, (reps[who[begin]], hits[begin] - edge[who[begin]], hits[end] - edge[who[end]] + 1)):
+            column.append(values)
+    return tuple(np.concatenate(c) if c else np.zeros(0, np.int64) for c in out)
+
+
 def _cut(width: int, schema: pa.Schema):
     def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
         later = np.sort(S.gather(replies, "later", np.uint64))
@@ -263,7 +334,7 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = S.settle(keys, S.repeated, S.REPLY)
     runs = packed.answer(shared, _send_runs(n, width), "bucket long, seg long, key binary, text binary, id binary")
     decided = stored(S.settle(runs, _compare_runs, "seg long, later binary, wanted binary"), "decided")
-    texts = packed.answer(decided.where("wanted is not null"), _send_texts(n, width), "bucket long, seg long, key binary, text binary, id binary, count binary, bytes binary")
+    texts = packed.answer(decided.where("wanted is not null"), _send_texts(n, width), "bucket long, seg long, key binary, text binary, id binary, count binary, gram binary, bytes binary")
     hits = S.settle(texts, _sort_texts(width), "seg long, later binary, text binary, lo binary, hi binary")
     empty = F.lit(None).cast("binary")
     replies = hits.unionByName(decided.where("later is not null").select("seg", "later", empty.alias("text"), empty.alias("lo"), empty.alias("hi")))

@@ -1,10 +1,12 @@
 """Token counts with overlap resynchronisation.
 
-Texts up to CHUNK characters are encoded whole. Longer ones go as overlapping chunks whose tokens keep character offsets.
+Texts above CHUNK characters go as overlapping chunks whose tokens keep character offsets.
 Neighbours are spliced at a common boundary inside the overlap that is proven stable: a white-space character, around
 which both encodings hold the same tokens at the same places. Neither the normaliser nor the pre-tokeniser of a
 vocabulary that drops white space looks across it, so tokens on either side can't depend on where a chunk was cut. If an
 overlap has no such boundary it is doubled, in the end to both chunks joined, so the count is always the whole text's.
+By the same proof a text of up to CHUNK characters has the tokens of its pieces between white space; the counts of pieces
+seen before are kept, so the library encodes each of them once.
 
 Defined results: null is empty and has no tokens; special strings inside a text are handled as the library's default.
 """
@@ -13,13 +15,15 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK, OVERLAP = 1 << 15, 1 << 8
-BATCH_CHARS = 1 << 18
+BATCH_CHARS = 1 << 20
+KEPT = 1 << 19  # pieces
 STABLE = " \n\r\t"
 
 
@@ -75,19 +79,38 @@ def count_long(tk, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int
     return total + sum(counted_from <= t[0] for t in left)
 
 
-def count_batch(tk, texts: list[str], chunk: int = CHUNK) -> list[int]:
-    out, short, size = [0] * len(texts), [], 0
+class Pieces:
+    """Token counts of pieces without stable boundaries, kept between texts."""
+
+    def __init__(self, tk):
+        self.tk, self.known = tk, {}
+
+    def count(self, texts: list[list[str]]) -> list[int]:
+        known = self.known
+        new = [p for p in set().union(*texts) if p not in known]
+        if len(known) + len(new) > KEPT:
+            known.clear()
+            new = list(set().union(*texts))
+        known.update(zip(new, map(len, self.tk.encode_batch_fast(new, add_special_tokens=False))))
+        return [sum(map(known.__getitem__, t)) for t in texts]
+
+
+SPLIT = re.compile(f"[^{STABLE}]+")
+
+
+def count_batch(pieces: Pieces, texts: list[str], chunk: int = CHUNK) -> list[int]:
+    out, short, size = [0] * len(texts), {}, 0
 
     def flush():
-        for i, e in zip(short, tk.encode_batch_fast([texts[i] for i in short], add_special_tokens=False)):
-            out[i] = len(e)
+        for i, n in zip(short, pieces.count(list(short.values()))):
+            out[i] = n
         short.clear()
 
     for i, text in enumerate(texts):
         if len(text) > chunk:
-            out[i] = count_long(tk, text, chunk)
-        elif text:
-            short.append(i)
+            out[i] = count_long(pieces.tk, text, chunk)
+        else:
+            short[i] = SPLIT.findall(text)
             size += len(text)
             if size > BATCH_CHARS:
                 flush()
@@ -100,10 +123,10 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """doc_id, n_bytes, n_tokens and over_limit of every row of docs."""
 
     def run(batches):
-        tk = tokenizer(path)
+        pieces = Pieces(tokenizer(path))
         for batch in batches:
             texts = batch.column(1).fill_null("").to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(count_batch(tk, texts), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(count_batch(pieces, texts), pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
 
     text = F.col(f"`{text_col}`").cast("string")
     chosen = docs.select(F.col(f"`{id_col}`").cast("long"), text, F.coalesce(F.octet_length(text), F.lit(0)).cast("long"))

@@ -22,12 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import mix, stored
+from .common import BYTE, Rolling, mix, stored
 from .language import grams, normal
 
 SIZES = (5, 6)
 PER_CLASS, TERMS, LEAST_CHI2, LEAST_DOCS = 3000, 4096, 30.0, 4
 NEAREST, PULL, BLOCK = 15, 1.0, 64
+COPY = 48
 STEP = 1 << 19
 
 
@@ -174,13 +175,19 @@ class Index:
 
 
 def _sketch(batches):
-    """Two min-hashes of every text, over its grams of 8 bytes."""
+    """Two min-hashes of every text, over its strings of COPY bytes: equal for most copies with small edits."""
     for batch in batches:
-        texts = [normal(t or "").ljust(8) for t in batch.column(2).to_pylist()]
-        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        keys = grams(np.frombuffer(b"".join(texts) + b" " * 8, np.uint8), 8)
-        least = [np.minimum.reduceat(mix(keys ^ np.uint64(seed)), bounds[:-1]).view(np.int64) if texts else np.zeros(0, np.int64) for seed in (1, 2)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, least)], names=["id", "label", "text", "a", "b"])
+        texts = [normal(t or "").ljust(COPY) for t in batch.column(2).to_pylist()]
+        lens = np.array([len(t) for t in texts], np.int64)
+        bounds = np.cumsum(lens) - lens
+        windows = Rolling(BYTE[np.frombuffer(b"".join(texts), np.uint8)]).windows(COPY)
+        inside = np.concatenate([np.arange(n) <= n - COPY for n in lens]) if len(lens) else np.zeros(0, bool)
+        least = []
+        for seed in (1, 2):
+            h = mix(windows ^ np.uint64(seed))
+            h[~inside[: len(h)]] = np.iinfo(np.uint64).max
+            least.append(pa.array(np.minimum.reduceat(h, bounds).view(np.int64) if len(lens) else np.zeros(0, np.int64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, *least], names=["id", "label", "text", "a", "b"])
 
 
 def _count(batches):
