@@ -355,9 +355,9 @@ def test_block_max_search_is_exact(spark):
 def test_pipeline_stages(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(12)
-    docs, labels = toxic_corpus(spark, 120)
+    docs, labels = toxic_corpus(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    rows += [(500, rows[1][1]), (501, None), (502, ""), (503, "question alpha beta gamma delta"), (504, " ".join(rows[2][1].split()[:30] + [f"n{rng.random()}" for _ in range(80)]))]
+    rows += [(1000, rows[1][1]), (1001, None), (1002, ""), (1003, "question alpha beta gamma delta"), (1004, " ".join(rows[2][1].split()[:30] + [f"n{rng.random()}" for _ in range(80)]))]
     full = [(d, t, "en", "s", len(t or "")) for d, t in rows]
     spark.createDataFrame(full, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
@@ -373,12 +373,11 @@ def test_pipeline_stages(spark, tmp_path):
     toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
     after = {d for d, _ in rows} - toxic
     assert set(left["toxicity"]) == after
-    after -= {500}
-    assert set(left["near_duplicates"]) == after - ({502} & set()) and set(left["substring_dedup"]) == after
-    if 2 in after:
-        assert left["substring_dedup"][504].text == " ".join(rows[-1][1].split()[30:])
-        assert left["substring_dedup"][504].n_chars == len(left["substring_dedup"][504].text)
-    assert set(left["decontamination"]) == after - {503} == set(left["byte_bpe"])
+    after -= {1000}
+    assert set(left["near_duplicates"]) == after and set(left["substring_dedup"]) == after
+    assert left["substring_dedup"][1004].text == " ".join(rows[-1][1].split()[30:])
+    assert left["substring_dedup"][1004].n_chars == len(left["substring_dedup"][1004].text)
+    assert set(left["decontamination"]) == after - {1003} == set(left["byte_bpe"])
     ran = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert ran == left["byte_bpe"]
     assert all(r.decoded_sha256 == hashlib.sha256((left["decontamination"][d].text or "").encode()).hexdigest() for d, r in ran.items())
