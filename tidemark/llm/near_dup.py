@@ -6,12 +6,17 @@ signature is done as soon as each slot holds a value below the round number, so
 Rounds run over all elements of a segment at once.
 
 Rows with equal sets are one class before banding. For each class that shares a band with another, `common` counts its
-shingles that any other such class holds. No pair is alike if least(common) * 100 < 75 * (greatest(common) + what either
-has alone), which refutes the heavily edited copies of one text at once, however many there are. Each class is compared
-with one leader, of the leaders of its bands the one with the fewest shingles of its own, the text that the others were
-copied from. Then, within bands that still hold several components, every pair of different components that isn't
-refuted is compared: all pairs of classes that share a band end up in one component or are refuted. With 32 bands of 4, a
-pair at the threshold of 0.75 shares a band in all but 5 of a million cases. Links are confirmed on whole sets.
+shingles that any other such class holds; if they are too few, it is like none. Each class is compared with one leader: of
+the leaders of its bands the one with the fewest shingles of its own, the text that the others were copied from. Classes
+that stay alone choose leaders among themselves and are compared again, as long as that links a tenth of them. All of this is linear
+in the classes of a group, however many copies it has.
+
+What is left are pairs of classes that share a band and lie in different components. Two classes a, b of one leader L
+have at most min(|a & L|, |b & L|) + e shingles in common, where e counts those outside L that both hold. One of them
+isn't like L, so the first part suffices only where the other is shorter than L; all other pairs must share a shingle
+outside L. These two kinds are found by joins on the band and on the shingle, and pairs of different leaders by a join on
+the band under a bound by `common`; what the bounds don't refute is compared. With 32 bands of 4, a pair at the threshold
+of 0.75 shares a band in all but 5 of a million cases. Links are confirmed on whole sets.
 
 Defined results: texts without words have no set and no links; fewer than five words are one shingle; a null id isn't
 linked (its component is null, it stays); rows with the same id and the same text share their result.
@@ -149,15 +154,60 @@ def _deal_shingles(n: int):
     return run
 
 
-def _count_common(table: pa.Table) -> pa.Table:
-    """Of one hash bucket: for each class the number of shingles that another has."""
-    h, ids = S.gather(table, "h", np.uint64), S.gather(table, "id", np.int64)
-    order = np.argsort(h, kind="stable")
-    h, ids = h[order], ids[order]
-    same = np.zeros(len(h) + 1, bool)
-    same[1:-1] = h[1:] == h[:-1]
-    id_, counts = np.unique(ids[same[:-1] | same[1:]], return_counts=True)
-    return pa.table({"id": id_, "common": counts.astype(np.int64)})
+def _count_common(n: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Of one hash bucket: for each class the number of shingles that another has, packed by buckets of classes."""
+        h, ids = S.gather(table, "h", np.uint64), S.gather(table, "id", np.int64)
+        order = np.argsort(h, kind="stable")
+        h, ids = h[order], ids[order]
+        same = np.zeros(len(h) + 1, bool)
+        same[1:-1] = h[1:] == h[:-1]
+        id_, counts = np.unique(ids[same[:-1] | same[1:]], return_counts=True)
+        return pa.Table.from_batches([S.dealt(0, n, mix(id_.view(np.uint64)), {"id": id_, "common": counts.astype(np.int64)})])
+
+    return run
+
+
+def _sum_common(table: pa.Table) -> pa.Table:
+    ids, counts = S.gather(table, "id", np.int64), S.gather(table, "common", np.int64)
+    id_, at = np.unique(ids, return_inverse=True)
+    return pa.table({"id": id_, "common": np.bincount(at, counts, len(id_)).astype(np.int64)})
+
+
+def _compare(batches):
+    """Of a class and its leader with their sets: the shingles that both have, counted, and those that the leader lacks."""
+    for batch in batches:
+        inter, extra = [], []
+        for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            out = np.setdiff1d(a, b, assume_unique=True)
+            inter.append(len(a) - len(out))
+            extra.append(out.tobytes())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(inter, pa.int64()), pa.array(extra, pa.binary())], names=["id", "leader", "inter", "extra"])
+
+
+def _deal_extras(n: int):
+    def run(batches):
+        for batch in batches:
+            extra = batch.column(2).to_pylist()
+            sizes = np.array([len(x) // 8 for x in extra], np.int64)
+            h = np.frombuffer(b"".join(extra), np.uint64)
+            if len(h):
+                key = mix(h ^ mix(np.repeat(batch.column(1).to_numpy().view(np.uint64), sizes)))
+                yield S.dealt(0, n, key, {"key": key, "id": np.repeat(batch.column(0).to_numpy(), sizes)})
+
+    return run
+
+
+def _shared_extras(table: pa.Table) -> pa.Table:
+    """Of one hash bucket: the holders of shingles outside their leader that two classes of it have."""
+    key, ids = S.gather(table, "key", np.uint64), S.gather(table, "id", np.int64)
+    order = np.lexsort([ids, key])
+    key, ids = key[order], ids[order]
+    same = np.zeros(len(key) + 1, bool)
+    same[1:-1] = key[1:] == key[:-1]
+    many = same[:-1] | same[1:]
+    return pa.table({"key": key[many].view(np.int64), "id": ids[many]})
 
 
 def _links(batches):
@@ -179,8 +229,27 @@ def _verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(both.mapInArrow(_links, "u long, v long"), "links")
 
 
+def _bound(inter: str, a: str, b: str) -> str:
+    """That two sets of sizes a and b with at most `inter` shingles in common may be alike."""
+    return f"100 * ({inter}) >= 75 * ({a} + {b} - ({inter}))"
+
+
 #: Whether a pair may be alike, by the sizes of two sets and the shingles of each that occur elsewhere.
-MAYBE = "100 * least({a}common, {b}common) >= 75 * (greatest({a}common, {b}common) + {a}n - {a}common + {b}n - {b}common)"
+MAYBE = "100 * least(a.common, b.common) >= 75 * (greatest(a.common, b.common) + a.n - a.common + b.n - b.common)"
+
+
+def _led(members: DataFrame) -> DataFrame:
+    """id and leader of the classes that share a band with a class of fewer own shingles."""
+    own = "struct((n - common) / n as own, id)"
+    leaders = members.groupBy("band").agg(F.expr(f"min({own})").alias("l"), F.count("*").alias("k")).where("k > 1")
+    led = members.join(leaders, "band").where("id <> l.id")
+    return led.groupBy("id").agg(F.min("l").alias("l")).selectExpr("id", "l.id as leader")
+
+
+def _pairs(a: DataFrame, b: DataFrame, on: str, also: str) -> DataFrame:
+    """Pairs u < v of classes of different components that meet on a key."""
+    met = a.alias("a").join(b.alias("b"), F.expr(f"a.{on} = b.{on} and a.component <> b.component and {also}"))
+    return met.selectExpr("least(a.id, b.id) as u", "greatest(a.id, b.id) as v")
 
 
 def find_groups(packed: S.Packed) -> DataFrame:
@@ -196,24 +265,53 @@ def find_groups(packed: S.Packed) -> DataFrame:
     members = stored(S.settle(banded, _shared_bands, "band long, id long"), "members")
     asked = members.select("id").distinct().join(places, "id").select("seg", "row", "id")
     sets = stored(packed.answer(asked, _send_sets, "id long, n long, shingles binary"), "sets")
-    common = S.settle(sets.mapInArrow(_deal_shingles(n), "bucket long, seg long, h binary, id binary"), _count_common, "id long, common long").groupBy("id").agg(F.sum("common").alias("common"))
+    some = max(16, n // 16)
+    counted = S.settle(sets.mapInArrow(_deal_shingles(n), "bucket long, seg long, h binary, id binary"), _count_common(some), "bucket long, seg long, id binary, common binary")
+    common = S.settle(counted, _sum_common, "id long, common long")
     info = sets.select("id", "n").join(common, "id").where("100 * common >= 75 * n")  # else nothing is alike
     members = stored(members.join(info, "id"), "members")
-    own = "struct((n - common) / n as own, id)"
-    leaders = members.groupBy("band").agg(F.expr(f"min_by(struct(id, n, common), {own})").alias("l")).selectExpr("band", "l.id as leader", "l.n as n", "l.common as common")
-    led = members.alias("a").join(leaders.alias("b"), F.expr("a.band = b.band and a.id <> b.leader and " + MAYBE.format(a="a.", b="b.")))
-    led = led.groupBy("a.id").agg(F.expr("min_by(leader, struct((b.n - b.common) / b.n as own, leader))").alias("leader"))
-    tried = stored(led.selectExpr("least(id, leader) as u", "greatest(id, leader) as v").distinct(), "tried")
-    links = _verify(sets, tried)
+    led = stored(_led(members), "led")
+    shingles = sets.select("id", "shingles")
+    both = led.join(shingles, "id").join(shingles.toDF("leader", "b"), "leader").select("id", "leader", "shingles", "b")
+    compared = stored(both.mapInArrow(_compare, "id long, leader long, inter long, extra binary").join(sets.select("id", "n"), "id").join(sets.select(F.col("id").alias("leader"), F.col("n").alias("leader_n")), "leader"), "compared")
+    tried = led.selectExpr("least(id, leader) as u", "greatest(id, leader) as v").distinct()
+    links = compared.where(_bound("inter", "n", "leader_n")).selectExpr("least(id, leader) as u", "greatest(id, leader) as v").distinct()
+    links = stored(links, "links")
+    rest = members
+    while True:
+        rest = stored(rest.join(links.selectExpr("explode(array(u, v)) as id").distinct(), "id", "left_anti"), "rest")
+        again = _led(rest).selectExpr("least(id, leader) as u", "greatest(id, leader) as v").distinct()
+        again = stored(again.join(tried, ["u", "v"], "left_anti"), "again")
+        if again.isEmpty():
+            break
+        more = _verify(sets, again)
+        tried = tried.union(again)
+        links = stored(links.union(more), "links")
+        if 10 * more.count() < again.count():  # the rest is left to the joins below, which are exact
+            break
     labels = stored(components(links), "labels")
-    of = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select("band", "id", "n", "common", F.coalesce("component", "id").alias("component"))
-    of = stored(of, "of")
-    mixed = of.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-    of = of.join(mixed, "band")
-    across = "a.band = b.band and a.id < b.id and a.component <> b.component and " + MAYBE.format(a="a.", b="b.")
-    pairs = of.alias("a").join(of.alias("b"), F.expr(across)).select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct()
-    pairs = stored(pairs.join(tried, ["u", "v"], "left_anti"), "tried")
-    more = _verify(sets, pairs)
+    whole = members.select("id", "n", "common").distinct().join(compared.select("id", "leader", "inter", "leader_n"), "id", "left").join(labels.withColumnRenamed("node", "id"), "id", "left")
+    whole = whole.select("id", "n", "common", F.coalesce("leader", "id").alias("leader"), F.coalesce("inter", "n").alias("inter"), F.coalesce("leader_n", "n").alias("leader_n"), F.coalesce("component", "id").alias("component"))
+    whole = whole.join(labels.select(F.col("node").alias("leader"), F.col("component").alias("lc")), "leader", "left").withColumn("outside", F.expr("component <> coalesce(lc, leader)")).drop("lc")
+    whole = stored(whole, "whole")
+    of = members.select("band", "id").join(whole, "id")
+    mixed = of.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.mode("leader", True).alias("main")).where("low < high").select("band", "main")
+    of = stored(of.join(mixed, "band"), "of")
+    # One leader, enough of it in both: the other is shorter than the leader.
+    short = _pairs(of.where("outside"), of.where("n < leader_n"), "band", f"a.leader = b.leader and {_bound('least(a.inter, b.inter)', 'a.n', 'b.n')}")
+    # One leader, and a shingle outside it that both have.
+    extras = compared.select("id", "leader", "extra").join(of.select("id").distinct(), "id", "left_semi")
+    held = S.settle(extras.mapInArrow(_deal_extras(n), "bucket long, seg long, key binary, id binary"), _shared_extras, "key long, id long")
+    held = stored(held, "held")
+    shared = held.groupBy("id").agg(F.count("*").alias("extra"))
+    held = held.join(whole.join(shared, "id"), "id")
+    alike = _bound("least(a.inter, b.inter) + least(a.extra, b.extra)", "a.n", "b.n")
+    beyond = _pairs(held.where("outside"), held, "key", f"a.leader = b.leader and {alike}")
+    # Different leaders: one of them isn't the band's most frequent.
+    apart = _pairs(of.where("leader <> main"), of, "band", "a.leader <> b.leader and " + MAYBE)
+    left = stored(short.union(beyond).union(apart).distinct(), "left")
+    left = stored(left.join(tried, ["u", "v"], "left_anti"), "left")
+    more = _verify(sets, left)
     if not more.isEmpty():
         labels = stored(components(links.union(more)), "labels")
     named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").select("print_a", "print_b", "n_shingles", F.coalesce("component", "id").alias("component"))
