@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_joins, q_rows  # noqa: F401
+from . import q_dates, q_joins, q_rows, q_seq, q_stream, q_text  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 FLAGSHIP = "asof_close_on_or_before"

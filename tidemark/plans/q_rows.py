@@ -32,42 +32,42 @@ def union_with_priority(t):
 
 
 @query("""
-WITH o AS (SELECT c_custkey AS k, c_mktsegment AS s, c_nationkey AS n FROM customer WHERE c_custkey % 3 <> 0), w AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'X' ELSE c_mktsegment END AS s, c_nationkey AS n FROM customer)
+WITH o AS (SELECT c_custkey AS k, c_mktsegment AS s, c_nationkey AS n FROM customer WHERE c_acctbal > 0), w AS (SELECT c_custkey AS k, CASE WHEN c_nationkey < 5 THEN 'X' ELSE c_mktsegment END AS s, c_nationkey AS n FROM customer)
 SELECT w.k, w.s, w.n, CASE WHEN o.k IS NULL THEN 'insert' WHEN o.s IS NOT DISTINCT FROM w.s AND o.n IS NOT DISTINCT FROM w.n THEN 'skip' ELSE 'conflict' END AS action FROM w LEFT JOIN o ON o.k = w.k
 """)
 def insert_only_merge(t):
-    base = t.customer.select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("s"), F.col("c_nationkey").alias("n"))
-    new = base.withColumn("s", F.when(F.col("k") % 5 == 0, "X").otherwise(F.col("s")))
-    return M.insert_only(base.where("k % 3 <> 0"), new, "k")
+    base = [F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("s"), F.col("c_nationkey").alias("n")]
+    new = t.customer.select(*base).withColumn("s", F.when(F.col("n") < 5, "X").otherwise(F.col("s")))
+    return M.insert_only(t.customer.where("c_acctbal > 0").select(*base), new, "k")
 
 
 @query("""
-SELECT o.o_orderkey, coalesce(CASE WHEN o.o_orderkey % 2 = 0 THEN o.o_orderstatus END, n.s) AS o_orderstatus, coalesce(CASE WHEN o.o_orderkey % 3 = 0 THEN o_orderpriority END, n.p) AS o_orderpriority
-FROM orders o LEFT JOIN (SELECT o_orderkey, 'Z' AS s, 'none' AS p FROM orders WHERE o_orderkey % 5 <> 0) n USING (o_orderkey)
+SELECT o.o_orderkey, coalesce(CASE WHEN o.o_totalprice > 150000 THEN o.o_orderstatus END, n.s) AS o_orderstatus, coalesce(CASE WHEN o.o_orderstatus = 'F' THEN o_orderpriority END, n.p) AS o_orderpriority
+FROM orders o LEFT JOIN (SELECT o_orderkey, 'Z' AS s, 'none' AS p FROM orders WHERE o_orderdate >= '1996-01-01') n USING (o_orderkey)
 """)
 def fill_nulls_only(t):
-    old = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("o_orderpriority"))
-    new = t.orders.where("o_orderkey % 5 <> 0").select("o_orderkey", F.lit("Z").alias("o_orderstatus"), F.lit("none").alias("o_orderpriority"))
+    old = t.orders.select("o_orderkey", F.when(F.col("o_totalprice") > 150000, F.col("o_orderstatus")).alias("o_orderstatus"), F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("o_orderpriority"))
+    new = t.orders.where("o_orderdate >= '1996-01-01'").select("o_orderkey", F.lit("Z").alias("o_orderstatus"), F.lit("none").alias("o_orderpriority"))
     return M.fill_nulls(old, new, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
 
 
 @query("""
-WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS x FROM orders WHERE o_orderkey % 4 <> 0), n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'P' ELSE 'F' END AS x FROM orders WHERE o_orderkey % 3 <> 0)
+WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS x FROM orders WHERE o_orderdate < '1999-01-01'), n AS (SELECT o_orderkey AS k, CASE WHEN o_totalprice < 100000 THEN 'P' ELSE 'F' END AS x FROM orders WHERE o_orderdate >= '1996-01-01')
 SELECT coalesce(o.k, n.k) AS k, CASE WHEN o.x = 'F' THEN o.x ELSE coalesce(n.x, o.x) END AS x,
   CASE WHEN o.x = 'F' AND n.x <> o.x THEN 'conflict' WHEN o.x IS NULL THEN 'added' WHEN (CASE WHEN o.x = 'F' THEN o.x ELSE coalesce(n.x, o.x) END) = o.x THEN 'kept' ELSE 'changed' END AS status
 FROM o FULL JOIN n ON o.k = n.k
 """)
 def monotone_upsert(t):
     key = F.col("o_orderkey").alias("k")
-    old = t.orders.where("o_orderkey % 4 <> 0").select(key, F.col("o_orderstatus").alias("x"))
-    new = t.orders.where("o_orderkey % 3 <> 0").select(key, F.when(F.col("o_orderkey") % 7 == 0, "P").otherwise("F").alias("x"))
+    old = t.orders.where("o_orderdate < '1999-01-01'").select(key, F.col("o_orderstatus").alias("x"))
+    new = t.orders.where("o_orderdate >= '1996-01-01'").select(key, F.when(F.col("o_totalprice") < 100000, "P").otherwise("F").alias("x"))
     return M.upsert_unless_final(old, new, ["k"], "x", ["F"])
 
 
-@query("SELECT p_partkey, 'planned' AS origin FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT p_partkey, 'disk' FROM part WHERE p_partkey % 3 <> 0 AND p_partkey % 2 = 0")
+@query("SELECT p_partkey, 'planned' AS origin FROM part WHERE p_size < 20 UNION ALL SELECT p_partkey, 'disk' FROM part WHERE p_size >= 20 AND p_retailprice > 1000")
 def overlay_scan(t):
-    planned = t.part.where("p_partkey % 3 = 0").select("p_partkey", F.lit("planned").alias("origin"))
-    return M.overlay(planned, t.part.where("p_partkey % 2 = 0").select("p_partkey", F.lit("disk").alias("origin")), ["p_partkey"])
+    planned = t.part.where("p_size < 20").select("p_partkey", F.lit("planned").alias("origin"))
+    return M.overlay(planned, t.part.where("p_retailprice > 1000").select("p_partkey", F.lit("disk").alias("origin")), ["p_partkey"])
 
 
 @query("""
@@ -96,14 +96,14 @@ def renumber_turns(t):
 
 
 @query("""
-WITH d AS (SELECT conv_id AS k, list(conv_id * 10 + turn ORDER BY turn) AS i FROM conversations WHERE turn < 4 GROUP BY 1), f AS (SELECT conv_id * 10 + turn AS k, role FROM conversations WHERE turn < 3 OR conv_id % 2 = 0),
+WITH d AS (SELECT conv_id AS k, list(conv_id * 1000 + turn ORDER BY turn) AS i FROM conversations GROUP BY 1), f AS (SELECT conv_id * 1000 + turn AS k, role FROM conversations WHERE length(text) > 60),
 e AS (SELECT d.k, unnest(i) AS x FROM d), g AS (SELECT e.k, count(*) AS n, count(role) AS m, string_agg(role, '|' ORDER BY x) AS v FROM e LEFT JOIN f ON f.k = e.x GROUP BY e.k)
 SELECT k, CASE WHEN n = m THEN v END AS roles FROM g
 """)
 def all_inputs_or_none(t):
-    c = t.conversations.where("turn < 4").withColumn("x", F.col("conv_id") * 10 + F.col("turn"))
+    c = t.conversations.withColumn("x", F.col("conv_id") * 1000 + F.col("turn"))
     derived = c.groupBy(F.col("conv_id").alias("k")).agg(F.array_sort(F.collect_list("x")).alias("i"))
-    facts = c.where("turn < 3 or conv_id % 2 = 0").select(F.col("x").alias("k"), "role")
+    facts = c.where("length(text) > 60").select(F.col("x").alias("k"), "role")
     return M.full_or_nothing(derived, facts, "k", "i", "role").select("k", F.array_join("values", "|").alias("roles"))
 
 
@@ -116,18 +116,18 @@ def first_matching_rule(t):
 
 
 @query("""
-WITH x AS (SELECT lang, source, (doc_id % 10) / 10.0::DOUBLE AS p, toxic::DOUBLE AS o FROM documents JOIN labels USING (doc_id))
+WITH x AS (SELECT lang, source, least(n_chars / 4000.0::DOUBLE, 1.0) AS p, toxic::DOUBLE AS o FROM documents JOIN labels USING (doc_id))
 SELECT CASE WHEN grouping(lang) = 0 THEN 'lang' WHEN grouping(source) = 0 THEN 'source' ELSE 'all' END AS scope, coalesce(lang, source) AS value, count(*) AS n,
   round_even(avg(power(p - o, 2)), 4) AS brier, round_even(avg(p), 4) AS mean_probability, round_even(avg(o), 4) AS observed FROM x GROUP BY GROUPING SETS ((), (lang), (source))
 """)
 def calibration(t):
-    x = t.documents.join(t.labels, "doc_id").select("lang", "source", ((F.col("doc_id") % 10) / 10.0).alias("p"), F.col("toxic").cast("double").alias("o"))
+    x = t.documents.join(t.labels, "doc_id").select("lang", "source", F.least(F.col("n_chars") / 4000.0, F.lit(1.0)).alias("p"), F.col("toxic").cast("double").alias("o"))
     return A.calibration(x, "p", "o", ["lang", "source"])
 
 
 @query("""
 WITH m AS (SELECT user_id, strftime(date_trunc('month', ts), '%Y-%m') AS month, round(sum(value), 4) AS spent FROM events GROUP BY ALL)
-SELECT *, round(spent / 4000, 4) AS fraction, CASE WHEN round(spent / 4000, 4) >= 1 THEN 'stop' WHEN round(spent / 4000, 4) >= 0.85 THEN 'ask' WHEN round(spent / 4000, 4) >= 0.7 THEN 'warn' ELSE 'normal' END AS stage FROM m
+SELECT *, round(spent / 4000 + 1e-9, 4) AS fraction, CASE WHEN round(spent / 4000 + 1e-9, 4) >= 1 THEN 'stop' WHEN round(spent / 4000 + 1e-9, 4) >= 0.85 THEN 'ask' WHEN round(spent / 4000 + 1e-9, 4) >= 0.7 THEN 'warn' ELSE 'normal' END AS stage FROM m
 """)
 def budget_ladder(t):
     return A.budget_stage(t.events, ["user_id"], F.date_format("ts", "yyyy-MM"), "value", 4000, [(0.7, "warn"), (0.85, "ask"), (1.0, "stop")])
