@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import mix, stored
 
 TREES, LEAF_ROWS, SAMPLE, PROBE = 8, 1000, 1 << 16, 1.25
 RESULT = "query_id long, rank int, vec_id long, score double"
@@ -79,28 +79,69 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack(parts) if parts else np.zeros((0, 0))
 
 
-def _nearest(queries: pa.Table, entries: pa.Table, k: int) -> pa.Table:
-    """For each query of a leaf its k nearest ids there."""
-    out = {"q": [], "hits": []}
-    if queries.num_rows and entries.num_rows:
-        q, v = _matrix(queries.column("vector")), _matrix(entries.column("vector"))
-        ids = entries.column("ids").to_pylist()
-        least = np.array([i[0] for i in ids])
-        for a in range(0, len(q), 512):
-            part = q[a : a + 512]
-            score = part @ v.T
-            take = min(len(v), k + 4)  # a few more than k, as the product's last digits depend on its shape
-            near = np.argpartition(-score, take - 1, axis=1)[:, :take]
-            edge = np.take_along_axis(score, near, 1).min(axis=1)
-            for i, own in enumerate(near):
-                if (score[i] >= edge[i] - 1e-12).sum() > take:  # ties at the edge: keep all
-                    own = np.flatnonzero(score[i] >= edge[i] - 1e-12)
-                exact = (part[i] * v[own]).sum(axis=1)
-                order = np.lexsort([least[own], -exact])[:k]
+FOUND = pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("q", "s", "id"))])
+
+
+def _nearest(queries: pa.Table, entries: pa.Table, k: int, parts: int) -> pa.Table:
+    """For each query of a leaf its k nearest ids there: query, negative score and id as arrays, by parts of the queries."""
+    if not queries.num_rows or not entries.num_rows:
+        return FOUND.empty_table()
+    q, v, number = _matrix(queries.column("vector")), _matrix(entries.column("vector")), queries.column("q").to_numpy()
+    ids = entries.column("ids").to_pylist()
+    least = np.array([i[0] for i in ids])
+    copies = any(len(i) > 1 for i in ids)
+    whose, scores, names = [], [], []
+    for a in range(0, len(q), 512):
+        part = q[a : a + 512]
+        score = part @ v.T
+        take = min(len(v), k + 4)  # a few more than k, as the product's last digits depend on its shape
+        near = np.argpartition(-score, take - 1, axis=1)[:, :take]
+        edge = np.take_along_axis(score, near, 1).min(axis=1)
+        tied = (score >= edge[:, None] - 1e-12).sum(axis=1) > take
+        for i, own in enumerate(near):
+            if tied[i]:  # ties at the edge: keep all
+                own = np.flatnonzero(score[i] >= edge[i] - 1e-12)
+            exact = (part[i] * v[own]).sum(axis=1)
+            order = np.lexsort([least[own], -exact])[:k]
+            if copies:
                 found = sorted((-s, x) for s, j in zip(exact[order].tolist(), own[order].tolist()) for x in ids[j])[:k]
-                out["hits"].append([{"s": s, "id": x} for s, x in found])
-        out["q"] = queries.column("q").to_pylist()
-    return pa.table(out, schema=pa.schema([("q", pa.int64()), ("hits", pa.list_(pa.struct([("s", pa.float64()), ("id", pa.int64())])))]))
+                s, x = np.array([f[0] for f in found]), np.array([f[1] for f in found], np.int64)
+            else:
+                s, x = -exact[order], least[own[order]]
+            whose.append(np.full(len(s), number[a + i]))
+            scores.append(s)
+            names.append(x)
+    whose, scores, names = np.concatenate(whose), np.concatenate(scores), np.concatenate(names)
+    part = _part(whose, parts)
+    order = np.argsort(part, kind="stable")
+    found, cuts = np.unique(part[order], return_index=True)
+    cuts = [*cuts.tolist(), len(order)]
+    return pa.table({"part": found, **{c: [x[order[i:j]].tobytes() for i, j in zip(cuts, cuts[1:])] for c, x in (("q", whose), ("s", scores), ("id", names))}}, schema=FOUND)
+
+
+def _part(numbers: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(numbers.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def _merge(k: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Of one part of the queries: the k nearest of what all leaves found."""
+        q, s, x = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("q", np.int64), ("s", np.float64), ("id", np.int64)))
+        order = np.lexsort([x, s, q])
+        q, s, x = q[order], s[order], x[order]
+        new = np.ones(len(q), bool)
+        new[1:] = (q[1:] != q[:-1]) | (s[1:] != s[:-1]) | (x[1:] != x[:-1])
+        q, s, x = q[new], s[new], x[new]
+        first = np.ones(len(q), bool)
+        first[1:] = q[1:] != q[:-1]
+        start = np.maximum.accumulate(np.where(first, np.arange(len(q)), 0))
+        near = np.arange(len(q)) - start < k
+        q, s, x = q[near], s[near], x[near]
+        names, at = np.unique(q, return_index=True)
+        offsets = np.append(at, len(q)).astype(np.int32)
+        return pa.table({"q": names, "s": pa.ListArray.from_arrays(offsets, s), "id": pa.ListArray.from_arrays(offsets, x)})
+
+    return run
 
 
 def search(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = TREES, leaf_rows: int = LEAF_ROWS, sample: int = SAMPLE, probe: float = PROBE) -> DataFrame:
@@ -146,9 +187,10 @@ def search(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id"
     asked = asking.groupBy("vector").agg(F.min("id").alias("q"))
     leaves = entries.select("vector", "ids").mapInArrow(index, "leaf long, ids array<bigint>, vector binary")
     calls = asked.select("q", "vector").mapInArrow(ask, "leaf long, q long, vector binary")
-    found = leaves.groupBy("leaf").cogroup(calls.groupBy("leaf")).applyInArrow(lambda a, b: _nearest(b, a, k + 1), "q long, hits array<struct<s:double,id:bigint>>")
-    merged = found.groupBy("q").agg(F.expr(f"slice(array_sort(array_distinct(flatten(collect_list(hits)))), 1, {k + 1})").alias("hits"))
-    results = asked.join(merged, "q").select("vector", "hits")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(asked.count() * probes * deal * (k + 1) / (1 << 20)))
+    found = leaves.groupBy("leaf").cogroup(calls.groupBy("leaf")).applyInArrow(lambda a, b: _nearest(b, a, k + 1, parts), "part long, q binary, s binary, id binary")
+    merged = found.groupBy("part").applyInArrow(_merge(k + 1), "q long, s array<double>, id array<bigint>")
+    results = asked.join(merged, "q").selectExpr("vector", "arrays_zip(s, id) as hits")
     own = asking.join(results, "vector").selectExpr("id as query_id", f"posexplode(slice(filter(hits, x -> x.id <> id), 1, {k})) as (pos, hit)")
     return own.selectExpr("query_id", "pos + 1 as rank", "hit.id as vec_id", "-hit.s as score")
 
