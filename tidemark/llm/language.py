@@ -104,11 +104,15 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """A model from rows with a language. Counting runs in Spark; the model's size is bounded by languages and GRAMS."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text")).where("lang is not null and text is not null")
-    languages = sorted(r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect())
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()}
+    languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(SLOTS, np.uint64))
     each = max(1, sample // len(languages))
     ranked = rows.where(F.col("lang").isin(languages)).select("id", "lang", F.xxhash64("id").alias("h"))
+    # Only hashes low enough for half as many again are ranked: the ranking's input doesn't grow with the table.
+    share = F.coalesce(*(F.when(F.col("lang") == lang, F.lit((1.5 * each + 200) / n)) for lang, n in sizes.items()))
+    ranked = ranked.where(F.col("h") / F.lit(2.0**64) + 0.5 < share)
     cut = ranked.selectExpr("lang", "h", "row_number() over (partition by lang order by h) as k").where(f"k <= {each}").groupBy("lang").agg(F.max("h").alias("most"))
     most = {r["lang"]: r["most"] for r in cut.collect()}
     chosen = rows.where(F.coalesce(*(F.when((F.col("lang") == lang) & (F.xxhash64("id") <= h), True) for lang, h in most.items()), F.lit(False))).select("lang", "text")
