@@ -205,7 +205,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marked = stored(marked, "labels")
     counts = {r[0]: r[1] for r in marked.groupBy("label").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
-    ranked = marked.selectExpr("id", "label", "row_number() over (partition by label order by xxhash64(id), id) as k").where(f"k <= {per_class}").select("id", "label")
+    # Only hashes low enough for half as many again are ranked: the ranking's input doesn't grow with the table.
+    low = F.lit(False)
+    for label, n in counts.items():
+        low = low | ((F.col("label") == label) & (F.xxhash64("id") / F.lit(2.0**64) + 0.5 < (1.5 * per_class + 200) / n))
+    ranked = marked.where(low).selectExpr("id", "label", "row_number() over (partition by label order by xxhash64(id), id) as k").where(f"k <= {per_class}").select("id", "label")
     texts = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     examples = texts.join(F.broadcast(ranked), "id")  # two times per_class rows at most
     examples = examples.select(F.col("id").cast("long"), "label", "text").mapInArrow(_sketch, "id long, label int, text string, a long, b long")
