@@ -82,11 +82,10 @@ def test_cover_is_a_difference_cover():
         assert any((i + k) % 13 in substring.COVER and (j + k) % 13 in substring.COVER for k in range(13))
 
 
-@pytest.mark.parametrize("direct", [suffixes.DIRECT, 0])
-def test_suffix_dedup(spark, direct, monkeypatch):
-    monkeypatch.setattr(suffixes, "DIRECT", direct)
+@pytest.mark.parametrize("hot", [suffixes.HOT, 1, 3])
+def test_suffix_dedup(spark, hot):
     rows = corpus(1) + [(500 + i, f"left{i * 17} " + "common passage of more than fifty bytes, held by many documents" + f" right{i * 31}", 1, "x") for i in range(12)]
-    got = suffixes.dedup_bytes(frame(spark, rows), carry=["doc_id", "bucket"]).collect()
+    got = suffixes.dedup_bytes(frame(spark, rows), carry=["doc_id", "bucket"], hot=hot).collect()
     least = {}
     items = [(BIG if d is None else d, (t or "").encode()) for d, t, *_ in rows]
     for d, b in items:
@@ -381,3 +380,36 @@ def test_pipeline_stages(spark, tmp_path):
     ran = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert ran == left["byte_bpe"]
     assert all(r.decoded_sha256 == hashlib.sha256((left["decontamination"][d].text or "").encode()).hexdigest() for d, r in ran.items())
+
+
+def test_near_duplicates_of_edited_families(spark):
+    """Families of copies, lightly and heavily edited, shortened, and edited again: components against all pairs."""
+    rng = random.Random(21)
+    vocabulary = [f"v{i}" for i in range(400)]
+    texts = []
+    for _ in range(4):
+        base = rng.choices(vocabulary, k=120)
+        line = list(base)
+        for i in range(0, 60, 4):
+            line[i] = f"sub{i}"  # a text of its own that has copies in turn
+        for n in range(45):
+            w = list(line if n % 3 == 2 else base)
+            for _ in range(rng.randint(0, 9)):
+                w[rng.randrange(len(w))] = rng.choice(["red", "green", *vocabulary[:20]])
+            texts.append(" ".join(w[: rng.choice([120, 120, 100, 85])]))
+    rows = [(i, t, 1, "x") for i, t in enumerate(texts)]
+    sets = [shingles(t) for t in texts]
+    component = list(range(len(sets)))
+
+    def root(i):
+        while component[i] != i:
+            i = component[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        both = len(sets[i] & sets[j])
+        if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+            a, b = sorted((root(i), root(j)))
+            component[b] = a
+    got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == {i: root(i) for i in range(len(sets))} and len(set(got.values())) < 0.8 * len(got)

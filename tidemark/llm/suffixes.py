@@ -6,6 +6,8 @@ whose whole text is in a document with a smaller id goes; what is left, the runs
 edits, and at the edges of shared passages), are first trimmed: sorted by what stands right of the key's gram, and by
 what stands left of it, neighbours show how far a text agrees with any other, and strings that reach beyond are unique.
 The trimmed texts of a key that still differ are sorted by suffix array, and equal strings lie side by side in it.
+A key with more than `hot` texts (a line that a third of all documents hold has a text for each of its surroundings) is
+dealt by string instead: 96-bit hashes of its strings, each once a segment, so that no task gathers such a key.
 
 Between segments travel the keys; then a hash of each candidate run's text, once a segment; then the texts of runs whose
 key has several texts, once a segment. Defined results: null is empty; a null id comes after all others; rows with the
@@ -27,7 +29,8 @@ from .gsaca import suffix_array
 from .substring import _firsts
 
 GRAM = 24
-BATCH, DIRECT = 1 << 17, 1 << 19
+BATCH, DIRECT, HOT = 1 << 17, 1 << 19, 4096
+STEP = 1 << 17
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -44,37 +47,47 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Runs:
-    """The runs of a segment: key, start, number of strings, text hash, document."""
+    """The runs of a segment: key, start, number of strings, text hash, document. Found a few documents at a time."""
 
     def __init__(self, seg: S.Segment, width: int):
         self.seg, self.width = seg, width
-        lens = np.diff(seg.bounds)
-        doc = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
-        roll = Rolling(BYTE[seg.buf])
-        self.grams = roll.windows(GRAM)
-        low = _sliding_min(self.grams, width - GRAM + 1)
+        parts, d = [], 0
+        while d < len(seg.keys):
+            e = max(d + 1, int(np.searchsorted(seg.bounds, seg.bounds[d] + STEP, "right")) - 1)
+            parts.append(self._part(d, e))
+            d = e
+        empty = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int32)]
+        self.start, self.count, self.key, self.text, self.doc = (np.concatenate(x) for x in zip(empty, *parts))
+        self.id = seg.keys[self.doc]
+
+    def _part(self, d: int, e: int) -> tuple[np.ndarray, ...]:
+        """The runs of documents d to e."""
+        bounds = self.seg.bounds[d : e + 1] - self.seg.bounds[d]
+        buf = self.seg.buf[self.seg.bounds[d] : self.seg.bounds[e]]
+        doc = np.repeat(np.arange(e - d, dtype=np.int32), np.diff(bounds))
+        roll = Rolling(BYTE[buf])
+        low = _sliding_min(roll.windows(GRAM), self.width - GRAM + 1)
         n = len(low)
-        ok = seg.bounds[doc[:n] + 1] - np.arange(n) >= width
+        ok = bounds[doc[:n] + 1] - np.arange(n) >= self.width
         begin, end = ok.copy(), ok.copy()
         same = (low[1:] == low[:-1]) & ok[1:] & ok[:-1]
         begin[1:] &= ~same
         end[:-1] &= ~same
-        self.start = np.flatnonzero(begin)
-        self.count = np.flatnonzero(end) + 1 - self.start
-        self.key, self.doc = low[self.start], doc[self.start]
-        self.id = seg.keys[self.doc]
-        self.text = roll.spans(self.start, self.start + self.count + width - 1)
+        start = np.flatnonzero(begin)
+        count = np.flatnonzero(end) + 1 - start
+        return start + self.seg.bounds[d], count, low[start], roll.spans(start, start + count + self.width - 1), doc[start] + np.int32(d)
 
     def gram_place(self, runs: np.ndarray) -> np.ndarray:
         """Where a run's text holds the gram that is its key; -1 if more than once."""
         last = self.start[runs] + self.count[runs] + self.width - 1 - GRAM
         times, place = np.zeros(len(runs), np.int32), np.zeros(len(runs), np.int32)
-        at, which = self.start[runs], np.arange(len(runs))
+        at, which, roll = self.start[runs], np.arange(len(runs)), Rolling(BYTE[self.seg.buf])
         for step in range(int((last - at).max(initial=-1)) + 1):
             which = which[(at[which] + step <= last[which]) & (times[which] < 2)]
             if not len(which):
                 break
-            hit = which[self.grams[at[which] + step] == self.key[runs[which]]]
+            begin = at[which] + step
+            hit = which[roll.spans(begin, begin + GRAM) == self.key[runs[which]]]
             place[hit] = step
             times[hit] += 1
         return np.where(times == 1, place, -1).astype(np.int32)
@@ -116,11 +129,18 @@ def _send_runs(n: int, width: int):
     return run
 
 
-DECIDED = pa.schema([("seg", pa.int64()), ("later", pa.binary()), ("wanted", pa.binary())])
+DECIDED = pa.schema([("seg", pa.int64()), *((c, pa.binary()) for c in ("later", "wanted", "hot"))])
+
+
+def _compare_runs(hot: int):
+    def run(table: pa.Table) -> pa.Table:
+        return _decide(table, hot)
+
+    return run
 
 
-def _compare_runs(table: pa.Table) -> pa.Table:
-    """Of one hash bucket: texts that begin in a smaller id elsewhere, and texts of keys that have several."""
+def _decide(table: pa.Table, hot: int) -> pa.Table:
+    """Of one hash bucket: texts that begin in a smaller id elsewhere; texts of keys that have several, or more than `hot`."""
     key, text, ids = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64)))
     segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "key", 8))
     by = np.lexsort([ids, text, key])
@@ -131,12 +151,49 @@ def _compare_runs(table: pa.Table) -> pa.Table:
     first = np.maximum.accumulate(np.where(new_text, np.arange(len(key)), 0))
     later = ids > ids[first]
     of = np.cumsum(new_key) - 1
-    several = (np.bincount(of, new_text) > 1)[of] if len(of) else np.zeros(0, bool)
-    a, b = S.spread(segs, {"later": text}, later), S.spread(segs, {"wanted": text}, several & ~later)
-    return pa.concat_tables([
-        pa.table({"seg": a["seg"], "later": a["later"], "wanted": [None] * len(a["seg"])}, schema=DECIDED),
-        pa.table({"seg": b["seg"], "later": [None] * len(b["seg"]), "wanted": b["wanted"]}, schema=DECIDED),
-    ])
+    several = np.bincount(of, new_text)[of] if len(of) else np.zeros(0)
+    chosen = {"later": later, "wanted": (several > 1) & (several <= hot) & ~later, "hot": (several > hot) & ~later}
+    parts = []
+    for name, rows in chosen.items():
+        got = S.spread(segs, {name: text}, rows)
+        parts.append(pa.table({c: got.get(c, [None] * len(got["seg"])) for c in DECIDED.names}, schema=DECIDED))
+    return pa.concat_tables(parts)
+
+
+STRINGS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("ha", "hb", "id"))])
+
+
+def _hot_strings(runs: Runs, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the strings of the runs whose texts are in `hot` begin, and the ids of their documents."""
+    which = np.flatnonzero(np.isin(runs.text, hot))
+    count = runs.count[which]
+    at = np.repeat(runs.start[which], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return at, np.repeat(runs.id[which], count)
+
+
+def _send_strings(n: int, width: int):
+    def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
+        hot = np.sort(S.gather(replies, "hot", np.uint64))
+        if not len(hot):
+            return STRINGS.empty_table()
+        at, ids = _hot_strings(Runs(seg, width), hot)
+        a, b = (Rolling(BYTE[seg.buf], k).spans(at, at + width) for k in (0, 1))
+        one = _firsts([ids], a)
+        return pa.Table.from_batches([S.dealt(seg.seg, n, a[one], {"ha": a[one], "hb": (b[one] >> np.uint64(32)).astype(np.uint32), "id": ids[one]})])
+
+    return run
+
+
+def _later_strings(table: pa.Table) -> pa.Table:
+    """Of one hash bucket: the strings that a smaller id has, by segment."""
+    ha, hb, ids = (S.gather(table, c, t) for c, t in (("ha", np.uint64), ("hb", np.uint32), ("id", np.int64)))
+    segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "ha", 8))
+    by = np.lexsort([ids, hb, ha])
+    ha, hb, ids, segs = ha[by], hb[by], ids[by], segs[by]
+    new = np.ones(len(ha), bool)
+    new[1:] = (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(ha)), 0))
+    return pa.table(S.spread(segs, {"found": ha}, ids > ids[first]), schema=S.REPLY_ARROW)
 
 
 TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id", "count", "gram")), ("bytes", pa.binary())])
@@ -295,7 +352,7 @@ def _cut(width: int, schema: pa.Schema):
         runs, n = Runs(seg, width), len(seg.buf)
         _, smallest = runs.firsts()
         whole = np.isin(runs.text, later) | (runs.id > smallest)
-        edge = np.zeros(n + 1, np.int64)
+        edge = np.zeros(n + 1, np.int32)
         begin, end = [runs.start[whole]], [(runs.start + runs.count)[whole]]
         by = np.argsort(text, kind="stable")
         text, lo, hi = text[by], lo[by], hi[by]
@@ -305,6 +362,14 @@ def _cut(width: int, schema: pa.Schema):
         which = np.repeat(left[parts], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         begin.append(np.repeat(runs.start[parts], times) + lo[which])
         end.append(np.repeat(runs.start[parts], times) + hi[which])
+        hot, found = (np.sort(S.gather(replies, c, np.uint64)) for c in ("hot", "found"))
+        if len(hot):
+            at, ids = _hot_strings(runs, hot)
+            h = Rolling(BYTE[seg.buf]).spans(at, at + width)
+            one = _firsts([ids], h)
+            gone = np.isin(h, found) | (ids > ids[one][np.searchsorted(h[one], h)])
+            begin.append(at[gone])
+            end.append(at[gone] + 1)
         np.add.at(edge, np.concatenate(begin), 1)
         np.add.at(edge, np.concatenate(end) + width - 1, -1)
         gone = np.cumsum(edge)[:-1] > 0
@@ -320,7 +385,7 @@ def _cut(width: int, schema: pa.Schema):
     return run
 
 
-def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, carry: list[str] | None = None) -> DataFrame:
+def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 50, carry: list[str] | None = None, hot: int = HOT) -> DataFrame:
     """Rows of docs with the carried columns (by default the id), n_bytes, n_removed, n_spans and kept_bytes.
 
     A byte goes if a string of `width` bytes that covers it also begins in a row with a smaller id.
@@ -333,11 +398,13 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = packed.ask(_send_keys(n, width), "bucket long, seg long, h binary")
     shared = S.settle(keys, S.repeated, S.REPLY)
     runs = packed.answer(shared, _send_runs(n, width), "bucket long, seg long, key binary, text binary, id binary")
-    decided = stored(S.settle(runs, _compare_runs, "seg long, later binary, wanted binary"), "decided")
+    decided = stored(S.settle(runs, _compare_runs(hot), "seg long, later binary, wanted binary, hot binary"), "decided")
+    strings = packed.answer(decided.where("hot is not null"), _send_strings(n, width), "bucket long, seg long, ha binary, hb binary, id binary")
+    found = S.settle(strings, _later_strings, S.REPLY)
     texts = packed.answer(decided.where("wanted is not null"), _send_texts(n, width), "bucket long, seg long, key binary, text binary, id binary, count binary, gram binary, bytes binary")
     hits = S.settle(texts, _sort_texts(width), "seg long, later binary, text binary, lo binary, hi binary")
-    empty = F.lit(None).cast("binary")
-    replies = hits.unionByName(decided.where("later is not null").select("seg", "later", empty.alias("text"), empty.alias("lo"), empty.alias("hi")))
+    kept = decided.where("later is not null or hot is not null").select("seg", "later", "hot")
+    replies = hits.unionByName(kept, allowMissingColumns=True).unionByName(found, allowMissingColumns=True)
     kind = T.StructType([*packed.carry, *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 
