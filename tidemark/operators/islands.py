@@ -85,7 +85,7 @@ def page_numbers(texts: DataFrame, key: str, text: str, least_pages: int = 4) ->
     A chain over an ordered list is a fold, so each document's numbers go through a Python function, batch by batch.
     """
     bare = F.expr(f"filter(transform(split({text}, '\\n'), (l, i) -> struct(i as line, try_cast(trim(l) as int) as number)), x -> x.number is not null)")
-    listed = texts.select(key, bare.alias("numbers"))
+    listed = texts.select(key, bare.alias("numbers")).where("size(numbers) > 0")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
