@@ -6,15 +6,33 @@ columns of documents; the last returns a row of digests for each document left.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, near_dup, positional, substring, toxicity
-from tidemark.llm.common import stored
+from tidemark.llm import byte_bpe, common, near_dup, positional, substring, toxicity
+from tidemark.llm.common import scratch, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+_left: list[str] = []  # scratch tables that the stage before needed
+
+
+def _stage(fn):
+    """A stage begins when the rows of the one before are written: that one's scratch tables go."""
+
+    @wraps(fn)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.discard(spark, _left)
+        start = len(common.made)
+        out = fn(spark, docs, sf_dir)
+        _left[:] = common.made[start:]
+        return out
+
+    return begin
 
 
+@_stage
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go. Learned from the training rows of docs and the labels, as op4 does."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
@@ -22,19 +40,22 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return toxicity.score(docs.withColumn("__text", F.col("text")), index, text_col="__text", carry=docs.columns).where("predicted = 0").select(*docs.columns)
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays."""
     return near_dup.deduplicate(docs)
 
 
+@_stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words inside passages of 20 words or more that also begin earlier go; the text of a document that loses some is the
     rest, joined by single spaces, and n_chars its length. Other documents stay as they are, and none is dropped."""
-    cut = substring.dedup_substrings(docs.withColumn("__text", F.col("text")), text_col="__text", carry=docs.columns)
+    cut = substring.dedup_substrings(docs, carry=docs.columns)
     changed = F.col("n_removed") > 0
     return cut.withColumn("text", F.when(changed, F.col("kept_text")).otherwise(F.col("text"))).withColumn("n_chars", F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
+@_stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words at least a twentieth belong to windows of benchmark items go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -42,6 +63,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(marked.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+@_stage
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document left."""
     import public_tokenizers
@@ -64,5 +86,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        path = scratch(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

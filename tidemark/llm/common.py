@@ -9,6 +9,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 WHITE_SPACE = r"[^\x20\x09-\x0D]+"
+made: list[str] = []  # scratch tables of this driver, oldest first
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables. Results that were computed from them must be written by then."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -23,6 +31,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, and a lost executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
+    made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -13,13 +13,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch
+from .common import made, scratch
 
 SEGMENT_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max  # the order key of a null id
@@ -38,23 +39,31 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _ipc(batch: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
 class Segment:
-    """One segment, unpacked."""
+    """One segment, unpacked. texts: places of the carried columns that are the text itself."""
 
-    def __init__(self, row: dict):
-        self.seg = row["seg"]
+    def __init__(self, row: dict, texts: tuple[int, ...] = ()):
+        self.seg, self.texts = row["seg"], texts
         self.keys = np.frombuffer(row["keys"], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(np.frombuffer(row["lens"], np.int64))]).astype(np.int64)
         self.buf = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["text"], max_output_size=row["n_bytes"]) if row["n_bytes"] else b"", np.uint8)
         self._rest = row["rest"]
 
     def rest(self) -> pa.Table:
-        return pa.ipc.open_stream(self._rest).read_all()
+        """The carried columns."""
+        table = pa.ipc.open_stream(self._rest).read_all()
+        if self.texts:
+            offsets, null = pa.py_buffer(self.bounds.astype(np.int32).tobytes()), table.column("__null")
+            text = pc.if_else(null, pa.scalar(None, pa.string()), pa.Array.from_buffers(pa.string(), len(self.keys), [None, offsets, pa.py_buffer(self.buf.tobytes())]))
+            table = table.drop_columns("__null")
+            for i in self.texts:
+                table = table.add_column(i, f"c{i}", text)
+        return table
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,18 +85,20 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Packed:
-    """Segments of docs. carry: columns that `rest` gives back, row by row; the id is among them as "__id"."""
+    """Segments of docs. carry: columns that `rest` gives back, row by row. The text itself is stored once, carried or not."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, carry: list[str]):
         spark = docs.sparkSession
         self.carry = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
         self.names = carry
-        chosen = docs.select(
-            F.col(f"`{id_col}`").cast("long").alias("__key"), F.col(f"`{text_col}`").cast("string").alias("__text"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry))
-        )
+        self.texts = tuple(i for i, c in enumerate(carry) if c == text_col and docs.schema[c].dataType == T.StringType())
+        text = F.col(f"`{text_col}`").cast("string")
+        others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry) if i not in self.texts]
+        chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("__key"), text.alias("__text"), *others, *([text.isNull().alias("__null")] if self.texts else []))
         self.buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        name = f"tidemark_{uuid.uuid4().hex[:12]}"
-        chosen.mapInArrow(_pieces, SCHEMA).write.bucketBy(self.buckets, "seg").format("parquet").option("compression", "uncompressed").option("path", scratch(spark, "segments")).saveAsTable(name)
+        name, path = f"tidemark_{uuid.uuid4().hex[:12]}", scratch(spark, "segments")
+        made.append(path)
+        chosen.mapInArrow(_pieces, SCHEMA).write.bucketBy(self.buckets, "seg").format("parquet").option("compression", "uncompressed").option("path", path).saveAsTable(name)
         self.rows = spark.table(name)
         self.n_bytes = self.rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
 
@@ -96,19 +107,24 @@ class Packed:
         return max(self.buckets, 16, -(-self.n_bytes // (32 << 20)))
 
     def ask(self, fn: Callable[[Segment], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+        texts = self.texts
+
         def run(batches):
             for batch in batches:
-                for row in batch.to_pylist():
-                    yield from fn(Segment(row))
+                for i in range(batch.num_rows):
+                    yield from fn(Segment(batch.slice(i, 1).to_pylist()[0], texts))
 
         return self.rows.mapInArrow(run, schema)
 
     def answer(self, replies: DataFrame, fn: Callable[[Segment, pa.Table], pa.Table], schema: str | T.StructType) -> DataFrame:
         """fn gets each segment with the replies to it, none perhaps."""
 
+        texts = self.texts
+
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            out = [fn(Segment(row), right) for row in left.to_pylist()]
+            out = [fn(Segment(row, texts), right) for row in left.to_pylist()]
             return pa.concat_tables(out) if out else empty
+
         kind = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
         from pyspark.sql.pandas.types import to_arrow_schema
 
