@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import segments as S
-from .common import BYTE, Rolling, stored
+from .common import BYTE, Rolling, mix, stored
 from .gsaca import suffix_array
 from .substring import _firsts
 
@@ -109,7 +109,7 @@ def _send_keys(n: int, width: int):
         other[1:] = ~new[1:] & (ids[1:] != ids[:-1])
         values = np.concatenate([key[new], np.unique(key[other])])
         if len(values):
-            yield S.dealt(seg.seg, n, values, {"h": values})
+            yield S.dealt(seg.seg, n, mix(values), {"h": values})  # keys are least hashes, so most are small: mixed before they are dealt
 
     return run
 
@@ -124,7 +124,7 @@ def _send_runs(n: int, width: int):
         one = one[np.isin(runs.key[one], known)]
         if not len(one):
             return RUNS.empty_table()
-        return pa.Table.from_batches([S.dealt(seg.seg, n, runs.key[one], {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one]})])
+        return pa.Table.from_batches([S.dealt(seg.seg, n, mix(runs.key[one]), {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one]})])
 
     return run
 
@@ -207,11 +207,12 @@ def _send_texts(n: int, width: int):
         runs = Runs(seg, width)
         one, _ = runs.firsts()
         one = one[np.isin(runs.text[one], wanted)]
-        bucket = ((runs.key[one] >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+        dealt = mix(runs.key[one])
+        bucket = ((dealt >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
         one = one[np.argsort(bucket, kind="stable")]
         if not len(one):
             return TEXTS.empty_table()
-        table = S.dealt(seg.seg, n, runs.key[one], {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one], "count": runs.count[one].astype(np.int32), "gram": runs.gram_place(one)})
+        table = S.dealt(seg.seg, n, mix(runs.key[one]), {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one], "count": runs.count[one].astype(np.int32), "gram": runs.gram_place(one)})
         body, at = [], 0
         for size in S.sizes(pa.Table.from_batches([table]), "key", 8):
             body.append(b"".join(seg.buf[runs.start[i] : runs.start[i] + runs.count[i] + width - 1].tobytes() for i in one[at : at + size]))
