@@ -42,37 +42,36 @@ def test_query_matches_sql(spark, con, name):
     assert got == normal(result.fetchall(), columns)
 
 
-def test_packing_matches_a_plain_version(spark):
-    got = {(r.l_suppkey, r.l_orderkey): (r.slice, r.n_full, r.n_cut) for r in catalog.QUERIES["packed_by_documents"](spark, DATA).collect()}
-    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey", "l_orderkey", "l_partkey").collect()
-    price = {str(r.p_partkey): r.p_retailprice for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
-    facts: dict = {}
+def test_packing_by_hand(spark):
+    from tidemark.operators.packing import pack_by_documents
+
+    facts = spark.createDataFrame([("k", i, d) for i, d in enumerate([["a"], ["b"], ["a"], ["c", "b"], [], ["d"], ["a"], ["big"]], 1)], "k string, i int, docs array<string>")
+    sizes = spark.createDataFrame([("a", 40.0), ("b", 30.0), ("c", 30.0), ("d", 70.0), ("big", 500.0)], "doc string, size double")
+    got = {r.i: (r.slice, r.full, r.cut) for r in pack_by_documents(facts, ["k"], "i", "docs", sizes, "doc", "size", 3, 100, 450).collect()}
+    # big, d, {b, c} and the three facts of a open slices; b joins {b, c} for nothing, and a fact without documents the first slice
+    assert got[8] == got[5] == (3, ["big"], [])
+    assert got[2][0] == got[4][0] and got[4][1:] == (["b", "c"], [])
+    assert got[1] == got[3] == got[7] == (1, ["a"], [])
+    assert got[6] == (4, ["d"], []) and len({n for n, *_ in got.values()}) == 4
+
+
+def test_packing_keeps_its_promises(spark):
+    rows = catalog.QUERIES["packed_by_documents"](spark, DATA).collect()
+    lines = spark.read.parquet(f"{DATA}/lineitem.parquet").select("l_suppkey", "l_orderkey", "l_partkey").distinct().collect()
+    price = {r.p_partkey: r.p_retailprice for r in spark.read.parquet(f"{DATA}/part.parquet").collect()}
+    assert {(r.l_suppkey, r.l_orderkey) for r in rows} == {(r.l_suppkey, r.l_orderkey) for r in lines} and len(rows) == len({(r.l_suppkey, r.l_orderkey) for r in rows})
+    parts: dict = {}
     for r in lines:
-        facts.setdefault(r.l_suppkey, {}).setdefault(r.l_orderkey, set()).add(str(r.l_partkey))
-    want = {}
-    for supplier, orders in facts.items():
-        groups: dict = {}
-        for order in sorted(orders):
-            groups.setdefault(frozenset(orders[order]), []).append(order)
-        cost = lambda docs: sum(price.get(d, 0.0) for d in docs)
-        slices: list = []
-        for docs, members in sorted(groups.items(), key=lambda g: (-cost(g[0]), g[1][0])):
-            for i in range(0, len(members), 60):
-                part = members[i : i + 60]
-                best = None
-                for n, (have, inside) in enumerate(slices):
-                    grown = cost(have | docs)
-                    if len(inside) + len(part) <= 60 and (grown <= 160_000 or grown == cost(have)) and (best is None or grown - cost(have) < best[0] - 1e-9):
-                        best = (grown - cost(have), n)
-                if best is None:
-                    slices.append((set(docs), list(part)))
-                else:
-                    slices[best[1]][0].update(docs)
-                    slices[best[1]][1].extend(part)
-        for n, (docs, members) in enumerate(sorted(slices, key=lambda s: min(s[1])), 1):
-            for m in members:
-                want[supplier, m] = (n, len(docs), 0)
-    assert got == want
+        parts.setdefault((r.l_suppkey, r.l_orderkey), set()).add(r.l_partkey)
+    slices: dict = {}
+    for r in rows:
+        slices.setdefault((r.l_suppkey, r.slice), []).append(r)
+    for (supplier, n), members in slices.items():
+        cited = set().union(*(parts[supplier, r.l_orderkey] for r in members))
+        assert len(members) <= 60 and all(r.n_full + r.n_cut == len(cited) for r in members)
+        assert len({frozenset(parts[supplier, r.l_orderkey]) for r in members}) == 1 or sum(price[p] for p in cited) <= 160_000
+        if n > 1:  # numbered by their first facts
+            assert min(r.l_orderkey for r in slices[supplier, n - 1]) < min(r.l_orderkey for r in members)
 
 
 def test_entry_and_contract(spark):
