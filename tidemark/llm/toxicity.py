@@ -68,15 +68,16 @@ class Index:
         rows = [r for r in rows if len(r[2])]
         self.ids, self.labels = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], float)
         self.vectors = [(r[2], r[3]) for r in rows]
-        n_blocks = -(-len(rows) // BLOCK)
-        self.bounds = np.zeros((len(terms), n_blocks))
-        postings: dict[tuple[int, int], list] = {}
-        for i, (t, w) in enumerate(self.vectors):
-            b = i // BLOCK
-            np.maximum.at(self.bounds, (t, b), w)
-            for term, weight in zip(t.tolist(), w.tolist()):
-                postings.setdefault((term, b), []).append((i % BLOCK, weight))
-        self.postings = {k: (np.array([i for i, _ in v]), np.array([w for _, w in v])) for k, v in postings.items()}
+        # Postings of a term and block stand together: cell term * n_blocks + block holds places within the block and weights.
+        self.n_blocks = -(-len(rows) // BLOCK)
+        term, weight = (np.concatenate([np.zeros(0, t), *(v[i] for v in self.vectors)]) for i, t in ((0, np.int64), (1, float)))
+        place = np.repeat(np.arange(len(rows)), np.array([len(v[0]) for v in self.vectors], np.int64))
+        cell = term * self.n_blocks + place // BLOCK
+        order = np.argsort(cell, kind="stable")
+        self.cells = np.searchsorted(cell[order], np.arange(len(terms) * self.n_blocks + 1)).astype(np.int32)
+        self.member, self.weight = (place[order] % BLOCK).astype(np.uint8), weight[order]
+        self.bounds = np.zeros((len(terms), self.n_blocks))
+        np.maximum.at(self.bounds.ravel(), cell, weight)
         self.share, self.prior, self.curve = 0.5, 0.5, (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     @staticmethod
@@ -113,11 +114,10 @@ class Index:
         for b in np.argsort(-bound, kind="stable"):
             if bound[b] <= 0 or (len(best) == k and bound[b] < best[-1] - 1e-12):
                 break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist()):
-                got = self.postings.get((t, int(b)))
-                if got is not None:
-                    score[got[0]] += w * got[1]
+            cell = terms * self.n_blocks + b
+            first, lens = self.cells[cell], self.cells[cell + 1] - self.cells[cell]
+            which = np.repeat(first - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
+            score = np.bincount(self.member[which], np.repeat(weights, lens) * self.weight[which], BLOCK)
             at = np.flatnonzero(score > 0)
             where = at + b * BLOCK
             at, where = at[where != skip], where[where != skip]
