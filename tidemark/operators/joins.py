@@ -139,9 +139,9 @@ def diff(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     return o.join(n, key, "full").where(~F.col("old").eqNullSafe(F.col("new")))
 
 
-def valid_at(facts: DataFrame, versions: DataFrame, by: list[str], at: str, since: str, values: list[str]) -> DataFrame:
+def valid_at(facts: DataFrame, versions: DataFrame, by: list[str], at: str, since: str, values: list[str], bucket=None) -> DataFrame:
     """Facts with the version in force: [since, next since) of its key. The half-open interval join as an as-of join."""
-    return asof_join(facts, versions.withColumn("valid_since", F.col(since)), by, at, since, ["valid_since", *values])
+    return asof_join(facts, versions.withColumn("valid_since", F.col(since)), by, at, since, ["valid_since", *values], bucket)
 
 
 def carry(items: DataFrame, before: DataFrame, key: list[str], fields: list[str]) -> DataFrame:

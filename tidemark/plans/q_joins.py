@@ -115,7 +115,7 @@ SELECT e.event_id, v.version FROM (SELECT * FROM events WHERE event_type = 'erro
 def validity_interval(t):
     e = t.events
     versions = e.where("event_type = 'signup'").select("user_id", F.col("ts").alias("since"), F.col("event_id").alias("version"))
-    return J.valid_at(e.where("event_type = 'error'"), versions, ["user_id"], "ts", "since", ["version"]).select("event_id", "version")
+    return J.valid_at(e.where("event_type = 'error'"), versions, ["user_id"], "ts", "since", ["version"], bucket=lambda c: F.date_trunc("week", c)).select("event_id", "version")
 
 
 @query("""
