@@ -312,15 +312,18 @@ def decode(ids: bytes, vocab: Vocabulary) -> bytes:
 
 def _batches(batches, path: str, emit, schema):
     vocab = vocabulary(path)
-    for batch in batches:
-        buf, bounds = utf8(batch.column(batch.num_columns - 1))
-        at = 0
-        while at < batch.num_rows:
-            to = min(batch.num_rows, max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_CHARS, "right")) - 1))
-            ids = encode_texts(buf[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], vocab)
-            columns = [c.slice(at, to - at) for c in batch.columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, *emit(ids, vocab)], schema=schema)
-            at = to
+    try:
+        for batch in batches:
+            buf, bounds = utf8(batch.column(batch.num_columns - 1))
+            at = 0
+            while at < batch.num_rows:
+                to = min(batch.num_rows, max(at + 1, int(np.searchsorted(bounds, bounds[at] + CHUNK_CHARS, "right")) - 1))
+                ids = encode_texts(buf[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at], vocab)
+                columns = [c.slice(at, to - at) for c in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, *emit(ids, vocab)], schema=schema)
+                at = to
+    finally:  # the worker process goes on to other tasks
+        vocab.cache.clear()
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
