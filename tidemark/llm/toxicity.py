@@ -29,7 +29,7 @@ SIZES = (5, 6)
 PER_CLASS, TERMS, LEAST_CHI2, LEAST_DOCS = 3000, 4096, 30.0, 4
 NEAREST, PULL, BLOCK = 15, 1.0, 64
 COPY = 48
-STEP = 1 << 19
+STEP = 1 << 18
 
 
 def text_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,28 +174,39 @@ class Index:
         return np.clip(out, 0, 1), evidence
 
 
+def _pieces(batches, column: int):
+    """Batches in pieces of about STEP bytes of text, with their normal texts."""
+    for batch in batches:
+        texts, start, part, size = batch.column(column), 0, [], 0
+        for at in range(batch.num_rows):
+            part.append(normal(texts[at].as_py() or ""))
+            size += len(part[-1])
+            if size >= STEP or at == batch.num_rows - 1:
+                yield batch.slice(start, at + 1 - start), part
+                start, part, size = at + 1, [], 0
+
+
 def _sketch(batches):
     """Two min-hashes of every text, over its strings of COPY bytes: equal for most copies with small edits."""
-    for batch in batches:
-        texts = [normal(t or "").ljust(COPY) for t in batch.column(2).to_pylist()]
+    for batch, texts in _pieces(batches, 2):
+        texts = [t.ljust(COPY) for t in texts]
         lens = np.array([len(t) for t in texts], np.int64)
         bounds = np.cumsum(lens) - lens
         windows = Rolling(BYTE[np.frombuffer(b"".join(texts), np.uint8)]).windows(COPY)
-        inside = np.concatenate([np.arange(n) <= n - COPY for n in lens]) if len(lens) else np.zeros(0, bool)
+        inside = np.concatenate([np.arange(n) <= n - COPY for n in lens])
         least = []
         for seed in (1, 2):
             h = mix(windows ^ np.uint64(seed))
             h[~inside[: len(h)]] = np.iinfo(np.uint64).max
-            least.append(pa.array(np.minimum.reduceat(h, bounds).view(np.int64) if len(lens) else np.zeros(0, np.int64)))
+            least.append(pa.array(np.minimum.reduceat(h, bounds).view(np.int64)))
         yield pa.RecordBatch.from_arrays([*batch.columns, *least], names=["id", "label", "text", "a", "b"])
 
 
 def _count(batches):
-    for batch in batches:
-        labels, texts = batch.column(0).to_pylist(), [normal(t or "") for t in batch.column(1).to_pylist()]
+    for batch, texts in _pieces(batches, 1):
         doc, key = text_grams(texts)
         keys, at = np.unique(key, return_inverse=True)
-        ones = np.bincount(at, np.array(labels, float)[doc], len(keys)).astype(np.int64)
+        ones = np.bincount(at, np.array(batch.column(0).to_pylist(), float)[doc], len(keys)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ones), pa.array(np.bincount(at, minlength=len(keys)).astype(np.int64))], names=["gram", "ones", "n"])
 
 
@@ -231,8 +242,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     finder = Index(terms, idf, [])
 
     def vectors(batches):
-        for batch in batches:
-            doc, term, count = finder.find([normal(t or "") for t in batch.column(2).to_pylist()])
+        for batch, texts in _pieces(batches, 2):
+            doc, term, count = finder.find(texts)
             first = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             parts = [slice(i, j) for i, j in zip(first, first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([term[p] for p in parts], pa.list_(pa.int64())), pa.array([count[p] for p in parts], pa.list_(pa.int64()))], names=["id", "label", "terms", "counts"])
@@ -252,20 +263,9 @@ def score(docs: DataFrame, index: Index, text_col: str = "text", carry: list[str
     schema = to_arrow_schema(kind)
 
     def run(batches):
-        for batch in batches:
-            texts, at = batch.column(batch.num_columns - 1), 0
-            scores: list[np.ndarray] = [np.zeros(0)]
-            evidence: list = []
-            while at < batch.num_rows:
-                part, size = [], 0
-                while at < batch.num_rows and (not part or size < STEP):
-                    part.append(normal(texts[at].as_py() or ""))
-                    size += len(part[-1])
-                    at += 1
-                a, b = shared.value.score(part)
-                scores.append(a)
-                evidence += b
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(scores)), pa.array(evidence, pa.list_(pa.int64()))], schema=schema)
+        for batch, texts in _pieces(batches, len(kind.fields) - 2):
+            scores, evidence = shared.value.score(texts)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores), pa.array(evidence, pa.list_(pa.int64()))], schema=schema)
 
     out = chosen.mapInArrow(run, kind)
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "score", F.expr("if(score >= 0.5, 1, 0)").alias("predicted"), "neighbours")
