@@ -351,6 +351,45 @@ def test_block_max_search_is_exact(spark):
         assert place.tolist() == order.tolist() and np.allclose(sims, all_[order])
 
 
+def test_toxic_words_of_few_examples_count(spark):
+    """Every toxic word occurs in three examples only, and one copied passage in one."""
+    rng = random.Random(13)
+    plain = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rare = ["".join(rng.choices("bcdfghjklmnpqrstvxz", k=9)) for _ in range(101)]
+    rows = [(i, " ".join(rng.choices(plain, k=40)), 0) for i in range(1000)]
+    for i in range(300):
+        w = rng.choices(plain, k=40)
+        w[rng.randrange(40)] = rare[i % 100]
+        rows.append((1000 + i, " ".join(w), 1))
+    passage = " ".join([*rng.choices(plain, k=20), *[rare[100]] * 3])
+    rows += [(2000 + i, passage, 1) for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    index = toxicity.learn(frame.drop("toxic"), frame.drop("text"))
+    asked = [" ".join([*rng.choices(plain, k=39), w]) for w in rare[:100]] + [passage] * 50 + [" ".join(rng.choices(plain, k=40)) for _ in range(100)]
+    got = [r.predicted for r in toxicity.score(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"), index).orderBy("doc_id").collect()]
+    assert sum(got[:100]) >= 95 and sum(got[100:150]) == 50 and sum(got[150:]) <= 5
+
+
+def test_search_is_exact_over_postings_and_columns(monkeypatch):
+    monkeypatch.setattr(toxicity, "COLUMNS", 40)
+    rng = np.random.default_rng(14)
+    vectors = []
+    for i in range(300):
+        t = np.unique(np.minimum(rng.geometric(0.01, 60), 900))
+        vectors.append((i, i % 2, t, rng.integers(1, 5, len(t))))
+    index = toxicity.Index(np.arange(901, dtype=np.uint64), rng.random(901) + 0.01, vectors)
+    dense = np.zeros((300, 901))
+    for i, (t, w) in enumerate(index.vectors):
+        dense[i, t] = w
+    found = index.search(index.vectors, skip=list(range(300)))
+    assert (index.column >= 0).sum() == 40 and len(index.member)
+    for i, (place, sims) in enumerate(found):
+        all_ = dense @ dense[i]
+        all_[i] = -1
+        order = np.lexsort([np.arange(300), -np.round(all_, 12)])[: toxicity.NEAREST]
+        assert place.tolist() == order.tolist() and np.allclose(sims, all_[order])
+
+
 def test_pipeline_stages(spark, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(12)
