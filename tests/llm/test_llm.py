@@ -301,6 +301,17 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
 
 
+def test_more_languages_than_bits_of_a_word(spark):
+    rng = random.Random(15)
+    words = {f"l{i:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for i in range(70)}
+    rows = [(i * 20 + j, " ".join(rng.choices(words[lang], k=20)), lang) for i, lang in enumerate(words) for j in range(12 if i % 10 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(docs)
+    assert model.languages == sorted(words) and model.table.shape == (language.SLOTS, 2)
+    got = language.identify(docs, model, carry=["lang"]).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
 def test_bloom_masks_name_every_language_of_a_gram():
     table = np.zeros(language.SLOTS, np.uint64)
     keys = language.grams(np.frombuffer(b"abcdefgh", np.uint8), 3)

@@ -1,7 +1,7 @@
 """Language identification by bit-sliced Bloom filters of n-grams.
 
-One table of 64-bit masks serves all languages (64 at most): bit l of a slot says that some n-gram of language l hashes
-there. The conjunction of an n-gram's slots is the mask of all languages that contain it, in one lookup. A text's score
+One table of masks serves all languages, in as many 64-bit words a slot as they need: bit l of a slot says that some
+n-gram of language l hashes there. The conjunction of an n-gram's slots is the mask of all languages that contain it, in one lookup. A text's score
 for a language is the count of its n-grams with that bit, corrected for the filter's false positives, which are known
 from the fill of the bit slice. N-grams are 2 to 4 bytes of the lower-cased text, everything but letters one space.
 
@@ -54,8 +54,8 @@ def slots(keys: np.ndarray):
 
 class Model:
     def __init__(self, languages: list[str], table: np.ndarray):
-        self.languages, self.table = languages, table
-        fill = np.array([((table >> np.uint64(i)) & np.uint64(1)).mean() for i in range(len(languages))])
+        self.languages, self.table = languages, table.reshape(SLOTS, -1)
+        fill = np.array([((self.table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)).mean() for i in range(len(languages))])
         self.false = fill**HASHES
 
     def counts(self, buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +72,7 @@ class Model:
             total += lens
             low = np.minimum(bounds[:-1], len(keys))
             for i in range(n_langs):
-                sums = np.concatenate([[0], np.cumsum((mask >> np.uint64(i)) & np.uint64(1), dtype=np.int64)])
+                sums = np.concatenate([[0], np.cumsum((mask[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1), dtype=np.int64)])
                 found[:, i] += sums[low + np.minimum(lens, len(keys) - low)] - sums[low]
         return total, found
 
@@ -104,27 +104,28 @@ def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """A model from rows with a language. Counting runs in Spark; the model's size is bounded by languages and GRAMS."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text")).where("lang is not null and text is not null")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(64).collect()}
+    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], np.zeros(SLOTS, np.uint64))
+        return Model([], np.zeros((SLOTS, 1), np.uint64))
     each = max(1, sample // len(languages))
-    ranked = rows.where(F.col("lang").isin(languages)).select("id", "lang", F.xxhash64("id").alias("h"))
     # Only hashes low enough for half as many again are ranked: the ranking's input doesn't grow with the table.
-    share = F.coalesce(*(F.when(F.col("lang") == lang, F.lit((1.5 * each + 200) / n)) for lang, n in sizes.items()))
-    ranked = ranked.where(F.col("h") / F.lit(2.0**64) + 0.5 < share)
+    shares = spark.createDataFrame([(lang, (1.5 * each + 200) / n) for lang, n in sizes.items()], "lang string, share double")
+    ranked = rows.select("lang", F.xxhash64("id").alias("h")).join(F.broadcast(shares), "lang").where(F.col("h") / F.lit(2.0**64) + 0.5 < F.col("share"))
     cut = ranked.selectExpr("lang", "h", "row_number() over (partition by lang order by h) as k").where(f"k <= {each}").groupBy("lang").agg(F.max("h").alias("most"))
-    most = {r["lang"]: r["most"] for r in cut.collect()}
-    chosen = rows.where(F.coalesce(*(F.when((F.col("lang") == lang) & (F.xxhash64("id") <= h), True) for lang, h in most.items()), F.lit(False))).select("lang", "text")
+    most = spark.createDataFrame([(r["lang"], r["most"]) for r in cut.collect()], "lang string, most long")
+    chosen = rows.join(F.broadcast(most), "lang").where(F.xxhash64("id") <= F.col("most")).select("lang", "text")
     counted = chosen.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     per_lang = "sum(n) over (partition by lang)"
     rated = counted.selectExpr("lang", "gram", f"n / {per_lang} as rate").where(f"rate >= {RATE}")
     rated = rated.selectExpr("lang", "gram", "rate", "max(rate) over (partition by gram) as top").where(f"rate >= {SHARE} * top")
     kept = rated.selectExpr("lang", "gram", "row_number() over (partition by lang order by rate desc, gram) as k").where(f"k <= {GRAMS}").select("lang", "gram").toPandas()
-    table = np.zeros(SLOTS, np.uint64)
-    for i, lang in enumerate(languages):
-        for at in slots(kept.loc[kept.lang == lang, "gram"].to_numpy(np.int64).view(np.uint64)):
-            table[at] |= np.uint64(1 << i)
+    table = np.zeros((SLOTS, -(-len(languages) // 64)), np.uint64)
+    number = {lang: i for i, lang in enumerate(languages)}
+    for lang, part in kept.groupby("lang"):
+        word, bit = divmod(number[lang], 64)
+        for at in slots(part["gram"].to_numpy(np.int64).view(np.uint64)):
+            table[at, word] |= np.uint64(1 << bit)
     return Model(languages, table)
 
 
