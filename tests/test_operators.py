@@ -15,6 +15,22 @@ def test_neighbours_are_the_rows_before(spark):
     assert got == {0: [], 1: [0.0], 2: [0.0, 1.0], 3: [1.0, 2.0], 4: [2.0, 3.0]}
 
 
+def test_recompute_takes_all_own_figures_and_caps_only_wider_ones(spark):
+    many, far = [1000.0] * 80, [1000.0 + i for i in range(80)]
+    rows = [
+        (1, 30.0, [*many, 12.0, 18.0], [], []),
+        (2, 30.0, [12.0], [*far, 18.0], []),
+        (3, 30.0, [12.0], far, [18.0]),
+        (4, 30.0, [5000.0], [12.0], [18.0]),
+        (5, 30.0, [12.0], [12.0] * 90 + [18.0], []),
+    ]
+    frame = spark.createDataFrame(rows, "id int, v double, pool array<double>, wider array<double>, key array<double>").selectExpr("*", "0 as d")
+    got = {r.id: r.r and (r.r.op, r.r.a, r.r.b) for r in frame.select("id", checks.recompute(frame, "v", "d", "pool", wider="wider", key_figures="key").alias("r")).collect()}
+    assert got == {1: ("+", 12.0, 18.0), 2: None, 3: ("+", 12.0, 18.0), 4: None, 5: ("+", 12.0, 18.0)}
+    whole = frame.where("id = 1").select(checks.recompute(frame, "v", "d", "pool").alias("r")).first().r
+    assert (whole.op, whole.a, whole.b) == ("+", 12.0, 18.0)
+
+
 def test_recompute_leaves_copies_and_single_digits(spark):
     rows = [(1, 30.0, 0, [10.0, 20.0]), (2, 5.0, 0, [2.0, 3.0]), (3, 12.5, 1, [112.5, 100.0]), (4, 30.0, 0, [30.0, 1.0]), (5, 30.0, 0, []), (6, 50.0, 0, [1.0, 2.0])]
     frame = spark.createDataFrame(rows, "id int, v double, d int, pool array<double>")

@@ -23,16 +23,21 @@ def neighbours(df: DataFrame, by: list[str], order: list[str], value: str, recen
     return df.withColumn("pool", F.collect_list(value).over(w))
 
 
-def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = POOL) -> Column:
-    """The first pair of pool values that gives a figure by sum, difference, product, ratio, percent or growth, as struct
+def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = POOL, wider: str | None = None, key_figures: str | None = None) -> Column:
+    """The first pair of values that gives a figure by sum, difference, product, ratio, percent or growth, as struct
     (op, a, b, i, j); null if none does.
 
     Single digits aren't recomputed, nor is a figure from a copy of itself, nor by a sum or difference with a number under
-    ten units of its last digit. The pool is a bounded array (`most`, the operator's own definition), so the search is an
-    expression over a row and needs no join.
+    ten units of its last digit. pool: the figures of its own row, all of them; after them come the first `most` values of
+    wider that aren't in it, and key_figures. One of a pair at least is a value of the own row. The search is an expression
+    over a row and needs no join; it takes the square of the row's figures.
     """
     v, d = F.col(value), F.col(decimals)
-    near = F.filter(F.slice(F.col(pool), 1, most), lambda x: (x != 0) & ~same_number(x, v, d))
+    own = F.col(pool)
+    none = F.array().cast(df.schema[pool].dataType)
+    beyond = F.slice(F.filter(F.coalesce(F.col(wider), none), lambda x: ~F.array_contains(own, x)), 1, most) if wider else none
+    last = F.coalesce(F.col(key_figures), none) if key_figures else none
+    near = F.filter(F.concat(own, beyond, last) if wider or key_figures else own, lambda x: (x != 0) & ~same_number(x, v, d))
     least = 10 * F.pow(F.lit(10.0), -d)
 
     def pair(a: Column, i: Column) -> Column:
@@ -40,7 +45,8 @@ def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = P
             small = F.least(F.abs(a), F.abs(b)) < least
             ops = [("+", a + b, ~small), ("-", a - b, ~small), ("*", a * b, F.lit(True)), ("/", a / b, F.lit(True)), ("/ %", 100 * a / b, F.lit(True)), ("growth %", 100 * (a - b) / F.abs(b), F.lit(True)), ("* %", a * b / 100, F.lit(True))]
             op = F.coalesce(*(F.when(ok & same_number(v, r, d), F.lit(name)) for name, r, ok in ops))
-            return F.when((i != j) & op.isNotNull(), F.struct(op.alias("op"), a.alias("a"), b.alias("b"), i.alias("i"), j.alias("j")))
+            local = F.array_contains(own, a) | F.array_contains(own, b) if wider or key_figures else F.lit(True)
+            return F.when((i != j) & local & op.isNotNull(), F.struct(op.alias("op"), a.alias("a"), b.alias("b"), i.alias("i"), j.alias("j")))
 
         return F.try_element_at(F.filter(F.transform(near, other), lambda x: x.isNotNull()), F.lit(1))
 
