@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are grams of 5 and 6 bytes within the words of the lower-cased text, their edges marked, so that roots count as
-well as words. Every gram of the examples is a term; its tie to the label (chi-square) only weighs it, and never to 0.
+Terms are the words of the lower-cased text; one above STEM bytes also counts as its first STEM bytes, so that forms of a
+word meet, and one above LONG bytes (compounds, scripts without spaces) also as all its grams of GRAM bytes. Every term of
+the examples is indexed; its tie to the label (chi-square) only weighs it, and never to 0.
 Terms in few examples are added up from their postings. The most common ones stand as columns over blocks of examples; a
 block's bound is what its postings gave plus the query's weights times its largest weights, and only blocks whose bound
 can enter the k nearest are scored. Similarity-weighted votes of the
@@ -9,9 +10,12 @@ nearest, drawn to the labels' share where all are far, are made calibrated score
 labels' true share. The nearest examples are the evidence.
 
 The classifier is fitted on a bounded sample: of either label the `per_class` (default 3,000) labelled training rows of
-smallest hash of the id, and of those that share a min-hash, so of copies, one. Ids only choose the sample; a score depends on the text alone. Defined results: texts without
-a gram of any example, null and empty ones included, get the score of examples without one; rows without a label
-aren't learned from; of labels of one id the largest holds; with no examples of either label the score is the share of label 1.
+smallest hash of the id, and of those that share a min-hash, so of copies, one. Ids only choose the sample; a score
+depends on the text alone, however long it is: all its words count, a piece of STEP bytes or one text at a time.
+Defined results: texts without a term of any example, null and empty ones included, get the score of examples without
+one; rows without a label aren't learned from; of labels of one id the largest holds; repeated rows each give a row, with
+equal scores; examples of equal similarity are taken in the index's order; with no examples of either label the score is
+the share of label 1. Carried columns may have any names but score, predicted and neighbours.
 """
 
 from __future__ import annotations
@@ -26,10 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import BYTE, Rolling, mix, stored
-from .language import grams, normal
+from .common import BYTE, Rolling, mix, stored, word_spans
+from .language import normal
 
-SIZES = (5, 6)
+STEM, LONG, GRAM = 5, 24, 6
 PER_CLASS, HALF_CHI2 = 3000, 30.0
 NEAREST, PULL, BLOCK, QUERIES = 15, 1.0, 64, 64
 COMMON, COLUMNS = 1 / 32, 3072  # terms in more of the examples are columns, so many of them; the rest have postings
@@ -37,25 +41,20 @@ COPY = 48
 STEP = 1 << 18
 
 
-def text_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (text, gram) pairs."""
+def text_terms(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(text, term) pairs, repeated ones included: each word, the stem of one above STEM bytes, the grams of one above LONG."""
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     buf = np.frombuffer(b"".join(texts), np.uint8)
-    docs, found = [], []
-    for n in SIZES:
-        keys = grams(buf, n)
-        doc = np.repeat(np.arange(len(texts)), np.diff(bounds))[: len(keys)]
-        spaces = np.concatenate([[0], np.cumsum(buf == 32)])
-        at = np.arange(len(keys))
-        keep = (bounds[doc + 1] - at >= n) & (spaces[at + n - 1] == spaces[at + 1])
-        docs.append(doc[keep])
-        found.append(keys[keep])
-    doc, key = np.concatenate(docs), np.concatenate(found)
-    order = np.lexsort([key, doc])
-    doc, key = doc[order], key[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-    return doc[new], key[new]
+    starts, ends, _ = word_spans(buf != 32, bounds)
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    roll, size = Rolling(BYTE[buf]), ends - starts
+    begin, end = [starts, starts[size > STEM]], [ends, starts[size > STEM] + STEM]
+    long = np.flatnonzero(size > LONG)
+    count = size[long] - GRAM + 1
+    at = np.repeat(starts[long], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    begin, end = np.concatenate([*begin, at]), np.concatenate([*end, at + GRAM])
+    return np.searchsorted(bounds, begin, "right") - 1, roll.spans(begin, end)
 
 
 def packed(a: np.ndarray) -> tuple[str, bytes]:
@@ -148,27 +147,21 @@ class Index:
 
     def find(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (text, term index) pairs with counts."""
-        bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        buf = np.frombuffer(b"".join(texts), np.uint8)
-        docs, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if not hasattr(self, "buckets"):
             self._hash()
-        for n in SIZES if len(self.terms) else ():
-            keys = grams(buf, n)
-            bucket = self._bucket(keys)
-            at, end = self.buckets[bucket], self.buckets[bucket + 1]
-            place = np.flatnonzero(at < end)
-            while len(place):
-                term = self.by_hash[at[place]]
-                same = self.terms[term] == keys[place]
-                where = place[same]
-                doc = np.searchsorted(bounds, where, "right") - 1
-                hit = where + n <= bounds[doc + 1]
-                docs.append(doc[hit])
-                found.append(term[same][hit].astype(np.int64))
-                place = place[~same]
-                at[place] += 1
-                place = place[at[place] < end[place]]
+        doc, keys = text_terms(texts) if len(self.terms) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+        docs, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        bucket = self._bucket(keys)
+        at, end = self.buckets[bucket], self.buckets[bucket + 1]
+        place = np.flatnonzero(at < end)
+        while len(place):
+            term = self.by_hash[at[place]]
+            same = self.terms[term] == keys[place]
+            docs.append(doc[place[same]])
+            found.append(term[same].astype(np.int64))
+            place = place[~same]
+            at[place] += 1
+            place = place[at[place] < end[place]]
         n = max(1, len(self.terms))
         pair, counts = np.unique(np.concatenate(docs) * n + np.concatenate(found), return_counts=True)
         return pair // n, pair % n, counts
@@ -297,7 +290,12 @@ def _sketch(batches):
 
 def _count(batches):
     for batch, texts in _pieces(batches, 1):
-        doc, key = text_grams(texts)
+        doc, key = text_terms(texts)
+        order = np.lexsort([key, doc])
+        doc, key = doc[order], key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+        doc, key = doc[new], key[new]
         keys, at = np.unique(key, return_inverse=True)
         ones = np.bincount(at, np.array(batch.column(0).to_pylist(), float)[doc], len(keys)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ones), pa.array(np.bincount(at, minlength=len(keys)).astype(np.int64))], names=["gram", "ones", "n"])
