@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,6 +103,30 @@ def test_suffix_dedup(spark, hot):
     assert suffixes.dedup_bytes(empty(spark)).count() == 0
 
 
+def test_suffix_arrays_side_by_side():
+    rng = random.Random(4)
+    for n in range(120):
+        texts = [bytes(97 + rng.randrange(1 + n % 4) for _ in range(rng.randint(0, 40))) for _ in range(rng.randint(0, 12))]
+        first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        want = [int(a) + i for a, t in zip(first, texts) for i in sorted(range(len(t)), key=lambda i: t[i:])]
+        assert gsaca.suffix_arrays(np.frombuffer(b"".join(texts), np.uint8), first).tolist() == want
+
+
+def test_every_removed_byte_comes_from_a_suffix_array(monkeypatch):
+    """With arrays that are empty nothing is found, so no other path removes a byte; copies and edited texts alike."""
+    passage = b"the same passage of well over fifty bytes in each of them, to the letter"
+    texts = [b"one " + passage, b"one " + passage, b"another " + passage[:60]]
+    column = lambda values: [b"".join(values)]
+    number = lambda values, kind: [np.array(values, kind).tobytes()]
+    table = pa.table({"bucket": [0], "seg": [3], "key": number([7] * 3, np.uint64), "text": number([1, 1, 2], np.uint64), "id": number([4, 5, 6], np.int64), "size": number([len(t) for t in texts], np.int32), "bytes": column(texts)}, schema=suffixes.TEXTS)
+    got = suffixes._sort_texts(50)(table)
+    rows = sorted(zip(*(suffixes.S.gather(got, c, t).tolist() for c, t in (("text", np.uint64), ("id", np.int64), ("lo", np.int32), ("hi", np.int32)))))
+    assert rows == [(1, 5, 0, len(texts[0]) - 49), (2, 6, 7, 8 + 11)]  # the space before the passage is alike too
+    for name in ("suffix_array", "suffix_arrays"):
+        monkeypatch.setattr(suffixes, name, lambda *_: np.zeros(0, np.int64))
+    assert not suffixes._sort_texts(50)(table).num_rows
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for n in range(300):

@@ -68,3 +68,116 @@ def suffix_array(text: bytes) -> np.ndarray:
             placed[j] = True
             j = smaller[j]
     return np.array(out, np.int64)
+
+
+def suffix_arrays(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Starts of all suffixes of many texts, text by text, each text's in ascending order.
+
+    Text t is buf[first[t]:first[t + 1]] and its suffixes end there. The same construction as above, with every text at
+    its own group in each pass: a pass takes the highest group left of every text, so its operations are on arrays.
+    """
+    n, m = len(buf), len(first) - 1
+    if not n:
+        return np.zeros(0, np.int64)
+    lens = np.diff(first)
+    text = np.repeat(np.arange(m), lens)
+    place = np.arange(n) + text + 1  # a wall before each text; its group is 0, which is never done
+    size = n + m + 1
+    chars, group_of = np.unique(text * 256 + buf, return_inverse=True)
+    n_groups = len(chars)
+    owner = chars >> 8
+    room = n_groups + n + 2
+    group = np.zeros(size, np.int64)
+    group[place] = group_of + 1
+    below, above = np.zeros(room, np.int64), np.zeros(room, np.int64)
+    first_of = np.ones(n_groups, bool)
+    first_of[1:] = owner[1:] != owner[:-1]
+    ids = np.arange(1, n_groups + 1)
+    below[ids] = np.where(first_of, 0, ids - 1)
+    above[ids] = np.where(np.append(first_of[1:], True), 0, ids + 1)
+    held = np.zeros(room, np.int64)  # members left
+    held[ids] = np.bincount(group_of, minlength=n_groups)
+    pool = np.empty(2 * n + 1, np.int64)  # members of each group when it was made, group by group
+    pool[:n] = place[np.argsort(group_of, kind="stable")]
+    begin, made = np.zeros(room, np.int64), np.zeros(room, np.int64)
+    made[ids] = held[ids]
+    begin[ids] = np.cumsum(made[ids]) - made[ids]
+    used, top = n, n_groups + 1
+    done, smaller = np.zeros(room, bool), np.zeros(size, np.int64)
+    at = ids[np.append(first_of[1:], True)]
+    order: list[np.ndarray] = []
+    while len(at):
+        order.append(at)
+        done[at] = True
+        count = made[at]
+        which = np.repeat(begin[at] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        s = pool[which]
+        s = s[group[s] == np.repeat(at, count)]
+        smaller[s] = s - 1
+        todo = s
+        while len(todo):  # over what is done, from pointer to pointer
+            j = smaller[todo]
+            go = done[group[j]]
+            todo, j = todo[go], j[go]
+            smaller[todo] = smaller[j]
+        j = smaller[s]
+        j = j[group[j] > 0]
+        if len(j):
+            # A suffix that this group extends moves to a new group right above its old one; the more copies follow, the higher.
+            j = np.sort(j)
+            new = np.ones(len(j), bool)
+            new[1:] = j[1:] != j[:-1]
+            head = np.flatnonzero(new)
+            times, j = np.diff(np.append(head, len(j))), j[head]
+            old = group[j]
+            by = np.argsort(old * (int(times.max()) + 1) + times, kind="stable")
+            j, times, old = j[by], times[by], old[by]
+            new = np.ones(len(j), bool)
+            new[1:] = (old[1:] != old[:-1]) | (times[1:] != times[:-1])
+            head = np.flatnonzero(new)
+            fresh = top + np.arange(len(head))
+            group[j] = fresh[np.cumsum(new) - 1]
+            made[fresh] = held[fresh] = np.diff(np.append(head, len(j)))
+            begin[fresh] = used + head
+            pool[used : used + len(j)] = j
+            used, top = used + len(j), top + len(head)
+            from_ = old[head]
+            np.subtract.at(held, from_, made[fresh])
+            low, high = np.ones(len(head), bool), np.ones(len(head), bool)
+            low[1:] = from_[1:] != from_[:-1]
+            high[:-1] = low[1:]
+            up = above[from_[high]]
+            below[fresh] = np.where(low, from_, fresh - 1)
+            above[fresh] = fresh + 1
+            above[fresh[high]] = up
+            below[up] = fresh[high]
+            above[from_[low]] = fresh[low]
+        at = below[at]
+        while (gone := (held[at] == 0) & (at > 0)).any():
+            at = np.where(gone, below[at], at)
+        at = at[at > 0]
+    # Ascending sweep of every text at once: the suffix before each found one is the next of its group, then along the pointers.
+    groups = np.concatenate(order[::-1])
+    whose = np.zeros(room, np.int64)
+    whose[group[place]] = text
+    groups = groups[np.argsort(whose[groups], kind="stable")]
+    starts = np.zeros(room, np.int64)
+    starts[groups] = np.cumsum(held[groups]) - held[groups]
+    out, placed = np.zeros(n, np.int64), np.zeros(size, bool)
+    live = np.flatnonzero(lens > 0)
+    j, x, end = place[first[live + 1] - 1], first[live] - 1, first[live + 1] - 1
+    while len(j):
+        g = group[j]
+        go = (g > 0) & ~placed[j]
+        a = j[go]
+        out[starts[g[go]]] = a
+        starts[g[go]] += 1
+        placed[a] = True
+        stay = ~go
+        x[stay] += 1
+        j[go] = smaller[a]
+        on = x <= end
+        if not on.all():
+            j, x, end, stay = j[on], x[on], end[on], stay[on]
+        j[stay] = out[x[stay]] - 1
+    return out - np.repeat(np.arange(m), lens) - 1

@@ -1,18 +1,20 @@
 """Byte-level duplicate removal by suffix arrays built with linear grouping (gsaca).
 
-A string of 50 bytes belongs to the smallest hash of its 27 grams of 24 bytes, its key: equal strings have equal keys.
-Consecutive strings of one key form a run, about 14 strings. Only keys found in two documents or more matter. A run
-whose whole text is in a document with a smaller id goes; what is left, the runs of one key whose texts differ (around
-edits, and at the edges of shared passages), are first trimmed: sorted by what stands right of the key's gram, and by
-what stands left of it, neighbours show how far a text agrees with any other, and strings that reach beyond are unique.
-The trimmed texts of a key that still differ are sorted by suffix array, and equal strings lie side by side in it.
-A key with more than `hot` texts (a line that a third of all documents hold has a text for each of its surroundings) is
-dealt by string instead: 96-bit hashes of its strings, each once a segment, so that no task gathers such a key.
-
-Between segments travel the keys; then a hash of each candidate run's text, once a segment; then the texts of runs whose
-key has several texts, once a segment. Defined results: null is empty; a null id comes after all others; rows with the
-same id don't remove each other; repeated rows each give a row. Texts of one key beyond DIRECT bytes are compared by
-96-bit hashes of their strings, vectorised, in place of the suffix array: memory stays bounded.
+A string of 50 bytes belongs to the smallest hash of its 31 grams of 20 bytes, its key: equal strings have equal keys.
+Consecutive strings of one key form a run, about 16 strings. Only keys found in two documents or more matter: hashes
+choose what is compared, and decide nothing. The texts of the runs of such keys meet by key. Byte-equal ones (compared
+byte by byte) are one text, for which two stand: that of the smallest id, and a later one. All texts of a key are sorted
+by suffix array; in it equal strings lie side by side, and the least id of each such stretch is the first document that
+holds the string. A byte goes if a string that covers it has a first document with a smaller id. Nothing is removed but
+by that order; the arrays of many keys are built side by side (gsaca.suffix_arrays), those of large ones one by one.
+
+A key that more than `hot` segments of 1 MB hold (a line that a third of all documents have) is split: its strings are
+dealt one by one by their hashes, over all buckets, and sorted there with those that share their first bytes.
+
+Between segments travel the keys, then the texts of shared keys, twice a segment at most, then the parts to remove.
+Defined results: null is empty; a null id comes after all others; rows with the same id don't remove each other;
+repeated rows each give a row; texts of any length are taken whole. Carried columns may have any names but n_bytes,
+n_removed, n_spans and kept_bytes.
 """
 
 from __future__ import annotations
@@ -25,11 +27,12 @@ from pyspark.sql import types as T
 
 from . import segments as S
 from .common import BYTE, Rolling, mix, stored
-from .gsaca import suffix_array
-from .substring import _firsts
+from .gsaca import suffix_array, suffix_arrays
 
-GRAM = 24
-BATCH, DIRECT, HOT = 1 << 17, 1 << 19, 4096
+GRAM = 20
+HOT = 4096  # segments that hold a key whose strings are dealt one by one
+SIDE, ALIKE = 96, 1.5  # so many texts of sizes within that factor are sorted side by side
+BATCH = 1 << 19  # bytes sorted side by side
 STEP = 1 << 17
 
 
@@ -77,25 +80,37 @@ class Runs:
         count = np.flatnonzero(end) + 1 - start
         return start + self.seg.bounds[d], count, low[start], roll.spans(start, start + count + self.width - 1), doc[start] + np.int32(d)
 
-    def gram_place(self, runs: np.ndarray) -> np.ndarray:
-        """Where a run's text holds the gram that is its key; -1 if more than once."""
-        last = self.start[runs] + self.count[runs] + self.width - 1 - GRAM
-        times, place = np.zeros(len(runs), np.int32), np.zeros(len(runs), np.int32)
-        at, which, roll = self.start[runs], np.arange(len(runs)), Rolling(BYTE[self.seg.buf])
-        for step in range(int((last - at).max(initial=-1)) + 1):
-            which = which[(at[which] + step <= last[which]) & (times[which] < 2)]
-            if not len(which):
-                break
-            begin = at[which] + step
-            hit = which[roll.spans(begin, begin + GRAM) == self.key[runs[which]]]
-            place[hit] = step
-            times[hit] += 1
-        return np.where(times == 1, place, -1).astype(np.int32)
-
-    def firsts(self) -> tuple[np.ndarray, np.ndarray]:
-        """One run of each text, of its smallest id; and for each run that id."""
-        one = _firsts([self.id], self.text)
-        return one, self.id[one][np.searchsorted(self.text[one], self.text)]
+    def pairs(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of some runs: one of each text with the smallest id, and one with a later id of those texts that have one.
+        Texts         are equal if all their bytes are."""
+        by = runs[np.lexsort([self.id[runs], self.count[runs], self.text[runs], self.key[runs]])]
+        new = np.ones(len(by), bool)
+        for values in (self.key, self.text, self.count):
+            v = values[by]
+            new[1:] &= v[1:] == v[:-1]
+        new = ~new
+        new[:1] = True
+        first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+        apart = ~same_bytes(self.seg.buf, self.start[by], self.start[by[first]], (self.count[by] + self.width - 1) * ~new)
+        new |= apart  # a text whose hash another one has: on its own
+        first = np.where(apart, np.arange(len(by)), first)
+        later = self.id[by] > self.id[by[first]]
+        one = np.zeros(len(by), bool)
+        at = np.flatnonzero(later)
+        _, place = np.unique(first[at], return_index=True)
+        one[at[place]] = True
+        return by[new], by[one]
+
+
+def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """Whether buf[a:a + len] and buf[b:b + len] hold the same bytes, for each pair."""
+    same, todo, at = np.ones(len(a), bool), np.flatnonzero(lens > 0), 0
+    while len(todo):
+        equal = buf[a[todo] + at] == buf[b[todo] + at]
+        same[todo[~equal]] = False
+        at += 1
+        todo = todo[equal & (lens[todo] > at)]
+    return same
 
 
 def _send_keys(n: int, width: int):
@@ -114,265 +129,202 @@ def _send_keys(n: int, width: int):
     return run
 
 
-RUNS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id"))])
+KEYS = pa.schema([("seg", pa.int64()), ("found", pa.binary()), ("hot", pa.binary())])
 
 
-def _send_runs(n: int, width: int):
-    def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
-        runs, known = Runs(seg, width), np.sort(S.gather(replies, "found", np.uint64))
-        one, _ = runs.firsts()
-        one = one[np.isin(runs.key[one], known)]
-        if not len(one):
-            return RUNS.empty_table()
-        return pa.Table.from_batches([S.dealt(seg.seg, n, mix(runs.key[one]), {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one]})])
-
-    return run
-
-
-DECIDED = pa.schema([("seg", pa.int64()), *((c, pa.binary()) for c in ("later", "wanted", "hot"))])
-
-
-def _compare_runs(hot: int):
+def _shared_keys(hot: int):
     def run(table: pa.Table) -> pa.Table:
-        return _decide(table, hot)
+        """Of one hash bucket: for each segment its keys that two documents have, and those that very many segments have."""
+        keys, segs = S.gather(table, "h", np.uint64), np.repeat(table.column("seg").to_numpy(), S.sizes(table, "h", 8))
+        order = np.argsort(keys, kind="stable")
+        keys, segs = keys[order], segs[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        times = np.diff(np.append(np.flatnonzero(new), len(keys)))[np.cumsum(new) - 1] if len(keys) else np.zeros(0, np.int64)
+        parts = []
+        for name, rows in (("found", (times > 1) & (times <= hot)), ("hot", times > hot)):
+            got = S.spread(segs, {name: keys}, rows)
+            parts.append(pa.table({c: got.get(c, [None] * len(got["seg"])) for c in KEYS.names}, schema=KEYS))
+        return pa.concat_tables(parts)
 
     return run
 
 
-def _decide(table: pa.Table, hot: int) -> pa.Table:
-    """Of one hash bucket: texts that begin in a smaller id elsewhere; texts of keys that have several, or more than `hot`."""
-    key, text, ids = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64)))
-    segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "key", 8))
-    by = np.lexsort([ids, text, key])
-    key, text, ids, segs = key[by], text[by], ids[by], segs[by]
-    new_key, new_text = np.ones(len(key), bool), np.ones(len(key), bool)
-    new_key[1:] = key[1:] != key[:-1]
-    new_text[1:] = new_key[1:] | (text[1:] != text[:-1])
-    first = np.maximum.accumulate(np.where(new_text, np.arange(len(key)), 0))
-    later = ids > ids[first]
-    of = np.cumsum(new_key) - 1
-    several = np.bincount(of, new_text)[of] if len(of) else np.zeros(0)
-    chosen = {"later": later, "wanted": (several > 1) & (several <= hot) & ~later, "hot": (several > hot) & ~later}
-    parts = []
-    for name, rows in chosen.items():
-        got = S.spread(segs, {name: text}, rows)
-        parts.append(pa.table({c: got.get(c, [None] * len(got["seg"])) for c in DECIDED.names}, schema=DECIDED))
-    return pa.concat_tables(parts)
-
-
-STRINGS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("ha", "hb", "id"))])
+TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id", "size", "bytes"))])
 
 
 def _hot_strings(runs: Runs, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the strings of the runs whose texts are in `hot` begin, and the ids of their documents."""
-    which = np.flatnonzero(np.isin(runs.text, hot))
+    """Where the strings of runs with hot keys begin, and the ids of their documents."""
+    which = np.flatnonzero(np.isin(runs.key, hot))
     count = runs.count[which]
     at = np.repeat(runs.start[which], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     return at, np.repeat(runs.id[which], count)
 
 
-def _send_strings(n: int, width: int):
-    def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
-        hot = np.sort(S.gather(replies, "hot", np.uint64))
-        if not len(hot):
-            return STRINGS.empty_table()
-        at, ids = _hot_strings(Runs(seg, width), hot)
-        a, b = (Rolling(BYTE[seg.buf], k).spans(at, at + width) for k in (0, 1))
-        one = _firsts([ids], a)
-        return pa.Table.from_batches([S.dealt(seg.seg, n, a[one], {"ha": a[one], "hb": (b[one] >> np.uint64(32)).astype(np.uint32), "id": ids[one]})])
-
-    return run
-
-
-def _later_strings(table: pa.Table) -> pa.Table:
-    """Of one hash bucket: the strings that a smaller id has, by segment."""
-    ha, hb, ids = (S.gather(table, c, t) for c, t in (("ha", np.uint64), ("hb", np.uint32), ("id", np.int64)))
-    segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "ha", 8))
-    by = np.lexsort([ids, hb, ha])
-    ha, hb, ids, segs = ha[by], hb[by], ids[by], segs[by]
-    new = np.ones(len(ha), bool)
-    new[1:] = (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])
-    first = np.maximum.accumulate(np.where(new, np.arange(len(ha)), 0))
-    return pa.table(S.spread(segs, {"found": ha}, ids > ids[first]), schema=S.REPLY_ARROW)
-
-
-TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id", "count", "gram")), ("bytes", pa.binary())])
+def _send(seg: S.Segment, n: int, by: np.ndarray, key: np.ndarray, text: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[pa.RecordBatch]:
+    """Texts dealt by hash, with their bytes."""
+    if not len(key):
+        return []
+    bucket = ((by >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    b, cuts = np.unique(bucket[order], return_index=True)
+    cuts = [*cuts.tolist(), len(order)]
+    start, size = start[order], size[order].astype(np.int32)
+    which = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+    body, edge = seg.buf[which], np.concatenate([[0], np.cumsum(size)])
+    columns = {"key": key[order], "text": text[order], "id": ids[order], "size": size}
+    data = {"bucket": b.astype(np.int64), "seg": np.full(len(b), seg.seg)} | {c: [v[i:j].tobytes() for i, j in zip(cuts, cuts[1:])] for c, v in columns.items()}
+    return [pa.RecordBatch.from_pydict(data | {"bytes": [body[edge[i] : edge[j]].tobytes() for i, j in zip(cuts, cuts[1:])]}, schema=TEXTS)]
 
 
 def _send_texts(n: int, width: int):
     def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
-        wanted = np.sort(S.gather(replies, "wanted", np.uint64))
-        if not len(wanted):
+        found, hot = (np.sort(S.gather(replies, c, np.uint64)) for c in ("found", "hot"))
+        if not len(found) and not len(hot):
             return TEXTS.empty_table()
-        runs = Runs(seg, width)
-        one, _ = runs.firsts()
-        one = one[np.isin(runs.text[one], wanted)]
-        dealt = mix(runs.key[one])
-        bucket = ((dealt >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-        one = one[np.argsort(bucket, kind="stable")]
-        if not len(one):
-            return TEXTS.empty_table()
-        table = S.dealt(seg.seg, n, mix(runs.key[one]), {"key": runs.key[one], "text": runs.text[one], "id": runs.id[one], "count": runs.count[one].astype(np.int32), "gram": runs.gram_place(one)})
-        body, at = [], 0
-        for size in S.sizes(pa.Table.from_batches([table]), "key", 8):
-            body.append(b"".join(seg.buf[runs.start[i] : runs.start[i] + runs.count[i] + width - 1].tobytes() for i in one[at : at + size]))
-            at += size
-        return pa.Table.from_batches([table]).append_column("bytes", pa.array(body, pa.binary()))
+        runs, out = Runs(seg, width), []
+        one, later = runs.pairs(np.flatnonzero(np.isin(runs.key, found)))
+        rows = np.concatenate([one, later])
+        out += _send(seg, n, mix(runs.key[rows]), runs.key[rows], runs.text[rows], runs.id[rows], runs.start[rows], runs.count[rows] + width - 1)
+        if len(hot):
+            at, ids = _hot_strings(runs, hot)
+            h = Rolling(BYTE[seg.buf]).spans(at, at + width)
+            by = np.lexsort([ids, h])
+            new = np.ones(len(by), bool)
+            new[1:] = h[by][1:] != h[by][:-1]
+            start = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+            second = np.zeros(len(by), bool)
+            late = np.flatnonzero(ids[by] > ids[by[start]])
+            _, place = np.unique(start[late], return_index=True)
+            second[late[place]] = True
+            rows = by[new | second]
+            # Strings that share their first bytes and a bucket are sorted together.
+            prefix = np.zeros(len(rows), np.uint64)
+            for i in range(8):
+                prefix = prefix << np.uint64(8) | seg.buf[at[rows] + i]
+            out += _send(seg, n, mix(h[rows]), mix(prefix ^ np.uint64(1)), h[rows], ids[rows], at[rows], np.full(len(rows), width))
+        return pa.Table.from_batches(out, schema=TEXTS)
 
     return run
 
 
-HITS = pa.schema([("seg", pa.int64()), ("later", pa.binary()), ("text", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
-
-
-def _equal_strings(body: bytes, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The starts in an order that puts equal strings side by side, and True where one differs from the one before."""
-    grid = np.lib.stride_tricks.sliding_window_view(np.frombuffer(body, np.uint8), width)
-    new = np.ones(len(starts), bool)
-    if len(body) > DIRECT:
-        a, b = (Rolling(BYTE[np.frombuffer(body, np.uint8)], k).windows(width)[starts] for k in (0, 1))
-        order = np.lexsort([b, a])
-        new[1:] = (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])
-        return starts[order], new
-    valid = np.zeros(len(body), bool)
-    valid[starts] = True
-    order = suffix_array(body)
-    order = order[valid[order]]
-    for i in range(1, len(order), 1 << 16):
-        to = min(len(order), i + (1 << 16))
-        new[i:to] = (grid[order[i:to]] != grid[order[i - 1 : to - 1]]).any(axis=1)
-    return order, new
-
-
-def _reach(groups: np.ndarray, sides: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """How many leading bytes of each row of sides agree with some other row of its group; at most its own length."""
-    padded = np.zeros((len(sides), -(-sides.shape[1] // 8) * 8), np.uint8)
-    padded[:, : sides.shape[1]] = sides
-    words = padded.view(">u8")
-    order = np.lexsort([*(words[:, i] for i in range(words.shape[1] - 1, -1, -1)), groups])
-    same = (sides[order][1:] == sides[order][:-1]) & (groups[order][1:] == groups[order][:-1])[:, None]
-    shared = np.minimum.accumulate(same, axis=1).sum(axis=1)
-    out = np.zeros(len(sides), np.int64)
-    out[order[1:]] = shared
-    out[order[:-1]] = np.maximum(out[order[:-1]], shared)
-    return np.minimum(out, lens)
-
-
-def _trim(body: np.ndarray, key: np.ndarray, at: np.ndarray, lens: np.ndarray, gram: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """New starts and lengths of the texts, without what no other text of their key can share."""
-    side = width - GRAM
-    one = np.flatnonzero(gram >= 0)
-    _, group, several = np.unique(key, return_inverse=True, return_counts=True)
-    whole = np.bincount(group, gram < 0, len(several)) > 0  # a key with a periodic text: leave it as it is
-    one = one[~whole[group[one]]]
-    if not len(one):
-        return at, lens
-    left, right = gram[one], lens[one] - gram[one] - GRAM
-    far = np.arange(side)
-    limit = len(body) - 1
-    before = body[np.clip((at[one] + gram[one] - 1)[:, None] - far, 0, limit)] * (far < left[:, None])
-    behind = body[np.clip((at[one] + gram[one] + GRAM)[:, None] + far, 0, limit)] * (far < right[:, None])
-    new_left, new_right = _reach(group[one], before, left), _reach(group[one], behind, right)
-    at, lens = at.copy(), lens.copy()
-    at[one] += left - new_left
-    lens[one] = new_left + GRAM + new_right
-    return at, lens
+HITS = pa.schema([("seg", pa.int64()), ("text", pa.binary()), ("id", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
 
 
 def _sort_texts(width: int):
     def run(table: pa.Table) -> pa.Table:
-        key, text, ids, count, gram = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64), ("count", np.int32), ("gram", np.int32)))
+        """Of one bucket: for each text sent, the strings of it that a smaller id has."""
+        key, text, ids, size = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64), ("size", np.int32)))
         segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "key", 8))
+        size = size.astype(np.int64)
         body = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
-        full = count.astype(np.int64) + width - 1
-        start = np.cumsum(full) - full
-        at, lens = _trim(body, key, start, full, gram, width)
-        trimmed = Rolling(BYTE[body]).spans(at, at + lens)
-        rows = np.flatnonzero(lens >= width)
-        rows = rows[np.lexsort([ids[rows], trimmed[rows], key[rows]])]
-        k, t = key[rows], trimmed[rows]
-        new_key, new_text = np.ones(len(rows), bool), np.ones(len(rows), bool)
-        new_key[1:] = k[1:] != k[:-1]
-        new_text[1:] = new_key[1:] | (t[1:] != t[:-1])
-        rep = np.cumsum(new_text) - 1  # each row's distinct trimmed text
-        reps = rows[new_text]  # of the smallest id
-        hit_rep, hit_lo, hit_hi = _sorted_hits(body, at[reps], lens[reps], ids[reps], new_key[new_text], width)
-        # A row whose trimmed text a smaller id has goes wholly; the others by the strings that smaller ids have.
-        later = ids[rows] > ids[reps][rep]
-        left, right = np.searchsorted(hit_rep, rep, "left"), np.searchsorted(hit_rep, rep, "right")
-        times = np.where(later, 1, right - left)
-        who = np.repeat(np.arange(len(rows)), times)
-        nth = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
-        part = np.minimum(left[who] + nth, max(0, len(hit_rep) - 1))
-        lo, hi = (h[part] if len(h) else np.zeros(len(who), np.int64) for h in (hit_lo, hit_hi))
-        lo, hi = np.where(later[who], 0, lo), np.where(later[who], lens[rows][who] - width + 1, hi)
-        shift = (at - start)[rows][who]
-        got = S.spread(segs[rows][who], {"text": text[rows][who], "lo": (lo + shift).astype(np.int32), "hi": (hi + shift).astype(np.int32)}, np.ones(len(who), bool))
-        return pa.table(got | {"later": [None] * len(got["seg"])}, schema=HITS)
+        start = np.cumsum(size) - size
+        by = np.lexsort([ids, size, text, key])
+        k, t, z, who = key[by], text[by], size[by], ids[by]
+        new = np.ones(len(by), bool)
+        new[1:] = (k[1:] != k[:-1]) | (t[1:] != t[:-1]) | (z[1:] != z[:-1])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+        apart = ~same_bytes(body, start[by], start[by[first]], z * ~new)
+        new |= apart
+        first = np.where(apart, np.arange(len(by)), first)
+        stands = new.copy()  # in the arrays: each text's first, and one later
+        late = np.flatnonzero(who > who[first])
+        _, place = np.unique(first[late], return_index=True)
+        stands[late[place]] = True
+        reps = np.flatnonzero(stands)
+        least = first_holders(body, start[by[reps]], z[reps], k[reps], who[reps], width)
+        # Every row asks by the strings of its text's first stand-in.
+        count = z - width + 1
+        edge = np.cumsum(count[reps]) - count[reps]
+        of = np.searchsorted(reps, first)
+        row = np.repeat(np.arange(len(by)), count)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        gone = least[edge[of[row]] + nth] < who[row]
+        begin = gone & (np.append(True, ~gone[:-1]) | (nth == 0)) if len(gone) else gone
+        end = gone & (np.append(~gone[1:], True) | (np.append(nth[1:], 0) == 0)) if len(gone) else gone
+        r, lo, hi = row[begin], nth[begin], nth[end] + 1
+        got = S.spread(segs[by][r], {"text": t[r], "id": who[r], "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)}, np.ones(len(r), bool))
+        return pa.table(got, schema=HITS)
 
     return run
 
 
-def _sorted_hits(body: np.ndarray, at: np.ndarray, lens: np.ndarray, ids: np.ndarray, new_key: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of distinct texts, in order of their keys: text, first and end of each run of strings that a smaller id has."""
-    groups = np.append(np.flatnonzero(new_key), len(at))
-    out: list[list[np.ndarray]] = [[], [], []]
-    alone = np.diff(groups) < 2  # one text only: nothing to compare
-    todo = np.flatnonzero(~alone)
-    i = 0
-    while i < len(todo):  # whole keys together, up to BATCH bytes
-        size, j = 0, i
-        while j < len(todo) and (j == i or size + lens[groups[todo[j]] : groups[todo[j] + 1]].sum() <= BATCH):
-            size += lens[groups[todo[j]] : groups[todo[j] + 1]].sum()
-            j += 1
-        reps = np.concatenate([np.arange(groups[g], groups[g + 1]) for g in todo[i:j]])
-        i = j
-        joined = b"".join(body[at[r] : at[r] + lens[r]].tobytes() for r in reps)
-        edge = np.cumsum(lens[reps]) - lens[reps]
-        count = lens[reps] - width + 1
-        starts = np.repeat(edge, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        order, new = _equal_strings(joined, starts, width)
-        of = ids[reps][np.searchsorted(edge, order, "right") - 1]
-        least = np.minimum.reduceat(of, np.flatnonzero(new))[np.cumsum(new) - 1]
-        hits = np.sort(order[of > least])
-        if not len(hits):
-            continue
-        who = np.searchsorted(edge, hits, "right") - 1
-        begin, end = np.ones(len(hits), bool), np.ones(len(hits), bool)
-        begin[1:] = (hits[1:] != hits[:-1] + 1) | (who[1:] != who[:-1])
-        end[:-1] = begin[1:]
-        for column, values in zip(out, (reps[who[begin]], hits[begin] - edge[who[begin]], hits[end] - edge[who[end]] + 1)):
-            column.append(values)
-    return tuple(np.concatenate(c) if c else np.zeros(0, np.int64) for c in out)
+def first_holders(body: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
+    """For each string of each text, one after the other, the least id of the texts of its key that hold it. Texts come by key."""
+    count = size - width + 1
+    edge = np.cumsum(count) - count
+    out = np.full(int(count.sum()), S.LAST)
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    group = np.append(np.flatnonzero(head), len(key))
+    total = np.add.reduceat(size, group[:-1]) if len(key) else np.zeros(0, np.int64)
+    order = np.argsort(total, kind="stable")
+    ordered, i = total[order], 0
+    while i < len(order):
+        most = int(np.searchsorted(ordered, ALIKE * ordered[i] + 64, "right"))
+        most = min(most, i + max(SIDE, int(BATCH // ordered[i])))
+        together = order[i:most] if most - i >= SIDE else order[i : i + 1]
+        i += len(together)
+        texts = np.concatenate([np.arange(group[g], group[g + 1]) for g in together])
+        lens = size[texts]
+        which = np.repeat(start[texts] - np.cumsum(lens) + lens, lens) + np.arange(lens.sum())
+        joined = body[which]
+        if len(together) == 1:
+            array = suffix_array(joined.tobytes())
+        else:
+            array = suffix_arrays(joined, np.concatenate([[0], np.cumsum(total[together])]))
+        base = np.cumsum(lens) - lens
+        text = np.repeat(np.arange(len(texts)), lens)
+        place = np.arange(len(joined)) - base[text]
+        array = array[place[array] + width <= lens[text[array]]]  # strings that a text holds whole
+        new = np.ones(len(array), bool)
+        new[1:] = ~same_bytes(joined, array[1:], array[:-1], np.full(len(array[1:]), width))
+        owner = np.repeat(np.arange(len(together)), total[together])[array]
+        new[1:] |= owner[1:] != owner[:-1]
+        holder = ids[texts][text[array]]
+        least = np.minimum.reduceat(holder, np.flatnonzero(new))[np.cumsum(new) - 1] if len(new) else holder
+        out[edge[texts][text[array]] + place[array]] = least
+    return out
 
 
 def _cut(width: int, schema: pa.Schema):
     def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
-        later = np.sort(S.gather(replies, "later", np.uint64))
-        text, lo, hi = (S.gather(replies, c, t) for c, t in (("text", np.uint64), ("lo", np.int32), ("hi", np.int32)))
-        runs, n = Runs(seg, width), len(seg.buf)
-        _, smallest = runs.firsts()
-        whole = np.isin(runs.text, later) | (runs.id > smallest)
-        edge = np.zeros(n + 1, np.int32)
-        begin, end = [runs.start[whole]], [(runs.start + runs.count)[whole]]
-        by = np.argsort(text, kind="stable")
-        text, lo, hi = text[by], lo[by], hi[by]
-        left, right = np.searchsorted(text, runs.text, "left"), np.searchsorted(text, runs.text, "right")
-        parts = np.flatnonzero((right > left) & ~whole)
-        times = (right - left)[parts]
-        which = np.repeat(left[parts], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        begin.append(np.repeat(runs.start[parts], times) + lo[which])
-        end.append(np.repeat(runs.start[parts], times) + hi[which])
-        hot, found = (np.sort(S.gather(replies, c, np.uint64)) for c in ("hot", "found"))
-        if len(hot):
-            at, ids = _hot_strings(runs, hot)
-            h = Rolling(BYTE[seg.buf]).spans(at, at + width)
-            one = _firsts([ids], h)
-            gone = np.isin(h, found) | (ids > ids[one][np.searchsorted(h[one], h)])
-            begin.append(at[gone])
-            end.append(at[gone] + 1)
-        np.add.at(edge, np.concatenate(begin), 1)
-        np.add.at(edge, np.concatenate(end) + width - 1, -1)
+        n, edge = len(seg.buf), np.zeros(len(seg.buf) + 1, np.int32)
+        text, ids, lo, hi = (S.gather(replies, c, t) for c, t in (("text", np.uint64), ("id", np.int64), ("lo", np.int32), ("hi", np.int32)))
+        hot = np.sort(S.gather(replies, "hot", np.uint64))
+        if len(text):
+            runs = Runs(seg, width)
+            cold = np.flatnonzero(~np.isin(runs.key, hot))
+            at, size, id_, h = [runs.start[cold]], [runs.count[cold] + width - 1], [runs.id[cold]], [runs.text[cold]]
+            if len(hot):
+                begin, whose = _hot_strings(runs, hot)
+                at.append(begin)
+                size.append(np.full(len(begin), width))
+                id_.append(whose)
+                h.append(Rolling(BYTE[seg.buf]).spans(begin, begin + width))
+            at, size, id_, h = (np.concatenate(x) for x in (at, size, id_, h))
+            hit = np.isin(h, text)
+            at, size, id_, h = at[hit], size[hit], id_[hit], h[hit]
+            # Replies are for a text and the id that asked: the first of the segment and one later stand for the rest.
+            by = np.lexsort([id_, h])
+            at, size, id_, h = at[by], size[by], id_[by], h[by]
+            order = np.lexsort([ids, text])
+            text, ids, lo, hi = text[order], ids[order], lo[order], hi[order]
+            asked = np.ones(len(text), bool)
+            asked[1:] = (text[1:] != text[:-1]) | (ids[1:] != ids[:-1])
+            head = np.flatnonzero(asked)
+            stop = np.append(head[1:], len(text))
+            names = text[head]
+            last = np.searchsorted(names, h, "right") - 1
+            # The reply of the largest id up to the run's own.
+            low = np.searchsorted(names, h, "left")
+            pick = np.where(ids[head][last] <= id_, last, last - 1)
+            ok = (pick >= low) & (ids[head][pick] <= id_)
+            at, pick = at[ok], pick[ok]
+            times = stop[pick] - head[pick]
+            which = np.repeat(head[pick] - np.cumsum(times) + times, times) + np.arange(times.sum())
+            np.add.at(edge, np.repeat(at, times) + lo[which], 1)
+            np.add.at(edge, np.repeat(at, times) + hi[which] + width - 1, -1)
         gone = np.cumsum(edge)[:-1] > 0
         first = gone.copy()
         first[1:] &= ~gone[:-1]
@@ -397,15 +349,10 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     packed = S.Packed(docs, id_col, text_col, carry)
     n = packed.hash_buckets()
     keys = packed.ask(_send_keys(n, width), "bucket long, seg long, h binary")
-    shared = S.settle(keys, S.repeated, S.REPLY)
-    runs = packed.answer(shared, _send_runs(n, width), "bucket long, seg long, key binary, text binary, id binary")
-    decided = stored(S.settle(runs, _compare_runs(hot), "seg long, later binary, wanted binary, hot binary"), "decided")
-    strings = packed.answer(decided.where("hot is not null"), _send_strings(n, width), "bucket long, seg long, ha binary, hb binary, id binary")
-    found = S.settle(strings, _later_strings, S.REPLY)
-    texts = packed.answer(decided.where("wanted is not null"), _send_texts(n, width), "bucket long, seg long, key binary, text binary, id binary, count binary, gram binary, bytes binary")
-    hits = S.settle(texts, _sort_texts(width), "seg long, later binary, text binary, lo binary, hi binary")
-    kept = decided.where("later is not null or hot is not null").select("seg", "later", "hot")
-    replies = hits.unionByName(kept, allowMissingColumns=True).unionByName(found, allowMissingColumns=True)
+    shared = stored(S.settle(keys, _shared_keys(hot), "seg long, found binary, hot binary"), "shared")
+    texts = packed.answer(shared, _send_texts(4 * n, width), "bucket long, seg long, key binary, text binary, id binary, size binary, bytes binary")
+    hits = S.settle(texts, _sort_texts(width), "seg long, text binary, id binary, lo binary, hi binary")
+    replies = hits.unionByName(shared.where("hot is not null").select("seg", "hot"), allowMissingColumns=True)
     kind = T.StructType([*packed.carry, *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
 
