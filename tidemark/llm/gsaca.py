@@ -83,9 +83,15 @@ def suffix_arrays(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
     text = np.repeat(np.arange(m), lens)
     place = np.arange(n) + text + 1  # a wall before each text; its group is 0, which is never done
     size = n + m + 1
-    chars, group_of = np.unique(text * 256 + buf, return_inverse=True)
-    n_groups = len(chars)
-    owner = chars >> 8
+    alphabet = np.zeros(256, np.int64)
+    alphabet[buf] = 1
+    width = int(alphabet.sum())
+    own = text * width + (np.cumsum(alphabet) - 1)[buf]
+    times = np.bincount(own, minlength=m * width)
+    there = times > 0
+    group_of = (np.cumsum(there) - 1)[own]
+    n_groups = int(there.sum())
+    owner = np.flatnonzero(there) // width
     room = n_groups + n + 2
     group = np.zeros(size, np.int64)
     group[place] = group_of + 1
@@ -96,7 +102,7 @@ def suffix_arrays(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
     below[ids] = np.where(first_of, 0, ids - 1)
     above[ids] = np.where(np.append(first_of[1:], True), 0, ids + 1)
     held = np.zeros(room, np.int64)  # members left
-    held[ids] = np.bincount(group_of, minlength=n_groups)
+    held[ids] = times[there]
     pool = np.empty(2 * n + 1, np.int64)  # members of each group when it was made, group by group
     pool[:n] = place[np.argsort(group_of, kind="stable")]
     begin, made = np.zeros(room, np.int64), np.zeros(room, np.int64)
@@ -104,6 +110,7 @@ def suffix_arrays(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
     begin[ids] = np.cumsum(made[ids]) - made[ids]
     used, top = n, n_groups + 1
     done, smaller = np.zeros(room, bool), np.zeros(size, np.int64)
+    mark, extends = np.zeros(size, np.int64), np.zeros(size, np.int64)
     at = ids[np.append(first_of[1:], True)]
     order: list[np.ndarray] = []
     while len(at):
@@ -124,37 +131,50 @@ def suffix_arrays(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
         j = j[group[j] > 0]
         if len(j):
             # A suffix that this group extends moves to a new group right above its old one; the more copies follow, the higher.
-            j = np.sort(j)
-            new = np.ones(len(j), bool)
-            new[1:] = j[1:] != j[:-1]
-            head = np.flatnonzero(new)
-            times, j = np.diff(np.append(head, len(j))), j[head]
+            nth = np.arange(len(j))
+            mark[j] = nth
+            times = None
+            once = mark[j] == nth
+            if not once.all():
+                np.add.at(extends, j, 1)
+                j = j[once]
+                times = extends[j]
+                extends[j] = 0
             old = group[j]
-            by = np.argsort(old * (int(times.max()) + 1) + times, kind="stable")
-            j, times, old = j[by], times[by], old[by]
+            key = old if times is None else old * (int(times.max()) + 1) + times
+            by = np.argsort(key, kind="stable")
+            j, old, key = j[by], old[by], key[by]
             new = np.ones(len(j), bool)
-            new[1:] = (old[1:] != old[:-1]) | (times[1:] != times[:-1])
+            new[1:] = key[1:] != key[:-1]
             head = np.flatnonzero(new)
-            fresh = top + np.arange(len(head))
-            group[j] = fresh[np.cumsum(new) - 1]
-            made[fresh] = held[fresh] = np.diff(np.append(head, len(j)))
+            fresh = np.arange(top, top + len(head))
+            group[j] = np.repeat(fresh, many := np.diff(np.append(head, len(j))))
+            made[fresh] = held[fresh] = many
             begin[fresh] = used + head
             pool[used : used + len(j)] = j
             used, top = used + len(j), top + len(head)
             from_ = old[head]
-            np.subtract.at(held, from_, made[fresh])
-            low, high = np.ones(len(head), bool), np.ones(len(head), bool)
-            low[1:] = from_[1:] != from_[:-1]
-            high[:-1] = low[1:]
-            up = above[from_[high]]
-            below[fresh] = np.where(low, from_, fresh - 1)
-            above[fresh] = fresh + 1
-            above[fresh[high]] = up
-            below[up] = fresh[high]
-            above[from_[low]] = fresh[low]
+            if times is None:
+                held[from_] -= many
+                up = above[from_]
+                below[fresh], above[fresh] = from_, up
+                below[up] = above[from_] = fresh
+            else:
+                np.subtract.at(held, from_, many)
+                low, high = np.ones(len(head), bool), np.ones(len(head), bool)
+                low[1:] = from_[1:] != from_[:-1]
+                high[:-1] = low[1:]
+                up = above[from_[high]]
+                below[fresh] = np.where(low, from_, fresh - 1)
+                above[fresh] = fresh + 1
+                above[fresh[high]] = up
+                below[up] = fresh[high]
+                above[from_[low]] = fresh[low]
         at = below[at]
-        while (gone := (held[at] == 0) & (at > 0)).any():
-            at = np.where(gone, below[at], at)
+        gone = np.flatnonzero((held[at] == 0) & (at > 0))
+        while len(gone):  # groups whose members have all moved
+            at[gone] = next_ = below[at[gone]]
+            gone = gone[(held[next_] == 0) & (next_ > 0)]
         at = at[at > 0]
     # Ascending sweep of every text at once: the suffix before each found one is the next of its group, then along the pointers.
     groups = np.concatenate(order[::-1])
@@ -163,21 +183,24 @@ def suffix_arrays(buf: np.ndarray, first: np.ndarray) -> np.ndarray:
     groups = groups[np.argsort(whose[groups], kind="stable")]
     starts = np.zeros(room, np.int64)
     starts[groups] = np.cumsum(held[groups]) - held[groups]
-    out, placed = np.zeros(n, np.int64), np.zeros(size, bool)
-    live = np.flatnonzero(lens > 0)
-    j, x, end = place[first[live + 1] - 1], first[live] - 1, first[live + 1] - 1
-    while len(j):
-        g = group[j]
-        go = (g > 0) & ~placed[j]
-        a = j[go]
-        out[starts[g[go]]] = a
-        starts[g[go]] += 1
-        placed[a] = True
-        stay = ~go
-        x[stay] += 1
-        j[go] = smaller[a]
-        on = x <= end
-        if not on.all():
-            j, x, end, stay = j[on], x[on], end[on], stay[on]
-        j[stay] = out[x[stay]] - 1
+    out, placed = np.zeros(n, np.int64), np.zeros(size + 1, bool)
+    placed[first + np.arange(m + 1)] = True  # the walls
+    by = np.argsort(-lens, kind="stable")
+    x, left = first[:-1][by], lens[by]
+    j = place[np.maximum(first[1:][by] - 1, 0)]
+    for step in range(int(lens.max()) + 1):
+        if step:
+            on = int(np.searchsorted(-left, -step, "right"))  # texts with a suffix of this rank
+            j = out[x[:on] + (step - 1)] - 1
+        else:
+            j = j[left > 0]
+        j = j[~placed[j]]
+        while len(j):
+            g = group[j]
+            a = starts[g]
+            out[a] = j
+            starts[g] = a + 1
+            placed[j] = True
+            j = smaller[j]
+            j = j[~placed[j]]
     return out - np.repeat(np.arange(m), lens) - 1

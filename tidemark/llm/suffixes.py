@@ -3,10 +3,10 @@
 A string of 50 bytes belongs to the smallest hash of its 31 grams of 20 bytes, its key: equal strings have equal keys.
 Consecutive strings of one key form a run, about 16 strings. Only keys found in two documents or more matter: hashes
 choose what is compared, and decide nothing. The texts of the runs of such keys meet by key. Byte-equal ones (compared
-byte by byte) are one text, for which two stand: that of the smallest id, and a later one. All texts of a key are sorted
-by suffix array; in it equal strings lie side by side, and the least id of each such stretch is the first document that
-holds the string. A byte goes if a string that covers it has a first document with a smaller id. Nothing is removed but
-by that order; the arrays of many keys are built side by side (gsaca.suffix_arrays), those of large ones one by one.
+byte by byte) are one text with its smallest id. All texts of a key are sorted by suffix array; in it equal strings lie
+side by side, and the least id of each such stretch is the first document that holds the string. A byte goes if a string
+that covers it has a first document with a smaller id. Nothing is removed but by that order; the arrays of many keys are
+built side by side (gsaca.suffix_arrays), those of large ones one by one.
 
 A key that more than `hot` segments of 1 MB hold (a line that a third of all documents have) is split: its strings are
 dealt one by one by their hashes, over all buckets, and sorted there with those that share their first bytes.
@@ -31,8 +31,8 @@ from .gsaca import suffix_array, suffix_arrays
 
 GRAM = 20
 HOT = 4096  # segments that hold a key whose strings are dealt one by one
-SIDE, ALIKE = 96, 1.5  # so many texts of sizes within that factor are sorted side by side
-BATCH = 1 << 19  # bytes sorted side by side
+SIDE, ALIKE = 48, 1.5  # so many texts of sizes within that factor are sorted side by side
+BATCH = 1 << 17  # bytes sorted side by side
 STEP = 1 << 17
 
 
@@ -103,13 +103,20 @@ class Runs:
 
 
 def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """Whether buf[a:a + len] and buf[b:b + len] hold the same bytes, for each pair."""
-    same, todo, at = np.ones(len(a), bool), np.flatnonzero(lens > 0), 0
+    """Whether buf[a:a + len] and buf[b:b + len] hold the same bytes, for each pair; eight bytes at a time."""
+    words = np.zeros(len(buf), np.uint64)
+    for i in range(8):
+        words <<= np.uint64(8)
+        words[: len(buf) - i] |= buf[i:]
+    same, todo = np.ones(len(a), bool), np.flatnonzero(lens > 0)
+    left = lens[todo].astype(np.int64)
+    x, y = np.asarray(a)[todo].astype(np.int64), np.asarray(b)[todo].astype(np.int64)
     while len(todo):
-        equal = buf[a[todo] + at] == buf[b[todo] + at]
+        over = np.clip(8 - left, 0, 8).astype(np.uint64) * np.uint64(8)  # bits behind the end
+        equal = (words[x] ^ words[y]) >> over == 0
         same[todo[~equal]] = False
-        at += 1
-        todo = todo[equal & (lens[todo] > at)]
+        go = equal & (left > 8)
+        todo, left, x, y = todo[go], left[go] - 8, x[go] + 8, y[go] + 8
     return same
 
 
@@ -227,13 +234,9 @@ def _sort_texts(width: int):
         apart = ~same_bytes(body, start[by], start[by[first]], z * ~new)
         new |= apart
         first = np.where(apart, np.arange(len(by)), first)
-        stands = new.copy()  # in the arrays: each text's first, and one later
-        late = np.flatnonzero(who > who[first])
-        _, place = np.unique(first[late], return_index=True)
-        stands[late[place]] = True
-        reps = np.flatnonzero(stands)
+        reps = np.flatnonzero(new)  # each text stands once in the arrays, with its smallest id
         least = first_holders(body, start[by[reps]], z[reps], k[reps], who[reps], width)
-        # Every row asks by the strings of its text's first stand-in.
+        # Every row asks by the strings of its text.
         count = z - width + 1
         edge = np.cumsum(count[reps]) - count[reps]
         of = np.searchsorted(reps, first)
