@@ -249,21 +249,39 @@ def test_byte_bpe_matches_library(spark):
 
 
 def test_token_counts_match_library(spark):
-    tk = token_counts.tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tk = token_counts.tokenizer(path)
     rng = random.Random(7)
-    letters = "abcdefgh  \nÉé́'st123!?<|endoftext|> "
-    for n in range(120):
+    scripts = ["abcdefgh  \nÉé\u0301'st123!?<|endoftext|> ", "中文字漢語的是不了人", "'s't're!?.,''", "éêñ\u0301\u0302한국어\u1100\u1161\u11a8", "İiςσΣABC", "12 34'd'll", "🙂👩\u200d ️x"]
+    for n in range(400):
+        letters = "".join(rng.sample(scripts, 2)) if n % 2 else rng.choice(scripts)
         t = "".join(rng.choices(letters, k=rng.randint(0, 700)))
-        t = t.replace(" ", "").replace("\n", "") if n % 5 == 0 else t  # no stable boundary: chunks are joined
+        t = t + "<|endoftext|>" + t if n % 7 == 0 else t
         want = len(tk.encode(t, add_special_tokens=False).ids)
-        assert token_counts.count_long(tk, t, 50, 8) == want and token_counts.count_long(tk, t, 120, 30) == want
-    rows = corpus(8) + [(900, "<|endoftext|> wörd " * 9000, 1, "x")]
-    for r in token_counts.token_counts(frame(spark, rows), public_tokenizers.path("word_bpe_49k.json")).collect():
-        if r.doc_id == 900:
-            assert r.n_tokens == len(tk.encode(rows[-1][1], add_special_tokens=False).ids) and r.over_limit and r.n_bytes == len(rows[-1][1].encode())
-        if r.doc_id in (202, 203, 204):
-            assert r.n_tokens == 0 and not r.over_limit
-    assert token_counts.token_counts(empty(spark), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+        assert all(token_counts.count_long(tk, t, *size) == want for size in ((50, 8), (120, 30), (64, 40))), t
+    rows = corpus(8) + [(900, "<|endoftext|> wörd " * 9000, 1, "x"), (901, "漢語" * 20000, 1, "x"), (None, "a b", 1, "x")]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):  # the second one isn't spliced
+        tk = token_counts.tokenizer(public_tokenizers.path(name))
+        assert token_counts.fits(public_tokenizers.path(name)) == (name == "word_bpe_49k.json")
+        odd = spark.createDataFrame([(d, t, 5, "n") for d, t, *_ in rows], "doc_id long, text string, n_tokens int, over_limit string")
+        got = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts.token_counts(odd, public_tokenizers.path(name)).collect())
+        counts = [len(tk.encode(t or "", add_special_tokens=False).ids) for _, t, *_ in rows]
+        assert got == sorted((str(d), len((t or "").encode()), n, n > 2048) for (d, t, *_), n in zip(rows, counts))
+    assert token_counts.token_counts(empty(spark), path).count() == 0
+
+
+def test_token_counts_take_linear_time():
+    """A text without white space is spliced inside its one word: no chunk is joined to another."""
+    tk = token_counts.tokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    text, sizes = "".join(random.Random(1).choices("中文字漢語的是不了人", k=100_000)), []
+    plain = token_counts._encode
+    try:
+        token_counts._encode = lambda tk, t, a, b: sizes.append(b - a) or plain(tk, t, a, b)
+        count = token_counts.count_long(tk, text)
+    finally:
+        token_counts._encode = plain
+    assert count == len(tk.encode(text, add_special_tokens=False).ids)
+    assert max(sizes) <= 2 * token_counts.CHUNK and sum(sizes) <= 1.2 * len(text)
 
 
 def test_warc_round_trip(spark, tmp_path):
