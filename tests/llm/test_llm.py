@@ -5,7 +5,6 @@ import hashlib
 import itertools
 import random
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -299,12 +298,34 @@ def test_warc_round_trip(spark, tmp_path):
         want.append(str((p, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "response" if p == first else "revisit", None if p == first else first)))
     assert sorted(str((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)) for r in got) == sorted(want)
     assert {r.url for r in got if r.page_id == 3} == {"u%0D%0AX: y", "again"}
+    # the chunk table: no piece is longer than asked for, and together they are the payload
+    pieces = {}
+    for r in warc.chunk_table(pages, size=64).collect():
+        assert len(r.chunk) <= 64 and (r.digest is not None) == (r.chunk_no == r.n_chunks - 1)
+        pieces.setdefault(r.record, {})[r.chunk_no] = bytes(r.chunk)
+    assert sorted(b"".join(c[i] for i in range(len(c))) for c in pieces.values()) == sorted((h or "").encode() for *_, h in rows)
+    segments = warc.read_segments(spark, str(tmp_path / "w")).where("segment is not null").collect()
+    assert segments and all(len(r.chunk) <= 64 for r in segments)
     warc.write_archives(pages.where("false"), str(tmp_path / "e"))
+    assert warc.read_records(spark, str(tmp_path / "e")).count() == 0
+    odd = pages.selectExpr("page_id", "url", "html", "1 as record", "'x' as digest", "2 as chunk_no")
+    warc.write_archives(odd, str(tmp_path / "o"), size=64)
+    assert sorted(map(str, warc.read_records(spark, str(tmp_path / "o")).collect())) == sorted(map(str, got))
     with pytest.raises(ValueError):
-        list(warc.records(zlib.compress(b"x", wbits=31)))
-    # a member for each record, as other writers do
-    members = b"".join(zlib.compress(f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {n}\r\n\r\n".encode() + b"x" * n + b"\r\n\r\n", wbits=31) for n in (3, 0, 5))
-    assert [b"".join(body) for _, body in warc.records(members)] == [b"xxx", b"", b"xxxxx"]
+        list(warc.records([b"x"]))
+    # blocks that end anywhere, as lines of a stream do
+    members = b"".join(f"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: {n}\r\n\r\n".encode() + b"x" * n + b"\r\n\r\n" for n in (3, 0, 5))
+    for step in (1, 7, 1000):
+        blocks = (members[i : i + step] for i in range(0, len(members), step))
+        assert [b"".join(body) for _, body in warc.records(blocks)] == [b"xxx", b"", b"xxxxx"]
+
+
+def test_warc_finds_a_missing_segment(spark):
+    row = {"origin": "a", "page_id": 1, "url": None, "record_type": "response", "refers_to": None, "carried": "", "length": 2, "n": None, "digest": None, "chunk": b"x"}
+    for numbers in ((2,), (1, 3), (1, 1)):
+        batch = pa.RecordBatch.from_pylist([row | {"segment": n} for n in numbers], schema=warc._SEGMENTS)
+        with pytest.raises(ValueError):
+            list(warc._assemble(iter([batch])))
 
 
 def test_nearest_neighbours(spark):
