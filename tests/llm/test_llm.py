@@ -346,6 +346,10 @@ def test_nearest_neighbours(spark):
         assert np.allclose([x for _, x in found], d[[i for i, _ in found]] @ d[q])
         hits += len(set(order) & {i for i, _ in found})
     assert hits / (20 * len(got)) >= 0.9
+    # leaves dealt over a grid of vectors and queries give the same; columns named like those used inside don't matter
+    odd = frame_.selectExpr("vec_id", "embedding", "1 as id", "'x' as vector", "2 as leaf", "3 as q")
+    dealt = sorted(map(tuple, forest.search(odd, "vec_id % 20 = 0", leaf_rows=200, sample=64, leaf_queries=20).collect()))
+    assert dealt == sorted(map(tuple, forest.search(frame_, "vec_id % 20 = 0", leaf_rows=2000, sample=64).collect()))
     few = forest.search(spark.createDataFrame(rows[:5], "vec_id long, embedding array<float>"), "vec_id % 20 = 0").collect()
     assert [r.rank for r in few] == [1, 2, 3, 4]
     assert forest.search(frame_.where("false"), "true").count() == 0

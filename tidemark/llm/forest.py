@@ -8,17 +8,19 @@ what they hold is scored exactly, in double precision, on the original vectors.
 
 On directionless data (random unit vectors, 64 dimensions) no index prunes much: recall above 0.9 at 20 takes more than half of
 all vectors. Lower `probe` where vectors cluster. Leaves hold about `leaf_rows` vectors; if the sample is too small for so
-many leaves, each is dealt over several tasks and its queries go to all of them.
+many leaves, each is dealt over a grid of tasks: shares of its vectors (4 times `leaf_rows` at most) by shares of its
+queries (`leaf_queries` on average), so neither side of a group grows with the table.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part; equal scores go to the smaller id; rows with one id and several vectors are entries of their own; an empty table
-gives no rows; a query's own id is never among its results.
+gives no rows; a query's own id is never among its results. Other columns may have any names, those used here included.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import mix, stored
 
-TREES, LEAF_ROWS, SAMPLE, PROBE = 8, 1000, 1 << 16, 1.25
+TREES, LEAF_ROWS, LEAF_QUERIES, SAMPLE, PROBE = 8, 1000, 1 << 14, 1 << 16, 1.25
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -144,7 +146,7 @@ def _merge(k: int):
     return run
 
 
-def search(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = TREES, leaf_rows: int = LEAF_ROWS, sample: int = SAMPLE, probe: float = PROBE) -> DataFrame:
+def search(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = TREES, leaf_rows: int = LEAF_ROWS, leaf_queries: int = LEAF_QUERIES, sample: int = SAMPLE, probe: float = PROBE) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest found for each row that the SQL condition `queries` holds for."""
     spark = vectors.sparkSession
     good = "vector is not null and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(vector, x -> x <> 0)"
@@ -162,32 +164,35 @@ def search(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id"
     forest = spark.sparkContext.broadcast(Forest(np.stack(fit.to_list()).astype(float), trees, depth))
     probes = max(1, math.ceil(probe * 2**depth)) if depth else 1
     trees_used = trees if depth else 1  # one leaf holds all
+    asking = rows.where("__asks").select("id", "vector").distinct()
+    asked = asking.groupBy("vector").agg(F.min("id").alias("q"))
+    n_asked = asked.count()
+    shares = max(1, math.ceil(n_asked * probes / (trees_used * 2**depth) / leaf_queries))  # tasks that share a leaf's queries
 
     def index(batches):
         for batch in batches:
             v = np.stack(batch.column(0).to_pylist()).astype(float) if batch.num_rows else np.zeros((0, 1))
             leaf = forest.value.leaves(v)[:, :trees_used] if batch.num_rows else np.zeros((0, trees_used), np.int64)
-            packed, which = pa.array([x.tobytes() for x in v], pa.binary()), np.repeat(np.arange(len(v)), trees_used)
-            salt = which % deal
-            yield pa.RecordBatch.from_arrays([pa.array(leaf.ravel() * deal + salt), batch.column(1).take(pa.array(which)), packed.take(pa.array(which))], names=["leaf", "ids", "vector"])
+            packed, which = pa.array([x.tobytes() for x in v], pa.binary()), np.repeat(np.arange(len(v)), trees_used * shares)
+            salt = np.random.default_rng(zlib.crc32(v.tobytes())).integers(0, deal, len(v))  # the same if the task runs again
+            cell = (np.repeat(leaf.ravel(), shares) * deal + salt[which]) * shares + np.tile(np.arange(shares), leaf.size)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(1).take(pa.array(which)), packed.take(pa.array(which))], names=["leaf", "ids", "vector"])
 
     def ask(batches):
         for batch in batches:
             out: dict[str, list] = {"leaf": [], "q": [], "vector": []}
-            for q, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for q, turn, v in zip(batch.column(0).to_pylist(), _part(batch.column(0).to_numpy(), shares).tolist(), batch.column(1).to_pylist()):
                 v = np.array(v, float)
                 for leaf in forest.value.probe(v, probes)[:probes]:
                     for salt in range(deal):
-                        out["leaf"].append(leaf * deal + salt)
+                        out["leaf"].append((leaf * deal + salt) * shares + turn)
                         out["q"].append(q)
                         out["vector"].append(v.tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("leaf", pa.int64()), ("q", pa.int64()), ("vector", pa.binary())]))
 
-    asking = rows.where("__asks").select("id", "vector").distinct()
-    asked = asking.groupBy("vector").agg(F.min("id").alias("q"))
     leaves = entries.select("vector", "ids").mapInArrow(index, "leaf long, ids array<bigint>, vector binary")
     calls = asked.select("q", "vector").mapInArrow(ask, "leaf long, q long, vector binary")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(asked.count() * probes * deal * (k + 1) / (1 << 20)))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_asked * probes * deal * (k + 1) / (1 << 20)))
     found = leaves.groupBy("leaf").cogroup(calls.groupBy("leaf")).applyInArrow(lambda a, b: _nearest(b, a, k + 1, parts), "part long, q binary, s binary, id binary")
     merged = found.groupBy("part").applyInArrow(_merge(k + 1), "q long, s array<double>, id array<bigint>")
     results = asked.join(merged, "q").selectExpr("vector", "arrays_zip(s, id) as hits")
