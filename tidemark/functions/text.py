@@ -10,25 +10,19 @@ CHARS_PER_TOKEN = 2.6
 # Elements that end a line, elements that vanish without a space, and the entities decoded by name.
 BLOCK_TAGS = "address article aside blockquote br caption dd div dl dt figcaption footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead title tr ul".split()
 INLINE_TAGS = "a abbr b big em font i ins del s small span strike strong sub sup tt u".split()
-ENTITIES = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
+ENTITIES = {"nbsp": "\u00a0", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "mdash": "—", "ndash": "–", "rsquo": "’", "lsquo": "‘", "rdquo": "”", "ldquo": "“", "hellip": "…", "bull": "•", "middot": "·", "copy": "©", "reg": "®", "trade": "™", "sect": "§", "para": "¶", "deg": "°", "plusmn": "±", "times": "×", "divide": "÷", "minus": "−", "frac12": "½", "euro": "€", "pound": "£", "yen": "¥", "cent": "¢", "dagger": "†", "eacute": "é", "egrave": "è", "uuml": "ü", "ouml": "ö", "auml": "ä", "szlig": "ß", "ntilde": "ñ", "ccedil": "ç", "amp": "&"}
 
-# Spellings of units, and numbers that state no quantity (dates, periods, forms, ordinals, identifiers).
+# Spellings of units and their scale, and words before a number that make it a reference or a day.
 UNITS = {"percent": "%", "points": "pt", "point": "pt", "pp": "pt", "bps": "bp", "bp": "bp", "×": "x", "million": "M", "m": "M", "billion": "B", "bn": "B", "b": "B", "thousand": "K", "k": "K"}
 SCALES = {"K": 1e-3, "M": 1.0, "B": 1e3}
-NOT_FIGURES = [
-    r"\[src:[^\]]*\]",
-    r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b",
-    r"\b(?:FY|CY)[0-9]{4}(?:Q[1-4])?\b",
-    r"\bQ[1-4]\b",
-    r"\b(?:10|20|40)-[KQF]\b|\b[68]-K\b",
-    r"\b(?:Exhibits?|Items?|Notes?|Parts?) [0-9]+(?:\.[0-9]+)?[A-Z]?\b",
-    r"\b[0-9]+(?:st|nd|rd|th)\b",
-    r"\b[0-9]+-(?:year|day|week|month|quarter|minute)s?\b",
-    r"\b(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[a-z]*\.? [0-9]{1,2}(?:,? [0-9]{4})?\b",
-    r"\b[A-Z]{1,6}-?[A-Z]{0,3}[0-9]{1,3}\b",
-    r"\b[0-9]{10}-[0-9]{2}-[0-9]{6}\b",
-]
-FIGURE = r"(?<![0-9A-Za-z_.])[−-]?\$?(?:\([0-9][0-9,]*(?:\.[0-9]+)?\)|[0-9][0-9,]*(?:\.[0-9]+)?)(?: ?(?:%|percent\b|bps?\b|x\b|×|points?\b|pp\b|[MBK]\b|bn\b|million\b|billion\b|thousand\b))?"
+REFERENCES = "item items note notes part parts exhibit exhibits page pages section figure table chapter".split()
+MONTHS = "january february march april may june july august september october november december jan feb mar apr jun jul aug sep sept oct nov dec".split()
+
+# The shape of a word that is a quantity: a sign, a currency, digits, a unit. What else holds digits (dates, identifiers,
+# forms, ordinals, "30-day") has another shape and is none.
+DIGITS = r"(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:[.][0-9]+)?"
+ATTACHED = r"(?:%|[xX×]|bps?|pp|pts?|bn|[MBKmbk])"
+BEFORE, BEHIND = "[\\[\"“‘']+", "[\\].,;:!?\"”’']+"
 
 
 def _col(c: Column | str) -> Column:
@@ -85,17 +79,32 @@ def collapse(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(_col(text), r"[ \t\n\x0B\f\r]+", " "))
 
 
+def unescape(text: Column | str) -> Column:
+    """Character references decoded: the named ones of ENTITIES, decimal and hexadecimal ones. Unknown ones stay; what a
+    decoded ampersand begins isn't decoded again."""
+    parts = F.split(_col(text), "&")
+    named = F.create_map(*(F.lit(x) for kv in ENTITIES.items() for x in kv))
+
+    def part(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, "^([A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});", 1)
+        code = F.when(name.rlike("^#[xX]"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(F.startswith(name, F.lit("#")), F.substr(name, F.lit(2))).try_cast("int")
+        sign = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.element_at(named, F.when(name != "", name)))
+        rest = F.substr(p, F.length(name) + 2)
+        return F.when(i == 0, p).when(sign.isNotNull(), F.concat(sign, rest)).otherwise(F.concat(F.lit("&"), p))
+
+    return F.array_join(F.transform(parts, part), "")
+
+
 def html_to_text(html: Column | str) -> Column:
-    """Visible text, one line a block: head, scripts and styles go, inline tags leave no space, entities are decoded."""
-    t = F.regexp_replace(_col(html), r"(?is)<(script|style|head)\b.*?</\1[ \t\r\n]*>", " ")
-    t = F.regexp_replace(t, r"[ \t\n\x0B\f\r]+", " ")
-    t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})\b[^>]*>", "\n")
-    t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(INLINE_TAGS)})\b[^>]*>", "")
-    t = F.regexp_replace(t, "<[^>]*>", " ")
-    for name, plain in ENTITIES.items():
-        t = F.replace(t, F.lit(f"&{name};"), F.lit(plain))
-    t = F.replace(t, F.lit(" "), F.lit(" "))
-    lines = F.transform(F.split(t, "\n"), lambda x: F.trim(F.regexp_replace(x, r"[ \t\r\f\x0B]+", " ")))
+    """Visible text, one line a block: head, scripts, styles and inline metadata headers go, inline tags leave no space,
+    character references are decoded."""
+    squeezed = lambda c: F.regexp_replace(c, r"[ \t\n\x0B\f\r\xA0]+", " ")
+    body = squeezed(F.regexp_replace(_col(html), r"(?is)<(script|style|head|ix:header)\b.*?</\1[ \t\r\n]*>", " "))
+    # One split at tags: a piece begins with the rest of its tag, whose name says what the tag leaves.
+    name = lambda p: F.lower(F.regexp_extract(p, "^/?([A-Za-z][A-Za-z0-9:]*)[^>]*>", 1))
+    left = lambda p: F.when(name(p).isin(*BLOCK_TAGS), "\n").when(name(p).isin(*INLINE_TAGS), "").otherwise(" ")
+    pieces = F.transform(F.split(body, "<"), lambda p, i: F.when((i == 0) | ~p.contains(">"), F.when(i == 0, p).otherwise(F.concat(F.lit("<"), p))).otherwise(F.concat(left(p), F.substr(p, F.instr(p, F.lit(">")) + 1))))
+    lines = F.transform(F.split(unescape(F.array_join(pieces, "")), "\n"), lambda x: F.trim(squeezed(x)))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 
@@ -121,23 +130,37 @@ def parse_number(text: Column | str) -> Column:
 
 
 def figures(text: Column | str) -> Column:
-    """The quantities in a text, in order: array of struct(text, value, unit, decimals). Years and the patterns of
-    NOT_FIGURES are left out; a minus sign or accounting parentheses make a value negative."""
-    masked = F.regexp_replace(_col(text), "|".join(NOT_FIGURES), " ")
-    found = F.regexp_extract_all(masked, F.lit(f"({FIGURE})"), F.lit(1))
-
-    def parts(m: Column) -> Column:
-        number = F.regexp_replace(F.regexp_extract(m, "[0-9][0-9,]*(?:[.][0-9]+)?", 0), ",+$", "")
-        unit = F.lower(F.regexp_extract(m, "[0-9)] ?([^0-9)., ]+)$", 1))
-        short = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for kv in UNITS.items() for x in kv)), unit), unit)
-        value = F.regexp_replace(number, ",", "").cast("double")
-        negative = m.rlike(r"^[−-]") | m.contains("(")
+    """The quantities in a text, in order: array of struct(text, value, unit, decimals).
+
+    Words are judged by their shape and by their neighbours: a quantity stands alone in its word, but for a sign, a
+    dollar sign, accounting parentheses (which make it negative, as a minus does) and a unit, attached or the next word. It
+    is none behind a word of reference ("Item 7") or a month's name, nor is a bare year. Source tags in brackets are no text.
+    """
+    words = F.filter(F.split(F.regexp_replace(_col(text), r"\[src:[^\]]*\]", " "), "[ \t\r\n]+"), lambda w: w != "")
+    strip = lambda w: F.regexp_replace(F.regexp_replace(w, f"^{BEFORE}", ""), f"{BEHIND}$", "")
+    account = rf"^[$]?[(][$]?({DIGITS})[)]({ATTACHED})?$"
+    plain = rf"^[(]?([−-]?)[$]?({DIGITS})({ATTACHED})?[)]?$"
+
+    def part(w: Column, before: Column, after: Column) -> Column:
+        core = strip(w)
+        negative = core.rlike(account)
+        number = F.when(negative, F.regexp_extract(core, account, 1)).otherwise(F.regexp_extract(core, plain, 2))
+        own = F.when(negative, F.regexp_extract(core, account, 2)).otherwise(F.regexp_extract(core, plain, 3))
+        named = F.create_map(*(F.lit(x) for kv in UNITS.items() for x in kv))
+        next_ = F.lower(F.regexp_replace(strip(after), "[)]+$", ""))
+        written_unit = F.when(own != "", F.lower(own)).when(w.rlike("[0-9)]$") & next_.isin(*[u for u in UNITS if len(u) > 1]), next_).otherwise("")
+        unit = F.coalesce(F.element_at(named, written_unit), written_unit)
+        lead = F.lower(F.regexp_replace(strip(before), "[.(]", ""))
+        year = number.rlike("^(?:19|20)[0-9]{2}$") & (unit == "") & ~core.contains("$") & ~negative
+        day = lead.isin(*MONTHS) & number.rlike("^[0-9]{1,2}$") & (unit == "")
+        kept = (negative | core.rlike(plain)) & ~year & ~day & ~(lead.isin(*REFERENCES) & (unit == ""))
+        value = F.regexp_replace(number, ",", "").try_cast("double")
+        minus = negative | (F.regexp_extract(core, plain, 1) != "")
         decimals = F.when(number.contains("."), F.length(F.substring_index(number, ".", -1))).otherwise(0)
-        return F.struct(F.trim(m).alias("text"), F.when(negative, -value).otherwise(value).alias("value"), short.alias("unit"), decimals.alias("decimals"), number.alias("number"))
+        return F.when(kept, F.struct(core.alias("text"), F.when(minus, -value).otherwise(value).alias("value"), unit.alias("unit"), decimals.alias("decimals")))
 
-    year = lambda f: f["number"].rlike("^(?:19|20)[0-9]{2}$") & (f["unit"] == "") & ~f["text"].contains("$")
-    kept = F.filter(F.transform(found, parts), lambda f: ~year(f))
-    return F.transform(kept, lambda f: F.struct(f["text"].alias("text"), f["value"].alias("value"), f["unit"].alias("unit"), f["decimals"].alias("decimals")))
+    near = lambda i: F.coalesce(F.get(words, i), F.lit(""))
+    return F.array_compact(F.transform(words, lambda w, i: F.when(w.rlike("[0-9]"), part(w, near(i - 1), near(i + 1)))))
 
 
 def distinctive(figure_text: Column | str) -> Column:
@@ -165,16 +188,23 @@ def front_matter(text: Column | str) -> Column:
 
 
 def headings(text: Column | str, level: int) -> Column:
-    """Markdown sections of a level: array of struct(title, body), text above the first heading under an empty title."""
-    t = F.concat(F.lit("\n"), _col(text))
-    parts = F.split(t, rf"\n(?=#{{{level}}} )")
-    mark = F.lit("#" * level + " ")
-    return F.transform(
-        parts,
-        lambda p: F.when(F.startswith(p, mark), F.struct(F.trim(F.substring_index(F.substr(p, F.lit(level + 2)), "\n", 1)).alias("title"), F.when(p.contains("\n"), F.substr(p, F.instr(p, F.lit("\n")) + 1)).otherwise(F.lit("")).alias("body"))).otherwise(
-            F.struct(F.lit("").alias("title"), F.regexp_replace(p, "^\n", "").alias("body"))
-        ),
-    )
+    """Markdown sections of a level: array of struct(title, body), text above the first heading under an empty title.
+    What looks like a heading between lines of ``` is text."""
+    numbered = F.transform(F.split(_col(text), "\n"), lambda x: F.struct(x.alias("x"), x.rlike("^ {0,3}```").alias("fence")))
+    mark = "#" * level + " "
+    empty = "array<struct<title:string,lines:array<string>>>"
+    start = F.struct(F.lit(False).alias("inside"), F.array(F.struct(F.lit("").alias("title"), F.array().cast("array<string>").alias("lines"))).cast(empty).alias("done"))
+
+    def step(at, line):
+        opens = ~at["inside"] & ~line["fence"] & F.startswith(line["x"], F.lit(mark))
+        last = F.element_at(at["done"], -1)
+        grown = F.struct(last["title"].alias("title"), F.array_append(last["lines"], line["x"]).alias("lines"))
+        more = F.array_append(F.slice(at["done"], F.lit(1), F.size(at["done"]) - 1), grown)
+        fresh = F.array_append(at["done"], F.struct(F.trim(F.substr(line["x"], F.lit(level + 2))).alias("title"), F.array().cast("array<string>").alias("lines")))
+        return F.struct((at["inside"] != line["fence"]).alias("inside"), F.when(opens, fresh).otherwise(more).cast(empty).alias("done"))
+
+    found = F.aggregate(numbered, start, step)["done"]
+    return F.transform(found, lambda s: F.struct(s["title"].alias("title"), F.array_join(s["lines"], "\n").alias("body")))
 
 
 def content_hash(text: Column | str) -> Column:

@@ -55,16 +55,22 @@ def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = P
     return F.when(~single, F.try_element_at(found, F.lit(1)))
 
 
-def singled_out(figures: DataFrame, numbers: DataFrame, by: list[str], key: str, value: str, decimals: str, number: str) -> DataFrame:
+def singled_out(figures: DataFrame, numbers: DataFrame, by: list[str], key: str, value: str, decimals: str, number: str, label: str | None = None, window: str | None = None) -> DataFrame:
     """key, found, slips of every figure: whether its source (by) has its number, and whether it has the number one unit
-    of the last digit up or down, so that a match proves little. Numbers meet figures in bins of the figure's own width."""
+    of the last digit up or down, so that a match proves little. With label (stems of the figure's own name) and window
+    (stems around the number in the source) only numbers that stand next to a word of the label count, for slips too; a
+    figure without a label is never found. Numbers meet figures in bins of the figure's own width."""
     unit = F.pow(F.lit(10.0), -F.col(decimals))
     cell = F.floor(F.abs(F.col(value)) / unit + 0.5)
     fig = figures.withColumn("__cell", cell).withColumn("__bin", F.explode(F.sequence(F.col("__cell") - 2, F.col("__cell") + 2)))
-    widths = figures.select(F.col(decimals).cast("int").alias("__d")).distinct()  # a handful of rows: digits after the point
-    src = numbers.select(*by, F.abs(F.col(number)).alias("__n")).distinct().join(F.broadcast(widths)).withColumn("__bin", F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__d")) + 0.5))
+    places = range(16)  # digits a double can have behind its point: a constant, so no table of widths is sent about
+    around = [F.col(window).alias("__around")] if window else []
+    src = numbers.select(*by, F.abs(F.col(number)).alias("__n"), *around).distinct()
+    wide = figures.agg(F.collect_set(F.when(F.col(decimals).between(0, places[-1]), F.col(decimals).cast("int"))).alias("w")).first()["w"]  # at most 16 numbers
+    src = src.withColumn("__d", F.explode(F.array(*(F.lit(d) for d in sorted(wide))).cast("array<int>"))).withColumn("__bin", F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__d")) + 0.5))
     met = fig.withColumn("__d", F.col(decimals).cast("int")).join(src, [*by, "__bin", "__d"])
-    at = lambda shift: F.abs(F.abs(F.col(value)) + shift * unit - F.col("__n")) <= 0.5 * unit + 1e-9
+    beside = F.coalesce(F.arrays_overlap(F.col(label), "__around"), F.lit(False)) if label and window else F.lit(True)
+    at = lambda shift: beside & (F.abs(F.abs(F.col(value)) + shift * unit - F.col("__n")) <= 0.5 * unit + 1e-9)
     flags = met.groupBy(key).agg(F.bool_or(at(0)).alias("found"), F.bool_or(at(1) | at(-1)).alias("slips"))
     return figures.select(key).join(flags, key, "left").select(key, F.coalesce("found", F.lit(False)).alias("found"), F.coalesce("slips", F.lit(False)).alias("slips"))
 

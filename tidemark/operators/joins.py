@@ -79,19 +79,47 @@ def words_of(c: Column) -> Column:
     return F.filter(F.split(F.trim(F.regexp_replace(c, r"[ \t\n\x0B\f\r]+", " ")), " "), lambda w: w != "")
 
 
-def containment_join(quotes: DataFrame, units: DataFrame, quote: str, text: str, order: list[str], quote_key: str) -> DataFrame:
-    """Each quote with the first unit (by order) whose text holds it. Both are compared with white space collapsed.
-
-    The second to fourth word of a quote stand whole in any text that holds it, so they are the join key; quotes of fewer
-    than five words match nothing here.
-    """
-    q = quotes.withColumn("__w", words_of(F.col(quote))).where("size(__w) >= 5").withColumn("__k", F.expr("array_join(slice(__w, 2, 3), ' ')")).withColumn("__q", F.array_join("__w", " "))
-    u = units.withColumn("__w", words_of(F.col(text))).withColumn("__t", F.array_join("__w", " "))
-    keys = "explode(array_distinct(transform(sequence(1, greatest(size(__w) - 2, 1)), i -> array_join(slice(__w, i, 3), ' '))))"
-    u = u.select(*units.columns, "__t", F.expr(keys).alias("__k"))
-    hit = q.select(*quotes.columns, "__q", "__k").join(u, "__k").where(F.expr("contains(__t, __q)"))
-    first = Window.partitionBy(quote_key).orderBy(*order)
-    return hit.withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n", "__q", "__t", "__k")
+TRIPLE, PAIR, GRAM = 5, 3, 6  # words from which an anchor is three of them, or one; characters of any other anchor
+
+
+def _anchor(text: str) -> Column:
+    """What any text that holds this one must hold at a place of its own: its second to fourth word; of three or four words
+    the longest inner one; else, in scripts without blanks too, six characters from the fourth on."""
+    words = F.split(F.col(text), " ")
+    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inner, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    triple = F.concat(F.lit("t"), F.array_join(F.slice(words, 2, 3), " "))
+    return F.when(F.size(words) >= TRIPLE, triple).when(F.size(words) >= PAIR, F.concat(F.lit("w"), longest)).otherwise(F.concat(F.lit("c"), F.substring(F.col(text), 4, GRAM)))
+
+
+def _within(inner: DataFrame, inner_key: list[str], outer: DataFrame, outer_key: list[str], text: str) -> DataFrame:
+    """inner_key and outer_key of texts of `inner` that a text of `outer` holds. Only keys and anchors meet; texts are fetched
+    for the pairs that share an anchor."""
+    asked = inner.select(*inner_key, _anchor(text).alias("__k"))
+    kinds = {
+        "t": F.regexp_extract_all(text, F.lit("(?<![^ ])(?=([^ ]+ [^ ]+ [^ ]+))"), F.lit(1)),
+        "w": F.split(F.col(text), " "),
+        "c": F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)),  # at every place, in one pass
+    }
+    met = []
+    for kind, keys in kinds.items():
+        own = asked.where(F.col("__k").startswith(kind))
+        held = outer.select(*outer_key, F.explode(F.array_distinct(keys)).alias("__w")).select(*outer_key, F.concat(F.lit(kind), "__w").alias("__k"))
+        met.append(own.join(held, "__k").select(*inner_key, *outer_key))
+    pairs = reduce(DataFrame.unionByName, met)
+    both = pairs.join(inner.select(*inner_key, F.col(text).alias("__a")), inner_key).join(outer.select(*outer_key, F.col(text).alias("__b")), outer_key)
+    return both.where(F.expr("contains(__b, __a)")).select(*inner_key, *outer_key)
+
+
+def containment_join(quotes: DataFrame, units: DataFrame, quote: str, text: str, order: list[str], quote_key: str, least: int = 12, whole_unit: int = 36) -> DataFrame:
+    """Each quote with the first unit (by order, which identifies units) whose text holds it, or which of over `whole_unit`
+    characters stands in the quote. White space is collapsed; quotes under `least` characters match nothing."""
+    squeeze = lambda c: F.trim(F.regexp_replace(F.col(c), r"[ \t\n\x0B\f\r]+", " "))
+    q = quotes.select(quote_key, squeeze(quote).alias("__x")).where(F.length("__x") >= least)
+    u = units.select(*order, squeeze(text).alias("__x")).where("__x <> ''")
+    pairs = _within(q, [quote_key], u, order, "__x").unionByName(_within(u.where(F.length("__x") > whole_unit), order, q, [quote_key], "__x"))
+    best = pairs.groupBy(quote_key).agg(F.min(F.struct(*order)).alias("__u")).select(quote_key, "__u.*")
+    return quotes.join(best, quote_key).join(units, order)
 
 
 def cascade(left: DataFrame, tiers: list[tuple[str, DataFrame, list[str]]], left_key: list[str], value: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def _listed(df: DataFrame, by: list[str], order: list[str], fields: list[str]) -> DataFrame:
@@ -63,17 +64,13 @@ def room_left(df: DataFrame, by: list[str], order: list[str], size: str, key: st
 
 
 def running_total(df: DataFrame, by: list[str], order: list[str], value: str, sign: str, result: str, decimals: int = 2) -> DataFrame:
-    """Rows whose written `result` differs from the signed running total of their key: key columns, order, expected."""
-    rows = _listed(df, by, order, [value, sign, result])
-    start = F.struct(F.lit(0.0).alias("t"), F.array().cast("array<struct<i:int,expected:double,written:double>>").alias("out"))
-
-    def step(acc, x):
-        t = acc["t"] + F.when(x[sign] == "-", -x[value]).otherwise(x[value])
-        off = x[result].isNotNull() & (F.abs(F.round(t, decimals) - x[result]) > 0.5 * 10**-decimals + 1e-9)
-        item = F.struct((F.size(acc["out"]) + 1).alias("i"), F.round(t, decimals).alias("expected"), x[result].cast("double").alias("written"))
-        return F.struct(t.alias("t"), F.when(off, F.concat(acc["out"], F.array(item))).otherwise(acc["out"]).alias("out"))
-
-    return rows.select(*by, F.explode(F.aggregate("__rows", start, step, lambda acc: acc["out"])).alias("__x")).select(*by, "__x.*")
+    """Rows whose written `result` differs from the signed running total of their key: key columns, i (from 1, among them), expected, written."""
+    w = Window.partitionBy(*by).orderBy(*order, value, sign, result)  # ties as their values stand
+    moved = F.when(F.col(sign) == "-", -F.col(value)).otherwise(F.col(value)).cast("double")
+    rows = df.withColumn("__t", F.sum(moved).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__i", F.row_number().over(w))
+    off = F.abs(F.round("__t", decimals) - F.col(result)) > 0.5 * 10**-decimals + 1e-9
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("__i"))
+    return rows.where(F.col(result).isNotNull() & off).select(*by, place.alias("i"), F.round("__t", decimals).alias("expected"), F.col(result).cast("double").alias("written"))
 
 
 def pack_by_documents(facts: DataFrame, by: list[str], order: str, docs: str, tokens: DataFrame, doc: str, size: str, most: int, soft: float, hard: float) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.sizes import small
 from .islands import consecutive
 from .merge import keep_first
 
@@ -43,7 +44,7 @@ def evaluate(readings: DataFrame, rules: DataFrame, entities: DataFrame, entity:
     or warn), since, until (periods, until excluded). A test fails if a fail rule triggers, warns if a warn rule does; with
     no reading at that period for a fail rule it is undetermined; outside its validity it is not_due."""
     fired = triggers(readings, rules, entity, period, value).where(F.col(period) == at).select(*entity, "rule_id", "triggered", "streak")
-    asked = entities.select(*entity).distinct().join(F.broadcast(rules))  # rules: a dimension of a few hundred rows
+    asked = entities.select(*entity).distinct().join(small(rules))  # every entity has every rule
     seen = asked.join(fired, [*entity, "rule_id"], "left")
     fails, warns = F.col("severity") == "fail", F.col("severity") == "warn"
     due = F.bool_or((F.lit(at) >= F.coalesce("since", F.lit(at))) & (F.lit(at) < F.coalesce("until", F.lit(at + 1))))

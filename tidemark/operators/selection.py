@@ -114,14 +114,17 @@ def distinct_weight(df: DataFrame, by: list[str], key: str, sizes: DataFrame, si
     return df.select(*by, key).distinct().join(sizes.select(key, size), key).groupBy(*by).agg(F.sum(size).alias(size))
 
 
-def walk(documents: DataFrame, key: str, data: str, levels: int = 8) -> DataFrame:
-    """Leaves of nested VARIANT documents: key, path and value as text, a level of lateral explodes at a time."""
+def walk(documents: DataFrame, key: str, data: str) -> DataFrame:
+    """Leaves of nested VARIANT documents, however deep: key, path and value as text; a level of lateral explodes at a time,
+    until no document has a further one."""
     tvf = documents.sparkSession.tvf
     at = documents.select(F.col(key).alias("__key"), F.lit("$").alias("path"), F.col(data).alias("v")).where("v is not null")
     nested = F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")
     step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise(F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]")))
     leaves = []
-    for _ in range(levels):
+    while True:
         leaves.append(at.where(~nested).select("__key", "path", F.col("v").cast("string").alias("value")))
+        if at.where(nested).isEmpty():
+            break
         at = at.where(nested).lateralJoin(tvf.variant_explode(F.col("v").outer())).select("__key", F.concat("path", step).alias("path"), F.col("value").alias("v"))
     return reduce(DataFrame.unionByName, leaves).withColumnRenamed("__key", key)

@@ -66,14 +66,21 @@ def band_over_scales(t):
     return J.band_join(s, c, "a", "b", 0.05, (1.0, 10.0, 100.0)).select("s_suppkey", "c_custkey", F.col("scale").cast("long").alias("scale"), "as_written")
 
 
-@query("""
-WITH q AS (SELECT item_id, array_to_string(list_filter(string_split_regex(trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), ' '), lambda w: w <> '')[3:10], ' ') AS quote FROM benchmark),
-d AS (SELECT doc_id, array_to_string(list_filter(string_split_regex(trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')), ' '), lambda w: w <> ''), ' ') AS t FROM documents)
-SELECT item_id, min(doc_id) AS doc_id FROM q JOIN d ON contains(t, quote) WHERE len(string_split(quote, ' ')) >= 5 GROUP BY item_id
+_SQUEEZED = r"trim(regexp_replace({}, '[ \t\n\x0B\f\r]+', ' ', 'g'))"
+
+
+@query(rf"""
+WITH i AS (SELECT item_id, {_SQUEEZED.format('text')} AS x FROM benchmark),
+q AS (SELECT item_id || 'whole' AS quote_id, x FROM i UNION ALL SELECT item_id || 'start', substr(x, 1, 13) FROM i UNION ALL SELECT item_id || 'words', array_to_string(string_split(x, ' ')[3:6], ' ') FROM i),
+u AS (SELECT doc_id, {_SQUEEZED.format('text')} AS y FROM documents)
+SELECT quote_id, min(doc_id) AS doc_id FROM q JOIN u ON length(x) >= 12 AND y <> '' AND (contains(y, x) OR (length(y) > 36 AND contains(x, y))) GROUP BY quote_id
 """)
 def containment_first_unit(t):
-    q = t.benchmark.select("item_id", F.array_join(F.slice(J.words_of(F.col("text")), 3, 8), " ").alias("quote"))
-    return J.containment_join(q, t.documents.select("doc_id", "text"), "quote", "text", ["doc_id"], "item_id").select("item_id", "doc_id")
+    x = F.trim(F.regexp_replace("text", r"[ \t\n\x0B\f\r]+", " "))
+    quotes = {"whole": x, "start": F.substring(x, 1, 13), "words": F.array_join(F.slice(F.split(x, " "), 3, 4), " ")}
+    q = t.benchmark.select("item_id", F.explode(F.create_map(*(c for k, v in quotes.items() for c in (F.lit(k), v)))).alias("kind", "quote"))
+    q = q.select(F.concat(F.col("item_id").cast("string"), "kind").alias("quote_id"), "quote")
+    return J.containment_join(q, t.documents.select("doc_id", "text"), "quote", "text", ["doc_id"], "quote_id").select("quote_id", "doc_id")
 
 
 @query("""

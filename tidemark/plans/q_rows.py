@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.sizes import small
 from ..operators import aggregates as A
 from ..operators import islands as I
 from ..operators import merge as M
@@ -112,7 +113,7 @@ SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT
 """)
 def first_matching_rule(t):
     rules = t.spark.createDataFrame([("F", "1-URGENT", 1, "fast"), ("F", None, 2, "done"), (None, "5-LOW", 3, "later")], "o_orderstatus string, o_orderpriority string, order int, destination string")
-    return M.route(t.orders, F.broadcast(rules), "o_orderkey", ["o_orderstatus", "o_orderpriority"], "queue").select("o_orderkey", "destination")
+    return M.route(t.orders, small(rules), "o_orderkey", ["o_orderstatus", "o_orderpriority"], "queue").select("o_orderkey", "destination")
 
 
 @query("""
@@ -140,7 +141,7 @@ SELECT l_orderkey, round(sum(round_even(n * price / 1000000, 6)), 6) AS cost FRO
 def token_costs(t):
     usage = t.lineitem.groupBy("l_orderkey", F.col("l_returnflag").alias("c")).agg(F.sum(F.col("l_quantity") * 100).alias("n"))
     prices = t.spark.createDataFrame([("A", 3.0), ("N", 15.0), ("R", 0.3)], "c string, price double")
-    return A.token_cost(usage, F.broadcast(prices), "l_orderkey", "c", "n", "price")
+    return A.token_cost(usage, small(prices), "l_orderkey", "c", "n", "price")
 
 
 @query("""

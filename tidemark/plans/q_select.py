@@ -134,7 +134,7 @@ def distinct_sizes(t):
 
 @query("SELECT event_id, '$.k' AS path, json_extract_string(props, '$.k') AS value FROM events")
 def nested_leaves(t):
-    return S.walk(t.events.select("event_id", F.parse_json("props").alias("d")), "event_id", "d", 3)
+    return S.walk(t.events.select("event_id", F.parse_json("props").alias("d")), "event_id", "d")
 
 
 @query("SELECT id, row_number() OVER (ORDER BY p, n) AS place FROM (SELECT p_brand || '-F' || p_partkey AS id, p_brand AS p, p_partkey AS n FROM part)")

@@ -17,10 +17,13 @@ def token_estimates(t):
 
 
 _BLOCK, _INLINE = "|".join(T.BLOCK_TAGS), "|".join(T.INLINE_TAGS)
+_DECODED = "regexp_replace(t, '<[^>]*>', ' ', 'g')"
+for _name, _plain in T.ENTITIES.items():  # the ampersand is the last of them
+    _DECODED = f"replace({_DECODED}, '&{_name};', chr({ord(_plain)}))"
 _VISIBLE = rf"""
 a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script[ \t\r\n]*>', ' ', 'g'), '(?is)<style\b.*?</style[ \t\r\n]*>', ' ', 'g'), '(?is)<head\b.*?</head[ \t\r\n]*>', ' ', 'g') AS t FROM pages),
 b AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(t, '[ \t\n\x0B\f\r]+', ' ', 'g'), '(?i)</?(?:{_BLOCK})\b[^>]*>', chr(10), 'g'), '(?i)</?(?:{_INLINE})\b[^>]*>', '', 'g') AS t FROM a),
-c AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(regexp_replace(t, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&amp;', '&'), chr(160), ' ') AS t FROM b),
+c AS (SELECT page_id, replace({_DECODED}, chr(160), ' ') AS t FROM b),
 v AS (SELECT page_id, array_to_string(list_filter(list_transform(string_split(t, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f\x0B]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) AS text FROM c)
 """
 
@@ -62,6 +65,30 @@ def figures_read_back(t):
     return got.select("o_orderkey", (F.col("p") + 1).alias("place"), "f.value", "f.unit", "f.decimals")
 
 
+_Q = "[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+"
+_WORD_UNITS = ", ".join(f"'{u}'" for u in T.UNITS if len(u) > 1)
+_LEADS = ", ".join(f"'{w}'" for w in [*T.MONTHS, *T.REFERENCES])
+_SHORT = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in T.UNITS.items()) + "}"
+
+
+@query(rf"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(text, '\[src:[^\]]*\]', ' ', 'g'), '[ \t\r\n]+'), lambda x: x <> '') AS ws FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i, ws FROM w),
+c AS (SELECT doc_id, i, w, regexp_replace(regexp_replace(w, '^[\["“‘'']+', ''), '[\],.;:!?"”’'']+$', '') AS core,
+  lower(regexp_replace(regexp_replace(coalesce(ws[i + 1], ''), '^[\["“‘'']+', ''), '[\],.;:!?"”’'')]+$', '')) AS after, lower(regexp_replace(regexp_replace(regexp_replace(coalesce(ws[i - 1], ''), '^[\["“‘'']+', ''), '[\],.;:!?"”’'']+$', ''), '[.(]', '')) AS before FROM e WHERE regexp_matches(w, '[0-9]')),
+p AS (SELECT *, regexp_matches(core, '^[$]?[(][$]?(?:{_Q})(?:[.][0-9]+)?[)](?:%|[xX×]|bps?|pp|pts?|bn|[MBKmbk])?$') AS neg, regexp_extract(core, '^[(]?([−-]?)[$]?((?:{_Q})(?:[.][0-9]+)?)(%|[xX×]|bps?|pp|pts?|bn|[MBKmbk])?[)]?$', ['s', 'n', 'u']) AS a, regexp_extract(core, '^[$]?[(][$]?((?:{_Q})(?:[.][0-9]+)?)[)](%|[xX×]|bps?|pp|pts?|bn|[MBKmbk])?$', ['n', 'u']) AS b FROM c),
+n AS (SELECT *, CASE WHEN neg THEN b.n ELSE a.n END AS num, CASE WHEN neg THEN b.u ELSE a.u END AS own FROM p WHERE neg OR a.n <> ''),
+u AS (SELECT *, CASE WHEN own <> '' THEN lower(own) WHEN regexp_matches(w, '[0-9)]$') AND after IN ({_WORD_UNITS}) THEN after ELSE '' END AS raw FROM n),
+k AS (SELECT *, coalesce({_SHORT}[raw], raw) AS unit FROM u)
+SELECT doc_id, core AS figure, CASE WHEN neg OR a.s <> '' THEN -1 ELSE 1 END * CAST(replace(num, ',', '') AS DOUBLE) AS value, unit, CASE WHEN contains(num, '.') THEN length(string_split(num, '.')[2]) ELSE 0 END::INT AS decimals, count(*) AS n
+FROM k WHERE NOT (regexp_matches(num, '^(?:19|20)[0-9][0-9]$') AND unit = '' AND NOT contains(core, '$') AND NOT neg) AND NOT (before IN ({_LEADS}) AND unit = '' AND (before NOT IN ({", ".join(f"'{m}'" for m in T.MONTHS)}) OR regexp_matches(num, '^[0-9][0-9]?$')))
+GROUP BY ALL
+""")
+def figures_of_documents(t):
+    got = t.documents.where("text is not null").select("doc_id", F.explode(T.figures("text")).alias("f"))
+    return got.select("doc_id", F.col("f.text").alias("figure"), "f.value", "f.unit", "f.decimals").groupBy("doc_id", "figure", "value", "unit", "decimals").agg(F.count("*").alias("n"))
+
+
 @query("""
 WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_extendedprice AS e, CAST(printf('%.2f', l_extendedprice) AS DOUBLE) AS p, l_discount AS d, CASE WHEN l_tax > 0.06 THEN 1 ELSE 0 END AS off FROM lineitem),
 s AS (SELECT *, round(q * p, 2) + off AS written FROM x)
