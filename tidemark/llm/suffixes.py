@@ -31,22 +31,21 @@ from .gsaca import suffix_array, suffix_arrays
 
 GRAM = 20
 HOT = 4096  # segments that hold a key whose strings are dealt one by one
-SIDE, ALIKE = 48, 1.5  # so many texts of sizes within that factor are sorted side by side
+SIDE, ALIKE = 24, 1.5  # so many texts of sizes within that factor are sorted side by side
 BATCH = 1 << 17  # bytes sorted side by side
 STEP = 1 << 17
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    n = len(values) - width + 1
-    if n <= 0:
+    """Of each `width` values in a row the least: minima of 1, 2, 4 … values, and two overlapping ones of those."""
+    if len(values) < width:
         return np.zeros(0, values.dtype)
-    blocks = -(-len(values) // width)
-    grid = np.full(blocks * width, np.iinfo(values.dtype).max, values.dtype)
-    grid[: len(values)] = values
-    grid = grid.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[width - 1 : width - 1 + n])
+    have = 1
+    while 2 * have <= width:
+        values = np.minimum(values[:-have], values[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
 class Runs:
