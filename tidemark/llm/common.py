@@ -20,19 +20,22 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under spark.checkpoint.dir; a temporary folder of our own only where that is unset (tests)."""
+    """A fresh path under spark.checkpoint.dir; a temporary folder of our own only where that is unset and
+    everything runs on one machine (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, and a lost executor costs no recomputation."""
     path = scratch(df.sparkSession, name)
     made.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -89,7 +89,7 @@ def decide(last: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = "1970-01-01T00:00:00Z", size: int = CHUNK) -> None:
     """Write a gzip WARC file for each partition: one record, or one run of segments, for each row of pages."""
-    table = stored(chunk_table(pages, id_col, url_col, payload_col, size), "chunks")
+    table = stored(chunk_table(pages, id_col, url_col, payload_col, size), "chunks", "zstd")
     kinds = decide(table.where("digest is not null").select("record", "page_id", "payload_bytes", "digest"))
     bodies = table.drop("payload_bytes", "digest").join(kinds, "record").where("record_type = 'response' or chunk_no = 0")
     again = "record_type = 'revisit'"
