@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under spark.checkpoint.dir; a folder of our own only where that is unset, as in tests."""
+    """A fresh path under spark.checkpoint.dir; a folder of our own only where that is unset and
+    everything runs on one machine, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
