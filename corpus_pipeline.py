@@ -1,7 +1,9 @@
 """From raw documents to token ids: five stages, each written and read again.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. All but the last return the
-columns of documents; the last returns a row of digests for each document left.
+columns of documents, others that docs may have included; the last returns a row of digests for each document left.
+Null and empty texts are clean and stay, as do rows without an id (near duplicates are told by ids, so those link with
+nothing); rows that are there twice are judged alike and stay twice; no rows give no rows; texts of any length are whole.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents predicted toxic go. Learned from the training rows of docs and the labels, as op4 does."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
     index = toxicity.learn(docs.where(~toxicity.held_out()), labels)
-    return toxicity.score(docs.withColumn("__text", F.col("text")), index, text_col="__text", carry=docs.columns).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, index, carry=docs.columns).where("predicted = 0").select(*docs.columns)
 
 
 @_stage
@@ -57,10 +59,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words at least a twentieth belong to windows of benchmark items go."""
+    """Documents of whose words at least a twentieth belong to windows of benchmark items go. Rows are told apart by a hash of
+    id and text, so those without an id, or with another's, are judged by their own text."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    marked = stored(positional.decontaminate(docs, items).where("contaminated").select(F.col("id").alias("doc_id"), "n_words", "n_hit"), "contaminated")
-    return docs.join(marked.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    own = F.xxhash64("doc_id", "text")
+    found = positional.decontaminate(docs.select(own.alias("id"), "text"), items, id_col="id")
+    marked = stored(found.where("contaminated").select("id"), "contaminated").distinct()
+    return docs.join(marked, own == marked["id"], "left_anti").select(*docs.columns)
 
 
 @_stage
