@@ -110,7 +110,7 @@ class Postings:
 def _blocks(items: DataFrame, id_col: str, text_col: str):
     """Test items, a bounded block at a time, streamed through the driver partition by partition."""
     block, size = [], 0
-    for row in items.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).where(F.col(f"`{id_col}`").isNotNull()).toLocalIterator():
+    for row in items.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).toLocalIterator():
         words = words_of(row[1])
         if not words:
             continue
@@ -152,7 +152,7 @@ def _match(windows, first_block: bool):
                             np.add.at(edge, at, 1)
                             np.add.at(edge, at + width, -1)
                             for d in np.unique(index.doc(at)).tolist():
-                                items[d].update(owners[i])
+                                items[d].update(x for x in owners[i] if x is not None)
                 hit = np.cumsum(edge)[:-1] > 0
                 out = {"segment": [], "row": [], "id": [], "n_words": [], "spans": [], "items": []}
                 touched = set(index.doc(np.flatnonzero(hit)).tolist())
@@ -176,8 +176,8 @@ _MATCH = pa.schema([("segment", pa.int64()), ("row", pa.int32()), ("id", pa.int6
 def match_phrases(index: DataFrame, items: DataFrame, item_col: str = "item_id", text_col: str = "text", width: int = 13) -> DataFrame:
     """For every indexed row: id, n_words, spans (hit word ranges, joined) and items whose windows occur in it.
 
-    A window is `width` consecutive words of an item, or the whole of a shorter one; items without words, text or id
-    have none.
+    A window is `width` consecutive words of an item, or the whole of a shorter one; items without words or text have
+    none. Windows of an item without an id hit as others do, but no list of items names it. Item ids are whole numbers.
     """
     spark, parts = index.sparkSession, []
     for i, block in enumerate(_blocks(items, item_col, text_col)):
