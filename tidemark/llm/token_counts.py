@@ -20,17 +20,19 @@ repeated rows each give a row; a null id stays null; columns of docs other than
 
 from __future__ import annotations
 
+import bisect
 import functools
 import json
 import os
 import re
 import unicodedata
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK, OVERLAP = 1 << 13, 1 << 7
+CHUNK, OVERLAP = 1 << 14, 1 << 7
 BATCH_CHARS = 1 << 20
 KEPT = 1 << 19  # pieces
 STABLE = " \n\r\t"
@@ -56,10 +58,17 @@ def fits(path: str) -> bool:
     return plain and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and first["pattern"].get("Regex") == WORDS and made["model"]["type"] == "BPE" and not made["model"]["dropout"]
 
 
-def _encode(tk, text: str, start: int, end: int) -> list[tuple[int, int, int]]:
-    """Tokens of text[start:end]: begin, end (in the whole text) and id."""
+class Chunk(NamedTuple):
+    """An encoded part of a text: offsets within the part, ids, and where the part begins."""
+
+    offsets: list[tuple[int, int]]
+    ids: list[int]
+    begin: int
+
+
+def _encode(tk, text: str, start: int, end: int) -> Chunk:
     e = tk.encode(text[start:end], add_special_tokens=False)
-    return [(a + start, b + start, i) for (a, b), i in zip(e.offsets, e.ids)]
+    return Chunk(e.offsets, e.ids, start)
 
 
 def _apart(c: str) -> bool:
@@ -74,15 +83,17 @@ def _cut(text: str, at: int, least: int) -> int:
     return at
 
 
-def _groups(tokens: list, start: int, end: int) -> dict[tuple[int, int], tuple[int, tuple]]:
-    """Tokens within start and end, by the characters they share: (begin, end) of each group, its last index and its ids."""
-    out, i = {}, 0
-    while i < len(tokens):
-        a, b, j = tokens[i][0], tokens[i][1], i + 1
-        while j < len(tokens) and tokens[j][0] < b:
-            b, j = max(b, tokens[j][1]), j + 1
-        if a >= start and b <= end:
-            out[a, b] = j, tuple(t[2] for t in tokens[i:j])
+def _groups(chunk: Chunk, first: int, start: int, end: int) -> dict[tuple[int, int], tuple[int, list]]:
+    """Tokens from number `first` on that lie within start and end, by the characters they share: (begin, end) of each group,
+    the number of tokens up to its end, and its ids."""
+    offsets, base = chunk.offsets, chunk.begin
+    out, i = {}, max(first, bisect.bisect_left(offsets, start - base, key=lambda o: o[0]))
+    while i < len(offsets) and offsets[i][0] + base < end:
+        (a, b), j = offsets[i], i + 1
+        while j < len(offsets) and offsets[j][0] < b:
+            b, j = max(b, offsets[j][1]), j + 1
+        if b + base <= end:
+            out[a + base, b + base] = j, chunk.ids[i:j]
         i = j
     return out
 
@@ -93,9 +104,10 @@ def _plain(part: str) -> bool:
     return all(x == "L" for x in letters) or ("'" not in part and all(x in "PS" for x in letters))
 
 
-def _splice(text: str, left: list, right: list, start: int, end: int) -> tuple[int, int] | None:
-    """How many tokens of left stay and of right go, for a common token near the middle of the overlap text[start:end]."""
-    a, b = _groups(left, start + 1, end - 1), _groups(right, start + 1, end - 1)
+def _splice(text: str, left: Chunk, skipped: int, right: Chunk, start: int, end: int) -> tuple[int, int] | None:
+    """How many tokens of left stay and of right go, for a common token near the middle of the overlap text[start:end]. The
+    first `skipped` tokens of left are gone already."""
+    a, b = _groups(left, skipped, start + 1, end - 1), _groups(right, 0, start + 1, end - 1)
     middle = (start + end) // 2
     for place in sorted(a.keys() & b.keys(), key=lambda p: abs(p[1] - middle)):
         if a[place][1] == b[place][1] and _plain(text[place[0] : place[1]]):
@@ -115,9 +127,9 @@ def count_long(tk, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int
         while True:
             start = _cut(text, max(begin, end - width), begin)
             right = _encode(tk, text, start, following)
-            found = _splice(text, left[skipped:], right, start, end) if start > begin else None
+            found = _splice(text, left, skipped, right, start, end) if start > begin else None
             if found is not None:
-                total += found[0]
+                total += found[0] - skipped
                 begin, skipped = start, found[1]
                 break
             if start == begin:  # the overlap is all of the left chunk: both are one chunk now
@@ -125,16 +137,16 @@ def count_long(tk, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int
                 break
             width *= 2
         left, end = right, following
-    return total + len(left) - skipped
+    return total + len(left.ids) - skipped
 
 
 def _longest(tk) -> int:
     return max((len(t.content) for t in tk.get_added_tokens_decoder().values()), default=0)
 
 
-def _same_skip(left: list, right: list, skipped: int) -> int:
+def _same_skip(left: Chunk, right: Chunk, skipped: int) -> int:
     """Tokens of a joined chunk that are counted already: they begin as the left chunk's do, up to the splice."""
-    if left[:skipped] != right[:skipped]:
+    if left.ids[:skipped] != right.ids[:skipped] or left.offsets[:skipped] != right.offsets[:skipped]:
         raise ValueError("a splice wasn't stable")
     return skipped
 
