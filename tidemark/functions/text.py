@@ -138,29 +138,42 @@ def figures(text: Column | str) -> Column:
     """
     words = F.filter(F.split(F.regexp_replace(_col(text), r"\[src:[^\]]*\]", " "), "[ \t\r\n]+"), lambda w: w != "")
     strip = lambda w: F.regexp_replace(F.regexp_replace(w, f"^{BEFORE}", ""), f"{BEHIND}$", "")
-    account = rf"^[$]?[(][$]?({DIGITS})[)]({ATTACHED})?$"
-    plain = rf"^[(]?([−-]?)[$]?({DIGITS})({ATTACHED})?[)]?$"
-
-    def part(w: Column, before: Column, after: Column) -> Column:
-        core = strip(w)
-        negative = core.rlike(account)
-        number = F.when(negative, F.regexp_extract(core, account, 1)).otherwise(F.regexp_extract(core, plain, 2))
-        own = F.when(negative, F.regexp_extract(core, account, 2)).otherwise(F.regexp_extract(core, plain, 3))
-        named = F.create_map(*(F.lit(x) for kv in UNITS.items() for x in kv))
-        next_ = F.lower(F.regexp_replace(strip(after), "[)]+$", ""))
-        written_unit = F.when(own != "", F.lower(own)).when(w.rlike("[0-9)]$") & next_.isin(*[u for u in UNITS if len(u) > 1]), next_).otherwise("")
-        unit = F.coalesce(F.element_at(named, written_unit), written_unit)
-        lead = F.lower(F.regexp_replace(strip(before), "[.(]", ""))
-        year = number.rlike("^(?:19|20)[0-9]{2}$") & (unit == "") & ~core.contains("$") & ~negative
-        day = lead.isin(*MONTHS) & number.rlike("^[0-9]{1,2}$") & (unit == "")
-        kept = (negative | core.rlike(plain)) & ~year & ~day & ~(lead.isin(*REFERENCES) & (unit == ""))
-        value = F.regexp_replace(number, ",", "").try_cast("double")
-        minus = negative | (F.regexp_extract(core, plain, 1) != "")
-        decimals = F.when(number.contains("."), F.length(F.substring_index(number, ".", -1))).otherwise(0)
-        return F.when(kept, F.struct(core.alias("text"), F.when(minus, -value).otherwise(value).alias("value"), unit.alias("unit"), decimals.alias("decimals")))
-
-    near = lambda i: F.coalesce(F.get(words, i), F.lit(""))
-    return F.array_compact(F.transform(words, lambda w, i: F.when(w.rlike("[0-9]"), part(w, near(i - 1), near(i + 1)))))
+    account = rf"^[$]?[(][$]?{DIGITS}[)]{ATTACHED}?$"
+    plain = rf"^[(]?[−-]?[$]?{DIGITS}{ATTACHED}?[)]?$"
+    named = F.create_map(*(F.lit(x) for kv in UNITS.items() for x in kv))
+
+    # Each step is an array of its own, so that no expression runs twice; the words are bound once by a lambda.
+    def shaped(ws: Column) -> Column:
+        near = lambda i: F.coalesce(F.get(ws, i), F.lit(""))
+        return F.array_compact(F.transform(ws, lambda w, i: F.when(w.rlike("[0-9]"), F.struct(strip(w).alias("core"), w.alias("w"), near(i - 1).alias("before"), near(i + 1).alias("after")))))
+
+    found = F.filter(F.get(F.transform(F.array(words), shaped), F.lit(0)), lambda x: x["core"].rlike(plain) | x["core"].rlike(account))
+
+    def parts(x: Column) -> Column:
+        core = x["core"]
+        return F.struct(
+            core.alias("text"), core.contains("$").alias("money"), core.rlike(account).alias("account"), F.regexp_extract(core, f"({DIGITS})", 1).alias("number"),
+            F.lower(F.regexp_extract(core, f"[0-9][)]?({ATTACHED})[)]?$", 1)).alias("own"), F.lower(F.regexp_replace(strip(x["before"]), "[.(]", "")).alias("lead"),
+            F.when(x["w"].rlike("[0-9)]$"), F.lower(F.regexp_replace(strip(x["after"]), "[)]+$", ""))).alias("next"),
+        )
+
+    def quantity(x: Column) -> Column:
+        spelled = F.when(x["own"] != "", x["own"]).when(x["next"].isin(*[u for u in UNITS if len(u) > 1]), x["next"]).otherwise("")
+        decimals = F.when(x["number"].contains("."), F.length(F.substring_index(x["number"], ".", -1))).otherwise(0)
+        return F.struct(x["text"].alias("text"), x["money"].alias("money"), x["account"].alias("account"), x["number"].alias("number"), x["lead"].alias("lead"), F.coalesce(F.element_at(named, spelled), spelled).alias("unit"), decimals.alias("decimals"))
+
+    def kept(x: Column) -> Column:
+        bare = x["unit"] == ""
+        year = bare & ~x["money"] & ~x["account"] & x["number"].rlike("^(?:19|20)[0-9]{2}$")
+        day = bare & x["lead"].isin(*MONTHS) & x["number"].rlike("^[0-9]{1,2}$")
+        return ~year & ~day & ~(bare & x["lead"].isin(*REFERENCES))
+
+    def shown(x: Column) -> Column:
+        value = F.regexp_replace(x["number"], ",", "").try_cast("double")
+        minus = x["account"] | x["text"].rlike("^[(]?[−-]")
+        return F.struct(x["text"].alias("text"), F.when(minus, -value).otherwise(value).alias("value"), x["unit"].alias("unit"), x["decimals"].alias("decimals"))
+
+    return F.transform(F.filter(F.transform(F.transform(found, parts), quantity), kept), shown)
 
 
 def distinctive(figure_text: Column | str) -> Column:
