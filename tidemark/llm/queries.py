@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, forest, language, near_dup, positional, substring, suffixes, token_counts, toxicity, warc
+from . import byte_bpe, codes, forest, language, near_dup, positional, substring, suffixes, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_substring_dedup": substring.op8_substring_dedup,
     "op9_warc": warc.op9_warc,
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
+    "op11_vector_codes": codes.op11_vector_codes,
 }
 ORACLES = {
     "op3_near_duplicates": near_dup.ORACLE,
@@ -22,4 +23,5 @@ ORACLES = {
     "op8_substring_dedup": substring.ORACLE,
     "op9_warc": warc.ORACLE,
     "op10_suffix_dedup": suffixes.ORACLE,
+    "op11_vector_codes": codes.ORACLE,
 }
