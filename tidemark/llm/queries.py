@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, codes, forest, language, merkle, near_dup, positional, substring, suffixes, token_counts, toxicity, warc
+from . import byte_bpe, codes, forest, imatch, language, merkle, near_dup, positional, substring, suffixes, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_token_counts": token_counts.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_suffix_dedup": suffixes.op10_suffix_dedup,
     "op11_vector_codes": codes.op11_vector_codes,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
+    "op13_document_fingerprints": imatch.op13_document_fingerprints,
 }
 ORACLES = {
     "op3_near_duplicates": near_dup.ORACLE,
@@ -26,4 +27,5 @@ ORACLES = {
     "op10_suffix_dedup": suffixes.ORACLE,
     "op11_vector_codes": codes.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
+    "op13_document_fingerprints": imatch.ORACLE,
 }
