@@ -117,10 +117,10 @@ def test_every_removed_byte_comes_from_a_suffix_array(monkeypatch):
     texts = [b"one " + passage, b"one " + passage, b"another " + passage[:60]]
     column = lambda values: [b"".join(values)]
     number = lambda values, kind: [np.array(values, kind).tobytes()]
-    table = pa.table({"bucket": [0], "seg": [3], "key": number([7] * 3, np.uint64), "text": number([1, 1, 2], np.uint64), "id": number([4, 5, 6], np.int64), "size": number([len(t) for t in texts], np.int32), "bytes": column(texts)}, schema=suffixes.TEXTS)
+    table = pa.table({"bucket": [0], "seg": [3], "key": number([7] * 3, np.uint64), "text": number([1, 1, 2], np.uint64), "at": number([10, 10, 90], np.int64), "id": number([4, 5, 6], np.int64), "size": number([len(t) for t in texts], np.int32), "bytes": column(texts)}, schema=suffixes.TEXTS)
     got = suffixes._sort_texts(50)(table)
-    rows = sorted(zip(*(suffixes.S.gather(got, c, t).tolist() for c, t in (("text", np.uint64), ("id", np.int64), ("lo", np.int32), ("hi", np.int32)))))
-    assert rows == [(1, 5, 0, len(texts[0]) - 49), (2, 6, 7, 8 + 11)]  # the space before the passage is alike too
+    rows = sorted(zip(*(suffixes.S.gather(got, c, t).tolist() for c, t in (("at", np.int64), ("id", np.int64), ("lo", np.int32), ("hi", np.int32)))))
+    assert rows == [(10, 5, 0, len(texts[0]) - 49), (90, 6, 7, 8 + 11)]  # the space before the passage is alike too
     for name in ("suffix_array", "suffix_arrays"):
         monkeypatch.setattr(suffixes, name, lambda *_: np.zeros(0, np.int64))
     assert not suffixes._sort_texts(50)(table).num_rows
@@ -531,3 +531,42 @@ def test_near_duplicates_of_edited_families(spark):
             component[b] = a
     got = {r.doc_id: r.component_id for r in near_dup.near_duplicates(frame(spark, rows)).collect()}
     assert got == {i: root(i) for i in range(len(sets))} and len(set(got.values())) < 0.8 * len(got)
+
+
+def thue_morse(n, a, b):
+    """A word of two letters whose sums of powers equal those of its complement, modulo 2**64 and for every odd base, from 1,024 letters on."""
+    return "".join(a if bin(i).count("1") % 2 else b for i in range(n))
+
+
+def test_words_that_cancel_out_in_sums_of_powers(spark):
+    """Words and runs of bytes that a polynomial modulo 2**64 takes for equal, whatever its base."""
+    one, other = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    rest = [f"w{i}" for i in range(19)]
+    docs = frame(spark, [(1, " ".join([*rest, one]), 1, "x"), (2, " ".join([*rest, other]), 1, "x")])
+    assert {r.n_removed for r in substring.dedup_substrings(docs).collect()} == {0}
+    few = frame(spark, [(1, f"a b {one} c d", 1, "x"), (2, f"a b {other} c d", 1, "x"), (3, one, 1, "x"), (4, other, 1, "x"), (5, one.upper(), 1, "x")])
+    groups = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dup.near_duplicates(few).collect()}
+    assert groups == {1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 4), 5: (1, 3)}
+    rows = [(d, t, 1, "x") for d, t in [(1, "é" * 40 + one), (2, "ü" * 40 + other), (3, one), (4, other + "?"), (5, other), (6, one)]]
+    plain_items, first = brute_bytes(rows, 50)
+    want = sorted((d, removed) for d, removed in removed_bytes(plain_items, first, 50))
+    for hot in (0, 4096):
+        got = sorted((r.doc_id, r.n_removed) for r in suffixes.dedup_bytes(frame(spark, rows), hot=hot).collect())
+        assert got == want, hot
+
+
+def brute_bytes(rows, width):
+    items, first = [(d, t.encode()) for d, t, *_ in rows], {}
+    for d, b in items:
+        for i in range(len(b) - width + 1):
+            first[b[i : i + width]] = min(first.get(b[i : i + width], d), d)
+    return items, first
+
+
+def removed_bytes(items, first, width):
+    for d, b in items:
+        gone = set()
+        for i in range(len(b) - width + 1):
+            if first[b[i : i + width]] < d:
+                gone.update(range(i, i + width))
+        yield d, len(gone)

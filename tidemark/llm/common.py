@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -70,8 +71,33 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+_SEEDS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)  # the first k bytes of a lane
+LONG = 64  # bytes of a word that are hashed lane by lane
+
+
+def lane_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hashes of spans by lanes of 8 bytes, each multiplied in and mixed before the next; spans above LONG bytes by blake2b.
+    No sum of powers, so no texts that cancel out whatever the base."""
+    size = ends - starts
+    h = mix(size.astype(np.uint64) + _SEEDS[which])
+    bytes_ = np.concatenate([buf, np.zeros(8, np.uint8)])
+    lanes = np.ndarray(len(buf) + 1, "<u8", bytes_.data, 0, (1,))
+    rows = np.flatnonzero(size <= LONG)
+    at, left = starts[rows], size[rows]
+    while len(rows):
+        h[rows] = mix((h[rows] * _M1) ^ (lanes[at] & _KEEP[np.minimum(left, 8)]))
+        go = left > 8
+        rows, at, left = rows[go], at[go] + 8, left[go] - 8
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(buf[starts[i] : ends[i]].data, digest_size=8, salt=bytes([which])).digest(), "little")
+    return h
+
+
 class Rolling:
-    """Polynomial hashes of any spans of one sequence, from prefix sums modulo 2**64."""
+    """Polynomial hashes of any spans of one sequence, from prefix sums modulo 2**64. For spans of values that are hashes already, or of
+    a few dozen bytes: long texts of two letters can be built that cancel out for every base, so nothing is decided by hashes
+    of long spans of bytes."""
 
     def __init__(self, values: np.ndarray, which: int = 0):
         n = len(values)
@@ -126,7 +152,7 @@ class Words:
         self.rel = np.arange(len(self.starts)) - self.first[self.doc] if len(self.starts) else np.zeros(0, np.int64)
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        return Rolling(BYTE[self.buf], which).spans(self.starts, self.ends)
+        return lane_hashes(self.buf, self.starts, self.ends, which)
 
     def room(self, width: int) -> np.ndarray:
         """True for each word at which a window of that width begins within its document."""

@@ -16,7 +16,9 @@ have at most min(|a & L|, |b & L|) + e shingles in common, where e counts those
 isn't like L, so the first part suffices only where the other is shorter than L; all other pairs must share a shingle
 outside L. These two kinds are found by joins on the band and on the shingle, and pairs of different leaders by a join on
 the band under a bound by `common`; what the bounds don't refute is compared. With 32 bands of 4, a pair at the threshold
-of 0.75 shares a band in all but 5 of a million cases. Links are confirmed on whole sets.
+of 0.75 shares a band in all but 5 of a million cases. Links are confirmed on whole sets, of shingle hashes of 64 bits made from
+word hashes that go lane by lane (common.lane_hashes): two different shingles of a pair of texts are taken for equal, and a
+count is one off, once in 2**64 pairs of shingles.
 
 Defined results: texts without words have no set and no links; fewer than five words are one shingle; a null id isn't
 linked (its component is null, it stays); rows with the same id and the same text share their result.

@@ -3,8 +3,10 @@
 Positions p of a document with p mod 13 in {0, 1, 3, 9} are its cover positions. For any two positions some shift below
 13 takes both onto the cover, so any two equal windows of 20 words share an aligned anchor of 8 words that begins at a
 cover position of either. Anchors are hashed at cover positions only (4 of 13), those that occur twice are found, and
-only windows that hold such an anchor are extended to their whole 20 words and compared (96 bits). Everything else is
-known to be unique without being sent.
+only windows that hold such an anchor are extended to their whole 20 words and compared. Everything else is
+known to be unique without being sent. Windows are compared by two independent hashes of 64 bits of their words (hashed by
+lanes, not by powers), when asked and when replied; they are what decides, so two different windows are taken for equal
+once in 2**128 pairs.
 
 Between segments travel: distinct anchor hashes of a segment; those of them that repeat; of each candidate window a
 segment's first occurrence; and which of those aren't the corpus' first. A sequence that a third of all documents hold
@@ -24,6 +26,7 @@ from . import segments as S
 from .common import Rolling, Words, stored
 
 PERIOD, COVER = 13, (0, 1, 3, 9)
+BOTH = np.dtype([("ha", "<u8"), ("hb", "<u8")])
 
 
 def _anchors(words: Words, hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -41,13 +44,23 @@ def _windows(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return at, Rolling(words.hashes()).spans(at, at + width), Rolling(words.hashes(1), 1).spans(at, at + width)
 
 
-def _firsts(order: list[np.ndarray], groups: np.ndarray) -> np.ndarray:
-    """Indexes of each group's first row by the keys of order, most important first."""
-    by = np.lexsort([*order[::-1], groups])
-    g = groups[by]
-    first = np.ones(len(g), bool)
-    first[1:] = g[1:] != g[:-1]
-    return by[first]
+def _groups(ha: np.ndarray, hb: np.ndarray, order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of windows told apart by both hashes: the index of each one's first by the keys of order, and the firsts."""
+    by = np.lexsort([*order[::-1], hb, ha])
+    new = np.ones(len(by), bool)
+    new[1:] = (ha[by][1:] != ha[by][:-1]) | (hb[by][1:] != hb[by][:-1])
+    lead = np.zeros(len(by), np.int64)
+    lead[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))] if len(by) else by
+    return lead, by[new]
+
+
+def _member(ha: np.ndarray, hb: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which pairs of hashes are among the known ones."""
+    out, at = np.zeros(len(ha), bool), np.flatnonzero(np.isin(ha, known["ha"]))
+    if len(at):
+        lead, _ = _groups(np.concatenate([known["ha"], ha[at]]), np.concatenate([known["hb"], hb[at]]), [np.arange(len(known) + len(at))])
+        out[at] = lead[len(known) :] < len(known)
+    return out
 
 
 def _send_anchors(n: int, width: int):
@@ -75,8 +88,8 @@ def _send_windows(n: int, width: int):
         if not len(starts):
             return WINDOWS.empty_table()
         keys, rel = seg.keys[words.doc[starts]], words.rel[starts].astype(np.uint32)
-        one = _firsts([keys, rel], ha)
-        return pa.Table.from_batches([S.dealt(seg.seg, n, ha[one], {"ha": ha[one], "hb": (hb[one] >> np.uint64(32)).astype(np.uint32), "key": keys[one], "rel": rel[one]})])
+        _, one = _groups(ha, hb, [keys, rel])
+        return pa.Table.from_batches([S.dealt(seg.seg, n, ha[one], {"ha": ha[one], "hb": hb[one], "key": keys[one], "rel": rel[one]})])
 
     return run
 
@@ -86,7 +99,7 @@ WINDOWS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binar
 
 def _later(table: pa.Table) -> pa.Table:
     """Of one hash bucket: the windows whose first occurrence in a segment isn't the first of all."""
-    ha, hb, key, rel = (S.gather(table, c, t) for c, t in (("ha", np.uint64), ("hb", np.uint32), ("key", np.int64), ("rel", np.uint32)))
+    ha, hb, key, rel = (S.gather(table, c, t) for c, t in (("ha", np.uint64), ("hb", np.uint64), ("key", np.int64), ("rel", np.uint32)))
     segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "ha", 8))
     by = np.lexsort([rel, key, hb, ha])
     ha, hb, key, rel, segs = ha[by], hb[by], key[by], rel[by], segs[by]
@@ -94,22 +107,18 @@ def _later(table: pa.Table) -> pa.Table:
     new[1:] = (ha[1:] != ha[:-1]) | (hb[1:] != hb[:-1])
     first = np.maximum.accumulate(np.where(new, np.arange(len(ha)), 0))
     later = (key > key[first]) | (rel > rel[first])
-    return pa.table(S.spread(segs, {"found": ha}, later), schema=S.REPLY_ARROW)
+    both = np.zeros(len(ha), BOTH)
+    both["ha"], both["hb"] = ha, hb
+    return pa.table(S.spread(segs, {"found": both}, later), schema=S.REPLY_ARROW)
 
 
 def _cut(width: int, schema: pa.Schema):
     def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
-        words, known = Words(seg.buf, seg.bounds), np.sort(S.gather(replies, "found", np.uint64))
-        starts, ha, _ = _windows(words, width)
+        words, known = Words(seg.buf, seg.bounds), S.gather(replies, "found", BOTH)
+        starts, ha, hb = _windows(words, width)
         keys, rel = seg.keys[words.doc[starts]], words.rel[starts]
-        gone = np.isin(ha, known)
-        one = _firsts([keys, rel], ha)  # a repeat within the segment is later than the first there
-        group = np.zeros(len(ha), np.int64)
-        by = np.argsort(ha, kind="stable")
-        fresh = np.ones(len(ha), np.int64)
-        fresh[1:] = ha[by][1:] != ha[by][:-1]
-        group[by] = np.cumsum(fresh) - 1
-        lead = one[group] if len(one) else group
+        gone = _member(ha, hb, known)
+        lead, _ = _groups(ha, hb, [keys, rel])  # a repeat within the segment is later than the first there
         gone |= (keys > keys[lead]) | (rel > rel[lead])
         edge = np.zeros(len(words.starts) + 1, np.int64)
         np.add.at(edge, starts[gone], 1)

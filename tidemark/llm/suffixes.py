@@ -11,7 +11,8 @@ built side by side (gsaca.suffix_arrays), those of large ones one by one.
 A key that more than `hot` segments of 1 MB hold (a line that a third of all documents have) is split: its strings are
 dealt one by one by their hashes, over all buckets, and sorted there with those that share their first bytes.
 
-Between segments travel the keys, then the texts of shared keys, twice a segment at most, then the parts to remove.
+Between segments travel the keys, then the texts of shared keys, twice a segment at most, then the parts to remove, each
+named by the place of its text in the segment that asked: runs of one hash are told apart by their bytes.
 Defined results: null is empty; a null id comes after all others; rows with the same id don't remove each other;
 repeated rows each give a row; texts of any length are taken whole. Carried columns may have any names but n_bytes,
 n_removed, n_spans and kept_bytes.
@@ -79,26 +80,32 @@ class Runs:
         count = np.flatnonzero(end) + 1 - start
         return start + self.seg.bounds[d], count, low[start], roll.spans(start, start + count + self.width - 1), doc[start] + np.int32(d)
 
-    def pairs(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of some runs: one of each text with the smallest id, and one with a later id of those texts that have one.
-        Texts         are equal if all their bytes are."""
-        by = runs[np.lexsort([self.id[runs], self.count[runs], self.text[runs], self.key[runs]])]
-        new = np.ones(len(by), bool)
-        for values in (self.key, self.text, self.count):
-            v = values[by]
-            new[1:] &= v[1:] == v[:-1]
-        new = ~new
-        new[:1] = True
-        first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
-        apart = ~same_bytes(self.seg.buf, self.start[by], self.start[by[first]], (self.count[by] + self.width - 1) * ~new)
-        new |= apart  # a text whose hash another one has: on its own
-        first = np.where(apart, np.arange(len(by)), first)
-        later = self.id[by] > self.id[by[first]]
-        one = np.zeros(len(by), bool)
-        at = np.flatnonzero(later)
-        _, place = np.unique(first[at], return_index=True)
-        one[at[place]] = True
-        return by[new], by[one]
+    def pairs(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of some runs: one of each text with the smallest id, and one with a later id of those texts that have one; for
+        each of both, where its text's first run begins."""
+        by, first = classes(self.seg.buf, self.start[runs], self.count[runs] + self.width - 1, self.text[runs], self.id[runs])
+        by = runs[by]
+        one, later = picked(first, self.id[by])
+        return by[one], by[later], self.start[by[first[one]]], self.start[by[first[later]]]
+
+
+def classes(buf: np.ndarray, at: np.ndarray, size: np.ndarray, text: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by text (hash, size, bytes) and id: their order, and for each place in it the place of the text's first row. A row whose
+    bytes differ from those of the first with its hash is on its own."""
+    by = np.lexsort([ids, size, text])
+    t, z = text[by], size[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (t[1:] != t[:-1]) | (z[1:] != z[:-1])
+    first = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+    apart = ~same_bytes(buf, at[by], at[by[first]], z * ~new)
+    return by, np.where(apart, np.arange(len(by)), first)
+
+
+def picked(first: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of classes in order: the places of the first rows, and of one row each with a later id than the first's."""
+    late = np.flatnonzero(ids > ids[first])
+    _, place = np.unique(first[late], return_index=True)
+    return np.flatnonzero(first == np.arange(len(first))), late[place]
 
 
 def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -156,7 +163,7 @@ def _shared_keys(hot: int):
     return run
 
 
-TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "id", "size", "bytes"))])
+TEXTS = pa.schema([("bucket", pa.int64()), ("seg", pa.int64()), *((c, pa.binary()) for c in ("key", "text", "at", "id", "size", "bytes"))])
 
 
 def _hot_strings(runs: Runs, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,8 +174,8 @@ def _hot_strings(runs: Runs, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.repeat(runs.id[which], count)
 
 
-def _send(seg: S.Segment, n: int, by: np.ndarray, key: np.ndarray, text: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[pa.RecordBatch]:
-    """Texts dealt by hash, with their bytes."""
+def _send(seg: S.Segment, n: int, by: np.ndarray, key: np.ndarray, text: np.ndarray, at: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[pa.RecordBatch]:
+    """Texts dealt by hash, with their bytes. at: where the text first begins in the segment, by which replies name it."""
     if not len(key):
         return []
     bucket = ((by >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
@@ -178,7 +185,7 @@ def _send(seg: S.Segment, n: int, by: np.ndarray, key: np.ndarray, text: np.ndar
     start, size = start[order], size[order].astype(np.int32)
     which = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
     body, edge = seg.buf[which], np.concatenate([[0], np.cumsum(size)])
-    columns = {"key": key[order], "text": text[order], "id": ids[order], "size": size}
+    columns = {"key": key[order], "text": text[order], "at": at[order], "id": ids[order], "size": size}
     data = {"bucket": b.astype(np.int64), "seg": np.full(len(b), seg.seg)} | {c: [v[i:j].tobytes() for i, j in zip(cuts, cuts[1:])] for c, v in columns.items()}
     return [pa.RecordBatch.from_pydict(data | {"bytes": [body[edge[i] : edge[j]].tobytes() for i, j in zip(cuts, cuts[1:])]}, schema=TEXTS)]
 
@@ -189,38 +196,32 @@ def _send_texts(n: int, width: int):
         if not len(found) and not len(hot):
             return TEXTS.empty_table()
         runs, out = Runs(seg, width), []
-        one, later = runs.pairs(np.flatnonzero(np.isin(runs.key, found)))
+        one, later, *firsts = runs.pairs(np.flatnonzero(np.isin(runs.key, found)))
         rows = np.concatenate([one, later])
-        out += _send(seg, n, mix(runs.key[rows]), runs.key[rows], runs.text[rows], runs.id[rows], runs.start[rows], runs.count[rows] + width - 1)
+        out += _send(seg, n, mix(runs.key[rows]), runs.key[rows], runs.text[rows], np.concatenate(firsts), runs.id[rows], runs.start[rows], runs.count[rows] + width - 1)
         if len(hot):
             at, ids = _hot_strings(runs, hot)
             h = Rolling(BYTE[seg.buf]).spans(at, at + width)
-            by = np.lexsort([ids, h])
-            new = np.ones(len(by), bool)
-            new[1:] = h[by][1:] != h[by][:-1]
-            start = np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
-            second = np.zeros(len(by), bool)
-            late = np.flatnonzero(ids[by] > ids[by[start]])
-            _, place = np.unique(start[late], return_index=True)
-            second[late[place]] = True
-            rows = by[new | second]
+            by, first = classes(seg.buf, at, np.full(len(at), width), h, ids)
+            place = np.concatenate(picked(first, ids[by]))
+            rows, firsts = by[place], at[by[first[place]]]
             # Strings that share their first bytes and a bucket are sorted together.
             prefix = np.zeros(len(rows), np.uint64)
             for i in range(8):
                 prefix = prefix << np.uint64(8) | seg.buf[at[rows] + i]
-            out += _send(seg, n, mix(h[rows]), mix(prefix ^ np.uint64(1)), h[rows], ids[rows], at[rows], np.full(len(rows), width))
+            out += _send(seg, n, mix(h[rows]), mix(prefix ^ np.uint64(1)), h[rows], firsts, ids[rows], at[rows], np.full(len(rows), width))
         return pa.Table.from_batches(out, schema=TEXTS)
 
     return run
 
 
-HITS = pa.schema([("seg", pa.int64()), ("text", pa.binary()), ("id", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
+HITS = pa.schema([("seg", pa.int64()), ("at", pa.binary()), ("id", pa.binary()), ("lo", pa.binary()), ("hi", pa.binary())])
 
 
 def _sort_texts(width: int):
     def run(table: pa.Table) -> pa.Table:
         """Of one bucket: for each text sent, the strings of it that a smaller id has."""
-        key, text, ids, size = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("id", np.int64), ("size", np.int32)))
+        key, text, at, ids, size = (S.gather(table, c, t) for c, t in (("key", np.uint64), ("text", np.uint64), ("at", np.int64), ("id", np.int64), ("size", np.int32)))
         segs = np.repeat(table.column("seg").to_numpy(), S.sizes(table, "key", 8))
         size = size.astype(np.int64)
         body = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
@@ -245,7 +246,7 @@ def _sort_texts(width: int):
         begin = gone & (np.append(True, ~gone[:-1]) | (nth == 0)) if len(gone) else gone
         end = gone & (np.append(~gone[1:], True) | (np.append(nth[1:], 0) == 0)) if len(gone) else gone
         r, lo, hi = row[begin], nth[begin], nth[end] + 1
-        got = S.spread(segs[by][r], {"text": t[r], "id": who[r], "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)}, np.ones(len(r), bool))
+        got = S.spread(segs[by][r], {"at": at[by][r], "id": who[r], "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)}, np.ones(len(r), bool))
         return pa.table(got, schema=HITS)
 
     return run
@@ -292,9 +293,9 @@ def first_holders(body: np.ndarray, start: np.ndarray, size: np.ndarray, key: np
 def _cut(width: int, schema: pa.Schema):
     def run(seg: S.Segment, replies: pa.Table) -> pa.Table:
         n, edge = len(seg.buf), np.zeros(len(seg.buf) + 1, np.int32)
-        text, ids, lo, hi = (S.gather(replies, c, t) for c, t in (("text", np.uint64), ("id", np.int64), ("lo", np.int32), ("hi", np.int32)))
+        named, ids, lo, hi = (S.gather(replies, c, t) for c, t in (("at", np.int64), ("id", np.int64), ("lo", np.int32), ("hi", np.int32)))
         hot = np.sort(S.gather(replies, "hot", np.uint64))
-        if len(text):
+        if len(named):
             runs = Runs(seg, width)
             cold = np.flatnonzero(~np.isin(runs.key, hot))
             at, size, id_, h = [runs.start[cold]], [runs.count[cold] + width - 1], [runs.id[cold]], [runs.text[cold]]
@@ -305,21 +306,22 @@ def _cut(width: int, schema: pa.Schema):
                 id_.append(whose)
                 h.append(Rolling(BYTE[seg.buf]).spans(begin, begin + width))
             at, size, id_, h = (np.concatenate(x) for x in (at, size, id_, h))
-            hit = np.isin(h, text)
+            hit = np.isin(h, h[np.isin(at, named)])
             at, size, id_, h = at[hit], size[hit], id_[hit], h[hit]
             # Replies are for a text and the id that asked: the first of the segment and one later stand for the rest.
-            by = np.lexsort([id_, h])
-            at, size, id_, h = at[by], size[by], id_[by], h[by]
-            order = np.lexsort([ids, text])
-            text, ids, lo, hi = text[order], ids[order], lo[order], hi[order]
-            asked = np.ones(len(text), bool)
-            asked[1:] = (text[1:] != text[:-1]) | (ids[1:] != ids[:-1])
+            by, first = classes(seg.buf, at, size, h, id_)
+            own = at[by[first]]
+            at, id_ = at[by], id_[by]
+            order = np.lexsort([ids, named])
+            named, ids, lo, hi = named[order], ids[order], lo[order], hi[order]
+            asked = np.ones(len(named), bool)
+            asked[1:] = (named[1:] != named[:-1]) | (ids[1:] != ids[:-1])
             head = np.flatnonzero(asked)
-            stop = np.append(head[1:], len(text))
-            names = text[head]
-            last = np.searchsorted(names, h, "right") - 1
+            stop = np.append(head[1:], len(named))
+            names = named[head]
+            last = np.searchsorted(names, own, "right") - 1
             # The reply of the largest id up to the run's own.
-            low = np.searchsorted(names, h, "left")
+            low = np.searchsorted(names, own, "left")
             pick = np.where(ids[head][last] <= id_, last, last - 1)
             ok = (pick >= low) & (ids[head][pick] <= id_)
             at, pick = at[ok], pick[ok]
@@ -352,8 +354,8 @@ def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n = packed.hash_buckets()
     keys = packed.ask(_send_keys(n, width), "bucket long, seg long, h binary")
     shared = stored(S.settle(keys, _shared_keys(hot), "seg long, found binary, hot binary"), "shared")
-    texts = packed.answer(shared, _send_texts(4 * n, width), "bucket long, seg long, key binary, text binary, id binary, size binary, bytes binary")
-    hits = S.settle(texts, _sort_texts(width), "seg long, text binary, id binary, lo binary, hi binary")
+    texts = packed.answer(shared, _send_texts(4 * n, width), "bucket long, seg long, key binary, text binary, at binary, id binary, size binary, bytes binary")
+    hits = S.settle(texts, _sort_texts(width), "seg long, at binary, id binary, lo binary, hi binary")
     replies = hits.unionByName(shared.where("hot is not null").select("seg", "hot"), allowMissingColumns=True)
     kind = T.StructType([*packed.carry, *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType())])
     from pyspark.sql.pandas.types import to_arrow_schema
