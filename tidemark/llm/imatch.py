@@ -29,6 +29,7 @@ from .common import stored
 SUBSETS, LEVELS, LOW, HIGH = 8, 3, 0.1, 0.9
 BROADCAST = 1 << 18  # terms of a lexicon that is sent to all tasks; larger ones are joined by shuffling
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BLOCKS = 16  # for each shuffle partition, so that the partitions' shares are alike
 ANY = " or ".join(f"substr(x.s, {8 * i + 1}, 8) < %s" for i in range(SUBSETS))
 
 
@@ -51,10 +52,9 @@ def picked(words: str, least: str) -> str:
     return f"transform(filter(transform({words}, w -> struct(w, sha2(w, 256) as s)), x -> {ANY.replace('%s', least)}), x -> x.w)"
 
 
-def signatures(kept: str, first: str) -> str:
-    """The signatures of a text by its kept terms and its first level."""
-    at = f"(substr(x.s, 8 * i + 1, 8) < {below(f'({first} + j)')})"
-    own = f"transform(filter(transform({kept}, w -> struct(w, sha2(w, 256) as s)), x -> {at}), x -> x.w)"
+def signatures(hashed: str, first: str, bounds: str) -> str:
+    """The signatures of a text by its kept terms with their hashes, its first level, and what hashes lie below at its levels."""
+    own = f"transform(filter({hashed}, x -> substr(x.s, 8 * i + 1, 8) < get({bounds}, j)), x -> x.w)"
     each = f"flatten(transform(sequence(0, {LEVELS - 1}), j -> transform(sequence(0, {SUBSETS - 1}), i -> struct({first} + j as l, i as i, {own} as t))))"
     return f"transform(filter({each}, y -> size(y.t) > 0), y -> concat(y.l, '.', y.i, '.', substr(md5(array_join(array_sort(y.t), ' ')), 1, 8)))"
 
@@ -70,7 +70,7 @@ def likeness(a: str, b: str, la: str, lb: str) -> str:
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id and text with the next document's id and text, and whether the row is what stands for its id."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = BLOCKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = docs.where("doc_id is not null").select("doc_id").repartitionByRange(parts, "doc_id")
     ends = sorted(r["end"] for r in ranges.groupBy(F.spark_partition_id()).agg(F.max("doc_id").alias("end")).collect())  # one a partition
     bounds = F.array(*map(F.lit, ends)) if ends else F.array(F.lit(0))
@@ -107,14 +107,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = texts.withColumn("edited", F.concat(F.left("text", F.col("n_chars").cast("int") - half), F.left("next_text", half)))
     texts = texts.select("doc_id", "next_id", "stands", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"), terms(F.col("text")).alias("wa"), terms(F.col("edited")).alias("wb"))
     whole = lambda w: F.unhex(F.md5(F.array_join(F.array_sort(w), " ")))
-    texts = texts.withColumns({"la": F.expr(level("wa")), "lb": F.expr(level("wb"))}).withColumns({"a": F.expr(picked("wa", below("la"))), "b": F.expr(picked("wb", below("lb"))), "all_a": F.when(F.size("wa") > 0, whole("wa")), "all_b": F.when(F.size("wb") > 0, whole("wb"))})
-    texts = stored(texts.drop("wa", "wb").withColumn("r", F.monotonically_increasing_id()), "texts", "zstd")
+    texts = texts.withColumns({"la": F.expr(level("wa")), "lb": F.expr(level("wb"))}).withColumns({"ta": F.expr(below("la")), "tb": F.expr(below("lb"))})
+    texts = texts.withColumns({"a": F.expr(picked("wa", "ta")), "b": F.expr(picked("wb", "tb")), "all_a": F.when(F.size("wa") > 0, whole("wa")), "all_b": F.when(F.size("wb") > 0, whole("wb"))})
+    texts = stored(texts.drop("wa", "wb", "ta", "tb").withColumn("r", F.monotonically_increasing_id()), "texts", "zstd")
     pairs = F.expr("concat(transform(array_intersect(a, b), t -> struct(t as term, 3 as of)), transform(array_except(a, b), t -> struct(t as term, 1 as of)), transform(array_except(b, a), t -> struct(t as term, 2 as of)))")
     kept = texts.select("r", F.explode(pairs).alias("p")).select("r", "p.*").join(lexicon, "term", "left_semi")
     kept = kept.groupBy("r").agg(F.expr("collect_list(if(of & 1 > 0, term, null))").alias("ka"), F.expr("collect_list(if(of & 2 > 0, term, null))").alias("kb"))
     rows = texts.drop("a", "b").join(kept, "r", "left")
-    some = lambda k, first, all_: f"if({k} is not null and size({signatures(k, first)}) > 0, {signatures(k, first)}, if({all_} is null, array(), array(concat('=', lower(hex({all_}))))))"
-    rows = stored(rows.select("doc_id", "next_id", "stands", "n_chars", "edited_sha256", "la", "lb", F.expr(some("ka", "la", "all_a")).alias("fa"), F.expr(some("kb", "lb", "all_b")).alias("fb")), "prints", "zstd")
+    bounds = lambda first: F.expr(f"array({', '.join(below(f'({first} + {j})') for j in range(LEVELS))})")
+    hashed = lambda kept: F.expr(f"coalesce(transform({kept}, w -> struct(w, sha2(w, 256) as s)), array())")
+    rows = rows.withColumns({"ha": hashed("ka"), "hb": hashed("kb"), "ba": bounds("la"), "bb": bounds("lb")})
+    rows = rows.withColumns({"sa": F.expr(signatures("ha", "la", "ba")), "sb": F.expr(signatures("hb", "lb", "bb"))})
+    some = lambda found, all_: F.expr(f"if(size({found}) > 0 or {all_} is null, {found}, array(concat('=', lower(hex({all_})))))")
+    rows = stored(rows.select("doc_id", "next_id", "stands", "n_chars", "edited_sha256", "la", "lb", some("sa", "all_a").alias("fa"), some("sb", "all_b").alias("fb")), "prints", "zstd")
     others = rows.where("stands").select(F.col("doc_id").alias("other"), F.col("fa").alias("fn"), F.col("la").alias("ln"))
     rows = rows.join(others, F.col("next_id") == F.col("other"), "left")
     near_next = F.expr(f"if(next_id is null, null, {likeness('fa', 'fn', 'la', 'ln')})")
