@@ -104,7 +104,7 @@ def _describe(seg: S.Segment):
     )
 
 
-def _slices(first: np.ndarray, a: int, b: int, most: int = 1 << 18):
+def _slices(first: np.ndarray, a: int, b: int, most: int = 1 << 16):
     """Documents a to b in runs of at most `most` elements; one longer document is its own run."""
     while a < b:
         c = min(b, max(a + 1, int(np.searchsorted(first, first[a] + most, "right")) - 1))
