@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.pairs import pair_of
 from ..functions.text import same_number
 
 POOL, RECENT = 80, 40
@@ -29,8 +30,8 @@ def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = P
 
     Single digits aren't recomputed, nor is a figure from a copy of itself, nor by a sum or difference with a number under
     ten units of its last digit. pool: the figures of its own row, all of them; after them come the first `most` values of
-    wider that aren't in it, and key_figures. One of a pair at least is a value of the own row. The search is an expression
-    over a row and needs no join; it takes the square of the row's figures.
+    wider that aren't in it, and key_figures. One of a pair at least is a value of the own row. The other number of a pair is
+    looked up among the sorted ones (functions.pairs), so a row costs a sort and needs no join.
     """
     v, d = F.col(value), F.col(decimals)
     own = F.col(pool)
@@ -38,21 +39,9 @@ def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = P
     beyond = F.slice(F.filter(F.coalesce(F.col(wider), none), lambda x: ~F.array_contains(own, x)), 1, most) if wider else none
     last = F.coalesce(F.col(key_figures), none) if key_figures else none
     near = F.filter(F.concat(own, beyond, last) if wider or key_figures else own, lambda x: (x != 0) & ~same_number(x, v, d))
-    least = 10 * F.pow(F.lit(10.0), -d)
-
-    def pair(a: Column, i: Column) -> Column:
-        def other(b: Column, j: Column) -> Column:
-            small = F.least(F.abs(a), F.abs(b)) < least
-            ops = [("+", a + b, ~small), ("-", a - b, ~small), ("*", a * b, F.lit(True)), ("/", a / b, F.lit(True)), ("/ %", 100 * a / b, F.lit(True)), ("growth %", 100 * (a - b) / F.abs(b), F.lit(True)), ("* %", a * b / 100, F.lit(True))]
-            op = F.coalesce(*(F.when(ok & same_number(v, r, d), F.lit(name)) for name, r, ok in ops))
-            local = F.array_contains(own, a) | F.array_contains(own, b) if wider or key_figures else F.lit(True)
-            return F.when((i != j) & local & op.isNotNull(), F.struct(op.alias("op"), a.alias("a"), b.alias("b"), i.alias("i"), j.alias("j")))
-
-        return F.try_element_at(F.filter(F.transform(near, other), lambda x: x.isNotNull()), F.lit(1))
-
-    found = F.filter(F.transform(near, pair), lambda x: x.isNotNull())
     single = (v == F.floor(v)) & (F.abs(v) < 10)
-    return F.when(~single, F.try_element_at(found, F.lit(1)))
+    near = F.when(~single, near.cast("array<double>"))
+    return pair_of(v.cast("double"), d.cast("int"), near, F.transform(near, lambda x: F.array_contains(own.cast("array<double>"), x)))
 
 
 def singled_out(figures: DataFrame, numbers: DataFrame, by: list[str], key: str, value: str, decimals: str, number: str, label: str | None = None, window: str | None = None) -> DataFrame:

@@ -140,6 +140,27 @@ def recomputed_figures(t):
     return rows.withColumn("r", C.recompute(rows, "v", "d", "pool")).select("l_orderkey", "l_linenumber", "r.op", "r.a", "r.b")
 
 
+@query("""
+WITH x AS (SELECT l_orderkey, l_linenumber, l_quantity AS v, l_extendedprice AS e, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS k FROM lineitem),
+w AS (SELECT l_orderkey, e, row_number() OVER (PARTITION BY l_orderkey ORDER BY e) AS k FROM (SELECT DISTINCT l_orderkey, round(e / 100, 0) AS e FROM x) d WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.l_orderkey = d.l_orderkey AND x.v = d.e)),
+p AS (SELECT l_orderkey, v, k, true AS own FROM x UNION ALL SELECT l_orderkey, e, 1000 + k, false FROM w WHERE k <= 5
+  UNION ALL SELECT o_orderkey, round(o_totalprice / 1000, 0), 2000, EXISTS (SELECT 1 FROM x WHERE x.l_orderkey = o_orderkey AND x.v = round(o_totalprice / 1000, 0)) FROM orders UNION ALL SELECT o_orderkey, 365, 2001, false FROM orders),
+q AS (SELECT f.l_orderkey, f.k, f.v, a.v AS a, b.v AS b, a.k AS i, b.k AS j FROM x f JOIN p a ON a.l_orderkey = f.l_orderkey JOIN p b ON b.l_orderkey = f.l_orderkey AND a.k <> b.k
+  WHERE f.v >= 10 AND (a.own OR b.own) AND a.v <> 0 AND b.v <> 0 AND abs(a.v - f.v) > 0.5 + 1e-9 AND abs(b.v - f.v) > 0.5 + 1e-9),
+o AS (SELECT *, CASE WHEN least(a, b) >= 10 AND abs(v - (a + b)) <= 0.5 + 1e-9 THEN '+' WHEN least(a, b) >= 10 AND abs(v - abs(a - b)) <= 0.5 + 1e-9 THEN '-' WHEN abs(v - a * b) <= 0.5 + 1e-9 THEN '*' WHEN abs(v - a / b) <= 0.5 + 1e-9 THEN '/'
+  WHEN abs(v - 100 * a / b) <= 0.5 + 1e-9 THEN '/ %' WHEN abs(v - abs(100 * (a - b) / b)) <= 0.5 + 1e-9 THEN 'growth %' WHEN abs(v - a * b / 100) <= 0.5 + 1e-9 THEN '* %' END AS op FROM q),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, k ORDER BY i, j) AS n FROM o WHERE op IS NOT NULL)
+SELECT x.l_orderkey, x.l_linenumber, r.op, r.a, r.b FROM x LEFT JOIN r ON r.l_orderkey = x.l_orderkey AND r.k = x.k AND n = 1
+""")
+def recomputed_at_full_width(t):
+    """An order's quantities recomputed from each other, from its prices in hundreds (five at most), its total and the days of a year."""
+    quantities = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity"))), lambda x: x["l_quantity"].cast("double"))
+    pool = t.lineitem.groupBy("l_orderkey").agg(quantities.alias("pool"), F.array_sort(F.collect_set(F.round(F.col("l_extendedprice") / 100, 0))).alias("wider"))
+    keys = t.orders.select("o_orderkey", F.array(F.round(F.col("o_totalprice") / 1000, 0), F.lit(365.0)).alias("keys"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("v"), F.lit(0).alias("d")).join(pool, "l_orderkey").join(keys, F.expr("o_orderkey = l_orderkey"))
+    return rows.withColumn("r", C.recompute(rows, "v", "d", "pool", 5, "wider", "keys")).select("l_orderkey", "l_linenumber", "r.op", "r.a", "r.b")
+
+
 @query("""
 WITH f AS (SELECT o_orderkey, o_custkey, round(o_totalprice, 0) AS v FROM orders), s AS (SELECT o_custkey, l_extendedprice AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT o_orderkey, coalesce(bool_or(abs(v - n) <= 0.5 + 1e-9), false) AS found, coalesce(bool_or(abs(v + 1 - n) <= 0.5 + 1e-9 OR abs(v - 1 - n) <= 0.5 + 1e-9), false) AS slips FROM f LEFT JOIN s ON s.o_custkey = f.o_custkey AND n BETWEEN v - 3 AND v + 3 GROUP BY o_orderkey
