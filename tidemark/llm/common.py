@@ -72,21 +72,25 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SEEDS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
-_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)  # the first k bytes of a lane
+KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)  # the first k bytes of a lane
 LONG = 64  # bytes of a word that are hashed lane by lane
 
 
+def lanes(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on (zeros behind the end) as one number, the first byte lowest; no copy for each position."""
+    return np.ndarray(len(buf) + 1, "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]).data, 0, (1,))
+
+
 def lane_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
     """Hashes of spans by lanes of 8 bytes, each multiplied in and mixed before the next; spans above LONG bytes by blake2b.
     No sum of powers, so no texts that cancel out whatever the base."""
     size = ends - starts
     h = mix(size.astype(np.uint64) + _SEEDS[which])
-    bytes_ = np.concatenate([buf, np.zeros(8, np.uint8)])
-    lanes = np.ndarray(len(buf) + 1, "<u8", bytes_.data, 0, (1,))
+    words = lanes(buf)
     rows = np.flatnonzero(size <= LONG)
     at, left = starts[rows], size[rows]
     while len(rows):
-        h[rows] = mix((h[rows] * _M1) ^ (lanes[at] & _KEEP[np.minimum(left, 8)]))
+        h[rows] = mix((h[rows] * _M1) ^ (words[at] & KEEP[np.minimum(left, 8)]))
         go = left > 8
         rows, at, left = rows[go], at[go] + 8, left[go] - 8
     for i in np.flatnonzero(size > LONG).tolist():

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import segments as S
-from .common import BYTE, Rolling, mix, stored
+from .common import BYTE, KEEP, Rolling, lanes, mix, stored
 from .gsaca import suffix_array, suffix_arrays
 
 GRAM = 20
@@ -110,16 +110,14 @@ def picked(first: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Whether buf[a:a + len] and buf[b:b + len] hold the same bytes, for each pair; eight bytes at a time."""
-    words = np.zeros(len(buf), np.uint64)
-    for i in range(8):
-        words <<= np.uint64(8)
-        words[: len(buf) - i] |= buf[i:]
     same, todo = np.ones(len(a), bool), np.flatnonzero(lens > 0)
+    if not len(todo):
+        return same
+    words = lanes(buf)
     left = lens[todo].astype(np.int64)
     x, y = np.asarray(a)[todo].astype(np.int64), np.asarray(b)[todo].astype(np.int64)
     while len(todo):
-        over = np.clip(8 - left, 0, 8).astype(np.uint64) * np.uint64(8)  # bits behind the end
-        equal = (words[x] ^ words[y]) >> over == 0
+        equal = (words[x] ^ words[y]) & KEEP[np.minimum(left, 8)] == 0
         same[todo[~equal]] = False
         go = equal & (left > 8)
         todo, left, x, y = todo[go], left[go] - 8, x[go] + 8, y[go] + 8
