@@ -24,10 +24,10 @@ def plain(rows):
 
     def signed(text):
         own = words(text)
-        first, out = len(own).bit_length() - 1 if own else 0, []
+        first, out = min(len(own).bit_length() - 1, imatch.DEEPEST) if own else 0, []
         for level in range(first, first + imatch.LEVELS):
             for i in range(imatch.SUBSETS):
-                kept = sorted(w for w in own if w in band and int(hashlib.sha256(w.encode()).hexdigest()[8 * i : 8 * i + 8], 16) < 1 << (32 - level))
+                kept = sorted(w for w in own if w in band and int(hashlib.md5(w.encode()).hexdigest()[4 * i : 4 * i + 4], 16) < 1 << (16 - level))
                 if kept:
                     out.append(f"{level}.{i}.{hashlib.md5(' '.join(kept).encode()).hexdigest()[:8]}")
         if own and not out:

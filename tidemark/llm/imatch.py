@@ -2,9 +2,9 @@
 
 Terms are lower-cased words (A-Z only, between white space). The lexicon is a band of inverse document frequency: terms that
 at least N**low and at most N**high of N documents hold, which leaves out what tells nothing and what is a slip. SUBSETS
-random lexica are nested by level: a term is in lexicon i at level j if the i-th 32 bits of its sha256 lie below 2**(32 - j).
+random lexica are nested by level: a term is in lexicon i at level j if the i-th 16 bits of its md5 lie below 2**(16 - j).
 A text of m distinct terms uses the levels L, L + 1 and L + 2 with m / 2**L between 1 and 2, so every subset keeps a term or
-two of texts of any length. A signature is the hash of the kept terms, distinct and sorted; a fingerprint has those that aren't
+two of texts of any length; L is 13 at most, so texts of more than 16,384 distinct terms keep more. A signature is the hash of the kept terms, distinct and sorted; a fingerprint has those that aren't
 empty, as level.subset.signature. A text without terms in any subset has one signature of all its distinct sorted terms.
 Likeness is the share of equal signatures among the subsets of the levels that two fingerprints have in common, where either
 has one; equal fingerprints have 1.
@@ -30,7 +30,8 @@ SUBSETS, LEVELS, LOW, HIGH = 8, 3, 0.1, 0.9
 BROADCAST = 1 << 18  # terms of a lexicon that is sent to all tasks; larger ones are joined by shuffling
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLOCKS = 16  # for each shuffle partition, so that the partitions' shares are alike
-ANY = " or ".join(f"substr(x.s, {8 * i + 1}, 8) < %s" for i in range(SUBSETS))
+DEEPEST = 13
+ANY = " or ".join(f"substr(x.s, {4 * i + 1}, 4) < %s" for i in range(SUBSETS))
 
 
 def terms(text: Column) -> Column:
@@ -39,24 +40,24 @@ def terms(text: Column) -> Column:
 
 def level(words: str) -> str:
     """The first of the levels of a text with these distinct terms."""
-    return f"length(bin(size({words}))) - 1"
+    return f"least(length(bin(size({words}))) - 1, {DEEPEST})"
 
 
 def below(level: str) -> str:
-    """What the 8 hex digits of a term in a lexicon of that level lie below, as text."""
-    return f"if({level} = 0, 'g', lpad(hex(shiftleft(1L, 32 - {level})), 8, '0'))"
+    """What the 4 hex digits of a term in a lexicon of that level lie below, as text."""
+    return f"if({level} = 0, 'g', lpad(hex(shiftleft(1L, 16 - {level})), 4, '0'))"
 
 
 def picked(words: str, least: str) -> str:
-    """The terms that are in any lexicon of the text's first level."""
-    return f"transform(filter(transform({words}, w -> struct(w, sha2(w, 256) as s)), x -> {ANY.replace('%s', least)}), x -> x.w)"
+    """The terms that are in any lexicon of a level."""
+    return f"transform(filter(transform({words}, w -> struct(w, md5(w) as s)), x -> {ANY.replace('%s', least)}), x -> x.w)"
 
 
 def signatures(hashed: str, first: str, bounds: str) -> str:
     """The signatures of a text by its kept terms with their hashes, its first level, and what hashes lie below at its levels."""
-    own = f"transform(filter({hashed}, x -> substr(x.s, 8 * i + 1, 8) < get({bounds}, j)), x -> x.w)"
+    own = f"transform(filter({hashed}, x -> substr(x.s, 4 * i + 1, 4) < get({bounds}, j)), x -> x.w)"
     each = f"flatten(transform(sequence(0, {LEVELS - 1}), j -> transform(sequence(0, {SUBSETS - 1}), i -> struct({first} + j as l, i as i, {own} as t))))"
-    return f"transform(filter({each}, y -> size(y.t) > 0), y -> concat(y.l, '.', y.i, '.', substr(md5(array_join(array_sort(y.t), ' ')), 1, 8)))"
+    return f"transform(filter({each}, y -> size(y.t) > 0), y -> concat(y.l, '.', y.i, '.', substr(md5(array_join(sort_array(y.t), ' ')), 1, 8)))"
 
 
 def likeness(a: str, b: str, la: str, lb: str) -> str:
@@ -106,16 +107,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     half = F.expr("cast(n_chars div 2 as int)")
     texts = texts.withColumn("edited", F.concat(F.left("text", F.col("n_chars").cast("int") - half), F.left("next_text", half)))
     texts = texts.select("doc_id", "next_id", "stands", "n_chars", F.unhex(F.sha2("edited", 256)).alias("edited_sha256"), terms(F.col("text")).alias("wa"), terms(F.col("edited")).alias("wb"))
-    whole = lambda w: F.unhex(F.md5(F.array_join(F.array_sort(w), " ")))
-    texts = texts.withColumns({"la": F.expr(level("wa")), "lb": F.expr(level("wb"))}).withColumns({"ta": F.expr(below("la")), "tb": F.expr(below("lb"))})
-    texts = texts.withColumns({"a": F.expr(picked("wa", "ta")), "b": F.expr(picked("wb", "tb")), "all_a": F.when(F.size("wa") > 0, whole("wa")), "all_b": F.when(F.size("wb") > 0, whole("wb"))})
-    texts = stored(texts.drop("wa", "wb", "ta", "tb").withColumn("r", F.monotonically_increasing_id()), "texts", "zstd")
+    whole = lambda w: F.unhex(F.md5(F.array_join(F.sort_array(w), " ")))
+    texts = texts.withColumns({"la": F.expr(level("wa")), "lb": F.expr(level("wb"))}).withColumn("least", F.expr(below("least(la, lb)")))
+    # Terms that one of both texts may keep, each hashed once; signatures take what lies below their own levels.
+    texts = texts.withColumn("u", F.expr(picked("array_union(wa, wb)", "least"))).withColumns({"a": F.array_intersect("u", "wa"), "b": F.array_intersect("u", "wb"), "all_a": F.when(F.size("wa") > 0, whole("wa")), "all_b": F.when(F.size("wb") > 0, whole("wb"))})
+    texts = stored(texts.drop("wa", "wb", "u", "least").withColumn("r", F.monotonically_increasing_id()), "texts", "zstd")
     pairs = F.expr("concat(transform(array_intersect(a, b), t -> struct(t as term, 3 as of)), transform(array_except(a, b), t -> struct(t as term, 1 as of)), transform(array_except(b, a), t -> struct(t as term, 2 as of)))")
     kept = texts.select("r", F.explode(pairs).alias("p")).select("r", "p.*").join(lexicon, "term", "left_semi")
     kept = kept.groupBy("r").agg(F.expr("collect_list(if(of & 1 > 0, term, null))").alias("ka"), F.expr("collect_list(if(of & 2 > 0, term, null))").alias("kb"))
     rows = texts.drop("a", "b").join(kept, "r", "left")
     bounds = lambda first: F.expr(f"array({', '.join(below(f'({first} + {j})') for j in range(LEVELS))})")
-    hashed = lambda kept: F.expr(f"coalesce(transform({kept}, w -> struct(w, sha2(w, 256) as s)), array())")
+    hashed = lambda kept: F.expr(f"coalesce(transform({kept}, w -> struct(w, md5(w) as s)), array())")
     rows = rows.withColumns({"ha": hashed("ka"), "hb": hashed("kb"), "ba": bounds("la"), "bb": bounds("lb")})
     rows = rows.withColumns({"sa": F.expr(signatures("ha", "la", "ba")), "sb": F.expr(signatures("hb", "lb", "bb"))})
     some = lambda found, all_: F.expr(f"if(size({found}) > 0 or {all_} is null, {found}, array(concat('=', lower(hex({all_})))))")
@@ -132,8 +134,8 @@ def op13_document_fingerprints(spark, sf_dir: str) -> DataFrame:
 
 def _oracle() -> str:
     words = lambda t: rf"list_distinct([w FOR w IN string_split_regex(translate({t}, '{CAPITALS}', '{CAPITALS.lower()}'), '[\x20\x09-\x0D]+') IF w <> ''])"
-    first = lambda w: f"length(bin(len({w}))) - 1"
-    under = lambda j: f"CASE WHEN {j} = 0 THEN 'g' ELSE lpad(hex(CAST(1 AS BIGINT) << (32 - {j})), 8, '0') END"
+    first = lambda w: f"least(length(bin(len({w}))) - 1, {DEEPEST})"
+    under = lambda j: f"CASE WHEN {j} = 0 THEN 'g' ELSE lpad(hex(CAST(1 AS BIGINT) << (16 - {j})), 4, '0') END"
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars,
   coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC), max(doc_id) OVER ()) AS next_id FROM documents),
@@ -142,7 +144,7 @@ w AS (SELECT doc_id, 'a' AS k, {words("text")} AS ws FROM e UNION ALL SELECT doc
 lexicon AS (SELECT term FROM (SELECT unnest(ws) AS term FROM w WHERE k = 'a') GROUP BY term HAVING count(*) BETWEEN floor(pow((SELECT count(*) FROM d), {LOW})) AND floor(pow((SELECT count(*) FROM d), {HIGH}))),
 t AS (SELECT doc_id, k, {first("ws")} AS lv, unnest(ws) AS term FROM w),
 s AS (SELECT doc_id, k, lv + j AS l, i, substr(md5(string_agg(term, ' ' ORDER BY term)), 1, 8) AS sig FROM (SELECT * FROM t SEMI JOIN lexicon USING (term)), range({LEVELS}) a(j), range({SUBSETS}) b(i)
-  WHERE substr(sha256(term), 8 * i + 1, 8) < {under("(lv + j)")} GROUP BY doc_id, k, lv + j, i),
+  WHERE substr(md5(term), 4 * i + 1, 4) < {under("(lv + j)")} GROUP BY doc_id, k, lv + j, i),
 f AS (SELECT doc_id, k, list(l || '.' || i || '.' || sig ORDER BY l, i) AS f, list({{'l': l, 'i': i, 's': sig}} ORDER BY l, i) AS p FROM s GROUP BY ALL),
 g AS (SELECT w.doc_id, w.k, {first("ws")} AS lv, CASE WHEN f.f IS NOT NULL THEN f.f WHEN len(ws) = 0 THEN [] ELSE ['=' || md5(array_to_string(list_sort(ws), ' '))] END AS f, coalesce(p, []) AS p FROM w LEFT JOIN f USING (doc_id, k)),
 x AS (SELECT e.doc_id, 'e' AS of, a.f AS fa, b.f AS fb, a.p AS pa, b.p AS pb, greatest(a.lv, b.lv) AS lo, least(a.lv, b.lv) + {LEVELS - 1} AS hi FROM e JOIN g a ON a.doc_id = e.doc_id AND a.k = 'a' JOIN g b ON b.doc_id = e.doc_id AND b.k = 'b'
