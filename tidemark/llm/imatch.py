@@ -53,10 +53,15 @@ def picked(words: str, least: str) -> str:
     return f"transform(filter(transform({words}, w -> struct(w, md5(w) as s)), x -> {ANY.replace('%s', least)}), x -> x.w)"
 
 
-def signatures(hashed: str, first: str, bounds: str) -> str:
-    """The signatures of a text by its kept terms with their hashes, its first level, and what hashes lie below at its levels."""
-    own = f"transform(filter({hashed}, x -> substr(x.s, 4 * i + 1, 4) < get({bounds}, j)), x -> x.w)"
-    each = f"flatten(transform(sequence(0, {LEVELS - 1}), j -> transform(sequence(0, {SUBSETS - 1}), i -> struct({first} + j as l, i as i, {own} as t))))"
+def subsets(hashed: str, bounds: str) -> str:
+    """For each random lexicon the kept terms, with their hashes, that it holds at the text's first level."""
+    return f"transform(sequence(0, {SUBSETS - 1}), i -> filter({hashed}, x -> substr(x.s, 4 * i + 1, 4) < {bounds}[0]))"
+
+
+def signatures(subsets: str, first: str, bounds: str) -> str:
+    """The signatures of a text by its subsets, its first level, and what hashes lie below at its levels. Deeper levels are nested."""
+    own = f"transform(filter(t, x -> substr(x.s, 4 * i + 1, 4) < {bounds}[j]), x -> x.w)"
+    each = f"flatten(transform(sequence(0, {LEVELS - 1}), j -> transform({subsets}, (t, i) -> struct({first} + j as l, i as i, {own} as t))))"
     return f"transform(filter({each}, y -> size(y.t) > 0), y -> concat(y.l, '.', y.i, '.', substr(md5(array_join(sort_array(y.t), ' ')), 1, 8)))"
 
 
@@ -119,7 +124,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     bounds = lambda first: F.expr(f"array({', '.join(below(f'({first} + {j})') for j in range(LEVELS))})")
     hashed = lambda kept: F.expr(f"coalesce(transform({kept}, w -> struct(w, md5(w) as s)), array())")
     rows = rows.withColumns({"ha": hashed("ka"), "hb": hashed("kb"), "ba": bounds("la"), "bb": bounds("lb")})
-    rows = rows.withColumns({"sa": F.expr(signatures("ha", "la", "ba")), "sb": F.expr(signatures("hb", "lb", "bb"))})
+    rows = rows.withColumns({"pa": F.expr(subsets("ha", "ba")), "pb": F.expr(subsets("hb", "bb"))})
+    rows = rows.withColumns({"sa": F.expr(signatures("pa", "la", "ba")), "sb": F.expr(signatures("pb", "lb", "bb"))})
     some = lambda found, all_: F.expr(f"if(size({found}) > 0 or {all_} is null, {found}, array(concat('=', lower(hex({all_})))))")
     rows = stored(rows.select("doc_id", "next_id", "stands", "n_chars", "edited_sha256", "la", "lb", some("sa", "all_a").alias("fa"), some("sb", "all_b").alias("fb")), "prints", "zstd")
     others = rows.where("stands").select(F.col("doc_id").alias("other"), F.col("fa").alias("fn"), F.col("la").alias("ln"))
