@@ -71,7 +71,8 @@ def test_patterns_and_labels(spark):
     assert one(spark, V.printed_numbers("t"), t="5.2 (46) 1,234, .7") == ["5.2", "46", "1,234", "(46)"]
     forms = F.array(*(F.lit(x) for x in ("2019", "5", "5.0", "12.5", "short", "a text of some length")))
     assert one(spark, V.distinctive_forms(forms), t="") == ["12.5", "a text of some length"]
-    assert set(one(spark, V.keywords("t", ["with"]), t="R&D costs grew with buybacks of shares")) == {"researc", "develop", "cost", "increas", "repurch", "share"}
+    assert set(one(spark, V.keywords("t", ["with"]), t="ROE and staff costs rose with liabilities, taxes and two analyses of turnover")) == {"return", "equity", "employe", "cost", "rose", "liabili", "tax", "analys", "revenue"}
+    assert one(spark, V.keywords("t", [], 5, {}, {"growth": "rise"}), t="Growth of shares") == ["rise", "share"]
     figures = spark.createDataFrame([(1, "s", 100.0, 0, ["sales"]), (2, "s", 100.0, 0, ["costs"]), (3, "s", 50.0, 0, ["sales"])], "k int, s string, v double, d int, l array<string>")
     numbers = spark.createDataFrame([("s", 100.0, ["sales"]), ("s", 101.0, ["costs"]), ("s", 51.0, ["sales"])], "s string, n double, w array<string>")
     got = {r.k: (r.found, r.slips) for r in C.singled_out(figures, numbers, ["s"], "k", "v", "d", "n", "l", "w").collect()}
@@ -87,6 +88,12 @@ def test_requests(spark):
     assert [(r.kind, r["items"], r.exhibits) for r in ask("8-K Item 5.02, Exhibit 99.1").requests] == [("current", ["5.02"], ["EX-99.1"])]
     assert [(r.kind, r["items"]) for r in ask("8-K Items 2.02 and 9.01 with results").requests] == [("release", ["2.02"]), ("current", ["9.01"])]
     assert [r.kind for r in ask("Acme's press releases").requests] == ["press"] and ask("Delta's press releases").requests == []
+    assert [(r.kind, r.periods) for r in ask("10-K of FY2021-2023 and the 10-Q for the third quarter of 2024, Q1 2025 and 2025Q2").requests] == [("quarterly", p := ["2021", "2022", "2023", "2024Q3", "2025Q1", "2025Q2"]), ("annual", p)]
+    assert one(spark, R.periods("t"), t="fiscal 2024, FY2024Q3; call of 2019, item 7") == ["2024", "2024Q3"] and one(spark, R.periods("t"), t="") == []
+    assert [r.kind for r in ask("the proxy statement, Form 4 filings and 13G").requests] == ["proxy", "ownership", "beneficial"]
+    assert ask("Acme Corp's announcement of results").requests[0]["items"] == ["2.02"] and ask("a ministry's announcement").notes == ["a ministry's announcement: no filing of the company"]
+    own = R.requests(F.col("t"), F.lit(False), F.array(F.lit("Acme")), [R.Rule("anything", (), ("spoken",))])
+    assert [r.kind for r in one(spark, own, t="whatever").requests] == ["anything"]
     assert [r.kind for r in ask("6-K results", True).requests] == ["release"] and "spoken" in ask("Delta's earnings call").notes[0]
 
 

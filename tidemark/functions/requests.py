@@ -1,29 +1,70 @@
-"""Requests for documents in free text: clauses, the forms, items and exhibits they name, and what can't be had.
+"""Requests for documents in free text: clauses, and what each asks for, by a table of rules over signals.
 
-Splitting and reading are expressions on text and arrays; a request is a row once its array is exploded.
+A clause is reduced to its signals (tokens that name a form, phrases, and what its numbers say); a rule is a row that needs some
+signals, lacks others and names a kind of document. All rules are matched by set operations on arrays, so other vocabularies
+and other rules are other rows. Items, exhibits, sections and periods that a clause names go with the kinds that can have them.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import _col
 
-# Kinds of filings with the names that ask for them, and words for what isn't filed.
-KINDS = {
-    "quarterly": r"(?<![\w-])10-Qs?(?![\w-])",
-    "annual": r"(?<![\w-])(?:10-Ks?|20-Fs?|40-Fs?)(?![\w-])",
-    "proxy": r"(?i)(?<![\w-])DEF ?14A(?![\w-])|\bproxy statements?\b",
-    "ownership": r"\bForms? [345]\b",
-    "beneficial": r"\b13[DG]\b",
-    "merger": r"(?i)(?<![\w-])(?:S-4|F-4|DEFM14A)(?![\w-])|\bmerger proxy\b",
+
+class Rule(NamedTuple):
+    kind: str
+    needs: tuple[str, ...]
+    lacks: tuple[str, ...] = ()
+    items: str = "none"  # none, all, results or others: the items that go with the request
+
+
+#: Names of forms, as tokens of a clause in capitals, with what they signal.
+TOKENS = {
+    "10-Q": "quarter", "10-QS": "quarter", "10-K": "year", "10-KS": "year", "20-F": "year", "20-FS": "year", "40-F": "year", "40-FS": "year",
+    "8-K": "current", "8-KS": "current", "6-K": "foreign", "6-KS": "foreign", "DEF14A": "proxy", "14A": "proxy", "13D": "stake", "13G": "stake", "S-4": "deal", "F-4": "deal", "DEFM14A": "deal",
+}
+#: Phrases, as words in lower case and the singular, side by side.
+PHRASES = {
+    "results": ["result", "earning", "quarterly figure"],
+    "news": ["press release", "announcement", "news release"],
+    "spoken": ["transcript", "webcast", "conference call", "earning call", "call recording", "investor day"],
+    "outsider": ["regulator", "ministry", "court", "newspaper", "analyst", "broker", "index provider", "trade association", "statistics office", "rating agency", "competitor"],
+    "proxy": ["proxy statement"],
+    "deal": ["merger proxy", "merger prospectus"],
+    "insider": ["form 3", "form 4", "form 5", "insider trade"],
+    "business": ["business section", "description of the business"],
+    "risk_factors": ["risk factor"],
+    "mdna": ["md&a", "management discussion"],
+    "financials": ["financial statement", "note"],
 }
-CURRENT, FOREIGN = r"(?<![\w-])8-Ks?(?![\w-])", r"(?<![\w-])6-Ks?(?![\w-])"
-RESULTS, PRESS = r"(?i)\b(?:earnings|results)\b", r"(?i)\b(?:press releases?|announcements?)\b"
-SPOKEN = r"(?i)\b(?:transcripts?|webcasts?|replays?|earnings calls?|call materials|investor materials)\b"
-OUTSIDE = r"(?i)\b(?:regulators?|governments?|agency|agencies|courts?|congress|legislation|commission|exchanges?|publishers?|blogs?|websites?|rating agenc(?:y|ies)|third[- ]part(?:y|ies))\b"
-SECTIONS = {"business": r"(?i)\bbusiness section\b", "risk_factors": r"(?i)\brisk factors\b", "mdna": r"(?i)\bMD&A\b", "financials": r"(?i)\bfinancial statements\b|\bnotes\b"}
+SECTIONS = ["business", "risk_factors", "mdna", "financials"]
+RULES = [
+    Rule("release", ("current", "item of results"), items="results"),
+    Rule("release", ("current", "results"), ("numbered",), items="results"),
+    Rule("current", ("current", "other items"), items="others"),
+    Rule("current", ("current",), ("numbered", "results")),
+    Rule("release", ("foreign", "results")),
+    Rule("release", ("foreign", "exhibited"), ("results",)),
+    Rule("current", ("foreign",), ("results", "exhibited")),
+    Rule("quarterly", ("quarter",)),
+    Rule("annual", ("year",)),
+    Rule("proxy", ("proxy",), ("deal",)),
+    Rule("ownership", ("insider",)),
+    Rule("beneficial", ("stake",)),
+    Rule("merger", ("deal",)),
+    Rule("release", ("news", "results"), ("current", "foreign", "outsider", "stranger", "files abroad"), items="results"),
+    Rule("release", ("news", "results", "files abroad"), ("current", "foreign", "outsider", "stranger")),
+    Rule("press", ("news",), ("results", "current", "foreign", "outsider", "stranger")),
+]
+WITH_SECTIONS = {"quarterly", "annual"}
+WITH_EXHIBITS = {"release", "current"}
+RESULTS_ITEM = "2.02"
+QUARTERS = {"first": 1, "second": 2, "third": 3, "fourth": 4}
+ARTICLES = ["The", "This", "That", "Its", "Their", "Each", "Any", "Both"]
 
 
 def clauses(text: Column | str) -> Column:
@@ -49,34 +90,73 @@ def numbers_after(clause: Column, word: str, shape: str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit(f"({shape})"), F.lit(1))))))
 
 
+def periods(clause: Column | str) -> Column:
+    """The fiscal periods that a clause names, as 2025 or 2025Q3, in order and once each: FY2025, FY2025Q3, fiscal 2024, Q3 2025,
+    2025Q3, third quarter of 2025, and spans of years (FY2021-2023, at most twenty)."""
+    c = F.regexp_replace(_col(clause), "[–—]", "-")
+    for word, n in QUARTERS.items():
+        c = F.regexp_replace(c, rf"(?i)\b{word} quarter(?: of)?(?: fiscal)?(?: year)? ((?:19|20)[0-9]{{2}})\b", f"$1Q{n}")
+    c = F.regexp_replace(c, r"(?i)\bQ([1-4])(?: of)?(?: fiscal)? ?(?:FY)?((?:19|20)[0-9]{2})\b", "$2Q$1")
+    marks = F.regexp_extract_all(c, F.lit(r"(?i)(?:\b(?:FY|fiscal(?: years?)?) ?)((?:19|20)[0-9]{2}(?:Q[1-4]|(?:-| to | through )(?:FY)?(?:19|20)[0-9]{2})?)\b|\b((?:19|20)[0-9]{2}Q[1-4])\b"), F.lit(0))
+    bare = F.transform(marks, lambda m: F.regexp_replace(F.upper(m), "[^0-9Q-]|TO|THROUGH", " "))
+    parts = F.transform(bare, lambda m: F.regexp_extract_all(m, F.lit("((?:19|20)[0-9]{2}(?:Q[1-4])?)"), F.lit(1)))
+
+    def spread(p: Column) -> Column:
+        first, last = F.get(p, F.lit(0)).try_cast("int"), F.get(p, F.lit(1)).try_cast("int")
+        years = F.sequence(first, F.greatest(first, F.least(last, first + 19)))
+        return F.when(first.isNotNull() & last.isNotNull(), F.transform(years, lambda y: y.cast("string"))).otherwise(p)
+
+    return F.array_distinct(F.flatten(F.transform(parts, spread)))
+
+
 def strangers(clause: Column, owners: Column) -> Column:
-    """Names with a possessive that aren't the company's own: a name is its own if one begins as the other, or with the
-    same three letters."""
-    names = F.array_distinct(F.regexp_extract_all(clause, F.lit(r"(?<![\w&.-])([A-Z][A-Za-z0-9&.]*(?: [A-Z][A-Za-z0-9&.]*)?)['’]s\b"), F.lit(1)))
-    low = lambda x: F.lower(x)
-    same = lambda word, own: F.startswith(low(word), low(own)) | F.startswith(low(own), low(word)) | ((F.length(word) >= 3) & (F.length(own) >= 3) & (F.substring(low(word), 1, 3) == F.substring(low(own), 1, 3)))
-    own = lambda name: F.exists(F.split(name, " "), lambda w: F.exists(owners, lambda o: same(w, o)))
-    return F.filter(names, lambda n: ~own(n) & ~low(F.split_part(n, F.lit(" "), F.lit(1))).isin("sec", "the", "this", "that", "both"))
+    """Names with a possessive that aren't the company's own: capitalised words of which none is a word of one of its names."""
+    names = F.regexp_extract_all(clause, F.lit(r"((?:[A-Z][\w&.-]*\s)*[A-Z][\w&.-]*)['’]s\b"), F.lit(1))
+    words = lambda x: F.filter(F.split(F.lower(x), r"[^\w&]+"), lambda w: F.length(w) > 1)
+    own = F.flatten(F.transform(owners, words))
+    named = F.filter(F.array_distinct(names), lambda n: ~n.isin(*ARTICLES))
+    return F.filter(named, lambda n: ~F.arrays_overlap(words(n), own))
 
 
-def requests(clause: Column | str, foreign: Column, owners: Column) -> Column:
-    """struct(requests, notes) of a clause: array of struct(kind, items, exhibits, sections), and why something isn't supplied."""
+def signals(clause: Column | str, foreign: Column, owners: Column) -> Column:
+    """What a clause signals, as an array of names."""
     c = _col(clause)
-    items, exhibits = numbers_after(c, "Item", "[0-9]{1,2}[.][0-9]{2}"), F.transform(numbers_after(c, "Exhibit", "99[.][0-9]{1,2}"), lambda n: F.concat(F.lit("EX-"), n))
-    none = F.array().cast("array<string>")
-    results = c.rlike(RESULTS) | (items == F.array(F.lit("2.02")))
-    outside, others = c.rlike(OUTSIDE), strangers(c, owners)
-    sections = F.array_compact(F.array(*(F.when(c.rlike(p), F.lit(k)) for k, p in SECTIONS.items())))
-    one = lambda kind, i=none, e=none, s=none: F.struct(F.lit(kind).alias("kind"), i.alias("items"), e.alias("exhibits"), s.alias("sections"))
-    release = c.rlike(CURRENT) & results & ((F.size(items) == 0) | F.array_contains(items, "2.02"))
-    rest = F.array_remove(items, "2.02")
-    six = c.rlike(FOREIGN)
-    release_items = F.when(foreign, none).otherwise(F.array(F.lit("2.02")))
-    named = [F.when(release, one("release", F.array(F.lit("2.02")), exhibits)), F.when(c.rlike(CURRENT) & (~release | (F.size(rest) > 0)), one("current", F.when(release, rest).otherwise(items), exhibits))]
-    named += [F.when(six & (results | (F.size(exhibits) > 0)), one("release", none, exhibits)), F.when(six & ~(results | (F.size(exhibits) > 0)), one("current", none, exhibits))]
-    named += [F.when(c.rlike(p), one(kind, s=sections if kind in ("quarterly", "annual") else none)) for kind, p in KINDS.items()]
-    announced = c.rlike(PRESS) & ~(outside | (F.size(others) > 0)) & ~release & ~six & ~(c.rlike(CURRENT))
-    named += [F.when(announced & results, one("release", release_items, exhibits)), F.when(announced & ~results, one("press"))]
-    found = F.array_distinct(F.array_compact(F.array(*named)))
-    note = F.when(c.rlike(SPOKEN), F.concat(c, F.lit(": spoken, not filed"))).when(F.size(found) == 0, F.concat(c, F.lit(": no filing of the company"))).when(outside | (F.size(others) > 0), F.concat(c, F.lit(": names documents of others too")))
-    return F.struct(found.alias("requests"), F.array_compact(F.array(note)).alias("notes"))
+    tokens = F.split(F.upper(c), r"[^A-Z0-9-]+")
+    forms = F.create_map(*(F.lit(x) for kv in TOKENS.items() for x in kv))
+    spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.regexp_replace(c, "’", "'")), r"[^a-z0-9&'.-]+", " "), F.lit(" "))
+    plain = F.regexp_replace(spaced, r"(?:[.]|'s|(?<=[^s&])s|')+(?= )", "")  # without full stops, possessives and plurals
+    said = [F.when(F.exists(F.array(*(F.lit(p) for p in phrases)), lambda p: plain.contains(F.concat(F.lit(" "), p, F.lit(" ")))), F.lit(name)) for name, phrases in PHRASES.items()]
+    items, exhibits = _items(c), _exhibits(c)
+    told = {"numbered": F.size(items) > 0, "item of results": F.array_contains(items, RESULTS_ITEM), "other items": F.size(F.array_remove(items, RESULTS_ITEM)) > 0, "exhibited": F.size(exhibits) > 0, "stranger": F.size(strangers(c, owners)) > 0, "files abroad": foreign}
+    return F.array_distinct(F.array_compact(F.concat(F.transform(tokens, lambda t: F.element_at(forms, F.when(t != "", t))), F.array(*said, *(F.when(cond, F.lit(name)) for name, cond in told.items())))))
+
+
+def _items(c: Column) -> Column:
+    return numbers_after(c, "Item", "[0-9]{1,2}[.][0-9]{2}")
+
+
+def _exhibits(c: Column) -> Column:
+    return F.transform(numbers_after(c, "Exhibit", "99[.][0-9]{1,2}"), lambda n: F.concat(F.lit("EX-"), n))
+
+
+def requests(clause: Column | str, foreign: Column, owners: Column, rules: list[Rule] = RULES) -> Column:
+    """struct(requests, notes) of a clause: array of struct(kind, items, exhibits, sections, periods), and why something isn't
+    supplied. foreign: whether the company files abroad, so that its releases have no items."""
+    c, none = _col(clause), F.array().cast("array<string>")
+    found = signals(c, foreign, owners)
+    items = _items(c)
+    picks = {"none": none, "all": items, "results": F.array(F.lit(RESULTS_ITEM)), "others": F.array_remove(items, RESULTS_ITEM)}
+
+    def row(rule: Rule, s: Column) -> Column:
+        needs, lacks = (F.array(*map(F.lit, x)).cast("array<string>") for x in (rule.needs, rule.lacks))
+        match = (F.size(F.array_except(needs, s)) == 0) & ~F.arrays_overlap(lacks, s)
+        sections = F.array_intersect(F.array(*map(F.lit, SECTIONS)), s) if rule.kind in WITH_SECTIONS else none
+        return F.when(match, F.struct(F.lit(rule.kind).alias("kind"), picks[rule.items].alias("items"), (_exhibits(c) if rule.kind in WITH_EXHIBITS else none).alias("exhibits"), sections.alias("sections"), periods(c).alias("periods")))
+
+    def judged(s: Column) -> Column:
+        asked = F.array_distinct(F.array_compact(F.array(*(row(rule, s) for rule in rules))))
+        other = F.arrays_overlap(s, F.array(F.lit("outsider"), F.lit("stranger")))
+        why = F.when(F.array_contains(s, "spoken"), "spoken, not filed").when(F.size(asked) == 0, "no filing of the company").when(other, "names documents of others too")
+        return F.struct(asked.alias("requests"), F.array_compact(F.array(F.concat(c, F.lit(": "), why))).alias("notes"))
+
+    return F.get(F.transform(F.array(found), judged), F.lit(0))  # the signals are found once

@@ -226,6 +226,17 @@ def content_hash(text: Column | str) -> Column:
     return F.sha2(F.rtrim(F.regexp_replace(t, "\n+$", "")), 256)
 
 
+def canonical_json(text: Column | str) -> Column:
+    """JSON text with keys in order at every depth, without blanks; null where it isn't JSON or an object names a key twice.
+    What follows a whole value isn't looked at. A VARIANT keeps the fields of its objects by name, so this is what it prints."""
+    return F.to_json(F.try_parse_json(_col(text)))
+
+
+def json_hash(text: Column | str) -> Column:
+    """Hex SHA-256 of canonical JSON: equal for texts that differ in blanks and in the order of keys only."""
+    return F.sha2(canonical_json(text), 256)
+
+
 def stems(text: Column | str, stop_words: list[str]) -> Column:
     """Distinct words of four letters or more, lower-cased, without stop words, cut to seven letters with the plural off."""
     words = F.regexp_extract_all(F.lower(_col(text)), F.lit("([a-z]{4,})"), F.lit(1))

@@ -96,3 +96,61 @@ def carried_tags(lines: DataFrame, doc: list[str], line: str, tags: Column, bloc
     marked = lines.withColumn("__b", F.sum(block.cast("int")).over(Window.partitionBy(*doc).orderBy(line).rowsBetween(Window.unboundedPreceding, 0))).withColumn("__own", F.when(F.size(tags) > 0, tags))
     w = Window.partitionBy(*doc, "__b").orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
     return marked.withColumn("tags", F.coalesce(F.last("__own", ignorenulls=True).over(w), F.array().cast("array<string>"))).drop("__b", "__own")
+
+
+SCALE_POWERS = (0, 3, 6, 9, -3, -6)  # as written, then in thousands, millions, billions, and the other way
+
+
+def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decimals: str, cites: str, tiers: list[tuple[str, str, bool]], *, label: str | None = None, unit: str | None = None, pool: str | None = None, written: str | None = None, scales: tuple[int, ...] = SCALE_POWERS) -> DataFrame:
+    """Every figure with the class of the first tier that explains it, and the number that does: class, number, scale.
+
+    tiers: (class, kind of source, singled) in order. A figure cites sources as array<struct<kind, ref>>; numbers has kind, ref,
+    number, around (array of stems beside it) and unit. A number explains a figure if it agrees to the figure's last
+    digit at one of the powers of ten, as written first, and no units clash. In a tier that must be singled out (a long
+    text, where some number always fits) it counts only if a word of the figure's label stands beside it and no number there
+    agrees with the figure one unit of its last digit up or down; without that the figure is `weak`, by the last resort.
+    After the tiers come `recomputed` (from two numbers of pool) and `formula` (written holds the status of the formula that ends in
+    the figure), then `weak`, then `no fact` (single digits), else `unverified`.
+
+    All tiers are one join: figures meet numbers of all their sources in bins as wide as the last digit, once for each power of
+    ten, and flags of every tier are aggregated by figure, so a figure with many matches is reduced before it is shuffled. What is
+    recomputed is only what no tier explains.
+    """
+    v, d = F.abs(F.col(value).cast("double")), F.col(decimals).cast("int")
+    half = lambda e: 0.5 * F.pow(F.lit(10.0), -e) * (1 + 1e-12) + 1e-9 * F.least(F.lit(1.0), F.pow(F.lit(10.0), -e))
+    none = F.array().cast("array<string>")
+    fig = figures.select(key, v.alias("__v"), d.alias("__d"), F.col(cites).alias("__cites"), (F.col(label) if label else none).alias("__label"), (F.col(unit) if unit else F.lit(None).cast("string")).alias("__unit"))
+    asked = fig.select("*", F.explode("__cites").alias("__c")).select(key, "__v", "__d", "__label", "__unit", F.col("__c.kind").alias("kind"), F.col("__c.ref").alias("ref"))
+    asked = asked.withColumn("__s", F.explode(F.array(*map(F.lit, scales)))).withColumn("__e", F.col("__d") - F.col("__s"))
+    asked = asked.withColumn("__x", F.col("__v") * F.pow(F.lit(10.0), F.col("__s").cast("double"))).withColumn("__cell", F.floor(F.col("__v") * F.pow(F.lit(10.0), F.col("__d").cast("double")) + 0.5))
+    asked = asked.where("__cell < 9e15").withColumn("__bin", F.explode(F.sequence(F.col("__cell") - 2, F.col("__cell") + 2)))
+    powers = [r["e"] for r in figures.select(d.alias("d")).distinct().where("d between 0 and 15").select(F.explode(F.array(*(F.col("d") - s for s in scales))).alias("e")).distinct().collect()]  # 16 numbers of decimals by six scales at most
+    src = numbers.select("kind", "ref", F.abs(F.col("number").cast("double")).alias("__n"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("__n is not null").distinct()
+    src = src.withColumn("__e", F.explode(F.array(*map(F.lit, sorted(powers))).cast("array<int>"))).withColumn("__bin", F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__e").cast("double")) + 0.5))
+    met = asked.join(src.where("__n * pow(10D, __e) < 9e15"), ["kind", "ref", "__e", "__bin"])
+    off = lambda shift: F.abs(F.col("__x") + shift * F.pow(F.lit(10.0), -F.col("__e").cast("double")) - F.col("__n")) <= half(F.col("__e").cast("double"))
+    clash = F.coalesce(F.col("__unit") != F.col("__nu"), F.lit(False))
+    beside = F.arrays_overlap("__label", "__around")
+    met = met.select(key, "kind", "__n", "__s", (off(0) & ~clash).alias("__hit"), ((off(1) | off(-1)) & ~clash).alias("__slip"), F.coalesce(beside, F.lit(False)).alias("__beside"), F.array_position(F.array(*map(F.lit, scales)), F.col("__s")).alias("__rank"))
+    flags = []
+    for i, (_, kind, singled) in enumerate(tiers):
+        here = F.col("kind") == kind
+        hit = here & F.col("__hit") & (F.col("__beside") if singled else F.lit(True))
+        slip = here & F.col("__slip") & F.col("__beside") if singled else F.lit(False)
+        first = F.min(F.when(hit, F.struct("__rank", "__n", "__s")))
+        flags += [F.when(~F.coalesce(F.bool_or(slip), F.lit(False)), first).alias(f"__t{i}")]
+    flags.append(F.bool_or("__hit").alias("__some"))
+    found = met.where("__hit or __slip").groupBy(key).agg(*flags)
+    rows = figures.join(found, key, "left")
+    best = F.coalesce(*(F.when(F.col(f"__t{i}").isNotNull(), F.struct(F.lit(name).alias("class"), F.col(f"__t{i}.__n").alias("number"), F.col(f"__t{i}.__s").alias("scale"))) for i, (name, *_) in enumerate(tiers)))
+    rows = rows.withColumn("__best", best)
+    left = F.col("__best").isNull()
+    other = lambda name: F.struct(F.lit(name).alias("class"), F.lit(None).cast("double").alias("number"), F.lit(None).cast("int").alias("scale"))
+    if pool:
+        rows = rows.withColumn("__pool", F.when(left, F.col(pool)))  # a figure that is explained has no pool to search
+        rows = rows.withColumn("__pair", recompute(rows, value, decimals, "__pool"))
+    pair = F.col("__pair").isNotNull() if pool else F.lit(False)
+    held = F.col(written).isin("holds", "rounding") if written else F.lit(False)
+    single = (F.col(value) == F.floor(F.col(value))) & (v < 10) & (d == 0)
+    rows = rows.withColumn("__best", F.when(~left, F.col("__best")).when(pair, other("recomputed")).when(F.coalesce(held, F.lit(False)), other("formula")).when(F.coalesce("__some", F.lit(False)), other("weak")).when(single, other("no fact")).otherwise(other("unverified")))
+    return rows.select(*figures.columns, "__best.class", "__best.number", "__best.scale")

@@ -69,8 +69,9 @@ def slips_of_prices(t):
 
 
 @query(r"""
-WITH w AS (SELECT item_id, regexp_extract_all(replace(lower(text), 'capex', 'capital expenditure property equipment'), '[a-z]{4,}') AS ws FROM benchmark),
-s AS (SELECT DISTINCT item_id, substr(CASE x WHEN 'growth' THEN 'increase' WHEN 'grew' THEN 'increase' WHEN 'grow' THEN 'increase' WHEN 'buyback' THEN 'repurchase' ELSE x END, 1, 7) AS stem FROM (SELECT item_id, CASE WHEN length(w) > 4 AND regexp_matches(w, '[^s]s$') THEN substr(w, 1, length(w) - 1) ELSE w END AS x FROM (SELECT item_id, unnest(ws) AS w FROM w) WHERE w NOT IN ('with', 'from', 'that', 'this')))
+WITH w AS (SELECT item_id, unnest(string_split(CASE w WHEN 'opex' THEN 'operating expenses' WHEN 'roe' THEN 'return equity' WHEN 'nii' THEN 'interest income' WHEN 'cogs' THEN 'cost goods sold' WHEN 'arr' THEN 'annual recurring revenue' WHEN 'aum' THEN 'assets under management' ELSE w END, ' ')) AS w FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM benchmark)),
+o AS (SELECT item_id, CASE WHEN regexp_matches(w, '...ies$') THEN regexp_replace(w, 'ies$', 'y') WHEN regexp_matches(w, '(s|x|z|ch|sh)es$') THEN regexp_replace(w, 'es$', '') WHEN regexp_matches(w, '[^sui]s$') THEN regexp_replace(w, 's$', '') ELSE w END AS x FROM w WHERE length(w) >= 4 AND w NOT IN ('with', 'from', 'that', 'this')),
+s AS (SELECT DISTINCT item_id, left(CASE x WHEN 'turnover' THEN 'revenue' WHEN 'taking' THEN 'revenue' WHEN 'outlay' THEN 'spending' WHEN 'staff' THEN 'employee' WHEN 'headcount' THEN 'employee' WHEN 'borrowing' THEN 'debt' ELSE x END, 7) AS stem FROM o)
 SELECT stem, count(*) AS n FROM s GROUP BY stem
 """)
 def keywords_of_items(t):

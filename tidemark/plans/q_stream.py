@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..sources.staging import scratch
+from ..streaming import events as W
 from ..streaming import machines as S
 from .registry import query
 
@@ -12,7 +14,7 @@ def _events(t):
     return S.files(t.spark, f"{t.sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("""
+_MACHINE = """
 WITH RECURSIVE v AS (SELECT user_id, epoch_us(ts) AS us, event_id FROM events WHERE event_type = 'view'), p AS (SELECT user_id, epoch_us(ts) AS us FROM events WHERE event_type = 'purchase'),
 top AS (SELECT max(epoch_us(ts)) // 1000 * 1000 AS m FROM events),
 s AS (SELECT user_id, us, event_id, least(coalesce((SELECT min(p.us) FROM p WHERE p.user_id = o.user_id AND p.us >= o.us AND p.us <= o.us + 43200000000), 9e18::BIGINT), o.us + 43200000000) AS z FROM (SELECT user_id, min_by(event_id, us) AS event_id, min(us) AS us FROM v GROUP BY 1) o
@@ -21,7 +23,10 @@ s AS (SELECT user_id, us, event_id, least(coalesce((SELECT min(p.us) FROM p WHER
 SELECT user_id, event_id AS opened_id, z AS closed_us, CASE WHEN EXISTS (SELECT 1 FROM p WHERE p.user_id = s.user_id AND p.us = s.z) THEN 'purchase' ELSE 'timer' END AS closed_by,
   (SELECT count(*) FROM v WHERE v.user_id = s.user_id AND v.us > s.us AND v.us <= s.z)::INT AS related
 FROM s, top WHERE EXISTS (SELECT 1 FROM p WHERE p.user_id = s.user_id AND p.us = s.z) OR s.z < m OR EXISTS (SELECT 1 FROM events e WHERE e.user_id = s.user_id AND e.event_type IN ('view', 'purchase') AND epoch_us(e.ts) > s.z)
-""")
+"""
+
+
+@query(_MACHINE)
 def stream_event_machine(t):
     e = _events(t).withWatermark("ts", "0 seconds").select(F.col("user_id").alias("key"), F.col("ts").alias("at"), F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
     out = S.drained(S.event_machine(e, "view", "purchase", 12 * 3600 * 1_000_000), t.spark, "machine")
@@ -35,3 +40,11 @@ SELECT d AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM
 def stream_daily_counts(t):
     counted = S.window_counts(_events(t).withWatermark("ts", "1 hour"), "ts", "1 day", ["event_type"], "value")
     return S.drained(counted, t.spark, "daily").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(_MACHINE.replace("(SELECT count(*) FROM v WHERE v.user_id = s.user_id AND v.us > s.us AND v.us <= s.z)::INT AS related", "coalesce((SELECT string_agg(v.event_id, ',' ORDER BY v.event_id) FROM v WHERE v.user_id = s.user_id AND v.us > s.us AND v.us <= s.z), '') AS attached"))
+def stream_event_states(t):
+    """The event machine by keyed state: timers close events, repeats are attached."""
+    e = _events(t).withWatermark("ts", "0 seconds").select(F.col("user_id").alias("key"), F.col("ts").alias("at"), F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
+    out = W.run_to_end(W.event_states(e, "view", "purchase", 12 * 3600 * 1_000_000), t.spark, scratch(t.spark, "events"), scratch(t.spark, "events-marks"))
+    return out.select(F.col("key").alias("user_id"), "opened_id", F.unix_micros("closed_at").alias("closed_us"), "closed_by", F.array_join(F.transform("attached", lambda x: x.cast("string")), ",").alias("attached"))
