@@ -179,3 +179,21 @@ def test_containment_of_short_quotes_and_scripts_without_blanks(spark):
     units = spark.createDataFrame([(10, "前に漢字の文章を比べる試験です後ろ"), (11, "xtwelve  charsx"), (12, "short"), (13, "all three words\ninside it"), (14, "z a b c d e f g"), (15, "a unit of well over thirty six characters")], "u int, text string")
     got = {r.q: r.u for r in J.containment_join(quotes, units, "quote", "text", ["u"], "q").collect()}
     assert got == {1: 10, 2: 11, 4: 13, 5: 14, 6: 15}
+
+
+def test_ranked_excerpts(spark):
+    kinds = "d int, t string, w array<string>, c array<string>, h array<string>"
+    rows = [(1, "sales rose by 1,200 in all", ["sales", "rose"], None, None), (2, "| Sales of goods | 900 | 1,200 |", ["sales", "goods"], ["Sales of goods", "900", "1,200"], ["", "2023", "2024"]), (3, "| Sales of goods | 1,200 | 900 |", ["sales", "goods"], ["Sales of goods", "1,200", "900"], ["", "2023", "2024"]), (4, "nothing but 1,200 here " + "and more " * 80, ["nothing"], None, None), (5, "also 31.5", ["also"], None, None)]
+    units = spark.createDataFrame(rows, kinds)
+    values = spark.createDataFrame([("both", 1200.0, ["sales", "goods"], 2024), ("other", 1200.0, ["sales", "goods"], 2023), ("none asked", 1200.0, ["profit"], 2024), ("first", 31.5, ["profit"], 2024), ("small", 5.0, ["profit"], 2024), ("null", None, ["profit"], None)], "k string, v double, w array<string>, y int")
+    ask = lambda u, **more: {r.k: (r.d, r.how, r.score) for r in D.ranked_excerpts(values, "k", "v", None, "w", u, ["d"], "t", "w", year="y", cells="c", header="h", **more).collect()}
+    assert ask(units) == {"both": (2, "ranked", 2), "other": (3, "ranked", 2), "none asked": (1, "first", None), "first": (5, "first", None), "small": (None, "none", None), "null": (None, "none", None)}
+    assert ask(units.where("d in (3, 4)"), strict=True)["both"] == (3, "first", None) and ask(units.where("d in (3, 4)"))["both"] == (3, "ranked", 2)
+    clipped = D.ranked_excerpts(values, "k", "v", None, "w", units.where("d = 4"), ["d"], "t", "w", least=0, width=40).where("k = 'both'").first()
+    assert clipped.how == "ranked" and len(clipped.excerpt) <= 42 and "1,200" in clipped.excerpt and clipped.excerpt.endswith("…")
+    assert one(spark, D.in_year_column(F.array(F.lit("x"), F.lit("7")), F.array(F.lit(""), F.lit("FY2024")), F.lit(2024), F.lit("7")), t="") is True
+
+
+def test_prose_units_and_agents(spark):
+    assert [one(spark, V.unit_kind("t"), t=x) for x in ("%", "basis points", "USD", "diluted shares", "x", None)] == ["percent", "percent", "money", "shares", "ratio", "none"]
+    assert one(spark, V.is_prose("t"), t="A sentence of words that goes on for a good while before it ends here") and not one(spark, V.is_prose("t"), t="5 | 6 | 7")

@@ -106,12 +106,13 @@ def merged_in_time(files: DataFrame, commits: DataFrame, by: list[str], deadline
     return met.withColumn("in_time", F.coalesce(F.col("first") < F.col(deadline), F.lit(False))).withColumn("unchanged", F.coalesce(F.col("last") < F.col(deadline), F.lit(False)))
 
 
-def evidence(sources: list[DataFrame], mentions: DataFrame, company: Column) -> DataFrame:
-    """Evidence with its priority (the place of its source); rows of other companies only where a mention (unit, company)
-    names them. Sources: company, tag, text; mentions: unit, company."""
+def evidence(sources: list[DataFrame], mentions: DataFrame) -> DataFrame:
+    """Evidence for every reader with its priority (the place of its source): a company's own rows, and rows of others where a
+    mention names them. Sources: company, tag, text; mentions: reader, unit, company. unit is null for own rows."""
     ranked = reduce(DataFrame.unionByName, [s.withColumn("priority", F.lit(i)) for i, s in enumerate(sources)])
-    own = ranked.where(F.col("company") == company).withColumn("unit", F.lit(None).cast(mentions.schema["unit"].dataType))
-    return own.unionByName(ranked.where(F.col("company") != company).join(mentions.distinct(), "company").select(*own.columns))
+    own = ranked.withColumn("reader", F.col("company")).withColumn("unit", F.lit(None).cast(mentions.schema["unit"].dataType))
+    named = mentions.where("reader <> company").distinct()
+    return own.unionByName(ranked.join(named, "company").select(*own.columns))
 
 
 def proof_state(proofs: DataFrame, key: str, expected: str, digest: str, output: str) -> DataFrame:
@@ -155,11 +156,25 @@ def accession_values(facts: DataFrame, accession: str, value: str, unit: str) ->
     return facts.select(accession, F.explode(both).alias(value), unit).distinct()
 
 
-def filings_for(filings: DataFrame, company: str, forms: list[str], as_of: Column, period: Column | None = None, latest: int | None = None) -> DataFrame:
-    """A named assembly's filings: of one company, some forms and a period, filed by a day, newest first, at most `latest`."""
-    own = filings.where((F.col("company") == company) & F.col("form").isin(*forms) & (F.col("filing_date") <= as_of))
+def filings_for(filings: DataFrame, forms: list[str], as_of: Column, companies: list[str] | None = None, period: Column | None = None, latest: int | None = None) -> DataFrame:
+    """A named assembly's filings: of some companies (or all), some forms and a period, filed by a day, with place: 1 for each
+    company's newest; `latest` of each at most."""
+    own = filings.where(F.col("form").isin(*forms) & (F.col("filing_date") <= as_of))
+    own = own if companies is None else own.where(F.col("company").isin(*companies))
     own = own if period is None else own.where(F.col("period") == period)
-    return own.orderBy(F.desc("filing_date"), F.desc("accession")) if latest is None else own.orderBy(F.desc("filing_date"), F.desc("accession")).limit(latest)
+    place = F.row_number().over(Window.partitionBy("company").orderBy(F.desc("filing_date"), F.desc("accession")))
+    ranked = own.withColumn("place", place)
+    return ranked if latest is None else ranked.where(F.col("place") <= latest)
+
+
+#: Named assemblies: the forms that a reader of each takes, and how many of the newest.
+ASSEMBLIES = {"annual": (["10-K", "20-F", "40-F"], 1), "interim": (["10-Q", "6-K"], 3), "ownership": (["3", "4", "5"], None), "proxies": (["DEF 14A"], 1)}
+
+
+def assembled(filings: DataFrame, name: str, as_of: Column, companies: list[str] | None = None, period: Column | None = None, assemblies: dict = ASSEMBLIES) -> DataFrame:
+    """The filings of an assembly by its name."""
+    forms, latest = assemblies[name]
+    return filings_for(filings, forms, as_of, companies, period, latest)
 
 
 def gate_planned(figures: DataFrame, verdicts: DataFrame, planned: DataFrame, path: str, key: str) -> DataFrame:

@@ -22,9 +22,11 @@ ord AS (SELECT d, b, sum(b::INT) OVER (ORDER BY d)::BIGINT AS n FROM cal)
 """
 
 
-@query(f"WITH {CALENDAR} SELECT d AS day, b AS is_business, n AS ordinal FROM ord")
+@query(f"WITH {CALENDAR} SELECT d AS day, b AS is_business, n AS ordinal, count(o_orderkey) AS orders FROM ord LEFT JOIN orders ON o_orderdate::DATE = d GROUP BY ALL")
 def business_days(t):
-    return D.business_calendar(t.spark, *YEARS)
+    """Days of the calendar with the orders that fall on them."""
+    placed = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
+    return D.business_calendar(t.spark, *YEARS).join(placed, "day", "left").withColumn("orders", F.coalesce("orders", F.lit(0).cast("long")))
 
 
 @query(f"WITH {CALENDAR} SELECT o_orderkey, z.d AS closes_on FROM orders JOIN ord a ON a.d = o_orderdate::DATE JOIN ord z ON z.b AND z.n = a.n + 5")
@@ -56,14 +58,14 @@ def deadlines(t):
 
 
 _EVENTS = """
-q AS (SELECT c_nationkey AS k, o_orderdate::DATE AS d, last_day((date_trunc('month', o_orderdate) - INTERVAL 1 DAY - to_months((month((date_trunc('month', o_orderdate) - INTERVAL 1 DAY)::DATE)) % 3))::DATE) AS e, o_totalprice FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_totalprice > 250000),
+q AS (SELECT c_nationkey AS k, o_orderdate::DATE AS d, last_day((date_trunc('month', o_orderdate) - INTERVAL 1 DAY - to_months((month((date_trunc('month', o_orderdate) - INTERVAL 1 DAY)::DATE)) % 3))::DATE) AS e, o_totalprice FROM orders JOIN customer ON c_custkey = o_custkey ),
 ev AS (SELECT k, e, year(e) AS fy, (month(e) // 3)::INT AS qt, min(d) AS r FROM q GROUP BY ALL)
 """
 
 
 @query(f"""
 WITH {CALENDAR}, {_EVENTS},
-w AS (SELECT n_nationkey AS k, y::INT AS fy, qt::INT AS qt, last_day(make_date(y::INT, qt::INT * 3, 1)) AS e FROM nation CROSS JOIN (SELECT unnest(range(1997, 2001)) AS y) CROSS JOIN (SELECT unnest(range(1, 5)) AS qt)),
+w AS (SELECT n_nationkey AS k, y::INT AS fy, qt::INT AS qt, last_day(make_date(y::INT, qt::INT * 3, 1)) AS e FROM nation CROSS JOIN (SELECT unnest(range(1995, 2005)) AS y) CROSS JOIN (SELECT unnest(range(1, 5)) AS qt)),
 h AS (SELECT w.k, w.fy, w.qt, min((r + to_years(w.fy - ev.fy))::DATE) AS f, count(*)::INT AS n FROM w JOIN ev ON ev.k = w.k AND ev.qt = w.qt AND ev.fy BETWEEN w.fy - 3 AND w.fy - 1 GROUP BY ALL),
 l AS (SELECT w.*, ev.r - ev.e AS lag FROM w ASOF LEFT JOIN ev ON w.k = ev.k AND w.e > ev.e),
 b AS (SELECT l.*, h.f, coalesce(h.n, 0) AS n, (coalesce(h.f, l.e + l.lag::INT) - 3)::DATE AS start FROM l LEFT JOIN h USING (k, fy, qt))
@@ -71,10 +73,10 @@ SELECT b.k, b.fy AS fiscal_year, b.qt AS quarter, b.e AS period_end, z.d AS expe
 FROM b LEFT JOIN ord a ON a.d = b.start LEFT JOIN ord z ON z.b AND z.n = a.n
 """)
 def release_estimates(t):
-    orders = t.orders.where("o_totalprice > 250000").join(t.customer, F.expr("c_custkey = o_custkey")).select(F.col("c_nationkey").alias("k"), F.to_date("o_orderdate").alias("d"))
+    orders = t.orders.join(t.customer, F.expr("c_custkey = o_custkey")).select(F.col("c_nationkey").alias("k"), F.to_date("o_orderdate").alias("d"))
     ends = orders.withColumn("period_end", D.last_quarter_end_before("d", F.lit(12))).withColumn("p", D.period_of("period_end", F.lit(12)))
     events = ends.groupBy("k", "period_end", F.col("p.fiscal_year").alias("fiscal_year"), F.col("p.quarter").alias("quarter")).agg(F.min("d").alias("release_date"))
-    grid = t.nation.select(F.col("n_nationkey").alias("k"), F.explode(F.sequence(F.lit(1997), F.lit(2000))).alias("fiscal_year")).select("*", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("quarter"))
+    grid = t.nation.select(F.col("n_nationkey").alias("k"), F.explode(F.sequence(F.lit(1995), F.lit(2004))).alias("fiscal_year")).select("*", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("quarter"))
     wanted = grid.withColumn("period_end", D.quarter_end("fiscal_year", "quarter", F.lit(12)))
     return L.estimate_releases(wanted, events, "k", D.business_calendar(t.spark, *YEARS))
 
@@ -82,25 +84,17 @@ def release_estimates(t):
 @query("""
 WITH f AS (SELECT DISTINCT o_custkey AS k, o_orderdate::DATE AS d, o_orderstatus = 'P' AS y FROM orders WHERE o_orderstatus IN ('P', 'F')),
 g AS (SELECT k, d, bool_or(y) AS y FROM f GROUP BY ALL),
-a AS (SELECT k, year(d) AS fy, min(d) AS e, max(d) AS x FROM g WHERE y GROUP BY ALL HAVING min(d) = max(d)),
+h AS (SELECT *, CASE WHEN day(d) <= 15 THEN (date_trunc('month', d) - INTERVAL 1 DAY)::DATE ELSE d END AS s FROM g WHERE y),
+a AS (SELECT k, year(s) AS fy, min(d) AS e, max(d) AS x FROM h WHERE month(s) = 12 GROUP BY ALL HAVING min(d) = max(d)),
 b AS (SELECT *, lag(e) OVER (PARTITION BY k ORDER BY e) AS pe, lag(fy) OVER (PARTITION BY k ORDER BY e) AS py FROM a),
 n AS (SELECT b.k, b.fy, g.d, row_number() OVER (PARTITION BY b.k, b.fy ORDER BY g.d) AS q, count(*) OVER (PARTITION BY b.k, b.fy) AS c FROM b JOIN g ON g.k = b.k AND NOT g.y AND g.d > pe AND g.d < e WHERE py = b.fy - 1)
 SELECT k, fy::INT AS fiscal_year, 4 AS quarter, e AS quarter_end FROM a UNION ALL SELECT k, fy::INT, q::INT, d FROM n WHERE c = 3
 """)
 def quarter_ends_between_year_ends(t):
-    """The interval join behind learned calendars: three reports strictly between two consecutive year ends."""
-    from ..operators.joins import between_marks
-
-    g = t.orders.where("o_orderstatus in ('P', 'F')").groupBy(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("d")).agg(F.bool_or(F.col("o_orderstatus") == "P").alias("y"))
-    ends = g.where("y").groupBy("k", F.year("d").alias("fiscal_year")).agg(F.min("d").alias("d"), F.max("d").alias("x")).where("d = x").drop("x")
-    marks = ends.unionByName(g.where("not y").select("k", F.lit(None).cast("int").alias("fiscal_year"), "d"))
-    inside = between_marks(marks, ["k"], ["d"], F.col("fiscal_year").isNotNull(), 3)
-    from pyspark.sql.window import Window
-
-    w = Window.partitionBy("k").orderBy("d")
-    years = ends.withColumn("interval", F.row_number().over(w).cast("long")).withColumn("next", F.lead("fiscal_year").over(w)).where("next = fiscal_year + 1").select("k", "interval", "next")
-    found = inside.join(years, ["k", "interval"]).select("k", F.col("next").alias("fiscal_year"), F.col("nth").cast("int").alias("quarter"), F.col("d").alias("quarter_end"))
-    return ends.select("k", "fiscal_year", F.lit(4).alias("quarter"), F.col("d").alias("quarter_end")).unionByName(found)
+    """Learned calendars: three reports strictly between two consecutive year ends. Pending orders of a last quarter are annual reports."""
+    g = t.orders.where("o_orderstatus in ('P', 'F')").groupBy(F.col("o_custkey").alias("cik"), F.to_date("o_orderdate").alias("report_date")).agg(F.bool_or(F.col("o_orderstatus") == "P").alias("y"))
+    filings = g.withColumn("form", F.when(F.col("y"), "10-K").otherwise("10-Q")).withColumn("end_month", F.lit(12))
+    return L.learned_quarter_ends(filings, "end_month").withColumnRenamed("cik", "k")
 
 
 @query("SELECT o_orderkey, last_day(make_date(CASE WHEN o_orderstatus = 'F' THEN year(o_orderdate) ELSE year(o_orderdate) END, CASE o_orderstatus WHEN 'F' THEN 12 WHEN 'P' THEN ((month(o_orderdate) + 5) // 6) * 6 ELSE ((month(o_orderdate) + 2) // 3) * 3 END, 1)) AS due FROM orders")

@@ -123,12 +123,12 @@ def merges_before_deadlines(t):
 
 @query("""
 WITH e AS (SELECT o_custkey AS company, o_orderkey AS tag, 0 AS priority FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, o_orderkey, 1 FROM orders WHERE o_orderstatus = 'O')
-SELECT tag, priority, NULL::INT AS unit FROM e WHERE company = 7 UNION ALL SELECT tag, priority, unit FROM e JOIN (SELECT DISTINCT s_suppkey::INT AS unit, s_suppkey AS company FROM supplier WHERE s_suppkey < 6) USING (company) WHERE company <> 7
+SELECT company AS reader, tag, priority, NULL::INT AS unit FROM e UNION ALL SELECT reader, tag, priority, unit FROM e JOIN (SELECT DISTINCT s_suppkey::INT AS unit, s_suppkey AS company, s_suppkey % 7 + 1 AS reader FROM supplier) USING (company) WHERE company <> reader
 """)
 def evidence_by_priority(t):
     rows = t.orders.select(F.col("o_custkey").alias("company"), F.col("o_orderkey").alias("tag"), F.lit("").alias("text"), "o_orderstatus")
-    mentions = t.supplier.where("s_suppkey < 6").select(F.col("s_suppkey").cast("int").alias("unit"), F.col("s_suppkey").alias("company"))
-    return R.evidence([rows.where("o_orderstatus = 'F'").drop("o_orderstatus"), rows.where("o_orderstatus = 'O'").drop("o_orderstatus")], mentions, F.lit(7)).select("tag", "priority", "unit")
+    mentions = t.supplier.select((F.col("s_suppkey") % 7 + 1).alias("reader"), F.col("s_suppkey").cast("int").alias("unit"), F.col("s_suppkey").alias("company"))
+    return R.evidence([rows.where("o_orderstatus = 'F'").drop("o_orderstatus"), rows.where("o_orderstatus = 'O'").drop("o_orderstatus")], mentions).select("reader", "tag", "priority", "unit")
 
 
 @query("""
@@ -172,10 +172,10 @@ def values_of_one_filing(t):
     return R.accession_values(facts, "l_orderkey", "v", "unit").select("l_orderkey", "v", F.when(F.col("unit") == "USD", "A").otherwise(F.col("unit")).alias("l_returnflag"))
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_custkey = 7 AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate::DATE <= DATE '1997-01-01' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 3")
+@query("SELECT o_custkey::VARCHAR AS company, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate::DATE DESC, o_orderkey DESC)::INT AS place FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate::DATE <= DATE '1999-01-01' QUALIFY place <= 3")
 def filings_of_an_assembly(t):
     f = t.orders.select(F.col("o_custkey").cast("string").alias("company"), F.col("o_orderpriority").alias("form"), F.to_date("o_orderdate").alias("filing_date"), F.col("o_orderkey").alias("accession"))
-    return R.filings_for(f, "7", ["1-URGENT", "2-HIGH"], F.lit("1997-01-01").cast("date"), latest=3).select(F.col("accession").alias("o_orderkey"))
+    return R.assembled(f, "pressing", F.lit("1999-01-01").cast("date"), assemblies={"pressing": (["1-URGENT", "2-HIGH"], 3)}).select("company", F.col("accession").alias("o_orderkey"), "place")
 
 
 @query("""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import formula as M
 from ..functions import text as T
 from ..operators import checks as C
+from ..operators import documents as D
 from ..operators import filings as L
 from .registry import query
 
@@ -157,3 +158,27 @@ def tags_carried_forward(t):
     lines = t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "x"))
     tags = F.regexp_extract_all("x", F.lit("([A-Za-z]+@[a-z.]+)"), F.lit(1))
     return C.carried_tags(lines, ["doc_id"], "line", tags, F.trim("x") == "").select("doc_id", "line", F.array_join("tags", " ").alias("tags"))
+
+
+@query(r"""
+WITH v AS (SELECT p_size, CASE WHEN p_size % 2 = 0 THEN ['license', 'version', 'apache'] ELSE ['public', 'version', 'general'] END AS ws FROM (SELECT DISTINCT p_size FROM part)),
+f AS (SELECT p_size, ws, unnest([CAST(p_size AS VARCHAR), p_size || '.0']) AS form FROM v),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, i, unnest(us) AS u, unnest(range(1, len(us) + 1)) AS j FROM (SELECT doc_id, i, string_split(regexp_replace(x, '([.;!?])[ \t\r\n]+([A-Z("“$−-])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS us FROM l)),
+n AS (SELECT *, regexp_extract_all(lower(u), '[a-z]+') AS ws FROM s WHERE trim(u) <> '' AND regexp_matches(u, '[0-9]')),
+m AS (SELECT p_size, f.ws AS asked, form, doc_id, i, j, u, len(list_intersect(f.ws, n.ws)) AS score, len(n.ws) AS words FROM f JOIN n ON regexp_matches(u, '(^|[^0-9.,])' || replace(form, '.', '[.]') || '($|[^0-9.,]|[.,]($|[^0-9]))')),
+b AS (SELECT *, row_number() OVER (PARTITION BY p_size ORDER BY score < len(asked), -score, -words, doc_id, i, j, u, form) AS k FROM m WHERE score >= 1),
+e AS (SELECT *, row_number() OVER (PARTITION BY p_size ORDER BY doc_id, i, j, u, form) AS k FROM m WHERE contains(form, '.') AND length(regexp_replace(form, '^0+|[.]', '', 'g')) >= 2)
+SELECT v.p_size, coalesce(b.doc_id, e.doc_id) AS doc_id, coalesce(b.i, e.i)::INT AS line, coalesce(b.j, e.j)::INT AS place, sha256(CASE WHEN length(coalesce(b.u, e.u)) <= 400 THEN coalesce(b.u, e.u) END) AS short_excerpt, b.score::INT AS score,
+  CASE WHEN b.p_size IS NOT NULL THEN 'ranked' WHEN e.p_size IS NOT NULL THEN 'first' ELSE 'none' END AS how
+FROM v LEFT JOIN b ON b.p_size = v.p_size AND b.k = 1 LEFT JOIN e ON e.p_size = v.p_size AND e.k = 1
+""")
+def ranked_excerpts_of_documents(t):
+    """Sizes of parts and the sentences of documents that state them best."""
+    values = t.part.select("p_size").distinct().withColumn("words", F.when(F.col("p_size") % 2 == 0, F.array(*map(F.lit, ["license", "version", "apache"]))).otherwise(F.array(*map(F.lit, ["public", "version", "general"]))))
+    lines = t.documents.where("text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "x"))
+    units = lines.select("doc_id", (F.col("i") + 1).alias("line"), F.posexplode(T.sentences("x")).alias("j", "unit")).where(F.col("unit").rlike("[0-9]"))
+    units = units.select("doc_id", "line", (F.col("j") + 1).alias("place"), "unit", F.filter(F.split(F.lower("unit"), "[^a-z]+"), lambda w: w != "").alias("ws"))
+    got = D.ranked_excerpts(values, "p_size", "p_size", None, "words", units, ["doc_id", "line", "place"], "unit", "ws")
+    short = F.sha2(F.when(~F.col("excerpt").contains("…"), F.col("excerpt")), 256)
+    return got.select("p_size", "doc_id", "line", "place", short.alias("short_excerpt"), "score", "how")
