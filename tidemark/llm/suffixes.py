@@ -117,7 +117,8 @@ def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lens: np.ndarray)
     left = lens[todo].astype(np.int64)
     x, y = np.asarray(a)[todo].astype(np.int64), np.asarray(b)[todo].astype(np.int64)
     while len(todo):
-        equal = (words[x] ^ words[y]) & KEEP[np.minimum(left, 8)] == 0
+        apart = words[x] ^ words[y]
+        equal = (apart if left.min() >= 8 else apart & KEEP[np.minimum(left, 8)]) == 0
         same[todo[~equal]] = False
         go = equal & (left > 8)
         todo, left, x, y = todo[go], left[go] - 8, x[go] + 8, y[go] + 8
