@@ -48,8 +48,8 @@ def tables(spark, tmp_path_factory):
     spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{root}/pages.parquet")
     v = np.random.default_rng(3).standard_normal((120, 8)).astype(np.float32)
     v[60:70] = v[3]
-    vectors = [(i, x.tolist()) for i, x in enumerate(v)] + [(200, None), (220, [0.0] * 8)]
-    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(f"{root}/embeddings.parquet")
+    vectors = [(i, x.tolist(), i % 5 or None) for i, x in enumerate(v)] + [(200, None, 1), (220, [0.0] * 8, 9)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(f"{root}/embeddings.parquet")
     return str(root), rows, labels, v
 
 
