@@ -6,8 +6,10 @@ an issuer's picks or a document's blocks, never a whole corpus. The folds themse
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -121,3 +123,39 @@ def pack_by_documents(facts: DataFrame, by: list[str], order: str, docs: str, to
 
     kinds = dict(facts.dtypes)
     return sized.groupBy(*by).applyInPandas(pack, ", ".join([*(f"`{c}` {kinds[c]}" for c in [*by, order]), "slice int", "full array<string>", "cut array<string>"]))
+
+
+def cut_long(text: Column | str, limit: int, breaks: Callable[[Column], Column]) -> Column:
+    """A long text cut into pieces of `limit` characters at most (a line counts one more than its length): array of struct(piece,
+    size). A piece takes as many lines as fit and ends before the last line of them, or the next one, where `breaks` holds; without
+    one in sight it ends where it is full. Lines that are longer are cut first. The pieces joined by line ends are the lines again."""
+    wide = limit - 1
+    lines = F.split(F.col(text) if isinstance(text, str) else text, "\n")
+    whole = lambda x: F.struct(x.alias("x"), (F.length(x) + 1).alias("n"), breaks(x).alias("b"))
+    part = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.length(x) - 1) / wide).cast("int")), lambda k: F.struct(F.substr(x, k * wide + 1, F.lit(wide)).alias("x"), (F.length(F.substr(x, k * wide + 1, F.lit(wide))) + 1).alias("n"), ((k == 0) & breaks(x)).alias("b")))
+    rows = F.flatten(F.transform(lines, lambda x: F.when(F.length(x) <= wide, F.array(whole(x))).otherwise(part(x))))
+    ends = "array<struct<at:int,size:int>>"
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("from"), F.lit(0).alias("size"), F.lit(-1).alias("mark"), F.lit(0).alias("before"), F.array().cast(ends).alias("done"))
+
+    def closed(done: Column, at: Column, size: Column) -> Column:
+        return F.array_append(done, F.struct(at.cast("int").alias("at"), size.cast("int").alias("size")))
+
+    def step(s: Column, row: Column) -> Column:
+        i, n = s["at"], row["n"]
+        full = s["size"] + n > limit
+        back = full & ~row["b"] & (s["mark"] > s["from"])
+        rest = s["size"] - s["before"]  # what stands behind the last break
+        again = back & (rest + n > limit)
+        done = F.when(again, closed(closed(s["done"], s["mark"], s["before"]), i, rest)).when(back, closed(s["done"], s["mark"], s["before"])).when(full, closed(s["done"], i, s["size"])).otherwise(s["done"])
+        first = F.when(again, i).when(back, s["mark"]).when(full, i).otherwise(s["from"])
+        size = F.when(again, n).when(back, rest + n).when(full, n).otherwise(s["size"] + n)
+        mark = F.when(row["b"], i).when(full, -1).otherwise(s["mark"])
+        before = F.when(row["b"], size - n).otherwise(s["before"])
+        return F.struct((i + 1).alias("at"), first.cast("int").alias("from"), size.cast("int").alias("size"), mark.cast("int").alias("mark"), before.cast("int").alias("before"), done.cast(ends).alias("done"))
+
+    def pieces(bound: Column) -> Column:
+        last = F.aggregate(bound, start, step)
+        cuts = F.filter(closed(last["done"], last["at"], last["size"]), lambda c: c["size"] > 0)
+        return F.transform(cuts, lambda c, k: F.struct(F.array_join(F.transform(F.slice(bound, F.when(k == 0, 1).otherwise(F.get(cuts, k - 1)["at"] + 1), c["at"] - F.when(k == 0, 0).otherwise(F.get(cuts, k - 1)["at"])), lambda r: r["x"]), "\n").alias("piece"), c["size"].alias("size")))
+
+    return F.get(F.transform(F.array(rows), pieces), F.lit(0))

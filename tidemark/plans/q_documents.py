@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..functions import values as V
 from ..operators import documents as D
 from ..operators import edits as E
+from ..operators import holdings as H
 from ..operators import units as U
 from .registry import query
 
@@ -356,3 +357,28 @@ def totals_across_a_row(t):
     cells = F.array("l_extendedprice", "l_tax", "l_discount", F.lit(0.0))
     got = M.running_total(cells, F.array(*(F.lit(s) for s in ("P", "−", "+", "="))))
     return t.lineitem.select("l_orderkey", "l_linenumber", F.round(F.get(got, F.lit(0))["total"], 2).alias("total"))
+
+
+# ---------------------------------------------------------------- ownership documents
+
+_XML_LINE = "<nonDerivativeTransaction><securityTitle><value>{0}</value></securityTitle><transactionDate><value>{1}</value></transactionDate><transactionCoding><transactionCode>S</transactionCode></transactionCoding><transactionAmounts><transactionShares><value>{2}</value><footnoteId id=\"F{3}\"/></transactionShares></transactionAmounts><postTransactionAmounts><sharesOwnedFollowingTransaction><value>{4}</value></sharesOwnedFollowingTransaction></postTransactionAmounts></nonDerivativeTransaction>"
+
+
+@query("""
+WITH l AS (SELECT l_orderkey, l_returnflag AS security, l_quantity AS q, l_linenumber AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity, l_returnflag) AS k FROM lineitem),
+g AS (SELECT l_orderkey AS form, security, count(*) AS fills, sum(q)::DOUBLE AS shares, max_by(n * 10, k)::DOUBLE AS owned_after, list(CASE n % 3 WHEN 0 THEN 'Under a plan.' WHEN 1 THEN NULL ELSE 'By gift.' END ORDER BY k) AS f FROM l GROUP BY ALL)
+SELECT form, 'transaction' AS kind, security, fills, shares, owned_after, CASE WHEN list_position(f, 'By gift.') IS NULL THEN CASE WHEN list_position(f, 'Under a plan.') IS NULL THEN '' ELSE 'Under a plan.' END WHEN list_position(f, 'Under a plan.') IS NULL THEN 'By gift.' WHEN list_position(f, 'By gift.') < list_position(f, 'Under a plan.') THEN 'By gift. Under a plan.' ELSE 'Under a plan. By gift.' END AS notes FROM g
+UNION ALL SELECT o_orderkey, 'holding', 'H', 1, NULL, o_custkey::DOUBLE, '' FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
+""")
+def insiders_of_forms(t):
+    """Every order as an ownership document in XML: its lines are sales with footnotes (one names a price), its customer a holding."""
+    parts = _XML_LINE.replace("{", "\x00{").replace("}", "}\x00").split("\x00")
+    fields = {"{0}": F.col("l_returnflag"), "{1}": F.lit("2024-01-02"), "{2}": F.col("l_quantity").cast("string"), "{3}": (F.col("l_linenumber") % 3).cast("string"), "{4}": (F.col("l_linenumber") * 10).cast("string")}
+    line = F.concat(*(fields[p] if p in fields else F.lit(p) for p in parts))
+    deals = t.lineitem.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_quantity", "l_returnflag", line.alias("x")))), lambda r: r["x"]), "").alias("deals"))
+    held = F.concat(F.lit("<nonDerivativeHolding><securityTitle><value>H</value></securityTitle><postTransactionAmounts><sharesOwnedFollowingTransaction><value>"), F.col("o_custkey").cast("string"), F.lit("</value></sharesOwnedFollowingTransaction></postTransactionAmounts></nonDerivativeHolding>"))
+    notes = '<footnotes><footnote id="F0">Under a plan.</footnote><footnote id="F1">Sold at $5 each.</footnote><footnote id="F2">By gift.</footnote></footnotes>'
+    xml = F.concat(F.lit("<ownershipDocument><nonDerivativeTable>"), "deals", held, F.lit(f"</nonDerivativeTable>{notes}</ownershipDocument>"))
+    forms = deals.join(t.orders, F.expr("o_orderkey = l_orderkey")).select(F.col("l_orderkey").alias("form"), F.from_xml(xml, H.OWNERSHIP, {"rowTag": "ownershipDocument"}).alias("d")).select("form", "d.*")
+    rows = H.ownership_lines(forms, ["form"])
+    return rows.select("form", "kind", "security", "fills", "shares", "owned_after", F.array_join("footnotes", " ").alias("notes"))

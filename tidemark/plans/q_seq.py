@@ -215,3 +215,20 @@ def derivation_depth(t):
     b = F.when((F.col("turn") > 1) & (F.length("text") > 80), k - 2)
     facts = t.conversations.select(k.alias("k"), F.array_compact(F.array(a, b)).alias("inputs"))
     return X.depth(facts, "k", "inputs").select("k", "depth")
+
+
+@query(r"""
+WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents WHERE text IS NOT NULL),
+c AS (SELECT doc_id, i, k, substr(x, (k * 299 + 1)::BIGINT, 299) AS x, k = 0 AND regexp_matches(x, '^[A-M]') AS b FROM (SELECT *, unnest(range(greatest(1, (length(x) + 298) // 299))) AS k FROM l)),
+r AS (SELECT doc_id, row_number() OVER w AS j, b, sum(length(x) + 1) OVER w AS t, count(*) OVER (PARTITION BY doc_id) AS n FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY i, k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+p AS (SELECT doc_id, 1::BIGINT AS s, 0::HUGEINT AS o, (SELECT max(j) FROM r WHERE r.doc_id = d.doc_id AND t <= 300) AS e FROM (SELECT DISTINCT doc_id FROM r) d
+  UNION ALL SELECT doc_id, s, o, (SELECT max(j) FROM r WHERE r.doc_id = q.doc_id AND t - o <= 300) FROM (
+    SELECT doc_id, s, (SELECT t FROM r WHERE r.doc_id = z.doc_id AND r.j = z.s - 1) AS o FROM (
+      SELECT p.doc_id, coalesce((SELECT max(j) FROM r WHERE r.doc_id = p.doc_id AND b AND j > p.s AND j <= p.e + 1), p.e + 1) AS s FROM p WHERE p.e < (SELECT max(j) FROM r WHERE r.doc_id = p.doc_id)) z) q),
+f AS (SELECT doc_id, s, o, lead(o) OVER (PARTITION BY doc_id ORDER BY s) AS u FROM p)
+SELECT doc_id, count(*) AS pieces, max(coalesce(u, (SELECT max(t) FROM r WHERE r.doc_id = f.doc_id)) - o)::BIGINT AS largest, (SELECT max(t) FROM r WHERE r.doc_id = f.doc_id)::BIGINT AS total, max(coalesce(u, (SELECT max(t) FROM r WHERE r.doc_id = f.doc_id)) - o) <= 300 AS within FROM f GROUP BY doc_id
+""")
+def documents_cut_to_size(t):
+    cut = t.documents.where("text is not null").select("doc_id", P.cut_long("text", 300, lambda x: x.rlike("^[A-M]")).alias("c"))
+    sizes = F.transform("c", lambda x: x["size"].cast("long"))
+    return cut.select("doc_id", F.size("c").cast("long").alias("pieces"), F.array_max(sizes).alias("largest"), F.aggregate(sizes, F.lit(0).cast("long"), lambda a, b: a + b).alias("total"), (F.array_max(sizes) <= 300).alias("within"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ..functions.text import html_to_text, parse_money
 from ..operators.facts import SCHEMA as FACTS
 from ..operators.filings import BLOCK
+from ..operators.holdings import OWNERSHIP, ownership_lines
 
 _BLOCK = T.StructType([T.StructField(c, T.ArrayType(T.StringType())) for c in BLOCK])
 
@@ -64,20 +65,17 @@ def information_table(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_name").alias("file"), "nameOfIssuer", "titleOfClass", "cusip", "value", "shrsOrPrnAmt.sshPrnamt", "shrsOrPrnAmt.sshPrnamtType", "putCall")
 
 
-_V = "struct<value: string>"
-_TRADE = f"struct<securityTitle: {_V}, transactionDate: {_V}, transactionCoding: struct<transactionCode: string>, transactionAmounts: struct<transactionShares: {_V}, transactionAcquiredDisposedCode: {_V}>, postTransactionAmounts: struct<sharesOwnedFollowingTransaction: {_V}>, ownershipNature: struct<directOrIndirectOwnership: {_V}>>"
-OWNERSHIP = f"issuer struct<issuerCik: string, issuerTradingSymbol: string>, reportingOwner array<struct<reportingOwnerId: struct<rptOwnerName: string>>>, nonDerivativeTable struct<nonDerivativeTransaction: array<{_TRADE}>>"
-
-
 def ownership_trades(spark: SparkSession, path: str) -> DataFrame:
     """Insiders' transactions grouped as a reader sees them: by day, security, code, direction and nature, with the number of
     fills, the shares (null if any fill has none) and the last holding after them."""
+    rows = ownership(spark, path).where("kind = 'transaction' and not derivative")
+    return rows.select("file", "owners", "ticker", "security", "day", "code", "direction", "nature", "fills", "shares", "owned_after")
+
+
+def ownership(spark: SparkSession, path: str) -> DataFrame:
+    """Ownership documents whole: transactions and holdings of both tables with the footnotes they point to, by file."""
     forms = spark.read.schema(OWNERSHIP).option("rowTag", "ownershipDocument").xml(path)
-    rows = forms.select(F.col("_metadata.file_name").alias("file"), F.array_join("reportingOwner.reportingOwnerId.rptOwnerName", "; ").alias("owners"), F.col("issuer.issuerTradingSymbol").alias("ticker"), F.posexplode("nonDerivativeTable.nonDerivativeTransaction").alias("n", "t"))
-    keys = {"security": "t.securityTitle.value", "day": "t.transactionDate.value", "code": "t.transactionCoding.transactionCode", "direction": "t.transactionAmounts.transactionAcquiredDisposedCode.value", "nature": "t.ownershipNature.directOrIndirectOwnership.value"}
-    shares = F.col("t.transactionAmounts.transactionShares.value").try_cast("double")
-    after = F.col("t.postTransactionAmounts.sharesOwnedFollowingTransaction.value").try_cast("double")
-    return rows.groupBy("file", "owners", "ticker", *(F.col(v).alias(k) for k, v in keys.items())).agg(F.count("*").alias("fills"), F.when(F.count(shares) == F.count("*"), F.sum(shares)).alias("shares"), F.max_by(after, "n").alias("owned_after"))
+    return ownership_lines(forms.withColumn("file", F.col("_metadata.file_name")), ["file"])
 
 
 def call_log(spark: SparkSession, path: str) -> DataFrame:
