@@ -101,3 +101,15 @@ def test_events_go_on_after_a_restart(spark, tmp_path, cuts):
         out = W.run_to_end(W.event_states(stream, "open", "close", 10 * 60 * 1_000_000), spark, str(tmp_path / "out"), str(tmp_path / "marks"))
     got = sorted((r.key, r.opened_id, r.closed_at.minute, r.closed_by, r.attached) for r in out.collect())
     assert got == [(1, 1, 5, "close", [2]), (2, 3, 13, "timer", []), (2, 6, 30, "timer", [])]
+
+
+def test_what_numbers_are(spark):
+    from tidemark.functions.mentions import mentions
+
+    text = "Sales rose 4.5% on 12 March 2024 (see Notes 3, 4 and 5; page 7) to $1,250 million (1), about 9 times July 4 figures, and May 2024. Items to 8"
+    got = [tuple(r) for r in spark.createDataFrame([(text,)], "t string").select(mentions("t").alias("m")).first().m]
+    assert got == [
+        ("4.5%", "value", None), ("12", "day", None), ("2024", "year", None), ("3", "reference", None), ("4", "reference", None), ("5", "reference", None), ("7", "reference", None),
+        ("$1,250", "value", "million"), ("1", "note", None), ("9", "value", None), ("4", "day", None), ("2024", "year", None), ("8", "reference", None),
+    ]
+    assert spark.createDataFrame([("",), (None,)], "t string").select(mentions("t").alias("m")).collect() == [([],), (None,)]

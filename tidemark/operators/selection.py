@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .joins import asof_join
+
 from .merge import keep_first
 
 
@@ -48,16 +50,31 @@ def after_latest(df: DataFrame, by: list[str], order: str, mark: Column) -> Data
     return df.join(last, by, "left").where(F.col("__last").isNull() | (F.col(order) > F.col("__last"))).drop("__last")
 
 
-def select_by_request(requests: DataFrame, filings: DataFrame, entity: str, filed: str, order: list) -> DataFrame:
+def select_by_request(requests: DataFrame, filings: DataFrame, entity: str, filed: str, order: list, items: str | None = None) -> DataFrame:
     """Each request (request_id, entity, form, since, until, latest: how many) with the filings it means, newest first.
 
-    Null bounds are open, a null `latest` means all. The join is on entity and form; the window is a filter on its result.
+    Null bounds are open, a null `latest` means all. With items, a column of arrays on both sides, a request that names some
+    means only filings with one of them. The join is on entity and form; the rest filters its result.
     """
-    met = requests.join(filings, [entity, "form"]).where(f"(since is null or {filed} >= since) and (until is null or {filed} <= until)")
+    if items:
+        wanted = requests.withColumnRenamed(items, "__items")
+        met = wanted.join(filings, [entity, "form"]).where(F.coalesce(F.size("__items") == 0, F.lit(True)) | F.arrays_overlap("__items", items)).drop("__items")
+    else:
+        met = requests.join(filings, [entity, "form"])
+    met = met.where(f"(since is null or {filed} >= since) and (until is null or {filed} <= until)")
     ranked = met.withColumn("nth", F.row_number().over(Window.partitionBy("request_id").orderBy(*order)))
     return ranked.where("latest is null or nth <= latest")
 
 
+def in_force(asked: DataFrame, filings: DataFrame, entity: str, as_of: str, filed: str, kinds: dict[str, list[str]], values: list[str], bucket=None) -> DataFrame:
+    """For each row of asked, and each kind of standing document (its forms), the entity's last one filed by that day: kind and values,
+    null where there is none. kinds: for example annual: 10-K, 20-F and 40-F, and proxy: DEF 14A."""
+    kind = F.create_map(*(F.lit(x) for name, forms in kinds.items() for form in forms for x in (form, name)))
+    standing = filings.withColumn("kind", F.element_at(kind, F.col("form"))).where("kind is not null")
+    rows = asked.withColumn("kind", F.explode(F.array(*map(F.lit, kinds))))
+    return asof_join(rows, standing, [entity, "kind"], as_of, filed, values, bucket)
+
+
 def upcoming(issuers: DataFrame, quarters: DataFrame, released: DataFrame, key: str, day: str, start: Column, end: Column) -> DataFrame:
     """Expected releases of issuers in a window, quarters already released left out. quarters: key, period and the expected day."""
     return issuers.join(quarters, key).where(F.col(day).between(start, end)).join(released.select(key, "period").distinct(), [key, "period"], "left_anti")

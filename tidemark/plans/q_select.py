@@ -146,3 +146,30 @@ def natural_places(t):
     inside = rows.withColumn("n", F.row_number().over(Window.partitionBy("p_brand").orderBy(*by)))
     before = rows.groupBy("p_brand").agg(F.count("*").alias("c")).withColumn("base", F.expr("sum(c) over (order by p_brand) - c"))
     return inside.join(before, "p_brand").select("id", (F.col("base") + F.col("n")).alias("place"))
+
+
+@query("""
+WITH a AS (SELECT DISTINCT o_custkey AS k, l_shipdate AS day FROM lineitem JOIN orders ON o_orderkey = l_orderkey), x AS (SELECT a.*, unnest(['annual', 'proxy']) AS kind FROM a),
+f AS (SELECT o_custkey AS k, o_orderdate, CASE o_orderpriority WHEN '5-LOW' THEN 'proxy' ELSE 'annual' END AS kind, max(o_orderkey) AS o_orderkey FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '5-LOW') GROUP BY ALL)
+SELECT x.k, day, x.kind, o_orderkey FROM x ASOF LEFT JOIN f ON x.k = f.k AND x.kind = f.kind AND x.day >= f.o_orderdate
+""")
+def documents_in_force(t):
+    asked = t.lineitem.join(t.orders, F.expr("o_orderkey = l_orderkey")).select(F.col("o_custkey").alias("k"), F.col("l_shipdate").alias("day")).distinct()
+    filings = t.orders.select(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("form"), "o_orderdate", "o_orderkey")
+    return S.in_force(asked, filings, "k", "day", "o_orderdate", {"annual": ["1-URGENT", "2-HIGH"], "proxy": ["5-LOW"]}, ["o_orderkey"], lambda c: F.date_trunc("year", c))
+
+
+@query("""
+WITH r AS (SELECT c_custkey AS request_id, c_custkey AS k, CASE WHEN c_custkey % 3 > 0 THEN ['1', (c_custkey % 5 + 2)::VARCHAR] ELSE [] END AS items FROM customer),
+f AS (SELECT o_custkey AS k, o_orderkey, o_orderdate, list(DISTINCT l_linenumber::VARCHAR) FILTER (l_quantity > 40) AS items FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+m AS (SELECT request_id, o_orderkey, row_number() OVER (PARTITION BY request_id ORDER BY o_orderdate DESC, o_orderkey)::INT AS nth FROM r JOIN f USING (k) WHERE len(r.items) = 0 OR len(list_intersect(r.items, coalesce(f.items, []))) > 0)
+SELECT request_id, o_orderkey, nth FROM m WHERE nth <= 2
+""")
+def filings_with_items_asked_for(t):
+    """Requests that name items: lines of more than forty pieces stand for the items of an order."""
+    items = t.lineitem.groupBy("l_orderkey").agg(F.collect_set(F.when(F.col("l_quantity") > 40, F.col("l_linenumber").cast("string"))).alias("items"))
+    filings = t.orders.join(items, F.expr("l_orderkey = o_orderkey")).select(F.col("o_custkey").alias("k"), F.lit("any").alias("form"), "o_orderkey", "o_orderdate", "items")
+    k, null = F.col("c_custkey"), F.lit(None).cast("timestamp")
+    asked = F.when(k % 3 > 0, F.array(F.lit("1"), (k % 5 + 2).cast("string"))).otherwise(F.array().cast("array<string>"))
+    r = t.customer.select(k.alias("request_id"), k.alias("k"), F.lit("any").alias("form"), null.alias("since"), null.alias("until"), F.lit(2).alias("latest"), asked.alias("items"))
+    return S.select_by_request(r, filings, "k", "o_orderdate", [F.desc("o_orderdate"), "o_orderkey"], "items").select("request_id", "o_orderkey", "nth")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import formula as M
+from ..functions import mentions as N
 from ..functions import text as T
 from ..operators import checks as C
 from ..operators import documents as D
@@ -182,3 +183,28 @@ def ranked_excerpts_of_documents(t):
     got = D.ranked_excerpts(values, "p_size", "p_size", None, "words", units, ["doc_id", "line", "place"], "unit", "ws")
     short = F.sha2(F.when(~F.col("excerpt").contains("…"), F.col("excerpt")), 256)
     return got.select("p_size", "doc_id", "line", "place", short.alias("short_excerpt"), "score", "how")
+
+
+def _mentions_sql() -> str:
+    listed = lambda ws: ", ".join("'" + w.replace("'", "''") + "'" for w in ws)
+    return rf"""
+WITH x AS (SELECT doc_id, string_split_regex(text || ' Items 2, 3 and ' || (doc_id % 40) || ' of May ' || (doc_id % 28 + 1) || ', ' || (1990 + doc_id % 30) || ': ' || doc_id || ' million (' || (doc_id % 9) || ')', '[ \t\r\n]+') AS ws FROM documents WHERE text IS NOT NULL),
+e AS (SELECT doc_id, unnest(list_filter(ws, lambda x: x <> '')) AS w, unnest(range(len(list_filter(ws, lambda x: x <> '')))) AS i FROM x),
+c AS (SELECT *, regexp_replace(regexp_replace(w, '^[\["“‘''(]+', ''), '[\]).,;:!?"”’'']+$', '') AS core FROM e),
+t AS (SELECT *, CASE WHEN regexp_matches(core, '^[−+-]?[$]?(?:[0-9]{{1,3}}(?:,[0-9]{{3}})+|[0-9]+)(?:[.][0-9]+)?%?$') THEN CASE WHEN regexp_matches(w, '^[(\[][0-9]{{1,2}}[)\]]') THEN 'note' ELSE 'number' END WHEN lower(core) IN ({listed(T.MONTHS)}) THEN 'month'
+  WHEN lower(core) IN ({listed(T.REFERENCES)}) THEN 'reference' WHEN lower(core) IN ({listed(N.CONNECTORS)}) OR core = '' THEN 'connector' WHEN lower(core) IN ({listed(u for u in T.UNITS if len(u) > 1)}) THEN 'unit' ELSE 'word' END AS k FROM c),
+r AS (SELECT *, lag(k) OVER w AS pk, lead(k) OVER w AS nk, lead(lower(core)) OVER w AS nw, sum((k IN ('word', 'unit', 'month'))::INT) OVER w AS run FROM t WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT *, coalesce(bool_or(k = 'reference') OVER (PARTITION BY doc_id, run ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS referred FROM r),
+m AS (SELECT doc_id, i, core, nk, nw, CASE WHEN k = 'note' THEN 'note' WHEN referred AND regexp_matches(core, '^[0-9]{{1,3}}$') THEN 'reference' WHEN pk = 'month' AND regexp_matches(core, '^[0-9]{{1,2}}$') THEN 'day' WHEN regexp_matches(core, '^(?:19|20)[0-9]{{2}}$') THEN 'year' ELSE 'value' END AS kind FROM s WHERE k IN ('number', 'note')),
+n AS (SELECT doc_id, core AS form, CASE WHEN kind = 'value' AND nk = 'month' AND regexp_matches(core, '^[0-9]{{1,2}}$') THEN 'day' ELSE kind END AS kind, CASE WHEN kind = 'value' AND nk = 'unit' THEN nw END AS unit FROM m)
+SELECT doc_id, form, kind, unit, count(*) AS n FROM n GROUP BY ALL
+"""
+
+
+@query(_mentions_sql())
+def numbers_and_what_they_are(t):
+    """The numbers of documents, behind which a line with references, a day, a year, an amount and a footnote mark is set."""
+    n = F.col("doc_id")
+    more = F.concat(F.lit(" Items 2, 3 and "), (n % 40).cast("string"), F.lit(" of May "), (n % 28 + 1).cast("string"), F.lit(", "), (n % 30 + 1990).cast("string"), F.lit(": "), n.cast("string"), F.lit(" million ("), (n % 9).cast("string"), F.lit(")"))
+    found = t.documents.where("text is not null").select("doc_id", F.explode(N.mentions(F.concat("text", more))).alias("m"))
+    return found.groupBy("doc_id", "m.form", "m.kind", "m.unit").agg(F.count("*").alias("n"))
