@@ -114,6 +114,8 @@ def same_bytes(buf: np.ndarray, a: np.ndarray, b: np.ndarray, lens: np.ndarray)
     if not len(todo):
         return same
     words = lanes(buf)
+    if 4 * len(todo) > len(buf):
+        words = np.array(words)  # an aligned copy is read twice as fast
     left = lens[todo].astype(np.int64)
     x, y = np.asarray(a)[todo].astype(np.int64), np.asarray(b)[todo].astype(np.int64)
     while len(todo):
