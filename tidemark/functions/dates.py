@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sizes import small
 
 NEW_YORK = "America/New_York"
 LEAD_DAYS = 3
@@ -133,16 +132,17 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int) -> D
 
 
 def add_business_days(df: DataFrame, day: str, count: int, calendar: DataFrame, out: str) -> DataFrame:
-    """df with the count-th business day after `day`. Days outside the calendar give null."""
-    at = small(calendar.select(F.col("day").alias("__day"), (F.col("ordinal") + count).alias("__ordinal")))
-    to = small(calendar.where("is_business").select(F.col("ordinal").alias("__ordinal"), F.col("day").alias(out)))
+    """df with the count-th business day after `day`. Days outside the calendar give null. calendar: of business_calendar, 366 rows
+    a year at most, so it is broadcast."""
+    at = F.broadcast(calendar.select(F.col("day").alias("__day"), (F.col("ordinal") + count).alias("__ordinal")))
+    to = F.broadcast(calendar.where("is_business").select(F.col("ordinal").alias("__ordinal"), F.col("day").alias(out)))
     return df.join(at, F.col(day).cast("date") == F.col("__day"), "left").join(to, "__ordinal", "left").drop("__day", "__ordinal")
 
 
 def previous_business_day(df: DataFrame, day: str, calendar: DataFrame, out: str) -> DataFrame:
-    """df with `day` itself if it is a business day, else the one before it."""
-    at = small(calendar.select(F.col("day").alias("__day"), F.col("ordinal").alias("__ordinal")))
-    to = small(calendar.where("is_business").select(F.col("ordinal").alias("__ordinal"), F.col("day").alias(out)))
+    """df with `day` itself if it is a business day, else the one before it. calendar: as above, broadcast."""
+    at = F.broadcast(calendar.select(F.col("day").alias("__day"), F.col("ordinal").alias("__ordinal")))
+    to = F.broadcast(calendar.where("is_business").select(F.col("ordinal").alias("__ordinal"), F.col("day").alias(out)))
     return df.join(at, F.col(day).cast("date") == F.col("__day"), "left").join(to, "__ordinal", "left").drop("__day", "__ordinal")
 
 

@@ -6,6 +6,7 @@ a key with a third of all rows isn't one task; nearest and band joins meet in bi
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -79,6 +80,7 @@ def words_of(c: Column) -> Column:
     return F.filter(F.split(F.trim(F.regexp_replace(c, r"[ \t\n\x0B\f\r]+", " ")), " "), lambda w: w != "")
 
 
+FEW = 20_000  # anchors that are sent to all tasks
 TRIPLE, PAIR, GRAM = 5, 3, 6  # words from which an anchor is three of them, or one; characters of any other anchor
 
 
@@ -101,11 +103,19 @@ def _within(inner: DataFrame, inner_key: list[str], outer: DataFrame, outer_key:
         "w": F.split(F.col(text), " "),
         "c": F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{GRAM}}}))"), F.lit(1)),  # at every place, in one pass
     }
+    few = [r[0] for r in asked.select("__k").distinct().limit(FEW + 1).collect()]
     met = []
     for kind, keys in kinds.items():
         own = asked.where(F.col("__k").startswith(kind))
+        if len(few) <= FEW:  # few enough to be sent along: texts are reduced to what is asked before their anchors become rows
+            of_kind = [k[1:] for k in few if k.startswith(kind)]
+            if not of_kind:
+                continue
+            keys = F.array_intersect(keys, F.from_json(F.lit(json.dumps(of_kind)), "array<string>"))
         held = outer.select(*outer_key, F.explode(F.array_distinct(keys)).alias("__w")).select(*outer_key, F.concat(F.lit(kind), "__w").alias("__k"))
         met.append(own.join(held, "__k").select(*inner_key, *outer_key))
+    if not met:
+        return inner.limit(0).select(*inner_key).join(outer.limit(0).select(*outer_key), F.lit(True))
     pairs = reduce(DataFrame.unionByName, met)
     both = pairs.join(inner.select(*inner_key, F.col(text).alias("__a")), inner_key).join(outer.select(*outer_key, F.col(text).alias("__b")), outer_key)
     return both.where(F.expr("contains(__b, __a)")).select(*inner_key, *outer_key)
