@@ -114,3 +114,10 @@ def top_then_more(df: DataFrame, by: list[str], message: str, order: list[str],
 def map_totals(df: DataFrame, by: list[str], usage: str) -> DataFrame:
     """Maps of numbers added up key by key."""
     return df.select(*by, F.explode(usage).alias("component", "amount")).groupBy(*by, "component").agg(F.sum("amount").alias("amount"))
+
+
+def monthly_outcomes(df: DataFrame, by: list[str], at: str, outcome: str) -> DataFrame:
+    """month, n and outcomes (a map of each outcome to its count) of each key and calendar month; rows without a time are left out."""
+    each = df.where(F.col(at).isNotNull()).groupBy(*by, F.date_format(at, "yyyy-MM").alias("month"), outcome).agg(F.count("*").alias("__n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col(outcome).isNotNull(), F.struct(outcome, "__n"))))
+    return each.groupBy(*by, "month").agg(F.sum("__n").alias("n"), F.map_from_entries(listed).alias("outcomes"))

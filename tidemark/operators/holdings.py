@@ -96,3 +96,11 @@ def ownership_lines(forms: DataFrame, key: list[str]) -> DataFrame:
     pointed = F.flatten(F.transform("__ids", lambda x: x["ids"]))
     known = F.map_from_entries("__t")
     return out.withColumn("footnotes", F.array_distinct(F.array_compact(F.transform(pointed, lambda i: F.element_at(known, i))))).drop("__alone", "__ids", "__t")
+
+
+def year_end_closes(closes: DataFrame, yields: DataFrame, symbol: str, date: str, close: str, rate: str) -> DataFrame:
+    """Each symbol's last close of a calendar year with the yield of that day, else of the last day before it that has one."""
+    last = closes.groupBy(symbol, F.year(date).alias("year")).agg(F.max_by(F.struct(date, close), F.col(date)).alias("__l")).select(symbol, "year", f"__l.{date}", f"__l.{close}")
+    one = lambda df: df.withColumn("__all", F.lit(0))  # noqa: E731  yields have no key: a series of its own
+    rates = yields.select(F.col(date).alias("__d"), rate)
+    return asof_join(one(last), one(rates), ["__all"], date, "__d", [rate], lambda c: F.date_trunc("month", c)).drop("__all")

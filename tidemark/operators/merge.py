@@ -109,3 +109,25 @@ def route(rows: DataFrame, rules: DataFrame, key: str, conditions: list[str], de
     fits = reduce(lambda a, b: a & b, [F.col(f"__{c}").isNull() | (F.col(f"__{c}") == F.col(c)) for c in conditions])
     best = rows.join(r, fits).groupBy(key).agg(F.min_by("__d", "__o").alias("destination"))
     return rows.join(best, key, "left").withColumn("destination", F.coalesce("destination", F.lit(default)))
+
+
+def route_by_trust(writes: DataFrame, trust: DataFrame, staged: DataFrame, bundle: str, path: str, company: str, digest: str, wanted: str, trusted: int = 2) -> DataFrame:
+    """Writes with level and destination. A bundle is trusted as its least trusted company is (a company without a level not at
+    all): from `trusted` on its writes go to a branch, others are staged. Where publishing is wanted a trusted write is
+    published if the bytes that were staged at its path are the same."""
+    known = writes.join(trust.select(company, F.col("level").alias("__level")), company, "left")
+    least = known.groupBy(bundle).agg(F.min(F.coalesce("__level", F.lit(0))).alias("level"))
+    there = staged.groupBy(path).agg(F.max_by(digest, "at").alias("__have"))
+    rows = writes.join(least, bundle).join(there, path, "left")
+    same = F.coalesce(F.col("__have") == F.col(digest), F.lit(False))
+    to = F.when(F.col("level") < trusted, "staged").when(F.col(wanted) & same, "published").otherwise("branch")
+    return rows.withColumn("destination", to).drop("__have")
+
+
+def against_existing(planned: DataFrame, existing: DataFrame, key: str, digest: str, body: str, closed: Column) -> DataFrame:
+    """What each planned write does to what is there: new, same, header (the body stays), replaced, or refused where its deadline has
+    passed (closed holds) and more than the header differs."""
+    there = existing.select(key, F.col(digest).alias("__d"), F.col(body).alias("__b"))
+    met = planned.join(there, key, "left")
+    does = F.when(F.col("__d").isNull(), "new").when(F.col("__d") == F.col(digest), "same").when(F.col("__b") == F.col(body), "header").when(closed, "refused").otherwise("replaced")
+    return met.withColumn("does", does).drop("__d", "__b")

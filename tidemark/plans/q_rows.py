@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizes import small
 from ..operators import aggregates as A
+from ..operators import holdings as H
 from ..operators import islands as I
 from ..operators import merge as M
 from .registry import query
@@ -269,3 +270,51 @@ SELECT user_id, heading, "start", "end" FROM (SELECT *, row_number() OVER (PARTI
 def longest_sections(t):
     head = F.when(F.col("event_type").isin("signup", "purchase"), F.col("event_type"))
     return I.sections(t.events, ["user_id"], "event_id", head).select("user_id", "heading", "start", "end")
+
+
+@query("""
+WITH w AS (SELECT o_orderkey AS path, o_orderkey // 8 AS bundle, o_custkey, md5(o_orderstatus || o_orderkey) AS h, o_orderpriority = '1-URGENT' AS wanted FROM orders),
+b AS (SELECT bundle, min(coalesce(l, 0))::INT AS level FROM w LEFT JOIN (SELECT c_custkey, (CASE WHEN c_acctbal > 0 THEN 3 ELSE 1 END) AS l FROM customer WHERE c_custkey % 50 > 0) ON c_custkey = o_custkey GROUP BY 1),
+s AS (SELECT l_orderkey AS path, max_by(md5(CASE WHEN l_linenumber % 3 = 0 THEN 'x' ELSE o_orderstatus || o_orderkey END), l_linenumber) AS have FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1)
+SELECT path, level, CASE WHEN level < 2 THEN 'staged' WHEN wanted AND have = h THEN 'published' ELSE 'branch' END AS destination FROM w JOIN b USING (bundle) LEFT JOIN s USING (path)
+""")
+def writes_by_trust(t):
+    key = F.concat("o_orderstatus", F.col("o_orderkey").cast("string"))
+    writes = t.orders.select(F.col("o_orderkey").alias("path"), F.floor(F.col("o_orderkey") / 8).alias("bundle"), F.col("o_custkey").alias("company"), F.md5(key).alias("h"), (F.col("o_orderpriority") == "1-URGENT").alias("wanted"))
+    trust = t.customer.where("c_custkey % 50 > 0").select(F.col("c_custkey").alias("company"), F.when(F.col("c_acctbal") > 0, 3).otherwise(1).alias("level"))
+    staged = t.lineitem.join(t.orders, F.expr("o_orderkey = l_orderkey")).select(F.col("l_orderkey").alias("path"), F.col("l_linenumber").alias("at"), F.md5(F.when(F.col("l_linenumber") % 3 == 0, "x").otherwise(key)).alias("h"))
+    return M.route_by_trust(writes, trust, staged, "bundle", "path", "company", "h", "wanted").select("path", "level", "destination")
+
+
+@query("""
+WITH p AS (SELECT o_orderkey AS k, md5(o_orderstatus || o_orderpriority) AS d, md5(o_orderpriority) AS b, o_orderdate < TIMESTAMP '1998-01-01' AS closed FROM orders),
+e AS (SELECT o_orderkey AS k, md5(CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus ELSE 'N' END || CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE o_orderpriority END) AS d, md5(CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE o_orderpriority END) AS b FROM orders WHERE o_orderkey % 7 > 0)
+SELECT p.k, CASE WHEN e.k IS NULL THEN 'new' WHEN e.d = p.d THEN 'same' WHEN e.b = p.b THEN 'header' WHEN closed THEN 'refused' ELSE 'replaced' END AS does FROM p LEFT JOIN e USING (k)
+""")
+def writes_against_existing(t):
+    k, o = F.col("o_orderkey"), t.orders
+    planned = o.select(k.alias("k"), F.md5(F.concat("o_orderstatus", "o_orderpriority")).alias("d"), F.md5("o_orderpriority").alias("b"), (F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp")).alias("closed"))
+    body = F.when(k % 5 == 0, "none").otherwise(F.col("o_orderpriority"))
+    existing = o.where(k % 7 > 0).select(k.alias("k"), F.md5(F.concat(F.when(k % 3 == 0, F.col("o_orderstatus")).otherwise("N"), body)).alias("d"), F.md5(body).alias("b"))
+    return M.against_existing(planned, existing, "k", "d", "b", F.col("closed")).select("k", "does")
+
+
+@query("""
+WITH c AS (SELECT o_orderpriority AS kind, strftime(o_orderdate, '%Y-%m') AS month, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY ALL)
+SELECT kind, month, sum(n)::BIGINT AS n, string_agg(s || '=' || n, ',' ORDER BY s) AS outcomes FROM c GROUP BY ALL
+""")
+def outcomes_by_month(t):
+    got = A.monthly_outcomes(t.orders, ["o_orderpriority"], "o_orderdate", "o_orderstatus")
+    shown = F.transform(F.map_entries("outcomes"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return got.select(F.col("o_orderpriority").alias("kind"), "month", "n", F.array_join(shown, ",").alias("outcomes"))
+
+
+@query("""
+WITH c AS (SELECT l_suppkey AS s, l_shipdate::DATE AS d, max(l_extendedprice) AS close FROM lineitem GROUP BY ALL), y AS (SELECT o_orderdate::DATE AS d, round(avg(o_totalprice), 2) AS rate FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY 1),
+l AS (SELECT s, year(d) AS year, max(d) AS d, max_by(close, d) AS close FROM c GROUP BY ALL)
+SELECT l.s, l.year::INT AS year, l.d, close, rate FROM l ASOF LEFT JOIN y ON l.d >= y.d
+""")
+def closes_of_year_ends(t):
+    closes = t.lineitem.groupBy(F.col("l_suppkey").alias("s"), F.to_date("l_shipdate").alias("d")).agg(F.max("l_extendedprice").alias("close"))
+    yields = t.orders.where("o_orderpriority = '5-LOW'").groupBy(F.to_date("o_orderdate").alias("d")).agg(F.round(F.avg("o_totalprice"), 2).alias("rate"))
+    return H.year_end_closes(closes, yields, "s", "d", "close", "rate").select("s", "year", "d", "close", "rate")
