@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from .common import made, scratch
 
 SEGMENT_BYTES = 1 << 20
+PACK_ROWS = 1000  # of an Arrow batch while packing: whole texts stand in it, outside the JVM's heap
 LAST = np.iinfo(np.int64).max  # the order key of a null id
 SCHEMA = "seg long, n_docs int, n_bytes long, keys binary, lens binary, text binary, rest binary"
 
@@ -98,7 +99,13 @@ class Packed:
         self.buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
         name, path = f"tidemark_{uuid.uuid4().hex[:12]}", scratch(spark, "segments")
         made.append(path)
-        chosen.mapInArrow(_pieces, SCHEMA).write.bucketBy(self.buckets, "seg").format("parquet").option("compression", "uncompressed").option("path", path).saveAsTable(name)
+        batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = spark.conf.get(batch)
+        spark.conf.set(batch, str(min(PACK_ROWS, int(before)) if int(before) > 0 else PACK_ROWS))
+        try:
+            chosen.mapInArrow(_pieces, SCHEMA).write.bucketBy(self.buckets, "seg").format("parquet").option("compression", "uncompressed").option("path", path).saveAsTable(name)
+        finally:
+            spark.conf.set(batch, before)
         self.rows = spark.table(name)
         self.n_bytes = self.rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
 
