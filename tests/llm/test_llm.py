@@ -570,3 +570,23 @@ def removed_bytes(items, first, width):
             if first[b[i : i + width]] < d:
                 gone.update(range(i, i + width))
         yield d, len(gone)
+
+
+def test_calls_are_handed_on_in_small_batches():
+    """A batch of queries, each with thousands of leaves, isn't held at once; nor are the cells of a batch of entries."""
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((300, 8)).astype(np.float32)
+    trees = forest.Forest(rng.standard_normal((4096, 8)), 8, 9)
+    batch = pa.RecordBatch.from_pydict({"q": list(range(300)), "vector": vectors.tolist()})
+    sizes, got = [], []
+    for out in forest._calls(trees, iter([batch]), 640, 2, 3, "<f4"):
+        sizes.append(out.num_rows)
+        got += zip(out.column(0).to_pylist(), out.column(1).to_pylist(), out.column(2).to_pylist())
+    assert max(sizes) < 2 * forest.ROWS and sum(sizes) == 300 * 640 * 2
+    turns = forest._part(np.arange(300), 3)
+    probed = [[(leaf * 2 + s) * 3 + turns[q] for leaf in trees.probe(vectors[q].astype(float), 640) for s in range(2)] for q in (0, 150, 299)]
+    assert [sorted(c for c, q, _ in got if q == x) for x in (0, 150, 299)] == [sorted(p) for p in probed]
+    assert all(v == vectors[q].tobytes() for _, q, v in got[:: 9973])
+    entries = pa.RecordBatch.from_pydict({"vector": vectors.tolist(), "ids": [[i] for i in range(300)]})
+    cells = list(forest._dealt(trees, iter([entries]), 8, 2, 64, "<f4"))
+    assert max(c.num_rows for c in cells) <= forest.ROWS and sum(c.num_rows for c in cells) == 300 * 8 * 64

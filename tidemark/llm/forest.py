@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import mix, stored
 
 TREES, LEAF_ROWS, LEAF_QUERIES, SAMPLE, PROBE = 8, 1000, 1 << 14, 1 << 16, 1.25
+ROWS = 1 << 13  # rows that a task makes before it hands them on
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -76,19 +77,61 @@ class Forest:
         return out
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    parts = [np.frombuffer(x, np.float64) for x in column.to_pylist()]
-    return np.stack(parts) if parts else np.zeros((0, 0))
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    parts = [np.frombuffer(x, kind) for x in column.to_pylist()]
+    return np.stack(parts).astype(np.float64) if parts else np.zeros((0, 0))
+
+
+CALLS = pa.schema([("leaf", pa.int64()), ("q", pa.int64()), ("vector", pa.binary())])
+
+
+def _dealt(forest: Forest, batches, trees: int, deal: int, shares: int, kind: str):
+    """Every entry in its cells (a leaf of each tree, a share of its vectors, each share of its queries), ROWS rows at a time."""
+    for batch in batches:
+        each = max(1, ROWS // (trees * shares))  # entries of one output batch
+        for at in range(0, batch.num_rows, each):
+            part = batch.slice(at, each)
+            v = np.stack(part.column(0).to_pylist()).astype(float)
+            leaf = forest.leaves(v)[:, :trees]
+            packed, which = pa.array([x.tobytes() for x in v.astype(kind)], pa.binary()), np.repeat(np.arange(len(v)), trees * shares)
+            salt = np.random.default_rng(zlib.crc32(v.tobytes())).integers(0, deal, len(v))  # the same if the task runs again
+            cell = (np.repeat(leaf.ravel(), shares) * deal + salt[which]) * shares + np.tile(np.arange(shares), leaf.size)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), part.column(1).take(pa.array(which)), packed.take(pa.array(which))], names=["leaf", "ids", "vector"])
+
+
+def _calls(forest: Forest, batches, probes: int, deal: int, shares: int, kind: str):
+    """Every query in the cells that it probes, ROWS rows at a time: a batch of queries makes millions where leaves are many."""
+
+    def rows(cells: list, qs: list, vectors: list) -> pa.RecordBatch:
+        which = pa.array(np.repeat(np.arange(len(qs)), [len(c) for c in cells]))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(qs, pa.int64()).take(which), pa.array(vectors, pa.binary()).take(which)], schema=CALLS)
+
+    for batch in batches:
+        cells, qs, vectors, n = [], [], [], 0
+        for q, turn, v in zip(batch.column(0).to_pylist(), _part(batch.column(0).to_numpy(), shares).tolist(), batch.column(1).to_pylist()):
+            v = np.array(v, float)
+            leaf = np.array(forest.probe(v, probes), np.int64)
+            cell = ((leaf[:, None] * deal + np.arange(deal)) * shares + turn).ravel()
+            for at in range(0, len(cell), ROWS):
+                cells.append(cell[at : at + ROWS])
+                qs.append(q)
+                vectors.append(v.astype(kind).tobytes())
+                n += len(cells[-1])
+                if n >= ROWS:
+                    yield rows(cells, qs, vectors)
+                    cells, qs, vectors, n = [], [], [], 0
+        if n:
+            yield rows(cells, qs, vectors)
 
 
 FOUND = pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("q", "s", "id"))])
 
 
-def _nearest(queries: pa.Table, entries: pa.Table, k: int, parts: int) -> pa.Table:
+def _nearest(queries: pa.Table, entries: pa.Table, k: int, parts: int, kind: str) -> pa.Table:
     """For each query of a leaf its k nearest ids there: query, negative score and id as arrays, by parts of the queries."""
     if not queries.num_rows or not entries.num_rows:
         return FOUND.empty_table()
-    q, v, number = _matrix(queries.column("vector")), _matrix(entries.column("vector")), queries.column("q").to_numpy()
+    q, v, number = _matrix(queries.column("vector"), kind), _matrix(entries.column("vector"), kind), queries.column("q").to_numpy()
     ids = entries.column("ids").to_pylist()
     least = np.array([i[0] for i in ids])
     copies = any(len(i) > 1 for i in ids)
@@ -169,31 +212,18 @@ def search(vectors: DataFrame, queries: str, k: int = 20, id_col: str = "vec_id"
     n_asked = asked.count()
     shares = max(1, math.ceil(n_asked * probes / (trees_used * 2**depth) / leaf_queries))  # tasks that share a leaf's queries
 
+    kind = "<f4" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "<f8"  # as exact, half the bytes
+
     def index(batches):
-        for batch in batches:
-            v = np.stack(batch.column(0).to_pylist()).astype(float) if batch.num_rows else np.zeros((0, 1))
-            leaf = forest.value.leaves(v)[:, :trees_used] if batch.num_rows else np.zeros((0, trees_used), np.int64)
-            packed, which = pa.array([x.tobytes() for x in v], pa.binary()), np.repeat(np.arange(len(v)), trees_used * shares)
-            salt = np.random.default_rng(zlib.crc32(v.tobytes())).integers(0, deal, len(v))  # the same if the task runs again
-            cell = (np.repeat(leaf.ravel(), shares) * deal + salt[which]) * shares + np.tile(np.arange(shares), leaf.size)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), batch.column(1).take(pa.array(which)), packed.take(pa.array(which))], names=["leaf", "ids", "vector"])
+        return _dealt(forest.value, batches, trees_used, deal, shares, kind)
 
     def ask(batches):
-        for batch in batches:
-            out: dict[str, list] = {"leaf": [], "q": [], "vector": []}
-            for q, turn, v in zip(batch.column(0).to_pylist(), _part(batch.column(0).to_numpy(), shares).tolist(), batch.column(1).to_pylist()):
-                v = np.array(v, float)
-                for leaf in forest.value.probe(v, probes)[:probes]:
-                    for salt in range(deal):
-                        out["leaf"].append((leaf * deal + salt) * shares + turn)
-                        out["q"].append(q)
-                        out["vector"].append(v.tobytes())
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("leaf", pa.int64()), ("q", pa.int64()), ("vector", pa.binary())]))
+        return _calls(forest.value, batches, probes, deal, shares, kind)
 
     leaves = entries.select("vector", "ids").mapInArrow(index, "leaf long, ids array<bigint>, vector binary")
     calls = asked.select("q", "vector").mapInArrow(ask, "leaf long, q long, vector binary")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_asked * probes * deal * (k + 1) / (1 << 20)))
-    found = leaves.groupBy("leaf").cogroup(calls.groupBy("leaf")).applyInArrow(lambda a, b: _nearest(b, a, k + 1, parts), "part long, q binary, s binary, id binary")
+    found = leaves.groupBy("leaf").cogroup(calls.groupBy("leaf")).applyInArrow(lambda a, b: _nearest(b, a, k + 1, parts, kind), "part long, q binary, s binary, id binary")
     merged = found.groupBy("part").applyInArrow(_merge(k + 1), "q long, s array<double>, id array<bigint>")
     results = asked.join(merged, "q").selectExpr("vector", "arrays_zip(s, id) as hits")
     own = asking.join(results, "vector").selectExpr("id as query_id", f"posexplode(slice(filter(hits, x -> x.id <> id), 1, {k})) as (pos, hit)")
