@@ -136,3 +136,26 @@ def test_event_machine_over_two_batches(spark, tmp_path):
     stream = machines.files(spark, str(path), 1).withWatermark("at", "0 seconds")
     got = machines.drained(machines.event_machine(stream, "open", "close", 10_000_000), spark, "test").collect()
     assert sorted((r.key, r.opened_id, r.closed_by, r.related) for r in got) == [(1, 1, "close", 1), (2, 3, "timer", 0)]
+
+
+def test_event_machine_takes_a_keys_records_in_order_whatever_the_batches(spark, tmp_path):
+    """One key's records in many Arrow batches, out of order, with ties of time; and records of other kinds move the watermark."""
+    from tidemark.streaming import events, machines
+
+    rows = [(1, 10, 7, "open"), (1, 10, 8, "open"), (1, 10, 6, "close"), (1, 14, 9, "open"), (1, 14, 10, "close"), (1, 20, 11, "open"), (1, 45, 12, "open"), (1, 44, 13, "other"), (2, 5, 14, "open"), (3, 99, 15, "other")]
+    rows = [*rows[::-1], *((4, 2 * i, 100 + i, "open" if i % 3 else "close") for i in range(40, 0, -1))]
+    frame = spark.createDataFrame(rows, "key long, s long, id long, kind string").selectExpr("key", "timestamp_seconds(s) as at", "id", "kind")
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "3")
+    try:
+        stream = lambda: machines.files(spark, str(tmp_path / "in")).withWatermark("at", "0 seconds")
+        counted = machines.drained(machines.event_machine(stream(), "open", "close", 10_000_000), spark, "order").collect()
+        kept = events.run_to_end(events.event_states(stream(), "open", "close", 10_000_000), spark, str(tmp_path / "out"), str(tmp_path / "marks")).collect()
+    finally:
+        spark.conf.set(batch, before)
+    want = [(1, 7, 14, "close", [8, 9]), (1, 11, 30, "timer", []), (1, 12, 55, "timer", []), (2, 14, 15, "timer", [])]
+    want += [*((4, 100 + i, 2 * i + 4, "close", [101 + i]) for i in range(1, 40, 3)), (4, 140, 90, "timer", [])]
+    assert sorted((r.key, r.opened_id, int(r.closed_at.timestamp()), r.closed_by, r.related) for r in counted) == [(*w[:4], len(w[4])) for w in want]
+    assert sorted((r.key, r.opened_id, int(r.closed_at.timestamp()), r.closed_by, r.attached) for r in kept) == want
