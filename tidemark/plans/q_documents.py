@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import requests as R
 from ..functions import text as T
 from ..functions import values as V
+from ..functions.sizes import spread
 from ..operators import documents as D
 from ..operators import edits as E
 from ..operators import holdings as H
@@ -113,7 +114,7 @@ SELECT p_partkey, 3 AS clauses, 'annual' || CASE WHEN n % 3 = 0 THEN '[risk_fact
 def requests_in_words(t):
     n = F.col("p_size")
     text = F.concat(F.lit("10-K of FY"), (n + 1990).cast("string"), F.when(n % 3 == 0, " (risk factors; notes)").otherwise(""), F.lit("; 8-K items 2.02 and "), (n % 9 + 1).cast("string"), F.lit(".01 on results"), F.when(n % 2 == 0, ". Press releases of Delta's board").otherwise(". Transcripts of the call"))
-    c = t.part.select("p_partkey", F.posexplode(R.clauses(text)).alias("i", "c")).withColumn("r", R.requests("c", F.lit(False), F.array(F.lit("Acme"))))
+    c = spread(t.part.select("p_partkey", "p_size"), "p_partkey").select("p_partkey", F.posexplode(R.clauses(text)).alias("i", "c")).withColumn("r", R.requests("c", F.lit(False), F.array(F.lit("Acme"))))
     show = lambda q: F.concat(q["kind"], F.lit("["), F.array_join(F.concat(q["items"], q["sections"]), ","), F.lit("]"))
     each = c.select("p_partkey", "i", F.transform("r.requests", show).alias("asked"), "r.notes")
     listed = each.groupBy("p_partkey").agg(F.count("*").cast("int").alias("clauses"), F.array_sort(F.collect_list(F.struct("i", "asked", "notes"))).alias("l"))
