@@ -22,3 +22,13 @@ def test_requests_are_dealt_over_all_cores_and_look_at_a_clause_once(spark):
     assert "REPARTITION_BY_NUM" in plan(catalog.QUERIES["requests_in_words"](spark, DATA))
     row = spark.range(1).select(requests(F.col("id").cast("string"), F.lit(False), F.array(F.lit("Acme"))).alias("r"))
     assert row._jdf.queryExecution().analyzed().toString().lower().count("regexp_replace") < 40
+
+
+def named(column, word: str, spark) -> int:
+    return spark.range(1).select(column(F.col("id").cast("string")).alias("x"))._jdf.queryExecution().analyzed().toString().lower().count(word)
+
+
+def test_texts_are_folded_once_to_be_cut(spark):
+    from tidemark.operators.packing import cut_long
+
+    assert named(lambda x: cut_long(x, 300, lambda line: line.rlike("^A")), "aggregate(", spark) <= 2

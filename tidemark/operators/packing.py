@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.binding import once
+
 
 def _listed(df: DataFrame, by: list[str], order: list[str], fields: list[str]) -> DataFrame:
     row = F.struct(*(F.col(o).alias(f"o{i}") for i, o in enumerate(order)), *fields)
@@ -132,7 +134,7 @@ def cut_long(text: Column | str, limit: int, breaks: Callable[[Column], Column])
     wide = limit - 1
     lines = F.split(F.col(text) if isinstance(text, str) else text, "\n")
     whole = lambda x: F.struct(x.alias("x"), (F.length(x) + 1).alias("n"), breaks(x).alias("b"))
-    part = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.length(x) - 1) / wide).cast("int")), lambda k: F.struct(F.substr(x, k * wide + 1, F.lit(wide)).alias("x"), (F.length(F.substr(x, k * wide + 1, F.lit(wide))) + 1).alias("n"), ((k == 0) & breaks(x)).alias("b")))
+    part = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.length(x) - 1) / wide).cast("int")), lambda k: once(F.substr(x, k * wide + 1, F.lit(wide)), lambda y: F.struct(y.alias("x"), (F.length(y) + 1).alias("n"), ((k == 0) & breaks(x)).alias("b"))))
     rows = F.flatten(F.transform(lines, lambda x: F.when(F.length(x) <= wide, F.array(whole(x))).otherwise(part(x))))
     ends = "array<struct<at:int,size:int>>"
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("from"), F.lit(0).alias("size"), F.lit(-1).alias("mark"), F.lit(0).alias("before"), F.array().cast(ends).alias("done"))
@@ -155,7 +157,10 @@ def cut_long(text: Column | str, limit: int, breaks: Callable[[Column], Column])
 
     def pieces(bound: Column) -> Column:
         last = F.aggregate(bound, start, step)
-        cuts = F.filter(closed(last["done"], last["at"], last["size"]), lambda c: c["size"] > 0)
+        ended = once(last, lambda s: F.filter(closed(s["done"], s["at"], s["size"]), lambda c: c["size"] > 0))
+        return once(ended, lambda cuts: written(bound, cuts))
+
+    def written(bound: Column, cuts: Column) -> Column:
         return F.transform(cuts, lambda c, k: F.struct(F.array_join(F.transform(F.slice(bound, F.when(k == 0, 1).otherwise(F.get(cuts, k - 1)["at"] + 1), c["at"] - F.when(k == 0, 0).otherwise(F.get(cuts, k - 1)["at"])), lambda r: r["x"]), "\n").alias("piece"), c["size"].alias("size")))
 
-    return F.get(F.transform(F.array(rows), pieces), F.lit(0))
+    return once(rows, pieces)
