@@ -32,3 +32,11 @@ def test_texts_are_folded_once_to_be_cut(spark):
     from tidemark.operators.packing import cut_long
 
     assert named(lambda x: cut_long(x, 300, lambda line: line.rlike("^A")), "aggregate(", spark) <= 2
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_forms_are_written_after_their_lines_are_gathered(spark):
+    from tidemark.plans import catalog
+
+    gathered = [line for line in plan(catalog.QUERIES["insiders_of_forms"](spark, DATA)).split("\n") if "partial_collect_list" in line]
+    assert gathered and not any("nonDerivativeTransaction" in line for line in gathered)
