@@ -47,3 +47,9 @@ def test_documents_of_events_meet_once_for_releases(spark):
     from tidemark.plans import catalog
 
     assert plan(catalog.QUERIES["documents_of_events"](spark, DATA)).count("FileScan parquet") == 4  # events and documents, for releases and for closings
+
+
+def test_words_are_bared_once(spark):
+    from tidemark.functions.mentions import mentions
+
+    assert named(mentions, "regexp_replace", spark) <= 4

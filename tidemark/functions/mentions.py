@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import once
 from .text import MONTHS, REFERENCES, UNITS, _col
 
 CONNECTORS = ["and", "or", "to", "through", "&", "-", "–"]
@@ -25,7 +26,9 @@ def mentions(text: Column | str, references: list[str] = REFERENCES, months: lis
 
     def token(w: Column) -> Column:
         core = F.regexp_replace(F.regexp_replace(w, OPENING, ""), CLOSING, "")
-        low = F.lower(core)
+        return once(core, lambda core: once(F.lower(core), lambda low: told(w, core, low)))
+
+    def told(w: Column, core: Column, low: Column) -> Column:
         return F.struct(core.alias("core"), F.when(core.rlike(NUMBER), F.when(w.rlike(r"^[(\[][0-9]{1,2}[)\]]"), "note").otherwise("number")).when(low.isin(*months), "month").when(low.isin(*references), "reference").when(low.isin(*CONNECTORS) | (core == ""), "connector").when(low.isin(*named), "unit").otherwise("word").alias("is"), low.alias("low"))
 
     start = F.struct(F.lit("").alias("run"), F.lit(False).alias("fresh"), F.array().cast(FOUND).alias("out"))
