@@ -53,3 +53,11 @@ def test_words_are_bared_once(spark):
     from tidemark.functions.mentions import mentions
 
     assert named(mentions, "regexp_replace", spark) <= 4
+
+
+def test_a_figure_is_in_two_bins_at_most(spark):
+    from tidemark.operators.checks import _bin, _bins
+
+    cells = spark.range(-40, 40).select(F.col("id").cast("double").alias("c"))
+    rows = cells.select("c", _bins(F.col("c")).alias("b"), *(_bin(F.col("c") + k).alias(f"n{k + 2}") for k in range(-2, 3))).collect()
+    assert all(len(r.b) <= 2 and {r[f"n{k}"] for k in range(5)} == set(r.b) for r in rows)

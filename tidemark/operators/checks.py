@@ -12,6 +12,7 @@ from ..functions.pairs import pair_of
 from ..functions.text import same_number
 
 POOL, RECENT = 80, 40
+BIN = 8  # units of a figure's last digit that a bin is wide
 
 
 def close(a: Column, b: Column, decimals: Column) -> Column:
@@ -44,6 +45,15 @@ def recompute(df: DataFrame, value: str, decimals: str, pool: str, most: int = P
     return pair_of(v.cast("double"), d.cast("int"), near, F.transform(near, lambda x: F.array_contains(own.cast("array<double>"), x)))
 
 
+def _bin(cell: Column) -> Column:
+    return F.floor(cell / BIN)
+
+
+def _bins(cell: Column) -> Column:
+    """The bins in which numbers up to two cells away stand: one, or two at the edge of one."""
+    return F.sequence(_bin(cell - 2), _bin(cell + 2))
+
+
 def singled_out(figures: DataFrame, numbers: DataFrame, by: list[str], key: str, value: str, decimals: str, number: str, label: str | None = None, window: str | None = None) -> DataFrame:
     """key, found, slips of every figure: whether its source (by) has its number, and whether it has the number one unit
     of the last digit up or down, so that a match proves little. With label (stems of the figure's own name) and window
@@ -51,12 +61,12 @@ def singled_out(figures: DataFrame, numbers: DataFrame, by: list[str], key: str,
     figure without a label is never found. Numbers meet figures in bins of the figure's own width."""
     unit = F.pow(F.lit(10.0), -F.col(decimals))
     cell = F.floor(F.abs(F.col(value)) / unit + 0.5)
-    fig = figures.withColumn("__cell", cell).withColumn("__bin", F.explode(F.sequence(F.col("__cell") - 2, F.col("__cell") + 2)))
+    fig = figures.withColumn("__cell", cell).withColumn("__bin", F.explode(_bins(F.col("__cell"))))
     places = range(16)  # digits a double can have behind its point: a constant, so no table of widths is sent about
     around = [F.col(window).alias("__around")] if window else []
     src = numbers.select(*by, F.abs(F.col(number)).alias("__n"), *around).distinct()
     wide = figures.agg(F.collect_set(F.when(F.col(decimals).between(0, places[-1]), F.col(decimals).cast("int"))).alias("w")).first()["w"]  # at most 16 numbers
-    src = src.withColumn("__d", F.explode(F.array(*(F.lit(d) for d in sorted(wide))).cast("array<int>"))).withColumn("__bin", F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__d")) + 0.5))
+    src = src.withColumn("__d", F.explode(F.array(*(F.lit(d) for d in sorted(wide))).cast("array<int>"))).withColumn("__bin", _bin(F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__d")) + 0.5)))
     met = fig.withColumn("__d", F.col(decimals).cast("int")).join(src, [*by, "__bin", "__d"])
     beside = F.coalesce(F.arrays_overlap(F.col(label), "__around"), F.lit(False)) if label and window else F.lit(True)
     at = lambda shift: beside & (F.abs(F.abs(F.col(value)) + shift * unit - F.col("__n")) <= 0.5 * unit + 1e-9)
