@@ -61,3 +61,17 @@ def test_a_figure_is_in_two_bins_at_most(spark):
     cells = spark.range(-40, 40).select(F.col("id").cast("double").alias("c"))
     rows = cells.select("c", _bins(F.col("c")).alias("b"), *(_bin(F.col("c") + k).alias(f"n{k + 2}") for k in range(-2, 3))).collect()
     assert all(len(r.b) <= 2 and {r[f"n{k}"] for k in range(5)} == set(r.b) for r in rows)
+
+
+@pytest.mark.parametrize("light", [0, 3, 1 << 30])
+def test_tiers_are_the_same_whatever_the_size_of_sources(spark, monkeypatch, light):
+    from tidemark.operators import checks
+
+    monkeypatch.setattr(checks, "LIGHT", light)
+    tiers = [("own", "part", False), ("far", "rate", True)]
+    figures = [("a", 12.0, 0, "p"), ("b", 1.5, 1, "p"), ("c", 7.0, 0, "q"), ("d", 400.0, 0, "q"), ("e", 33.0, 0, "none"), ("f", 5.0, 99, "p")]
+    frame = spark.createDataFrame([(k, v, d, [("part", r), ("rate", "all")], ["x"]) for k, v, d, r in figures], "k string, v double, d int, cites array<struct<kind:string,ref:string>>, label array<string>")
+    numbers = [("part", "p", 12.2, []), ("part", "p", 12.2, []), ("part", "p", 1499.0, []), ("part", "q", 0.0071, []), ("rate", "all", 400.1, ["x"]), ("rate", "all", 33.0, ["x"]), ("rate", "all", 34.0, ["x"]), ("rate", "all", 8.0, ["y"])]
+    got = checks.checked(frame, spark.createDataFrame(numbers, "kind string, ref string, number double, around array<string>").selectExpr("*", "string(null) as unit"), "k", "v", "d", "cites", tiers, label="label")
+    want = [("a", "own", 12.2, 0), ("b", "own", 1499.0, 3), ("c", "own", 0.0071, -3), ("d", "far", 400.1, 0), ("e", "weak", None, None), ("f", "unverified", None, None)]
+    assert sorted(tuple(r) for r in got.select("k", "class", "number", "scale").collect()) == want

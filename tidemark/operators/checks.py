@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.pairs import pair_of
+from ..functions.sizes import small
 from ..functions.text import same_number
 
 POOL, RECENT = 80, 40
 BIN = 8  # units of a figure's last digit that a bin is wide
+LIGHT = 256  # numbers of a source that its figures are compared with one by one
 
 
 def close(a: Column, b: Column, decimals: Column) -> Column:
@@ -122,8 +124,8 @@ def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decima
     After the tiers come `recomputed` (from two numbers of pool) and `formula` (written holds the status of the formula that ends in
     the figure), then `weak`, then `no fact` (single digits), else `unverified`.
 
-    All tiers are one join: figures meet numbers of all their sources in bins as wide as the last digit, once for each power of
-    ten, and flags of every tier are aggregated by figure, so a figure with many matches is reduced before it is shuffled. What is
+    All tiers are one join: figures meet the numbers of sources of at most LIGHT numbers as they are, by the source, and those of larger
+    ones in bins of a few units of the last digit, once for each power of ten. Flags of every tier are aggregated by figure, so a figure with many matches is reduced before it is shuffled. What is
     recomputed is only what no tier explains.
     """
     v, d = F.abs(F.col(value).cast("double")), F.col(decimals).cast("int")
@@ -131,13 +133,16 @@ def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decima
     none = F.array().cast("array<string>")
     fig = figures.select(key, v.alias("__v"), d.alias("__d"), F.col(cites).alias("__cites"), (F.col(label) if label else none).alias("__label"), (F.col(unit) if unit else F.lit(None).cast("string")).alias("__unit"))
     asked = fig.select("*", F.explode("__cites").alias("__c")).select(key, "__v", "__d", "__label", "__unit", F.col("__c.kind").alias("kind"), F.col("__c.ref").alias("ref"))
-    asked = asked.withColumn("__s", F.explode(F.array(*map(F.lit, scales)))).withColumn("__e", F.col("__d") - F.col("__s"))
-    asked = asked.withColumn("__x", F.col("__v") * F.pow(F.lit(10.0), F.col("__s").cast("double"))).withColumn("__cell", F.floor(F.col("__v") * F.pow(F.lit(10.0), F.col("__d").cast("double")) + 0.5))
-    asked = asked.where("__cell < 9e15").withColumn("__bin", F.explode(F.sequence(F.col("__cell") - 2, F.col("__cell") + 2)))
+    asked = asked.where("__d between 0 and 15")
+    src = numbers.select("kind", "ref", F.abs(F.col("number").cast("double")).alias("__n"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("__n is not null")
+    crowded = small(src.groupBy("kind", "ref").count().where(F.col("count") > LIGHT).select("kind", "ref"))
+    scaled = lambda df: df.withColumn("__s", F.explode(F.array(*map(F.lit, scales)))).withColumn("__e", F.col("__d") - F.col("__s")).withColumn("__x", F.col("__v") * F.pow(F.lit(10.0), F.col("__s").cast("double"))).withColumn("__cell", F.floor(F.col("__v") * F.pow(F.lit(10.0), F.col("__d").cast("double")) + 0.5)).where("__cell < 9e15")
+    few = scaled(asked.join(crowded, ["kind", "ref"], "left_anti").join(src, ["kind", "ref"])).where("__n * pow(10D, __e) < 9e15")
     powers = [r["e"] for r in figures.select(d.alias("d")).distinct().where("d between 0 and 15").select(F.explode(F.array(*(F.col("d") - s for s in scales))).alias("e")).distinct().collect()]  # 16 numbers of decimals by six scales at most
-    src = numbers.select("kind", "ref", F.abs(F.col("number").cast("double")).alias("__n"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("__n is not null").distinct()
-    src = src.withColumn("__e", F.explode(F.array(*map(F.lit, sorted(powers))).cast("array<int>"))).withColumn("__bin", F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__e").cast("double")) + 0.5))
-    met = asked.join(src.where("__n * pow(10D, __e) < 9e15"), ["kind", "ref", "__e", "__bin"])
+    many = src.join(crowded, ["kind", "ref"], "left_semi").distinct()
+    many = many.withColumn("__e", F.explode(F.array(*map(F.lit, sorted(powers))).cast("array<int>"))).withColumn("__bin", _bin(F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__e").cast("double")) + 0.5)))
+    binned = scaled(asked.join(crowded, ["kind", "ref"], "left_semi")).withColumn("__bin", F.explode(_bins(F.col("__cell"))))
+    met = few.unionByName(binned.join(many.where("__n * pow(10D, __e) < 9e15"), ["kind", "ref", "__e", "__bin"]).drop("__bin"))
     off = lambda shift: F.abs(F.col("__x") + shift * F.pow(F.lit(10.0), -F.col("__e").cast("double")) - F.col("__n")) <= half(F.col("__e").cast("double"))
     clash = F.coalesce(F.col("__unit") != F.col("__nu"), F.lit(False))
     beside = F.arrays_overlap("__label", "__around")
