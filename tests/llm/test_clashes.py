@@ -30,3 +30,16 @@ def test_archives(spark, tmp_path, n):
     warc.write_archives(df, path)
     got = sorted((r.page_id, r.record_type, r.refers_to) for r in warc.read_records(spark, path).collect()) if n else []
     assert got == ([(0, "response", None), (1, "revisit", 0), (2, "revisit", 0), (9, "response", None)] if n else [])
+
+
+def test_a_carried_text_stands_once_in_the_batches_that_are_scored(spark):
+    from tidemark.llm import toxicity
+
+    rows = [(i, f"word{i % 3} bad idea" if i % 2 else f"word{i % 3} good idea", "en") for i in range(60)] + [(90, None, None), (91, "", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    index = toxicity.learn(df, spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int"))
+    carried = toxicity.score(df, index, carry=["doc_id", "text", "lang"])
+    assert carried._jdf.queryExecution().analyzed().toString().count(" AS text#") == 1  # the result, no second copy before it
+    got, want = carried.orderBy("doc_id").collect(), toxicity.score(df, index).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r.lang) for r in got] == rows
+    assert [(r.score, r.predicted, r.neighbours) for r in got] == [(r.score, r.predicted, r.neighbours) for r in want]

@@ -375,14 +375,18 @@ def score(docs: DataFrame, index: Index, text_col: str = "text", carry: list[str
     """Carried columns, score, predicted and neighbours (ids of the nearest examples) of every row of docs."""
     carry = ["doc_id"] if carry is None else carry
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    chosen = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)), F.col(f"`{text_col}`").cast("string").alias("text"))
-    kind = T.StructType([*chosen.schema.fields[:-1], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(T.LongType()))])
+    carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)]
+    # A text that is carried anyway stands once in the batches.
+    again = text_col in carry and docs.schema[text_col].dataType == T.StringType()
+    chosen = docs.select(*carried, *([] if again else [F.col(f"`{text_col}`").cast("string").alias("text")]))
+    at = carry.index(text_col) if again else len(carry)
+    kind = T.StructType([*chosen.schema.fields[: len(carry)], T.StructField("score", T.DoubleType()), T.StructField("neighbours", T.ArrayType(T.LongType()))])
     schema = to_arrow_schema(kind)
 
     def run(batches):
-        for batch, texts in _pieces(batches, len(kind.fields) - 2):
+        for batch, texts in _pieces(batches, at):
             scores, evidence = shared.value.score(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores), pa.array(evidence, pa.list_(pa.int64()))], schema=schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(carry)], pa.array(scores), pa.array(evidence, pa.list_(pa.int64()))], schema=schema)
 
     out = chosen.mapInArrow(run, kind)
     return out.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(carry)), "score", F.expr("if(score >= 0.5, 1, 0)").alias("predicted"), "neighbours")
