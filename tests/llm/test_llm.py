@@ -126,6 +126,31 @@ def test_every_removed_byte_comes_from_a_suffix_array(monkeypatch):
     assert not suffixes._sort_texts(50)(table).num_rows
 
 
+@pytest.mark.parametrize("crowd", [0, suffixes.CROWD, 1 << 40])
+def test_of_a_passage_in_many_surroundings_less_is_sorted(monkeypatch, crowd):
+    """The holders are those of a search of all strings, and of a crowded key only what is found twice is sorted."""
+    rng = random.Random(6)
+    passage = b"a line that very many documents have, each among words of its own; "
+    around = lambda: bytes(97 + rng.randrange(26) for _ in range(rng.randint(0, 40)))
+    texts = [t for t in (around() + passage[: rng.choice((30, 52, len(passage)))] + around() for _ in range(400)) if len(t) >= 50] + [b"en " * 40, b"n en " * 30]
+    size, ids = np.array([len(t) for t in texts]), np.array(rng.sample(range(9999), len(texts)))
+    copied = np.array([rng.random() < 0.1 for _ in texts])
+    least = {}
+    for t, d in zip(texts, ids.tolist()):
+        for i in range(len(t) - 49):
+            least[t[i : i + 50]] = min(least.get(t[i : i + 50], d), d)
+    want = [least[t[i : i + 50]] for t in texts for i in range(len(t) - 49)]
+    own, twice = np.repeat(ids, size - 49), np.repeat(copied, size - 49)
+    sorted_bytes = []
+    for name in ("suffix_array", "suffix_arrays"):
+        monkeypatch.setattr(suffixes, name, lambda text, *more, run=getattr(gsaca, name): sorted_bytes.append(len(text)) or run(text, *more))
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    got = suffixes.holders(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(size) - size, size, np.full(len(texts), 7, np.uint64), ids, copied, 50)
+    asked = twice | (np.array(want) < own)  # what is removed anywhere; all else may be left out
+    assert got[asked].tolist() == np.array(want)[asked].tolist() and (got[~asked] >= own[~asked]).all()
+    assert crowd == 1 << 40 or sum(sorted_bytes) < size.sum() * 2 / 3
+
+
 def test_suffix_array():
     rng = random.Random(3)
     for n in range(300):

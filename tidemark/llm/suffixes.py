@@ -32,6 +32,8 @@ from .gsaca import suffix_array, suffix_arrays
 
 GRAM = 20
 HOT = 4096  # segments that hold a key whose strings are dealt one by one
+CROWD = 256  # bytes of a key's texts above which its strings are told apart by a second key
+SECOND = np.uint64(0x8EBC6AF09C88C6E3)
 SIDE, ALIKE = 24, 1.5  # so many texts of sizes within that factor are sorted side by side
 BATCH = 1 << 17  # bytes sorted side by side
 STEP = 1 << 17
@@ -49,37 +51,44 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
+def runs_of(buf: np.ndarray, bounds: np.ndarray, width: int, salt: np.uint64 | None = None, chosen: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """The runs of texts buf[bounds[d]:bounds[d + 1]]: start, number of strings, key, text hash, text. Found a few texts at a time.
+    salt: another order of the grams, and so other keys. chosen: where strings begin that runs may hold."""
+    parts, d = [], 0
+    while d < len(bounds) - 1:
+        e = max(d + 1, int(np.searchsorted(bounds, bounds[d] + STEP, "right")) - 1)
+        parts.append(_runs(buf[bounds[d] : bounds[e]], bounds[d : e + 1] - bounds[d], width, salt, None if chosen is None else chosen[bounds[d] : bounds[e]], bounds[d], d))
+        d = e
+    empty = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int32)]
+    return tuple(np.concatenate(x) for x in zip(empty, *parts))
+
+
+def _runs(buf: np.ndarray, bounds: np.ndarray, width: int, salt: np.uint64 | None, chosen: np.ndarray | None, base: np.int64, d: int) -> tuple[np.ndarray, ...]:
+    doc = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
+    roll = Rolling(BYTE[buf])
+    grams = roll.windows(GRAM)
+    low = _sliding_min(grams if salt is None else mix(grams ^ salt), width - GRAM + 1)
+    n = len(low)
+    ok = bounds[doc[:n] + 1] - np.arange(n) >= width
+    if chosen is not None:
+        ok &= chosen[:n]
+    begin, end = ok.copy(), ok.copy()
+    same = (low[1:] == low[:-1]) & ok[1:] & ok[:-1]
+    begin[1:] &= ~same
+    end[:-1] &= ~same
+    start = np.flatnonzero(begin)
+    count = np.flatnonzero(end) + 1 - start
+    return start + base, count, low[start], roll.spans(start, start + count + width - 1), doc[start] + np.int32(d)
+
+
 class Runs:
-    """The runs of a segment: key, start, number of strings, text hash, document. Found a few documents at a time."""
+    """The runs of a segment: key, start, number of strings, text hash, document."""
 
     def __init__(self, seg: S.Segment, width: int):
         self.seg, self.width = seg, width
-        parts, d = [], 0
-        while d < len(seg.keys):
-            e = max(d + 1, int(np.searchsorted(seg.bounds, seg.bounds[d] + STEP, "right")) - 1)
-            parts.append(self._part(d, e))
-            d = e
-        empty = [np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int32)]
-        self.start, self.count, self.key, self.text, self.doc = (np.concatenate(x) for x in zip(empty, *parts))
+        self.start, self.count, self.key, self.text, self.doc = runs_of(seg.buf, seg.bounds, width)
         self.id = seg.keys[self.doc]
 
-    def _part(self, d: int, e: int) -> tuple[np.ndarray, ...]:
-        """The runs of documents d to e."""
-        bounds = self.seg.bounds[d : e + 1] - self.seg.bounds[d]
-        buf = self.seg.buf[self.seg.bounds[d] : self.seg.bounds[e]]
-        doc = np.repeat(np.arange(e - d, dtype=np.int32), np.diff(bounds))
-        roll = Rolling(BYTE[buf])
-        low = _sliding_min(roll.windows(GRAM), self.width - GRAM + 1)
-        n = len(low)
-        ok = bounds[doc[:n] + 1] - np.arange(n) >= self.width
-        begin, end = ok.copy(), ok.copy()
-        same = (low[1:] == low[:-1]) & ok[1:] & ok[:-1]
-        begin[1:] &= ~same
-        end[:-1] &= ~same
-        start = np.flatnonzero(begin)
-        count = np.flatnonzero(end) + 1 - start
-        return start + self.seg.bounds[d], count, low[start], roll.spans(start, start + count + self.width - 1), doc[start] + np.int32(d)
-
     def pairs(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of some runs: one of each text with the smallest id, and one with a later id of those texts that have one; for
         each of both, where its text's first run begins."""
@@ -236,11 +245,13 @@ def _sort_texts(width: int):
         new |= apart
         first = np.where(apart, np.arange(len(by)), first)
         reps = np.flatnonzero(new)  # each text stands once in the arrays, with its smallest id
-        least = first_holders(body, start[by[reps]], z[reps], k[reps], who[reps], width)
+        of = np.searchsorted(reps, first)
+        copied = np.zeros(len(reps), bool)
+        copied[of[who > who[first]]] = True
+        least = holders(body, start[by[reps]], z[reps], k[reps], who[reps], copied, width)
         # Every row asks by the strings of its text.
         count = z - width + 1
         edge = np.cumsum(count[reps]) - count[reps]
-        of = np.searchsorted(reps, first)
         row = np.repeat(np.arange(len(by)), count)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
         gone = least[edge[of[row]] + nth] < who[row]
@@ -253,6 +264,50 @@ def _sort_texts(width: int):
     return run
 
 
+def holders(body: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, ids: np.ndarray, copied: np.ndarray, width: int) -> np.ndarray:
+    """`first_holders`, for keys of any number of texts. copied: whether a later id has the text too.
+
+    The texts of a key above CROWD bytes are a passage in many surroundings: in one array they'd be sorted one suffix after the other, and
+    a key that the whole corpus has would be one task's. So only strings whose hash stands there twice are sorted, and these get a second
+    key, the least of their grams in another order: equal ones still meet, and a passage is one text whatever stands around it."""
+    head = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+    total = np.add.reduceat(size, head) if len(key) else head
+    crowded = np.repeat(total > CROWD, np.diff(np.append(head, len(key))))
+    if not crowded.any():
+        return first_holders(body, start, size, key, ids, width)
+    count = size - width + 1
+    edge = np.cumsum(count) - count
+    out = np.full(int(count.sum()), S.LAST)
+    few, many = np.flatnonzero(~crowded), np.flatnonzero(crowded)
+    out[_each(edge[few], count[few])] = first_holders(body, start[few], size[few], key[few], ids[few], width)
+    joined = body[_each(start[many], size[many])]
+    bounds = np.concatenate([[0], np.cumsum(size[many])])
+    at = _each(bounds[:-1], count[many])
+    h = Rolling(BYTE[joined]).windows(width)[at]
+    order = np.argsort(h)
+    same = np.append(h[order[1:]] == h[order[:-1]], False)
+    same[1:] |= same[:-1]
+    chosen = np.zeros(len(joined), bool)
+    chosen[at[order[same]]] = True
+    chosen[at] |= np.repeat(copied[many], count[many])
+    at, n, second, text, of = runs_of(joined, bounds, width, SECOND, chosen)
+    by, first = classes(joined, at, n + width - 1, text, ids[many][of])
+    at, n, of, pair = at[by], n[by], of[by], mix(second[by] ^ mix(key[many][of[by]]))
+    reps = np.flatnonzero(first == np.arange(len(first)))
+    order = np.argsort(pair[reps], kind="stable")
+    rows = reps[order]
+    least = first_holders(joined, at[rows], n[rows] + width - 1, pair[rows], ids[many][of[rows]], width)
+    begin = np.zeros(len(reps), np.int64)
+    begin[order] = np.cumsum(n[rows]) - n[rows]
+    out[_each(edge[many][of] + at - bounds[of], n)] = least[_each(begin[np.searchsorted(reps, first)], n)]
+    return out
+
+
+def _each(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, … for each, so many of them."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
 def first_holders(body: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
     """For each string of each text, one after the other, the least id of the texts of its key that hold it. Texts come by key."""
     count = size - width + 1
