@@ -75,3 +75,14 @@ def test_tiers_are_the_same_whatever_the_size_of_sources(spark, monkeypatch, lig
     got = checks.checked(frame, spark.createDataFrame(numbers, "kind string, ref string, number double, around array<string>").selectExpr("*", "string(null) as unit"), "k", "v", "d", "cites", tiers, label="label")
     want = [("a", "own", 12.2, 0), ("b", "own", 1499.0, 3), ("c", "own", 0.0071, -3), ("d", "far", 400.1, 0), ("e", "weak", None, None), ("f", "unverified", None, None)]
     assert sorted(tuple(r) for r in got.select("k", "class", "number", "scale").collect()) == want
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_a_slice_travels_once_with_its_documents(spark):
+    """Not once for each of its facts, and facts are dealt once for both groupings."""
+    from tidemark.plans import catalog
+
+    steps = plan(catalog.QUERIES["packed_by_documents"](spark, DATA)).split("\n")
+    assert any("Generate explode(__members" in x for x in steps) and any("FlatMapGroupsInArrow" in x for x in steps)
+    above = steps[: next(i for i, x in enumerate(steps) if "Join" in x)]
+    assert sum("Exchange hashpartitioning" in x for x in above) == 1

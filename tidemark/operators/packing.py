@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -82,37 +84,49 @@ def pack_by_documents(facts: DataFrame, by: list[str], order: str, docs: str, to
     within `soft`, else to a new one; a slice's documents beyond `hard` are marked cut.
 
     Best fit depends on all slices so far, which no expression can fold well, so each key's facts (one bundle) are packed
-    by a small function in applyInPandas. Result: key columns, order column, slice (from 1), full and cut documents.
+    by a small function in applyInArrow. A slice is weighed only if it has places left, and travels as one row with its facts, whose
+    documents aren't repeated for each of them. Result: key columns, order column, slice (from 1), full and cut documents.
     """
     exploded = facts.select(*by, order, F.explode_outer(F.array_distinct(docs)).alias(doc)).join(tokens.select(doc, size), doc, "left")
+    exploded = exploded.repartition(*by)  # for both groupings below
     sized = exploded.groupBy(*by, order).agg(F.map_from_entries(F.array_sort(F.collect_set(F.when(F.col(doc).isNotNull(), F.struct(F.col(doc).cast("string").alias("k"), F.coalesce(size, F.lit(0)).cast("double").alias("v")))))).alias("__docs"))
 
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        weights: dict[str, float] = {}
+    def pack(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, [(order, "ascending")]))
+        lists = rows.column("__docs").combine_chunks()
+        names, values, edge = lists.keys.to_pylist(), lists.items.to_pylist(), lists.offsets.to_pylist()
+        weights = dict(zip(names, values))
         groups: dict[frozenset, list] = {}
-        for at, cited in zip(rows[order], rows["__docs"]):
-            cited = dict(cited or {})
-            weights |= cited
-            groups.setdefault(frozenset(cited), []).append(at)
+        for at in range(rows.num_rows):
+            groups.setdefault(frozenset(names[edge[at] : edge[at + 1]]), []).append(at)
 
         def load(keys) -> float:
-            return sum(weights[k] for k in keys)
+            return sum(map(weights.__getitem__, keys))
 
         chunks = [(keys, part[i : i + most]) for keys, part in sorted(groups.items(), key=lambda g: (-load(g[0]), g[1][0])) for i in range(0, len(part), most)]
         bins: list[tuple[set, list]] = []
+        loads: list[float] = []
+        open_: list[int] = []  # slices with places left
         for keys, part in chunks:
             fitting = []
-            for n, (have, members) in enumerate(bins):
-                now, then = load(have), load(have | keys)
-                if len(members) + len(part) <= most and (then <= soft or then == now):
-                    fitting.append((then - now, n))
+            for n in open_:
+                if len(bins[n][1]) + len(part) <= most:
+                    now, then = loads[n], load(bins[n][0] | keys)
+                    if then <= soft or then == now:
+                        fitting.append((then - now, n))
             if fitting:
-                have, members = bins[min(fitting)[1]]
+                n = min(fitting)[1]
+                have, members = bins[n]
                 have |= keys
                 members += part
+                loads[n] = load(have)
             else:
+                n = len(bins)
                 bins.append((set(keys), list(part)))
+                loads.append(load(bins[n][0]))
+                open_.append(n)
+            if len(bins[n][1]) >= most:
+                open_.remove(n)
         out = []
         for n, (have, members) in enumerate(sorted(bins, key=lambda b: min(b[1])), 1):
             full, cut, used = [], [], 0.0
@@ -120,11 +134,18 @@ def pack_by_documents(facts: DataFrame, by: list[str], order: str, docs: str, to
                 fits = not full or used + weights[k] <= hard
                 (full if fits else cut).append(k)
                 used += weights[k] if fits else 0.0
-            out += [(*(rows[c].iloc[0] for c in by), at, n, full, cut) for at in members]
-        return pd.DataFrame(out, columns=[*by, order, "slice", "full", "cut"])
+            out.append((members, n, full, cut))
+        members, number, full, cut = zip(*out)
+        held = rows.column(order).combine_chunks().take(pa.array([at for m in members for at in m], pa.int64()))
+        ends = pa.array(np.concatenate([[0], np.cumsum([len(m) for m in members])]), pa.int32())
+        texts = pa.list_(pa.string())
+        first = pa.array([0] * len(out), pa.int64())
+        columns = [rows.column(c).take(first) for c in by] + [pa.ListArray.from_arrays(ends, held), pa.array(number, pa.int32()), pa.array(full, texts), pa.array(cut, texts)]
+        return pa.table(columns, [*by, "__members", "slice", "full", "cut"])
 
     kinds = dict(facts.dtypes)
-    return sized.groupBy(*by).applyInPandas(pack, ", ".join([*(f"`{c}` {kinds[c]}" for c in [*by, order]), "slice int", "full array<string>", "cut array<string>"]))
+    packed = sized.groupBy(*by).applyInArrow(pack, ", ".join([*(f"`{c}` {kinds[c]}" for c in by), f"__members array<{kinds[order]}>", "slice int", "full array<string>", "cut array<string>"]))
+    return packed.select(*by, F.explode("__members").alias(order), "slice", "full", "cut")
 
 
 def cut_long(text: Column | str, limit: int, breaks: Callable[[Column], Column]) -> Column:
