@@ -113,3 +113,19 @@ def test_what_numbers_are(spark):
         ("$1,250", "value", "million"), ("1", "note", None), ("9", "value", None), ("4", "day", None), ("2024", "year", None), ("8", "reference", None),
     ]
     assert spark.createDataFrame([("",), (None,)], "t string").select(mentions("t").alias("m")).collect() == [([],), (None,)]
+
+
+@pytest.mark.parametrize("few", [0, 3, 6, pairs.FEW])
+def test_pairs_are_the_same_by_lookup_and_one_by_one(monkeypatch, few):
+    """Rows of many and of few numbers in one batch; those of few need no lookups."""
+    rng = np.random.default_rng(2)
+    lens = rng.integers(0, 12, 200)
+    bounds = np.concatenate([[0], np.cumsum(lens)])
+    numbers, local = np.round(rng.uniform(1, 60, bounds[-1]), 1), rng.random(bounds[-1]) < 0.5
+    rows = np.round(rng.uniform(10, 90, 200), 1), rng.integers(0, 2, 200), numbers, local, bounds
+    want = [x.tolist() for x in pairs.first_pairs(*rows)]
+    looked_up = []
+    monkeypatch.setattr(pairs, "_place", lambda values, *more, run=pairs._place: looked_up.append(len(more[0])) or run(values, *more))
+    monkeypatch.setattr(pairs, "FEW", few)
+    assert [x.tolist() for x in pairs.first_pairs(*rows)] == want and sum(x >= 0 for x in want[0]) > 40
+    assert set(looked_up) == ({int(lens[lens > few].sum())} if few < 12 else set())

@@ -1,6 +1,7 @@
 """The pair of numbers that a figure comes from, by lookup: for each number and operation the other one must lie in a known
 interval, which is looked up among the row's sorted numbers. Work is that of a sort, not of all pairs; what is looked up
-is checked by the operation itself. Rows of an Arrow batch are searched together, by arrays."""
+is checked by the operation itself. Of at most FEW numbers all pairs are less work than the lookups. Rows of an Arrow batch are
+searched together, by arrays."""
 
 from __future__ import annotations
 
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 
 OPERATIONS = ["+", "-", "*", "/", "/ %", "growth %", "* %"]
 FOUND = T.StructType([T.StructField("op", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in "ab"), *(T.StructField(c, T.IntegerType()) for c in "ij")])
-CHUNK = 1 << 16  # numbers that are looked up at a time
+CHUNK = 1 << 14  # numbers that are searched at a time
+FEW = 24
 
 
 def results(a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
@@ -61,31 +63,38 @@ def first_pairs(value: np.ndarray, decimals: np.ndarray, numbers: np.ndarray, lo
     row = np.repeat(np.arange(rows), np.diff(bounds))
     if not len(row):
         return op, first, second
-    order = np.lexsort([numbers, row])
-    ranked = numbers[order]
+    lens = np.diff(bounds)
+    few = np.flatnonzero((lens <= FEW)[row])
+    own_few = lens[row[few]]
+    pairs = [(np.repeat(few, own_few), np.repeat(bounds[row[few]] - np.cumsum(own_few) + own_few, own_few) + np.arange(own_few.sum()))]
+    many = np.flatnonzero((lens > FEW)[row])
     unit = np.power(10.0, -decimals.astype(np.float64))
     half = (0.5 * unit + 1e-9)[row]
     target = np.abs(value)[row]
-    pairs = []
     with np.errstate(all="ignore"):
-        for lo, hi in intervals(numbers, target - half, target + half):
+        order = many[np.lexsort([numbers[many], row[many]])]
+        ranked, place = numbers[order], np.cumsum((lens > FEW)[row])
+        from_ = place[bounds[row[many]]] - 1
+        for lo, hi in intervals(numbers[many], (target - half)[many], (target + half)[many]) if len(many) else ():
             lo, hi = np.minimum(lo, hi), np.maximum(lo, hi)
             near = lambda x: 1e-9 * (np.abs(np.where(np.isfinite(x), x, 0)) + 1)  # noqa: E731  what rounding of the bounds may cost
-            k0, k1 = (_place(ranked, bounds[row], bounds[row + 1], x, after) for x, after in ((lo - near(lo), False), (hi + near(hi), True)))
+            k0, k1 = (_place(ranked, from_, from_ + lens[row[many]], x, after) for x, after in ((lo - near(lo), False), (hi + near(hi), True)))
             n = np.maximum(np.where(np.isnan(lo) | np.isnan(hi), 0, k1 - k0), 0)
-            who = np.repeat(np.arange(len(row)), n)
+            who = np.repeat(many, n)
             pairs.append((who, order[np.repeat(k0 - np.cumsum(n) + n, n) + np.arange(n.sum())]))
         a, b = (np.concatenate(x) for x in zip(*pairs))
         own = (a != b) & (local[a] | local[b])
         a, b = a[own], b[own]
-        by = np.lexsort([b, a])
-        a, b = a[by], b[by]
+        if len(many):  # all pairs come in order
+            by = np.lexsort([b, a])
+            a, b = a[by], b[by]
         x, y, r = numbers[a], numbers[b], row[a]
-        small = np.minimum(np.abs(x), np.abs(y)) < 10 * unit[r]
-        which = np.full(len(a), len(OPERATIONS))
+        large = np.minimum(np.abs(x), np.abs(y)) >= 10 * unit[r]
+        wanted, within = target[a], half[a]
+        which = np.full(len(a), len(OPERATIONS), np.int8)
         for k, result in reversed(list(enumerate(results(x, y)))):
-            good = np.abs(target[a] - np.abs(result)) <= half[a]
-            which = np.where(good & ~small if k < 2 else good, k, which)
+            good = np.abs(wanted - np.abs(result)) <= within
+            which[good & large if k < 2 else good] = k
     hit = np.flatnonzero(which < len(OPERATIONS))
     r, at = np.unique(r[hit], return_index=True)
     hit = hit[at]
