@@ -8,6 +8,9 @@ side by side, and the least id of each such stretch is the first document that h
 that covers it has a first document with a smaller id. Nothing is removed but by that order; the arrays of many keys are
 built side by side (gsaca.suffix_arrays), those of large ones one by one.
 
+Of a key whose texts are above CROWD bytes only strings whose hash stands there twice are sorted, dealt by a second key (`holders`):
+hashes leave out what can't be equal to anything, and decide nothing.
+
 A key that more than `hot` segments of 1 MB hold (a line that a third of all documents have) is split: its strings are
 dealt one by one by their hashes, over all buckets, and sorted there with those that share their first bytes.
 
