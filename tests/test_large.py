@@ -86,3 +86,42 @@ def test_a_slice_travels_once_with_its_documents(spark):
     assert any("Generate explode(__members" in x for x in steps) and any("FlatMapGroupsInArrow" in x for x in steps)
     above = steps[: next(i for i, x in enumerate(steps) if "Join" in x)]
     assert sum("Exchange hashpartitioning" in x for x in above) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_units_are_read_once_for_few_quotes(spark):
+    """Once for both directions, and once for the keys of what is found."""
+    from tidemark.plans import catalog
+
+    scans = [line for line in plan(catalog.QUERIES["containment_first_unit"](spark, DATA)).split("\n") if "FileScan parquet" in line and "documents.parquet" in line]
+    assert sum("text" in line.split("]")[0] for line in scans) == 1 and len(scans) == 2
+
+
+def test_pairs_of_texts_and_quotes_are_those_of_a_plain_search(monkeypatch):
+    import random
+
+    import pyarrow as pa
+
+    from tidemark.operators import joins as J
+
+    monkeypatch.setattr(J, "BLOCK", 16)
+    rng = random.Random(7)
+    say = lambda n: "".join(rng.choice(["ab", "ba ", "é", "漢", "aaaa"]) for _ in range(n))
+    quotes = sorted({say(rng.randint(8, 60)) for _ in range(80)} | {"a" * 12, "a" * 90, "ab" * 12})
+    texts = [say(rng.randint(0, 120)) for _ in range(150)] + [q[2:-2] for q in quotes] + ["x" + q for q in quotes] + ["a" * 40, "", None, "a" * 400]
+    quotes = [q for q in quotes if len(q) >= 12]
+    want = {(i, k) for i, t in enumerate(texts) if t for k, q in enumerate(quotes) if q in t or (len(t) > 36 and t in q)}
+    batch = pa.RecordBatch.from_arrays([pa.array(range(-1, len(texts))), pa.array(["before", *texts])], ["u", "x"]).slice(1)
+    got = [(u, k) for b in J._pairs_with([q.encode() for q in quotes], 36)(iter([batch, batch.slice(0, 0)])) for u, k in zip(*(c.to_pylist() for c in b.columns))]
+    assert set(got) == want and len(want) > 150
+
+
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_containment_is_the_same_for_few_and_many_quotes(spark, monkeypatch, few):
+    from tidemark.operators import joins as J
+
+    monkeypatch.setattr(J, "FEW", few)
+    quotes = spark.createDataFrame([(1, "one two  three four five"), (2, "one two three four five"), (3, "tail of\ta text"), (4, "nowhere to be found"), (5, "a  quote that holds a unit of well over thirty six characters"), (6, None), (7, "too short")], "q int, quote string")
+    units = spark.createDataFrame([(4, 2, "zero one two three four\nfive six"), (4, 1, "one two three four five"), (9, 0, "the tail of a text"), (3, 7, "a unit of well over thirty six characters"), (1, 1, None), (1, 2, " \n"), (2, 2, "too short")], "u int, v int, text string")
+    got = {r.q: (r.u, r.v) for r in J.containment_join(quotes, units, "quote", "text", ["u", "v"], "q").collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (9, 0), 5: (3, 7)}

@@ -1,16 +1,22 @@
 """Joins that plain equality can't express: as-of, nearest, interval, band, containment, cascades and reconciliation.
 
 None of them is a range join over a whole key. As-of joins carry values through ordered windows, in time buckets so that
-a key with a third of all rows isn't one task; nearest and band joins meet in bins; containment meets in word triples.
+a key with a third of all rows isn't one task; nearest and band joins meet in bins; containment sends few quotes along with
+one pass over the units, and meets in word triples where quotes are many.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 
@@ -121,14 +127,96 @@ def _within(inner: DataFrame, inner_key: list[str], outer: DataFrame, outer_key:
     return both.where(F.expr("contains(__b, __a)")).select(*inner_key, *outer_key)
 
 
+LIGHT = 4 << 20  # bytes of quotes that are sent to all tasks
+WINDOW, BLOCK = 8, 1 << 20  # bytes of a window, and of a text that are looked at together
+
+
+def _windows(data, at: int, end: int) -> np.ndarray:
+    """The WINDOW bytes at every place of data[at:end] as numbers, without a copy."""
+    return np.ndarray((max(end - at - WINDOW + 1, 0),), "<u8", data, at, (1,))
+
+
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which range, and each number of it, of all ranges lo to hi."""
+    n = hi - lo
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + lo[which]
+
+
+def _pairs_with(quotes: list[bytes], whole_unit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: rows (keys, then a text) become (keys, number of the quote) for each quote that the text holds, or that holds
+    the text of over `whole_unit` characters. A pair is compared if it shares the quote's rarest window, or the rarest of eight of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [_windows(x, 0, len(x)) for x in quotes]
+        owner, every = np.repeat(np.arange(len(quotes)), [len(x) for x in parts]), np.concatenate(parts)
+        order = np.argsort(every, kind="stable")
+        owner, every = owner[order], every[order]
+        common = np.searchsorted(every, every, "right") - np.searchsorted(every, every)
+        rarest = np.lexsort([common, owner])
+        rarest = np.sort(rarest[np.unique(owner[rarest], return_index=True)[1]])  # in order of windows, as `every` is
+        asked, asker = every[rarest], owner[rarest]
+        cell = lambda w: (w * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+        marked = np.zeros(1 << 20, bool)
+        marked[cell(asked)] = True
+        longest = max(map(len, quotes))
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1).fill_null("")
+            held = texts.cast(pa.large_binary())
+            data = held.buffers()[2]
+            if not data:
+                continue
+            ends = np.frombuffer(held.buffers()[1], "<i8")[held.offset : held.offset + len(held) + 1]
+            met = [np.zeros(0, np.int64)]
+            for at in range(int(ends[0]), int(ends[-1]), BLOCK):
+                here = _windows(data, at, min(at + BLOCK + WINDOW - 1, int(ends[-1])))
+                places = np.flatnonzero(marked[cell(here)])
+                which, k = _ranges(np.searchsorted(asked, here[places]), np.searchsorted(asked, here[places], "right"))
+                row = np.searchsorted(ends, at + places[which], "right") - 1
+                met.append(np.unique(row * len(quotes) + asker[k]))
+            text = lambda r: data[int(ends[r]) : int(ends[r + 1])].to_pybytes()
+            got, last, own = [], -1, b""
+            for r, k in zip(*(x.tolist() for x in np.divmod(np.unique(np.concatenate(met)), len(quotes)))):
+                if r != last:
+                    last, own = r, text(r)
+                if quotes[k] in own:
+                    got.append((r, k))
+            sizes = np.diff(ends)
+            short = np.flatnonzero((sizes <= longest) & (pc.utf8_length(texts).to_numpy(zero_copy_only=False) > whole_unit))
+            own = _windows(data, 0, int(ends[-1]))[ends[short, None] + (sizes[short, None] - WINDOW) * np.arange(8) // 7]
+            lo, hi = np.searchsorted(every, own), np.searchsorted(every, own, "right")
+            best = np.argmin(hi - lo, axis=1)[:, None]
+            which, k = _ranges(*(np.take_along_axis(x, best, 1)[:, 0] for x in (lo, hi)))
+            for r, k in zip(*(x.tolist() for x in np.divmod(np.unique(short[which] * len(quotes) + owner[k]), len(quotes)))):
+                if text(r) in quotes[k]:
+                    got.append((r, k))
+            if got:
+                rows, numbers = zip(*got)
+                keys = batch.select(range(batch.num_columns - 1)).take(pa.array(rows))
+                yield keys.append_column("__n", pa.array(numbers, pa.int64()))
+
+    return run
+
+
 def containment_join(quotes: DataFrame, units: DataFrame, quote: str, text: str, order: list[str], quote_key: str, least: int = 12, whole_unit: int = 36) -> DataFrame:
     """Each quote with the first unit (by order, which identifies units) whose text holds it, or which of over `whole_unit`
-    characters stands in the quote. White space is collapsed; quotes under `least` characters match nothing."""
-    squeeze = lambda c: F.trim(F.regexp_replace(F.col(c), r"[ \t\n\x0B\f\r]+", " "))
+    characters stands in the quote. White space is collapsed; quotes under `least` characters match nothing.
+
+    Up to FEW quotes of LIGHT bytes in all are sent to every task, and units are read once; more of them meet units by anchors."""
+    squeeze = lambda c: F.trim(F.regexp_replace(F.col(c), r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]", " "))
     q = quotes.select(quote_key, squeeze(quote).alias("__x")).where(F.length("__x") >= least)
-    u = units.select(*order, squeeze(text).alias("__x")).where("__x <> ''")
-    pairs = _within(q, [quote_key], u, order, "__x").unionByName(_within(u.where(F.length("__x") > whole_unit), order, q, [quote_key], "__x"))
-    best = pairs.groupBy(quote_key).agg(F.min(F.struct(*order)).alias("__u")).select(quote_key, "__u.*")
+    u = units.select(*order, squeeze(text).alias("__x"))
+    n, size = q.select(F.octet_length("__x").alias("n")).limit(FEW + 1).agg(F.count("n"), F.sum("n")).first()
+    if 0 < n <= FEW and size <= LIGHT and min(least, whole_unit) >= WINDOW:
+        texts = [r[0] for r in q.select("__x").distinct().collect()]
+        numbered = quotes.sparkSession.createDataFrame(list(enumerate(texts)), "__n long, __x string")
+        met = u.mapInArrow(_pairs_with([x.encode() for x in texts], whole_unit), StructType([*u.schema.fields[:-1], StructField("__n", LongType())]))
+        first = met.groupBy("__n").agg(F.min(F.struct(*order)).alias("__u"))
+        best = q.join(F.broadcast(numbered.join(first, "__n")), "__x").select(quote_key, "__u.*")
+    else:
+        u = u.where("__x <> ''")
+        pairs = _within(q, [quote_key], u, order, "__x").unionByName(_within(u.where(F.length("__x") > whole_unit), order, q, [quote_key], "__x"))
+        best = pairs.groupBy(quote_key).agg(F.min(F.struct(*order)).alias("__u")).select(quote_key, "__u.*")
     return quotes.join(best, quote_key).join(units, order)
 
 
