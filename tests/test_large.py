@@ -125,3 +125,25 @@ def test_containment_is_the_same_for_few_and_many_quotes(spark, monkeypatch, few
     units = spark.createDataFrame([(4, 2, "zero one two three four\nfive six"), (4, 1, "one two three four five"), (9, 0, "the tail of a text"), (3, 7, "a unit of well over thirty six characters"), (1, 1, None), (1, 2, " \n"), (2, 2, "too short")], "u int, v int, text string")
     got = {r.q: (r.u, r.v) for r in J.containment_join(quotes, units, "quote", "text", ["u", "v"], "q").collect()}
     assert got == {1: (4, 1), 2: (4, 1), 3: (9, 0), 5: (3, 7)}
+
+
+def test_events_take_a_keys_records_as_rows_and_hold_little_of_them():
+    """No data frame for each key; state is read and written once. Ids are kept to the last digit beside a missing one."""
+    from unittest.mock import MagicMock
+
+    from pyspark.sql import Row
+
+    from tidemark.streaming.events import Events
+
+    big, record = 2**60, Row("key", "at", "at_us", "id", "kind")
+    rows = [(9, 5, "close"), (1, big + 2, "open"), (1, big + 1, "open"), (1, None, "open"), (40, big + 3, "open"), (41, 7, "open"), (200, 8, "close"), (300, 9, "open"), (301, 6, "open")]
+    handle = MagicMock()
+    machine = Events("open", "close", 100)
+    machine.init(handle)
+    machine.event.get.return_value = (-50, 3)
+    machine.attached.get.side_effect = lambda: iter([(4,)])
+    got = list(machine.handleInputRows((1,), (record(1, None, *x) for x in rows), None))
+    micros = lambda t: t.second * 1_000_000 + t.microsecond
+    assert [(r.key, r.opened_id, micros(r.closed_at), r.closed_by, r.attached) for r in got] == [(1, 3, 9, "close", [4, big + 1, big + 2, None]), (1, big + 3, 140, "timer", [7])]
+    assert machine.event.get.call_count == machine.attached.get.call_count == 1
+    assert machine.event.update.call_args_list == [(((300, 9),),)] and machine.attached.appendList.call_args_list == [(([(6,)],),)]
