@@ -127,6 +127,31 @@ def test_containment_is_the_same_for_few_and_many_quotes(spark, monkeypatch, few
     assert got == {1: (4, 1), 2: (4, 1), 3: (9, 0), 5: (3, 7)}
 
 
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_containment_equals_its_sql_on_odd_keys_and_blanks(spark, monkeypatch, tmp_path, few):
+    """Keys that are missing or stand twice, quotes cut at a blank, and blanks that aren't ASCII."""
+    import duckdb
+
+    from tidemark.operators import joins as J
+    from tidemark.plans import catalog
+
+    monkeypatch.setattr(J, "FEW", few)
+    no_break = "\u00a0"
+    items = [(1, "twelve chars and more of this item"), (1, "second reading of the first item"), (2, f"{no_break}wide blanks\u3000 stand at the ends{no_break}"), (3, f"a b {no_break} cccc dddd eeee ffff"), (None, "an item that has no key at all"), (4, "only a document without a key has this"), (5, None), (6, "a quote that holds one unit of well over thirty six characters")]
+    docs = [
+        (1, "twelve charsets"), (5, "twelve chars and so on"), (5, "twelve chars twice under one key"), (4, "the second reading of the first item here"), (None, "twelve chars and more of this item"), (7, "so wide blanks\u3000 stand at the ends"), (8, f"x a b {no_break} cccc dddd eeee ffff y"), (2, "cccc dddd eeee"),
+        (9, "an item that has no key at all"), (6, "an item that has no"), (None, "only a document without a key has this"), (11, None), (12, f"\t{no_break} one unit of well over thirty six characters\u3000\n"),
+    ]
+    for name, rows, kinds in (("benchmark", items, "item_id long, text string"), ("documents", docs, "doc_id long, text string")):
+        spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/{name}.parquet")
+    con = duckdb.connect()
+    for name in ("benchmark", "documents"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    got = {tuple(r) for r in catalog.QUERIES["containment_first_unit"](spark, str(tmp_path)).collect()}
+    assert got == set(con.execute(catalog.ORACLES["containment_first_unit"]).fetchall())
+    assert {("1start", 4), ("1whole", 4), ("2start", 7), ("2whole", 7), ("3words", 8), ("4whole", None), ("6whole", 12), (None, 6)} <= got
+
+
 def test_events_take_a_keys_records_as_rows_and_hold_little_of_them():
     """No data frame for each key; state is read and written once. Ids are kept to the last digit beside a missing one."""
     from unittest.mock import MagicMock

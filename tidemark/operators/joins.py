@@ -86,6 +86,22 @@ def words_of(c: Column) -> Column:
     return F.filter(F.split(F.trim(F.regexp_replace(c, r"[ \t\n\x0B\f\r]+", " ")), " "), lambda w: w != "")
 
 
+def _alike(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left and right joined by keys, nulls with nulls; keys stand once."""
+    r = right.select(*(F.col(k).alias(f"__s_{k}") for k in keys), *(c for c in right.columns if c not in keys))
+    return left.join(r, reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys))).drop(*(f"__s_{k}" for k in keys))
+
+
+BLANK = r"[ \u00A0\u1680\u2000-\u200A\u202F\u205F\u3000]"  # Unicode's space separators
+
+
+def squeezed(c: Column) -> Column:
+    """White space as single blanks, none at the ends, where Unicode's blanks (no-break, ideographic) go too."""
+    x = F.trim(F.regexp_replace(c, r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]", " "))
+    wide = F.concat(F.substring(x, 1, 1), F.substring(x, -1, 1)).rlike(BLANK)  # seldom: texts aren't searched for it
+    return F.when(wide, F.regexp_replace(x, rf"\A{BLANK}++|(?<!{BLANK}){BLANK}++\z", "")).otherwise(x)
+
+
 FEW = 20_000  # anchors that are sent to all tasks
 TRIPLE, PAIR, GRAM = 5, 3, 6  # words from which an anchor is three of them, or one; characters of any other anchor
 
@@ -123,7 +139,7 @@ def _within(inner: DataFrame, inner_key: list[str], outer: DataFrame, outer_key:
     if not met:
         return inner.limit(0).select(*inner_key).join(outer.limit(0).select(*outer_key), F.lit(True))
     pairs = reduce(DataFrame.unionByName, met)
-    both = pairs.join(inner.select(*inner_key, F.col(text).alias("__a")), inner_key).join(outer.select(*outer_key, F.col(text).alias("__b")), outer_key)
+    both = _alike(_alike(pairs, inner.select(*inner_key, F.col(text).alias("__a")), inner_key), outer.select(*outer_key, F.col(text).alias("__b")), outer_key)
     return both.where(F.expr("contains(__b, __a)")).select(*inner_key, *outer_key)
 
 
@@ -198,26 +214,29 @@ def _pairs_with(quotes: list[bytes], whole_unit: int) -> Callable[[Iterator[pa.R
     return run
 
 
-def containment_join(quotes: DataFrame, units: DataFrame, quote: str, text: str, order: list[str], quote_key: str, least: int = 12, whole_unit: int = 36) -> DataFrame:
-    """Each quote with the first unit (by order, which identifies units) whose text holds it, or which of over `whole_unit`
-    characters stands in the quote. White space is collapsed; quotes under `least` characters match nothing.
+def containment_join(quotes: DataFrame, units: DataFrame, quote: str, text: str, order: list[str], quote_key: str, least: int = 12, whole_unit: int = 36, cut: bool = False) -> DataFrame:
+    """Each quote with the first unit (by order, which identifies units; nulls come last) whose text holds it, or which of over
+    `whole_unit` characters stands in the quote. White space is collapsed; quotes under `least` characters match nothing. cut: quotes are
+    cut from collapsed texts and taken as they are, so a blank where one ends must be there. Rows of one quote_key (null is one
+    too) are one quote in several readings.
 
     Up to FEW quotes of LIGHT bytes in all are sent to every task, and units are read once; more of them meet units by anchors."""
-    squeeze = lambda c: F.trim(F.regexp_replace(F.col(c), r"[ \t\n\x0B\f\r]{2,}|[\t\n\x0B\f\r]", " "))
-    q = quotes.select(quote_key, squeeze(quote).alias("__x")).where(F.length("__x") >= least)
-    u = units.select(*order, squeeze(text).alias("__x"))
+    q = quotes.select(quote_key, (F.col(quote) if cut else squeezed(F.col(quote))).alias("__x")).where(F.length("__x") >= least)
+    u = units.select(*order, squeezed(F.col(text)).alias("__x"))
+    first = F.min(F.struct(*(x for o in order for x in (F.col(o).isNull().alias(f"__no_{o}"), F.col(o))))).alias("__u")
     n, size = q.select(F.octet_length("__x").alias("n")).limit(FEW + 1).agg(F.count("n"), F.sum("n")).first()
     if 0 < n <= FEW and size <= LIGHT and min(least, whole_unit) >= WINDOW:
         texts = [r[0] for r in q.select("__x").distinct().collect()]
         numbered = quotes.sparkSession.createDataFrame(list(enumerate(texts)), "__n long, __x string")
         met = u.mapInArrow(_pairs_with([x.encode() for x in texts], whole_unit), StructType([*u.schema.fields[:-1], StructField("__n", LongType())]))
-        first = met.groupBy("__n").agg(F.min(F.struct(*order)).alias("__u"))
-        best = q.join(F.broadcast(numbered.join(first, "__n")), "__x").select(quote_key, "__u.*")
+        found = F.broadcast(numbered.join(met.groupBy("__n").agg(first), "__n"))
+        best = q.join(found, "__x").groupBy(quote_key).agg(F.min("__u").alias("__u"))
     else:
-        u = u.where("__x <> ''")
-        pairs = _within(q, [quote_key], u, order, "__x").unionByName(_within(u.where(F.length("__x") > whole_unit), order, q, [quote_key], "__x"))
-        best = pairs.groupBy(quote_key).agg(F.min(F.struct(*order)).alias("__u")).select(quote_key, "__u.*")
-    return quotes.join(best, quote_key).join(units, order)
+        q, u = (df.withColumn(h, F.xxhash64("__x")) for df, h in ((q, "__hq"), (u.where("__x <> ''"), "__hu")))  # rows without an id, or with another's, are told apart
+        asked, held = [quote_key, "__hq"], [*order, "__hu"]
+        pairs = _within(q, asked, u, held, "__x").unionByName(_within(u.where(F.length("__x") > whole_unit), held, q, asked, "__x"))
+        best = pairs.groupBy(quote_key).agg(first)
+    return _alike(units, _alike(quotes, best.select(quote_key, *(F.col(f"__u.{o}") for o in order)), [quote_key]), order)
 
 
 def cascade(left: DataFrame, tiers: list[tuple[str, DataFrame, list[str]]], left_key: list[str], value: str) -> DataFrame:

@@ -76,11 +76,11 @@ u AS (SELECT doc_id, {_SQUEEZED.format('text')} AS y FROM documents)
 SELECT quote_id, min(doc_id) AS doc_id FROM q JOIN u ON length(x) >= 12 AND y <> '' AND (contains(y, x) OR (length(y) > 36 AND contains(x, y))) GROUP BY quote_id
 """)
 def containment_first_unit(t):
-    x = F.trim(F.regexp_replace("text", r"[ \t\n\x0B\f\r]+", " "))
+    x = J.squeezed(F.col("text"))
     quotes = {"whole": x, "start": F.substring(x, 1, 13), "words": F.array_join(F.slice(F.split(x, " "), 3, 4), " ")}
     q = t.benchmark.select("item_id", F.explode(F.create_map(*(c for k, v in quotes.items() for c in (F.lit(k), v)))).alias("kind", "quote"))
     q = q.select(F.concat(F.col("item_id").cast("string"), "kind").alias("quote_id"), "quote")
-    return J.containment_join(q, t.documents.select("doc_id", "text"), "quote", "text", ["doc_id"], "quote_id").select("quote_id", "doc_id")
+    return J.containment_join(q, t.documents.select("doc_id", "text"), "quote", "text", ["doc_id"], "quote_id", cut=True).select("quote_id", "doc_id").distinct()
 
 
 @query("""
