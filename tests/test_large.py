@@ -172,3 +172,49 @@ def test_events_take_a_keys_records_as_rows_and_hold_little_of_them():
     assert [(r.key, r.opened_id, micros(r.closed_at), r.closed_by, r.attached) for r in got] == [(1, 3, 9, "close", [4, big + 1, big + 2, None]), (1, big + 3, 140, "timer", [7])]
     assert machine.event.get.call_count == machine.attached.get.call_count == 1
     assert machine.event.update.call_args_list == [(((300, 9),),)] and machine.attached.appendList.call_args_list == [(([(6,)],),)]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_lines_are_read_and_dealt_once_for_all_tiers(spark):
+    """Figures, pools and numbers come from one table of orders; sources are counted once, without their names."""
+    from tidemark.plans import catalog
+
+    steps = plan(catalog.QUERIES["figures_through_all_tiers"](spark, DATA)).split("\n")
+    assert not any("lineitem.parquet" in x for x in steps) and sum("Exchange hashpartitioning" in x for x in steps) <= 10
+
+
+@pytest.mark.parametrize("light", [0, 3, 256])
+def test_tiers_are_the_same_for_large_and_small_sources(spark, monkeypatch, light):
+    """Numbers one by one or together in arrays, in one row of a source or several; slips and scales at the edges of bins."""
+    import random
+
+    from tidemark.operators import checks as C
+
+    monkeypatch.setattr(C, "LIGHT", light)
+    rng = random.Random(5)
+    figures = [(str(i), round(rng.uniform(0, 99), i % 3), i % 3, [{"kind": k, "ref": r} for k, r in (("own", str(i % 7)), ("far", "f"))], [rng.choice("ab")]) for i in range(120)]
+    numbers = [(k, str(r), round(f[1] * 10 ** rng.choice([0, 3, 6, 9, -3, -6]) + rng.choice([0, 0, 0.4, 1]) * 10 ** -f[2], 9), [rng.choice("abc")]) for i, f in enumerate(figures) for k, r in (("own", i % 7), ("far", "f")) if rng.random() < 0.25]
+    asked = spark.createDataFrame(figures, "id string, v double, d int, c array<struct<kind:string,ref:string>>, l array<string>")
+    plain = spark.createDataFrame([(*x, None) for x in numbers] + [("own", "1", None, None, None)], "kind string, ref string, number double, around array<string>, unit string")
+    together = plain.groupBy("kind", "ref", "around", "unit").agg(F.collect_list("number").alias("number"))
+    half = lambda u: 0.5 * u * (1 + 1e-12) + 1e-9 * min(1.0, u)
+
+    def first(f, kind, ref, singled):
+        best, slips, some = None, False, False
+        for rank, s in enumerate(C.SCALE_POWERS):
+            u, x = 10.0 ** (s - f[2]), f[1] * 10.0**s
+            for _, _, n, around in (y for y in numbers if y[:2] == (kind, ref)):
+                hit, beside = abs(x - n) <= half(u), not singled or f[4][0] in around
+                some |= hit
+                slips |= singled and f[4][0] in around and min(abs(x + u - n), abs(x - u - n)) <= half(u)
+                best = min(filter(None, [best, (rank, n, s) if hit and beside else None]), default=None)
+        return None if slips else best, some
+
+    want = {}
+    for f in figures:
+        (own, some), (far, more) = first(f, "own", f[3][0]["ref"], False), first(f, "far", "f", True)
+        want[f[0]] = ("own", *own[1:]) if own else ("far", *far[1:]) if far else ("weak" if some or more else "no fact" if f[1] == int(f[1]) and f[1] < 10 and f[2] == 0 else "unverified", None, None)
+    for given in (plain, together):
+        got = {r.id: (r["class"], r.number, r.scale) for r in C.checked(asked, given, "id", "v", "d", "c", [("own", "own", False), ("far", "far", True)], label="l").collect()}
+        assert got == want
+    assert {c for c, *_ in want.values()} >= {"own", "far", "weak", "unverified"}

@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.pairs import pair_of
 from ..functions.sizes import small
 from ..functions.text import same_number
+from ..sources.staging import staged
 
 POOL, RECENT = 80, 40
 BIN = 8  # units of a figure's last digit that a bin is wide
@@ -111,13 +112,19 @@ def carried_tags(lines: DataFrame, doc: list[str], line: str, tags: Column, bloc
 
 
 SCALE_POWERS = (0, 3, 6, 9, -3, -6)  # as written, then in thousands, millions, billions, and the other way
+REACH = 40  # powers of ten on either side of one
+
+
+def _ten(e: Column) -> Column:
+    """Ten to the power of e, looked up."""
+    return F.get(F.array(*(F.lit(float(f"1e{k}")) for k in range(-REACH, REACH + 1))), e + REACH)
 
 
 def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decimals: str, cites: str, tiers: list[tuple[str, str, bool]], *, label: str | None = None, unit: str | None = None, pool: str | None = None, written: str | None = None, scales: tuple[int, ...] = SCALE_POWERS) -> DataFrame:
     """Every figure with the class of the first tier that explains it, and the number that does: class, number, scale.
 
     tiers: (class, kind of source, singled) in order. A figure cites sources as array<struct<kind, ref>>; numbers has kind, ref,
-    number, around (array of stems beside it) and unit. A number explains a figure if it agrees to the figure's last
+    number (or an array of those that share the rest), around (array of stems beside it) and unit. A number explains a figure if it agrees to the figure's last
     digit at one of the powers of ten, as written first, and no units clash. In a tier that must be singled out (a long
     text, where some number always fits) it counts only if a word of the figure's label stands beside it and no number there
     agrees with the figure one unit of its last digit up or down; without that the figure is `weak`, by the last resort.
@@ -125,39 +132,52 @@ def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decima
     the figure), then `weak`, then `no fact` (single digits), else `unverified`.
 
     All tiers are one join: figures meet the numbers of sources of at most LIGHT numbers as they are, by the source, and those of larger
-    ones in bins of a few units of the last digit, once for each power of ten. Flags of every tier are aggregated by figure, so a figure with many matches is reduced before it is shuffled. What is
-    recomputed is only what no tier explains.
+    ones in bins of a few units of the last digit, once for each power of ten. Sources are counted first, by a hash: two that share one
+    are large together, which changes no result. What lies too far off at every power goes before anything is computed, and flags of every tier
+    are aggregated by figure, so a figure with many matches is reduced before it is shuffled. What is recomputed is only what no tier
+    explains.
     """
     v, d = F.abs(F.col(value).cast("double")), F.col(decimals).cast("int")
-    half = lambda e: 0.5 * F.pow(F.lit(10.0), -e) * (1 + 1e-12) + 1e-9 * F.least(F.lit(1.0), F.pow(F.lit(10.0), -e))
     none = F.array().cast("array<string>")
     fig = figures.select(key, v.alias("__v"), d.alias("__d"), F.col(cites).alias("__cites"), (F.col(label) if label else none).alias("__label"), (F.col(unit) if unit else F.lit(None).cast("string")).alias("__unit"))
-    asked = fig.select("*", F.explode("__cites").alias("__c")).select(key, "__v", "__d", "__label", "__unit", F.col("__c.kind").alias("kind"), F.col("__c.ref").alias("ref"))
-    asked = asked.where("__d between 0 and 15")
-    src = numbers.select("kind", "ref", F.abs(F.col("number").cast("double")).alias("__n"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("__n is not null")
-    crowded = small(src.groupBy("kind", "ref").count().where(F.col("count") > LIGHT).select("kind", "ref"))
-    scaled = lambda df: df.withColumn("__s", F.explode(F.array(*map(F.lit, scales)))).withColumn("__e", F.col("__d") - F.col("__s")).withColumn("__x", F.col("__v") * F.pow(F.lit(10.0), F.col("__s").cast("double"))).withColumn("__cell", F.floor(F.col("__v") * F.pow(F.lit(10.0), F.col("__d").cast("double")) + 0.5)).where("__cell < 9e15")
-    few = scaled(asked.join(crowded, ["kind", "ref"], "left_anti").join(src, ["kind", "ref"])).where("__n * pow(10D, __e) < 9e15")
+    asked = fig.where("__d between 0 and 15").select("*", F.explode("__cites").alias("__c")).select(key, "__v", "__d", "__label", "__unit", F.col("__c.kind").alias("kind"), F.col("__c.ref").alias("ref"))
+    listed = F.col("number") if dict(numbers.dtypes)["number"].startswith("array") else F.array("number")
+    listed = F.transform(F.filter(listed, lambda n: n.isNotNull()), lambda n: F.abs(n.cast("double")))
+    src = numbers.select("kind", "ref", listed.alias("__ns"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("size(__ns) > 0")
+    spot = F.hash("kind", "ref")
+    counted = src.groupBy(spot.alias("__spot")).agg(F.sum(F.size("__ns")).alias("n"))
+    crowded = small(staged(counted.where(F.col("n") > LIGHT).select("__spot"), "crowded"))
+    large = lambda df, how: df.join(crowded, spot == F.col("__spot"), how)
+    ranges = large(src, "inner").groupBy("kind", "ref").agg(F.min(F.array_min("__ns")).alias("__lo"), F.max(F.array_max("__ns")).alias("__hi"))
+    x, unit_at = F.col("__v") * _ten(F.col("__s")), _ten(-F.col("__e"))
+    reach = 1.6 * _ten(-F.col("__d")) + 4e-15 * F.col("__v")  # one and a half units, and what multiplying may lose
+    near = lambda n, s: F.abs(n * _ten(-s) - F.col("__v")) <= reach
+    scaled = lambda df: df.withColumn("__s", F.explode(F.array(*map(F.lit, scales)))).withColumn("__e", F.col("__d") - F.col("__s")).withColumn("__cell", F.floor(F.col("__v") * _ten(F.col("__d")) + 0.5)).where("__cell < 9e15")
+    one = lambda df: df.select("*", F.explode("__ns").alias("__n")).drop("__ns")
+    few = one(large(asked, "left_anti").join(large(src, "left_anti"), ["kind", "ref"])).where(reduce(Column.__or__, (near(F.col("__n"), F.lit(s)) for s in scales)))
     powers = [r["e"] for r in figures.select(d.alias("d")).distinct().where("d between 0 and 15").select(F.explode(F.array(*(F.col("d") - s for s in scales))).alias("e")).distinct().collect()]  # 16 numbers of decimals by six scales at most
-    many = src.join(crowded, ["kind", "ref"], "left_semi").distinct()
-    many = many.withColumn("__e", F.explode(F.array(*map(F.lit, sorted(powers))).cast("array<int>"))).withColumn("__bin", _bin(F.floor(F.col("__n") * F.pow(F.lit(10.0), F.col("__e").cast("double")) + 0.5)))
-    binned = scaled(asked.join(crowded, ["kind", "ref"], "left_semi")).withColumn("__bin", F.explode(_bins(F.col("__cell"))))
-    met = few.unionByName(binned.join(many.where("__n * pow(10D, __e) < 9e15"), ["kind", "ref", "__e", "__bin"]).drop("__bin"))
-    off = lambda shift: F.abs(F.col("__x") + shift * F.pow(F.lit(10.0), -F.col("__e").cast("double")) - F.col("__n")) <= half(F.col("__e").cast("double"))
+    many = one(large(src, "left_semi")).distinct()
+    many = many.withColumn("__e", F.explode(F.array(*map(F.lit, sorted(powers))).cast("array<int>"))).withColumn("__bin", _bin(F.floor(F.col("__n") * _ten(F.col("__e")) + 0.5)))
+    binned = scaled(large(asked, "left_semi").join(small(staged(ranges, "ranges")), ["kind", "ref"]))
+    binned = binned.where((x + 3 * unit_at >= 0.999 * F.col("__lo")) & (x - 3 * unit_at <= 1.001 * F.col("__hi"))).drop("__lo", "__hi").withColumn("__bin", F.explode(_bins(F.col("__cell"))))
+    met = scaled(few).unionByName(binned.join(many, ["kind", "ref", "__e", "__bin"]).drop("__bin"))
+    met = met.where(near(F.col("__n"), F.col("__s")) & (F.col("__n") * _ten(F.col("__e")) < 9e15))
+    half = 0.5 * unit_at * (1 + 1e-12) + 1e-9 * F.least(F.lit(1.0), unit_at)
+    off = lambda shift: F.abs(x + shift * unit_at - F.col("__n")) <= half
     clash = F.coalesce(F.col("__unit") != F.col("__nu"), F.lit(False))
-    beside = F.arrays_overlap("__label", "__around")
-    met = met.select(key, "kind", "__n", "__s", (off(0) & ~clash).alias("__hit"), ((off(1) | off(-1)) & ~clash).alias("__slip"), F.coalesce(beside, F.lit(False)).alias("__beside"), F.array_position(F.array(*map(F.lit, scales)), F.col("__s")).alias("__rank"))
+    beside = F.coalesce(F.arrays_overlap("__label", "__around"), F.lit(False))
+    met = met.select(key, "kind", "__n", F.array_position(F.array(*map(F.lit, scales)), F.col("__s")).cast("int").alias("__rank"), (off(0) & ~clash).alias("__hit"), ((off(1) | off(-1)) & ~clash).alias("__slip"), beside.alias("__beside"))
     flags = []
     for i, (_, kind, singled) in enumerate(tiers):
         here = F.col("kind") == kind
-        hit = here & F.col("__hit") & (F.col("__beside") if singled else F.lit(True))
-        slip = here & F.col("__slip") & F.col("__beside") if singled else F.lit(False)
-        first = F.min(F.when(hit, F.struct("__rank", "__n", "__s")))
-        flags += [F.when(~F.coalesce(F.bool_or(slip), F.lit(False)), first).alias(f"__t{i}")]
+        first = F.min(F.when(here & F.col("__hit") & (F.col("__beside") if singled else F.lit(True)), F.struct("__rank", "__n")))
+        if singled:
+            first = F.when(~F.coalesce(F.bool_or(here & F.col("__slip") & F.col("__beside")), F.lit(False)), first)
+        flags.append(first.alias(f"__t{i}"))
     flags.append(F.bool_or("__hit").alias("__some"))
     found = met.where("__hit or __slip").groupBy(key).agg(*flags)
     rows = figures.join(found, key, "left")
-    best = F.coalesce(*(F.when(F.col(f"__t{i}").isNotNull(), F.struct(F.lit(name).alias("class"), F.col(f"__t{i}.__n").alias("number"), F.col(f"__t{i}.__s").alias("scale"))) for i, (name, *_) in enumerate(tiers)))
+    best = F.coalesce(*(F.when(F.col(f"__t{i}").isNotNull(), F.struct(F.lit(name).alias("class"), F.col(f"__t{i}.__n").alias("number"), F.get(F.array(*map(F.lit, scales)), F.col(f"__t{i}.__rank") - 1).alias("scale"))) for i, (name, *_) in enumerate(tiers)))
     rows = rows.withColumn("__best", best)
     left = F.col("__best").isNull()
     other = lambda name: F.struct(F.lit(name).alias("class"), F.lit(None).cast("double").alias("number"), F.lit(None).cast("int").alias("scale"))
