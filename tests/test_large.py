@@ -214,7 +214,15 @@ def test_tiers_are_the_same_for_large_and_small_sources(spark, monkeypatch, ligh
     for f in figures:
         (own, some), (far, more) = first(f, "own", f[3][0]["ref"], False), first(f, "far", "f", True)
         want[f[0]] = ("own", *own[1:]) if own else ("far", *far[1:]) if far else ("weak" if some or more else "no fact" if f[1] == int(f[1]) and f[1] < 10 and f[2] == 0 else "unverified", None, None)
+    tiers = [("own", "own", False), ("far", "far", True)]
     for given in (plain, together):
-        got = {r.id: (r["class"], r.number, r.scale) for r in C.checked(asked, given, "id", "v", "d", "c", [("own", "own", False), ("far", "far", True)], label="l").collect()}
+        got = {r.id: (r["class"], r.number, r.scale) for r in C.checked(asked, given, "id", "v", "d", "c", tiers, label="l").collect()}
         assert got == want
+    for part in (1.0, 0.5):  # all numbers stand in the figure's row, or some of each kind
+        at_hand = [x for x in numbers if rng.random() < part]
+        rows = [(*f, [{"kind": k, "number": -n, "around": a, "unit": None} for k, r, n, a in at_hand if r in ("f", f[3][0]["ref"])], [1.0]) for f in figures]
+        asked = spark.createDataFrame(rows, "id string, v double, d int, c array<struct<kind:string,ref:string>>, l array<string>, h array<struct<kind:string,number:double,around:array<string>,unit:string>>, p array<double>")
+        rest = plain.join(spark.createDataFrame(at_hand, "kind string, ref string, number double, around array<string>"), ["kind", "ref", "number", "around"], "left_anti")
+        got = C.checked(asked, rest, "id", "v", "d", "c", tiers, label="l", own="h", pool="p").collect()
+        assert {r.id: (r["class"], r.number, r.scale) for r in got} == want and all(r.p == [1.0] for r in got)
     assert {c for c, *_ in want.values()} >= {"own", "far", "weak", "unverified"}

@@ -120,7 +120,7 @@ def _ten(e: Column) -> Column:
     return F.get(F.array(*(F.lit(float(f"1e{k}")) for k in range(-REACH, REACH + 1))), e + REACH)
 
 
-def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decimals: str, cites: str, tiers: list[tuple[str, str, bool]], *, label: str | None = None, unit: str | None = None, pool: str | None = None, written: str | None = None, scales: tuple[int, ...] = SCALE_POWERS) -> DataFrame:
+def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decimals: str, cites: str, tiers: list[tuple[str, str, bool]], *, label: str | None = None, unit: str | None = None, pool: str | None = None, written: str | None = None, own: str | None = None, scales: tuple[int, ...] = SCALE_POWERS) -> DataFrame:
     """Every figure with the class of the first tier that explains it, and the number that does: class, number, scale.
 
     tiers: (class, kind of source, singled) in order. A figure cites sources as array<struct<kind, ref>>; numbers has kind, ref,
@@ -131,6 +131,9 @@ def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decima
     After the tiers come `recomputed` (from two numbers of pool) and `formula` (written holds the status of the formula that ends in
     the figure), then `weak`, then `no fact` (single digits), else `unverified`.
 
+    own: numbers that came with the row, as array<struct<kind, number, around, unit>>, for sources that need no looking up; the figure doesn't
+    cite those. They count in the tiers of their kinds like any other.
+
     All tiers are one join: figures meet the numbers of sources of at most LIGHT numbers as they are, by the source, and those of larger
     ones in bins of a few units of the last digit, once for each power of ten. Sources are counted first, by a hash: two that share one
     are large together, which changes no result. What lies too far off at every power goes before anything is computed, and flags of every tier
@@ -143,49 +146,81 @@ def checked(figures: DataFrame, numbers: DataFrame, key: str, value: str, decima
     asked = fig.where("__d between 0 and 15").select("*", F.explode("__cites").alias("__c")).select(key, "__v", "__d", "__label", "__unit", F.col("__c.kind").alias("kind"), F.col("__c.ref").alias("ref"))
     listed = F.col("number") if dict(numbers.dtypes)["number"].startswith("array") else F.array("number")
     listed = F.transform(F.filter(listed, lambda n: n.isNotNull()), lambda n: F.abs(n.cast("double")))
-    src = numbers.select("kind", "ref", listed.alias("__ns"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("size(__ns) > 0")
+    src = lambda df: df.select("kind", "ref", listed.alias("__ns"), F.coalesce("around", none).alias("__around"), F.col("unit").alias("__nu")).where("size(__ns) > 0")
     spot = F.hash("kind", "ref")
-    counted = src.groupBy(spot.alias("__spot")).agg(F.sum(F.size("__ns")).alias("n"))
+    counted = src(numbers).groupBy(spot.alias("__spot")).agg(F.sum(F.size("__ns")).alias("n"))
     crowded = small(staged(counted.where(F.col("n") > LIGHT).select("__spot"), "crowded"))
     large = lambda df, how: df.join(crowded, spot == F.col("__spot"), how)
-    ranges = large(src, "inner").groupBy("kind", "ref").agg(F.min(F.array_min("__ns")).alias("__lo"), F.max(F.array_max("__ns")).alias("__hi"))
+    ranges = src(large(numbers, "left_semi")).groupBy("kind", "ref").agg(F.min(F.array_min("__ns")).alias("__lo"), F.max(F.array_max("__ns")).alias("__hi"))
     x, unit_at = F.col("__v") * _ten(F.col("__s")), _ten(-F.col("__e"))
-    reach = 1.6 * _ten(-F.col("__d")) + 4e-15 * F.col("__v")  # one and a half units, and what multiplying may lose
-    near = lambda n, s: F.abs(n * _ten(-s) - F.col("__v")) <= reach
+    reach = lambda v, d: 1.6 * _ten(-d) + 4e-15 * v  # noqa: E731  one and a half units, and what multiplying may lose
+    reaching = lambda df, v, d: df.withColumn("__from", v - reach(v, d)).withColumn("__to", v + reach(v, d))
+    near = lambda n, *steps: reduce(Column.__or__, ((n * s >= F.col("__from")) & (n * s <= F.col("__to")) for s in steps))
+    down = [F.lit(float(f"1e{-s}")) for s in scales]
     scaled = lambda df: df.withColumn("__s", F.explode(F.array(*map(F.lit, scales)))).withColumn("__e", F.col("__d") - F.col("__s")).withColumn("__cell", F.floor(F.col("__v") * _ten(F.col("__d")) + 0.5)).where("__cell < 9e15")
     one = lambda df: df.select("*", F.explode("__ns").alias("__n")).drop("__ns")
-    few = one(large(asked, "left_anti").join(large(src, "left_anti"), ["kind", "ref"])).where(reduce(Column.__or__, (near(F.col("__n"), F.lit(s)) for s in scales)))
+    spans = lambda df: reaching(df, F.col("__v"), F.col("__d"))
+    few = one(spans(large(asked, "left_anti").join(src(large(numbers, "left_anti")), ["kind", "ref"]))).where(near(F.col("__n"), *down))
     powers = [r["e"] for r in figures.select(d.alias("d")).distinct().where("d between 0 and 15").select(F.explode(F.array(*(F.col("d") - s for s in scales))).alias("e")).distinct().collect()]  # 16 numbers of decimals by six scales at most
-    many = one(large(src, "left_semi")).distinct()
+    many = one(src(large(numbers, "left_semi"))).distinct()
     many = many.withColumn("__e", F.explode(F.array(*map(F.lit, sorted(powers))).cast("array<int>"))).withColumn("__bin", _bin(F.floor(F.col("__n") * _ten(F.col("__e")) + 0.5)))
     binned = scaled(large(asked, "left_semi").join(small(staged(ranges, "ranges")), ["kind", "ref"]))
     binned = binned.where((x + 3 * unit_at >= 0.999 * F.col("__lo")) & (x - 3 * unit_at <= 1.001 * F.col("__hi"))).drop("__lo", "__hi").withColumn("__bin", F.explode(_bins(F.col("__cell"))))
-    met = scaled(few).unionByName(binned.join(many, ["kind", "ref", "__e", "__bin"]).drop("__bin"))
-    met = met.where(near(F.col("__n"), F.col("__s")) & (F.col("__n") * _ten(F.col("__e")) < 9e15))
-    half = 0.5 * unit_at * (1 + 1e-12) + 1e-9 * F.least(F.lit(1.0), unit_at)
-    off = lambda shift: F.abs(x + shift * unit_at - F.col("__n")) <= half
-    clash = F.coalesce(F.col("__unit") != F.col("__nu"), F.lit(False))
-    beside = F.coalesce(F.arrays_overlap("__label", "__around"), F.lit(False))
-    met = met.select(key, "kind", "__n", F.array_position(F.array(*map(F.lit, scales)), F.col("__s")).cast("int").alias("__rank"), (off(0) & ~clash).alias("__hit"), ((off(1) | off(-1)) & ~clash).alias("__slip"), beside.alias("__beside"))
-    flags = []
-    for i, (_, kind, singled) in enumerate(tiers):
-        here = F.col("kind") == kind
-        first = F.min(F.when(here & F.col("__hit") & (F.col("__beside") if singled else F.lit(True)), F.struct("__rank", "__n")))
-        if singled:
-            first = F.when(~F.coalesce(F.bool_or(here & F.col("__slip") & F.col("__beside")), F.lit(False)), first)
-        flags.append(first.alias(f"__t{i}"))
-    flags.append(F.bool_or("__hit").alias("__some"))
+    met = scaled(few).unionByName(spans(binned).join(many, ["kind", "ref", "__e", "__bin"]).drop("__bin"))
+    met = met.where(near(F.col("__n"), _ten(-F.col("__s"))) & (F.col("__n") * _ten(F.col("__e")) < 9e15))
+    half = lambda u: 0.5 * u * (1 + 1e-12) + 1e-9 * F.least(F.lit(1.0), u)
+    off = lambda x, n, u, shift: F.abs(x + shift * u - n) <= half(u)
+    slips = lambda x, n, u: off(x, n, u, 1) | off(x, n, u, -1)
+    clash = lambda a, b: F.coalesce(a != b, F.lit(False))
+    shares = lambda a, b: F.coalesce(F.arrays_overlap(a, b), F.lit(False))
+    fits = ~clash(F.col("__unit"), F.col("__nu"))
+    rank = F.array_position(F.array(*map(F.lit, scales)), F.col("__s")).cast("int")
+    met = met.select(key, "kind", "__n", rank.alias("__rank"), (off(x, F.col("__n"), unit_at, 0) & fits).alias("__hit"), (slips(x, F.col("__n"), unit_at) & fits).alias("__slip"), shares("__label", "__around").alias("__beside"))
+    plain = {kind: i for i, (_, kind, singled) in reversed(list(enumerate(tiers))) if not singled}
+    tier_of = lambda kind: reduce(lambda c, kv: c.when(kind == kv[0], kv[1]), plain.items(), F.when(F.lit(False), -1))
+    tier = tier_of(F.col("kind"))
+    flags = [F.min(F.when(F.col("__hit") & tier.isNotNull(), F.struct(tier.alias("tier"), F.col("__rank").alias("rank"), F.col("__n").alias("n")))).alias("__plain"), F.bool_or("__hit").alias("__some")]
+    alone = [(i, kind) for i, (_, kind, singled) in enumerate(tiers) if singled]
+    for i, kind in alone:
+        here = (F.col("kind") == kind) & F.col("__beside")
+        flags += [F.min(F.when(here & F.col("__hit"), F.struct(F.lit(i).alias("tier"), F.col("__rank").alias("rank"), F.col("__n").alias("n")))).alias(f"__t{i}"), F.bool_or(here & F.col("__slip")).alias(f"__x{i}")]
     found = met.where("__hit or __slip").groupBy(key).agg(*flags)
-    rows = figures.join(found, key, "left")
-    best = F.coalesce(*(F.when(F.col(f"__t{i}").isNotNull(), F.struct(F.lit(name).alias("class"), F.col(f"__t{i}.__n").alias("number"), F.get(F.array(*map(F.lit, scales)), F.col(f"__t{i}.__rank") - 1).alias("scale"))) for i, (name, *_) in enumerate(tiers)))
-    rows = rows.withColumn("__best", best)
+    rows = figures
+    if own:
+        words, kept = F.col(label) if label else none, F.col(unit) if unit else F.lit(None).cast("string")
+        readable = d.between(0, 15) & (F.floor(v * _ten(d) + 0.5) < 9e15)
+        number = lambda m: F.abs(m["number"].cast("double"))
+        rows = reaching(rows, v, d)
+        by_hand = F.filter(F.when(readable, F.col(own)), lambda m: near(number(m), *down) & ~clash(kept, m["unit"]))
+        steps = F.array(*(F.struct(F.lit(i + 1).alias("rank"), step.alias("down"), (v * _ten(F.lit(s))).alias("x"), _ten(F.lit(s) - d).alias("u")) for i, (s, step) in enumerate(zip(scales, down))))
+        wary = lambda m: m["kind"].isin([kind for _, kind in alone])  # noqa: E731  only there slips count
+        pair = lambda m: lambda p: F.struct(m["kind"].alias("kind"), p["rank"].alias("rank"), number(m).alias("n"), off(p["x"], number(m), p["u"], 0).alias("hit"), (wary(m) & slips(p["x"], number(m), p["u"])).alias("slip"), (wary(m) & shares(words, m["around"])).alias("beside"))
+        pairs = F.flatten(F.transform(by_hand, lambda m: F.transform(F.filter(steps, lambda p: near(number(m), p["down"]) & (number(m) < 9e15 * p["u"])), pair(m))))
+        rows = rows.withColumn("__near", F.filter(pairs, lambda p: p["hit"] | p["slip"]))
+        least = lambda i, p: F.struct(i.alias("tier"), p["rank"].alias("rank"), p["n"].alias("n"))
+        rows = rows.withColumn("__own", F.array_min(F.transform(F.filter("__near", lambda p: p["hit"] & tier_of(p["kind"]).isNotNull()), lambda p: least(tier_of(p["kind"]), p))))
+        rows = rows.withColumn("__own_some", F.exists("__near", lambda p: p["hit"]))
+        for i, kind in alone:
+            beside = F.filter("__near", lambda p: (p["kind"] == kind) & p["beside"])
+            rows = rows.withColumn(f"__own{i}", F.array_min(F.transform(F.filter(beside, lambda p: p["hit"]), lambda p: least(F.lit(i), p)))).withColumn(f"__ownx{i}", F.exists(beside, lambda p: p["slip"]))
+        rows = rows.drop("__near", "__from", "__to")
+    if pool:
+        rows = rows.withColumn("__pool", F.when(F.col("__own").isNull(), F.col(pool)) if own else F.col(pool))  # what a plain tier explains here needs no search
+    rows = rows.join(found, key, "left")
+    both = lambda a, b: F.least(a, b) if own else a
+    true = lambda *c: reduce(Column.__or__, (F.coalesce(y, F.lit(False)) for y in c))
+    some = true(F.col("__some"), *([F.col("__own_some")] if own else []))
+    first = [both(F.col("__plain"), F.col("__own"))] + [F.when(~true(F.col(f"__x{i}"), *([F.col(f"__ownx{i}")] if own else [])), both(F.col(f"__t{i}"), F.col(f"__own{i}"))) for i, _ in alone]
+    rows = rows.withColumn("__first", F.least(*first) if len(first) > 1 else first[0])
+    names, powers_of = (F.array(*map(F.lit, y)) for y in ([name for name, *_ in tiers], scales))
+    rows = rows.withColumn("__best", F.when(F.col("__first").isNotNull(), F.struct(F.get(names, F.col("__first.tier")).alias("class"), F.col("__first.n").alias("number"), F.get(powers_of, F.col("__first.rank") - 1).alias("scale"))))
     left = F.col("__best").isNull()
     other = lambda name: F.struct(F.lit(name).alias("class"), F.lit(None).cast("double").alias("number"), F.lit(None).cast("int").alias("scale"))
     if pool:
-        rows = rows.withColumn("__pool", F.when(left, F.col(pool)))  # a figure that is explained has no pool to search
+        rows = rows.withColumn("__pool", F.when(left, F.col("__pool")))  # a figure that is explained has no pool to search
         rows = rows.withColumn("__pair", recompute(rows, value, decimals, "__pool"))
     pair = F.col("__pair").isNotNull() if pool else F.lit(False)
     held = F.col(written).isin("holds", "rounding") if written else F.lit(False)
     single = (F.col(value) == F.floor(F.col(value))) & (v < 10) & (d == 0)
-    rows = rows.withColumn("__best", F.when(~left, F.col("__best")).when(pair, other("recomputed")).when(F.coalesce(held, F.lit(False)), other("formula")).when(F.coalesce("__some", F.lit(False)), other("weak")).when(single, other("no fact")).otherwise(other("unverified")))
+    rows = rows.withColumn("__best", F.when(~left, F.col("__best")).when(pair, other("recomputed")).when(F.coalesce(held, F.lit(False)), other("formula")).when(some, other("weak")).when(single, other("no fact")).otherwise(other("unverified")))
     return rows.select(*figures.columns, "__best.class", "__best.number", "__best.scale")
