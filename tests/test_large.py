@@ -183,6 +183,22 @@ def test_lines_are_read_and_dealt_once_for_all_tiers(spark):
     assert not any("lineitem.parquet" in x for x in steps) and sum("Exchange hashpartitioning" in x for x in steps) <= 10
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables here")
+def test_tiers_equal_their_sql_where_every_row_stands_twice(spark, tmp_path):
+    import duckdb
+
+    from tidemark.plans import catalog
+
+    con = duckdb.connect()
+    for name in ("orders", "lineitem", "part"):
+        df = spark.read.parquet(f"{DATA}/{name}.parquet")
+        df.unionAll(df).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    df = catalog.QUERIES["figures_through_all_tiers"](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({catalog.ORACLES['figures_through_all_tiers']})").fetchall()
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
+
+
 @pytest.mark.parametrize("light", [0, 3, 256])
 def test_tiers_are_the_same_for_large_and_small_sources(spark, monkeypatch, light):
     """Numbers one by one or together in arrays, in one row of a source or several; slips and scales at the edges of bins."""
